@@ -1,0 +1,93 @@
+"""Alert states and metric refresh as running jobs."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from overflight.operators.alerts import alert_states, rule_samples
+from overflight.plans.pipeline import Layout, refresh_metrics
+from overflight.schemas import METRIC_SCHEMA
+from overflight.sources.storage import read_table
+
+STATE_SCHEMA = (
+    "alert STRING, instance STRING, ts TIMESTAMP, hold_s BIGINT, severity STRING, team STRING, summary STRING, "
+    "value DOUBLE, active_since TIMESTAMP, state STRING"
+)
+# What the next batch has to know of the past: the last sample of each alert
+# instance and the start of its current run.
+CARRY_SCHEMA = (
+    "alert STRING, instance STRING, ts TIMESTAMP, hold_s BIGINT, severity STRING, team STRING, summary STRING, "
+    "value DOUBLE, holds BOOLEAN, since TIMESTAMP"
+)
+
+
+_KEYS = ["alert", "instance"]
+
+
+def stream_series(spark: SparkSession, path: str) -> DataFrame:
+    """Stored metric ticks as a stream. A tick must be one file."""
+    return spark.readStream.schema(METRIC_SCHEMA).parquet(path)
+
+
+def alerts(series: DataFrame, rules: DataFrame, path: str, max_gap_s: int | None = None) -> DataStreamWriter:
+    """Evaluate each micro-batch where the last one left off.
+
+    State is a table: after batch n, ``carry/batch_id=n`` holds per alert
+    instance its last sample and the start of the current run. Batch n reads
+    the folder of batch n-1 and overwrites its own, so a replayed batch gives
+    the same rows once. The work of a batch is the batch operator's: spilling
+    windows over (instance, day) pieces. A sample older than the instance's
+    last one cannot change what was already sent and goes to ``late``.
+    """
+    spark = series.sparkSession
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        carry = read_table(spark, f"{path}/carry/batch_id={batch_id - 1}", CARRY_SCHEMA)
+        last = carry.select("alert", "instance", F.col("ts").alias("_last"))
+        on_time = F.col("_last").isNull() | (F.col("ts") > F.col("_last"))
+        samples = rule_samples(batch, rules).join(last, _KEYS, "left")
+        samples.where(~on_time).drop("_last").write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+        fresh = samples.where(on_time).drop("_last").withColumn("since", F.lit(None).cast("timestamp"))
+        # the carried rows take part so that runs continue; they were sent before
+        states = alert_states(fresh.unionByName(carry), max_gap_s)
+        sent = states.join(last, _KEYS, "left").where(on_time).select(*_columns(STATE_SCHEMA))
+        target = f"{path}/states/batch_id={batch_id}"
+        sent.write.mode("overwrite").parquet(target)
+        _carry_forward(carry, spark.read.schema(STATE_SCHEMA).parquet(target)).write.mode("overwrite").parquet(
+            f"{path}/carry/batch_id={batch_id}"
+        )
+
+    return series.writeStream.foreachBatch(step)
+
+
+def _columns(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
+def _carry_forward(carry: DataFrame, states: DataFrame) -> DataFrame:
+    """Last sample per instance, of this batch or, without one, of the past."""
+    holds = F.col("state").isin("pending", "firing")
+    latest = states.withColumn("holds", holds).withColumn("since", F.when(holds, F.col("active_since")))
+    rest = [c for c in _columns(CARRY_SCHEMA) if c not in _KEYS]
+    known = latest.select(*_columns(CARRY_SCHEMA)).unionByName(carry)
+    return known.groupBy(*_KEYS).agg(F.max_by(F.struct(*rest), "ts").alias("_last")).select(*_KEYS, "_last.*")
+
+
+def read_states(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATE_SCHEMA + ", batch_id BIGINT").parquet(f"{path}/states").drop("batch_id")
+
+
+def metrics(spark: SparkSession, layout: Layout, every: str = "300 seconds",
+            clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)) -> DataStreamWriter:
+    """Refresh the metric table at a fixed pace, apart from whoever reads it.
+    A refresh that fails is recorded and the job goes on."""
+
+    def refresh(_batch: DataFrame, _batch_id: int) -> None:
+        refresh_metrics(spark, layout, clock())
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return ticks.writeStream.foreachBatch(refresh).trigger(processingTime=every)

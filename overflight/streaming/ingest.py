@@ -1,0 +1,78 @@
+"""Raw files and bronze rows as streams; late data reloads whole days."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+from overflight.config import Config
+from overflight.plans.pipeline import Layout, mart_layers, stage_layer
+from overflight.schemas import BRONZE_SCHEMA
+from overflight.sources.bronze import load_days, to_bronze
+from overflight.sources.raw import stream_raw
+
+
+def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
+    """Process what has arrived and stop."""
+    query: StreamingQuery = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def unique_snapshots(bronze: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Drop repeats of a (region, snapshot) that arrive within ``delay``."""
+    return bronze.withWatermark("snapshot_time", delay).dropDuplicatesWithinWatermark(["region", "snapshot_time"])
+
+
+def ingest(spark: SparkSession, root: str, *, pattern: str = "*.json", wholetext: bool = True, delay: str = "1 day") -> DataFrame:
+    """New raw files as a stream of bronze rows, each snapshot once."""
+    return unique_snapshots(to_bronze(stream_raw(spark, root, pattern=pattern, wholetext=wholetext)), delay)
+
+
+def stream_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """New files of a bronze table as a stream."""
+    return spark.readStream.schema(BRONZE_SCHEMA).parquet(path)
+
+
+def _folder_days(batch: DataFrame) -> list[str]:
+    """The raw day folders a micro-batch touches, a few per batch."""
+    return [row.dt for row in batch.select("dt").distinct().collect()]
+
+
+def close_days(
+    spark: SparkSession, root: str, bronze_path: str, checkpoint: str, *, pattern: str = "*.json", packed: bool = False,
+    before: date | None = None, after_load: Callable[[Sequence[date]], None] | None = None,
+) -> None:
+    """Load every day that new or late files belong to, as a whole.
+
+    The stream only says which days changed; these are read again in full and
+    replaced, so a replayed batch, a repeated or a late file never counts
+    twice. Days from ``before`` on are still open and left for a later run,
+    which finds them through its own new files or a plain ``load_days``.
+    """
+
+    def reload(batch: DataFrame, _batch_id: int) -> None:
+        days = _folder_days(batch)
+        if before is not None:
+            days = [d for d in days if d < before.strftime("%Y%m%d")]
+        if days:
+            load_days(spark, root, bronze_path, days, pattern=pattern, packed=packed)
+            if after_load is not None:
+                after_load([date(int(d[:4]), int(d[4:6]), int(d[6:])) for d in days])
+
+    arrivals = stream_raw(spark, root, pattern=pattern, wholetext=not packed)
+    run_available(arrivals.select("dt").writeStream.foreachBatch(reload), checkpoint)
+
+
+def apply_late(
+    spark: SparkSession, root: str, layout: Layout, checkpoint: str, cfg: Config = Config(), *, pattern: str = "*.json",
+    packed: bool = False, before: date | None = None,
+) -> None:
+    """``close_days`` plus staging and marts of exactly the reloaded days."""
+
+    def rebuild(days: Sequence[date]) -> None:
+        mart_layers(spark, layout, cfg, stage_layer(spark, layout, cfg, days), days)
+
+    close_days(spark, root, layout.bronze, checkpoint, pattern=pattern, packed=packed, before=before, after_load=rebuild)

@@ -1,0 +1,57 @@
+"""Every registered query against its SQL on the same tables."""
+
+import glob
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    con.execute("SET threads TO 4")
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.splitext(os.path.basename(path))[0]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def canonical(df: pd.DataFrame) -> list[tuple]:
+    df = df[sorted(df.columns)]
+
+    def plain(value):
+        if value is None or value is pd.NaT or (isinstance(value, float) and pd.isna(value)):
+            return None
+        if isinstance(value, pd.Timestamp):
+            return value.to_pydatetime().isoformat()
+        if hasattr(value, "isoformat"):
+            return value.isoformat()[:10] + ("T00:00:00" if len(value.isoformat()) == 10 else value.isoformat()[10:])
+        return value.item() if hasattr(value, "item") else value
+
+    rows = [tuple(plain(v) for v in row) for row in df.itertuples(index=False, name=None)]
+    return sorted(rows, key=lambda row: tuple((v is None, str(v)) for v in row))
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_sql(spark, duck, name):
+    got = entry.queries()[name](spark, SF_DIR)
+    expected = duck.execute(entry.oracle_sql()[name]).df()
+    assert sorted(got.columns) == sorted(expected.columns)
+    rows, wanted = canonical(got.toPandas()), canonical(expected)
+    assert len(rows) == len(wanted)
+    assert rows == wanted
+    assert rows or name in EMPTY_ALLOWED
+
+
+EMPTY_ALLOWED: set[str] = set()

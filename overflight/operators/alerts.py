@@ -12,7 +12,7 @@ from overflight.functions.text import clip_text
 from overflight.functions.timeparts import humanize_duration, instant
 from overflight.operators.metrics import COVERAGE, FRESHNESS, QUERY_SUCCESS, SNAPSHOTS
 from overflight.sources.reference import literal_table
-from overflight.operators.ordered import with_previous, with_running_max
+from overflight.operators.ordered import with_previous, with_runs
 
 
 @dataclass(frozen=True)
@@ -89,17 +89,10 @@ def alert_states(samples: DataFrame, max_gap_s: int | None = None) -> DataFrame:
     The condition has to hold at every sample for ``hold_s`` seconds before the
     alert fires; a false sample resets, and so does a gap above ``max_gap_s``.
     ``active_since`` is the start of the current or last run of true samples.
-    A sample may name in a column ``since`` when its run started, if the
-    earlier samples are not at hand.
+    A sample may bring its ``active_since`` in a column ``since``, if the
+    samples before it are not at hand.
     """
-    start = F.coalesce("since", "ts") if "since" in samples.columns else F.col("ts")
-    keys = ["alert", "instance"]
-    known = with_previous(samples, keys, "ts", {"holds": "was_held", "ts": "prev_ts"})
-    rises = F.col("holds") & ~F.coalesce(F.col("was_held"), F.lit(False))
-    if max_gap_s is not None:
-        rises = rises | (F.col("holds") & (_seconds("prev_ts", "ts") > max_gap_s))
-    runs = with_running_max(known, keys, "ts", F.when(rises, start), "active_since")
-    return _states(runs)
+    return _states(with_runs(samples, ["alert", "instance"], "ts", "holds", max_gap_s))
 
 
 def _seconds(start: str, end: str) -> Column:
@@ -162,7 +155,7 @@ def throttle_notifications(
     def look(at: str) -> Column:
         late = F.unix_seconds(at) - first
         steps = F.greatest(F.ceil(late / interval_s), F.lit(0))
-        return F.timestamp_seconds(first + steps * interval_s)
+        return F.when(F.col(at).isNotNull(), F.timestamp_seconds(first + steps * interval_s))
 
     seen = grouped.withColumn("on_look", look("start")).withColumn("off_look", look("stop"))
     seen = seen.where(F.col("off_look").isNull() | (F.col("off_look") > F.col("on_look")))

@@ -8,6 +8,7 @@ pieces contribute, which is one summary row per piece.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -18,11 +19,12 @@ def _chunked(df: DataFrame, ts: str, seconds: int) -> DataFrame:
     return df.withColumn("_chunk", F.floor(F.unix_micros(ts) / (seconds * 1_000_000)).cast("bigint"))
 
 
-def _same_piece(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    match = left["_chunk"] == right["_chunk"]
-    for key in keys:
-        match = match & left[key].eqNullSafe(right[key])
-    return match
+def _join_pieces(inside: DataFrame, pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the carried columns of ``pieces`` to the rows of each piece."""
+    names = [*keys, "_chunk"]
+    renamed = pieces.withColumnsRenamed({name: f"_of_{name}" for name in names})
+    match = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in names])
+    return inside.join(renamed, match, "left")
 
 
 def with_previous(
@@ -39,22 +41,52 @@ def with_previous(
     inside = chunked.withColumn("_prev", F.lag(carried).over(piece))
     tails = chunked.groupBy(*keys, "_chunk").agg(F.max_by(carried, ts).alias("_tail"))
     tails = tails.withColumn("_before", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_chunk"))).drop("_tail")
-    joined = inside.join(tails, _same_piece(inside, tails, keys), "left")
     prev = F.coalesce(F.col("_prev"), F.col("_before"))
-    return joined.select(*[inside[c] for c in df.columns], *[prev[c].alias(name) for c, name in columns.items()])
+    return _join_pieces(inside, tails, keys).select(*df.columns, *[prev[c].alias(name) for c, name in columns.items()])
 
 
-def with_running_max(
-    df: DataFrame, keys: Sequence[str], ts: str, value: Column, name: str, seconds: int = CHUNK_SECONDS
+def with_runs(
+    df: DataFrame, keys: Sequence[str], ts: str, holds: str, max_gap_s: int | None = None, seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
-    """Add the largest ``value`` of the row and all earlier rows of its key."""
-    chunked = _chunked(df, ts, seconds).withColumn("_value", value)
-    piece = Window.partitionBy(*keys, "_chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    inside = chunked.withColumn("_here", F.max("_value").over(piece))
-    tops = chunked.groupBy(*keys, "_chunk").agg(F.max("_value").alias("_top"))
-    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    tops = tops.withColumn("_before", F.max("_top").over(earlier)).drop("_top")
-    joined = inside.join(tops, _same_piece(inside, tops, keys), "left")
-    return joined.select(
-        *[inside[c] for c in df.columns], F.greatest(F.col("_here"), F.col("_before")).alias(name)
+    """Add ``was_held`` and ``prev_ts`` of the previous sample and
+    ``active_since``, the start of the current or last run of ``holds``.
+
+    A run starts where ``holds`` turns true or, after a gap above
+    ``max_gap_s``, is true again. Inside a piece the starts are known except
+    for the first sample's, which the piece before decides. A column ``since``,
+    if there is one, gives the start for samples whose past is not at hand.
+    """
+
+    def start(prev: Column, here: Column) -> Column:
+        new = ~F.coalesce(prev["holds"], F.lit(False))
+        if max_gap_s is not None:
+            new = new | F.coalesce(F.timestamp_diff("SECOND", prev["ts"], here["ts"]) > max_gap_s, F.lit(False))
+        return F.coalesce(here["since"], F.when(here["holds"] & new, here["ts"]))
+
+    since = F.col("since") if "since" in df.columns else F.lit(None).cast("timestamp")
+    here = F.struct(F.col(holds).alias("holds"), F.col(ts).alias("ts"), since.alias("since"))
+    piece = Window.partitionBy(*keys, "_chunk").orderBy(ts)
+    inside = (
+        _chunked(df, ts, seconds)
+        .withColumn("_here", here)
+        .withColumn("_prev", F.lag("_here").over(piece))
+        .withColumn("_start", F.when(F.col("_prev").isNotNull(), start(F.col("_prev"), F.col("_here"))))
+        .withColumn("_upto", F.max("_start").over(piece.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    pieces = inside.groupBy(*keys, "_chunk").agg(
+        F.min_by("_here", ts).alias("_first"), F.max_by("_here", ts).alias("_last"), F.max("_start").alias("_top")
+    )
+    order = Window.partitionBy(*keys).orderBy("_chunk")
+    pieces = pieces.withColumn("_before", F.lag("_last").over(order)).withColumn(
+        "_entry", start(F.col("_before"), F.col("_first"))
+    )
+    pieces = pieces.withColumn(
+        "_past", F.max(F.greatest("_top", "_entry")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    ).select(*keys, "_chunk", "_before", F.greatest("_past", "_entry").alias("_carry"))
+    prev = F.coalesce(F.col("_prev"), F.col("_before"))
+    return _join_pieces(inside, pieces, keys).select(
+        *df.columns,
+        prev["holds"].alias("was_held"),
+        prev["ts"].alias("prev_ts"),
+        F.greatest("_upto", "_carry").alias("active_since"),
     )

@@ -28,14 +28,12 @@ def exact_median(df: DataFrame, key: str, values: Sequence[str], accuracy: int =
     brackets = (
         long.groupBy(key, "metric")
         .agg(sketch.alias("_b"), F.count("*").alias("_n"))
-        .select(F.col(key).alias("_key"), "metric", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n")
+        .select(F.col(key).alias("_key"), F.col("metric").alias("_metric"), F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n")
     )
     brackets = checkpointed(brackets)
     if brackets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         brackets = F.broadcast(brackets)
-    bracketed = long.join(
-        brackets, (long["metric"] == brackets["metric"]) & long[key].eqNullSafe(brackets["_key"])
-    ).drop(brackets["metric"])
+    bracketed = long.join(brackets, (F.col("metric") == F.col("_metric")) & F.col(key).eqNullSafe(F.col("_key")))
     low = F.col("value") < F.col("_lo")
     counts = (
         bracketed.where(F.col("value") <= F.col("_hi"))
@@ -67,8 +65,9 @@ def source_profile(stg: DataFrame) -> DataFrame:
             F.max(F.when(F.col("metric") == "baro_altitude", F.col("median"))).alias("median_altitude"),
         )
     )
-    same = counts["position_source"].eqNullSafe(medians["position_source"])
-    return counts.join(medians, same, "left").drop(medians["position_source"])
+    medians = medians.withColumnRenamed("position_source", "_source")
+    same = F.col("position_source").eqNullSafe(F.col("_source"))
+    return counts.join(medians, same, "left").drop("_source")
 
 
 def source_first_seen(stg: DataFrame) -> DataFrame:

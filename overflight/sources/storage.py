@@ -62,9 +62,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Parquet with a given schema; an absent table reads as empty."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def layer_name(env: str, layer: str | None, default: str = "default") -> str:

@@ -18,7 +18,7 @@ STATE_SCHEMA = (
     "value DOUBLE, active_since TIMESTAMP, state STRING"
 )
 # What the next batch has to know of the past: the last sample of each alert
-# instance and the start of its current run.
+# instance and the start of its current or last run.
 CARRY_SCHEMA = (
     "alert STRING, instance STRING, ts TIMESTAMP, hold_s BIGINT, severity STRING, team STRING, summary STRING, "
     "value DOUBLE, holds BOOLEAN, since TIMESTAMP"
@@ -71,7 +71,7 @@ def _columns(schema: str) -> list[str]:
 def _carry_forward(carry: DataFrame, states: DataFrame) -> DataFrame:
     """Last sample per instance, of this batch or, without one, of the past."""
     holds = F.col("state").isin("pending", "firing")
-    latest = states.withColumn("holds", holds).withColumn("since", F.when(holds, F.col("active_since")))
+    latest = states.withColumn("holds", holds).withColumn("since", F.col("active_since"))
     rest = [c for c in _columns(CARRY_SCHEMA) if c not in _KEYS]
     known = latest.select(*_columns(CARRY_SCHEMA)).unionByName(carry)
     return known.groupBy(*_KEYS).agg(F.max_by(F.struct(*rest), "ts").alias("_last")).select(*_KEYS, "_last.*")

@@ -41,13 +41,12 @@ def read_raw(
     layout ``land_raw`` writes. No matching file gives an empty frame.
     """
     reader = (
-        spark.read.option("wholetext", wholetext)
-        .option("pathGlobFilter", pattern)
+        spark.read.option("pathGlobFilter", pattern)
         .option("basePath", root)
         .schema(RAW_SCHEMA)
     )
     try:
-        return reader.text(_folders(root, regions, dts))
+        return reader.text(_folders(root, regions, dts), wholetext=wholetext)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], RAW_SCHEMA)
@@ -97,14 +96,10 @@ def land_raw(df: DataFrame, root: str) -> None:
 def stream_raw(spark: SparkSession, root: str, *, pattern: str = "*.json", wholetext: bool = True,
                max_files: int | None = None) -> DataFrame:
     """Same rows as ``read_raw``, as new files arrive."""
-    reader = (
-        spark.readStream.option("wholetext", wholetext)
-        .option("pathGlobFilter", pattern)
-        .schema(RAW_SCHEMA)
-    )
+    reader = spark.readStream.option("pathGlobFilter", pattern).schema(RAW_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(root)
+    return reader.text(root, wholetext=wholetext)
 
 
 def ingest_status(

@@ -11,5 +11,6 @@ from overflight.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8)
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

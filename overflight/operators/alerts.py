@@ -12,7 +12,7 @@ from overflight.functions.text import clip_text
 from overflight.functions.timeparts import humanize_duration, instant
 from overflight.operators.metrics import COVERAGE, FRESHNESS, QUERY_SUCCESS, SNAPSHOTS
 from overflight.sources.reference import literal_table
-from overflight.operators.ordered import with_previous, with_runs
+from overflight.operators.ordered import with_runs
 
 
 @dataclass(frozen=True)
@@ -215,20 +215,24 @@ def heartbeat(
     series: DataFrame, keys: Sequence[str], ts: str = "ts", silent_s: int = HEARTBEAT_S, as_of: datetime | None = None
 ) -> DataFrame:
     """Silences longer than ``silent_s`` per source: last sign of life, when it
-    counts as down, and the next sign (NULL while it is still silent at ``as_of``)."""
-    gaps = with_previous(series.select(*keys, ts), keys, ts, {ts: "last_seen"})
-    found = gaps.where(_seconds("last_seen", ts) > silent_s).select(*keys, "last_seen", F.col(ts).alias("next_seen"))
-    if as_of is not None:
-        tails = series.groupBy(*keys).agg(F.max(ts).alias("last_seen"))
-        open_gaps = tails.where(F.timestamp_diff("SECOND", F.col("last_seen"), instant(as_of)) > silent_s)
-        found = found.unionByName(open_gaps.withColumn("next_seen", F.lit(None).cast("timestamp")))
+    counts as down, and the next sign (NULL while it is still silent at ``as_of``).
+
+    Inside a bucket of ``silent_s`` seconds no silence can be that long, so
+    first and last sign per bucket are enough. That aggregate combines on the
+    map side: a source that sends most of the rows is as small as any other.
+    """
+    bucket = F.floor(F.unix_micros(ts) / (silent_s * 1_000_000)).cast("bigint").alias("_bucket")
+    signs = series.groupBy(*keys, bucket).agg(F.min(ts).alias("_first"), F.max(ts).alias("last_seen"))
+    order = Window.partitionBy(*keys).orderBy("_bucket")
+    gaps = signs.withColumn("next_seen", F.lead("_first").over(order))
     end = F.col("next_seen") if as_of is None else F.coalesce(F.col("next_seen"), instant(as_of))
-    return found.select(
+    silence = F.timestamp_diff("MICROSECOND", F.col("last_seen"), end)
+    return gaps.where(silence > silent_s * 1_000_000).select(
         *keys,
         "last_seen",
         F.timestamp_seconds(F.unix_seconds("last_seen") + silent_s).alias("down_at"),
         "next_seen",
-        F.timestamp_diff("SECOND", F.col("last_seen"), end).alias("silent_seconds"),
+        F.floor(silence / 1_000_000).cast("bigint").alias("silent_seconds"),
     )
 
 

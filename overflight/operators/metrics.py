@@ -100,9 +100,9 @@ def metric_min(series: DataFrame) -> DataFrame:
 
 
 def last_not_null(series: DataFrame) -> DataFrame:
-    """Last known value of each (metric, label)."""
+    """Last known value of each (metric, label). A series has one value per tick."""
     known = series.where(F.col("value").isNotNull())
-    return known.groupBy("metric", "label").agg(F.max("ts").alias("ts"), F.max_by("value", F.struct("ts", "value")).alias("value"))
+    return known.groupBy("metric", "label").agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
 
 
 def recent_series(series: DataFrame, metric: str, as_of: datetime, width: timedelta = timedelta(hours=24)) -> DataFrame:

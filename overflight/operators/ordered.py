@@ -1,8 +1,8 @@
-"""Ordered computations on long series without one task per series.
+"""Runs of a condition in long series without one task per series.
 
-A plain window over a whole series puts a hot key into one task. These helpers
-run the window inside (key, time chunk) pieces and carry over what the earlier
-pieces contribute, which is one summary row per piece.
+A plain window over a whole series puts a hot key into one task. Here the
+window runs inside (key, time chunk) pieces, and what the earlier pieces
+contribute is carried over, one summary row per piece.
 """
 
 from __future__ import annotations
@@ -27,24 +27,6 @@ def _join_pieces(inside: DataFrame, pieces: DataFrame, keys: Sequence[str]) -> D
     return inside.join(renamed, match, "left")
 
 
-def with_previous(
-    df: DataFrame, keys: Sequence[str], ts: str, columns: dict[str, str], seconds: int = CHUNK_SECONDS
-) -> DataFrame:
-    """Add the previous row's values per key in ``ts`` order.
-
-    ``columns`` maps a column to the name of its previous value. (key, ts)
-    should be unique; equal timestamps come in any order.
-    """
-    chunked = _chunked(df, ts, seconds)
-    piece = Window.partitionBy(*keys, "_chunk").orderBy(ts)
-    carried = F.struct(F.lit(True).alias("_row"), *columns)
-    inside = chunked.withColumn("_prev", F.lag(carried).over(piece))
-    tails = chunked.groupBy(*keys, "_chunk").agg(F.max_by(carried, ts).alias("_tail"))
-    tails = tails.withColumn("_before", F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_chunk"))).drop("_tail")
-    prev = F.coalesce(F.col("_prev"), F.col("_before"))
-    return _join_pieces(inside, tails, keys).select(*df.columns, *[prev[c].alias(name) for c, name in columns.items()])
-
-
 def with_runs(
     df: DataFrame, keys: Sequence[str], ts: str, holds: str, max_gap_s: int | None = None, seconds: int = CHUNK_SECONDS
 ) -> DataFrame:

@@ -47,8 +47,11 @@ def decode_state_vector(exploded: DataFrame, strict: bool = True) -> DataFrame:
     value becomes NULL and ``cast_failures`` finds the row.
     """
     others = [c for c in exploded.columns if c != "vector"]
-    fields = [_field(i, dtype, strict).alias(name) for i, (name, dtype) in enumerate(STATE_FIELDS)]
-    return exploded.select(*others, *fields).withColumn("callsign", clean_text("callsign"))
+    fields = [
+        (clean_text(_field(i, dtype, strict)) if name == "callsign" else _field(i, dtype, strict)).alias(name)
+        for i, (name, dtype) in enumerate(STATE_FIELDS)
+    ]
+    return exploded.select(*others, *fields)
 
 
 def cast_failures(exploded: DataFrame) -> DataFrame:
@@ -77,5 +80,5 @@ def stage(bronze: DataFrame, cfg: Config = Config(), strict: bool = True) -> Dat
     """
     located = in_study_area(explode_states(bronze), cfg, strict)
     decoded = decode_state_vector(located, strict)
-    tagged = decoded.withColumn("region", tag_region("longitude", "latitude", cfg.regions, cfg.background))
-    return tagged.select(*STAGING_COLUMNS)
+    region = tag_region("longitude", "latitude", cfg.regions, cfg.background).alias("region")
+    return decoded.select(*[region if name == "region" else name for name in STAGING_COLUMNS])

@@ -390,10 +390,10 @@ ORACLES: dict[str, str] = {
     "heartbeat_gaps": """WITH seen AS (
           SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_seen FROM events),
         gaps AS (SELECT user_id, ts AS last_seen, next_seen,
-                        CAST(floor((epoch_us(coalesce(next_seen, TIMESTAMP '2024-01-31 12:00:00')) - epoch_us(ts)) / 1000000)
-                             AS BIGINT) AS silent_seconds FROM seen)
-        SELECT user_id, last_seen, date_trunc('second', last_seen) + INTERVAL '6 hours' AS down_at, next_seen, silent_seconds
-        FROM gaps WHERE silent_seconds > 21600""",
+                        epoch_us(coalesce(next_seen, TIMESTAMP '2024-01-31 12:00:00')) - epoch_us(ts) AS silence FROM seen)
+        SELECT user_id, last_seen, date_trunc('second', last_seen) + INTERVAL '6 hours' AS down_at, next_seen,
+               CAST(silence // 1000000 AS BIGINT) AS silent_seconds
+        FROM gaps WHERE silence > 21600000000""",
     "classify_failures": """WITH f AS (
           SELECT event_id, CASE event_type WHEN 'error' THEN 'bronze_snapshots.source' WHEN 'click' THEN 'bronze_snapshots.test'
                  WHEN 'signup' THEN 'marts.region_density.source' ELSE 'load_days' END AS task_id,

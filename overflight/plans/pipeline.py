@@ -70,12 +70,12 @@ def gate_results(spark: SparkSession, layout: Layout, cfg: Config, as_of: dateti
 def stage_layer(spark: SparkSession, layout: Layout, cfg: Config, days: Sequence[date] | None) -> DataFrame:
     """Parse bronze once and store it by day; every later step reads columns."""
     staged = staging.stage(read_bronze(spark, layout.bronze, days), cfg).withColumn("dt", F.to_date("snapshot_time"))
-    return _store(staged, layout.staging, days)
+    return _store(staged, layout.staging, days, clustered=True)
 
 
-def _store(df: DataFrame, path: str, days: Sequence[date] | None) -> DataFrame:
+def _store(df: DataFrame, path: str, days: Sequence[date] | None, clustered: bool = False) -> DataFrame:
     mode = "table" if days is None else "days"
-    stored = materialize(df, path, mode, path=path, days=days)
+    stored = materialize(df, path, mode, path=path, days=days, clustered=clustered)
     return stored if days is None else stored.where(F.col("dt").isin(list(days)))
 
 
@@ -91,7 +91,7 @@ def mart_layers(spark: SparkSession, layout: Layout, cfg: Config, stg: DataFrame
         "region_density": _store(region, layout.mart("region_density"), days),
         "grid_density": _store(grid, layout.mart("grid_density"), days),
         "aircraft_points": _store(
-            frames.withColumn("dt", F.to_date("snapshot_time")), layout.mart("aircraft_points"), days
+            frames.withColumn("dt", F.to_date("snapshot_time")), layout.mart("aircraft_points"), days, clustered=True
         ),
     }
 

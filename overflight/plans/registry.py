@@ -377,7 +377,8 @@ def dq_singular(spark, sf_dir):
 
 
 def _states(spark, sf_dir):
-    return alerts.evaluate_alerts(_series(spark, sf_dir), alerts.rule_table(spark, RULES))
+    """The rules look at the stored series, as they would at the metric table."""
+    return alerts.evaluate_alerts(_stored(_series(spark, sf_dir), "series"), alerts.rule_table(spark, RULES))
 
 
 def _timeline(states):
@@ -553,7 +554,7 @@ def stream_alerts(spark, sf_dir):
     """The alert timeline out of two micro-batches, the second continuing
     where the first left off."""
     path, source = scratch_path(spark, "alerts"), scratch_path(spark, "series")
-    series = _stored(_series(spark, sf_dir).withColumn("dt", F.to_date("ts")), "series").drop("dt")
+    series = _stored(_series(spark, sf_dir), "series")
     rules = alerts.rule_table(spark, RULES)
     checkpoint = scratch_path(spark, "checkpoint")
     cut = timeparts.instant(datetime(2024, 1, 16, 5))

@@ -19,14 +19,21 @@ def guard_day(df: DataFrame, expected: date | Column, day: str = "dt") -> DataFr
     return df.withColumn(day, F.when(F.col(day) == expected, F.col(day)).otherwise(stray))
 
 
-def write_days(df: DataFrame, path: str, day: str = "dt") -> None:
-    """Replace the days present in ``df``; an empty frame changes nothing.
+def _packed(df: DataFrame, day: str, clustered: bool) -> DataFrame:
+    """Rows arranged for a write by day.
 
     The rebalance hint packs a day into files of the advisory size and lets
     AQE split a day that is far larger than the others over several tasks.
+    ``clustered`` rows, a narrow transformation of a table stored by day, lie
+    together already and are written as they come, without a shuffle.
     """
+    return df if clustered else df.hint("rebalance", day)
+
+
+def write_days(df: DataFrame, path: str, day: str = "dt", clustered: bool = False) -> None:
+    """Replace the days present in ``df``; an empty frame changes nothing."""
     (
-        df.hint("rebalance", day)
+        _packed(df, day, clustered)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -34,19 +41,18 @@ def write_days(df: DataFrame, path: str, day: str = "dt") -> None:
     )
 
 
-def replace_days(df: DataFrame, path: str, days: Iterable[date], day: str = "dt") -> None:
+def replace_days(df: DataFrame, path: str, days: Iterable[date], day: str = "dt", clustered: bool = False) -> None:
     """Make ``path`` hold exactly the rows of ``df`` for ``days``.
 
     Unlike ``write_days``, a listed day without rows ends up empty, so a
     derived table rebuilt by day equals one rebuilt in full.
     """
-    written = Observation()
-    write_days(df.where(F.col(day).isin(list(days))).observe(written, F.collect_set(day).alias("days")), path, day)
-    present = set(written.get["days"])
-    spark = df.sparkSession
-    for empty in sorted(set(days) - present):
+    days, written = set(days), Observation()
+    observed = df.where(F.col(day).isin(list(days))).observe(written, F.collect_set(day).alias("days"))
+    write_days(observed, path, day, clustered)
+    for empty in sorted(days - set(written.get["days"])):
         target = f"{path.rstrip('/')}/{day}={empty.isoformat()}"
-        if exists(spark, target):
+        if exists(df.sparkSession, target):
             df.drop(day).limit(0).write.mode("overwrite").parquet(target)
 
 
@@ -80,7 +86,13 @@ def layer_name(env: str, layer: str | None, default: str = "default") -> str:
 
 
 def materialize(
-    df: DataFrame, name: str, mode: str = "view", *, path: str | None = None, days: Iterable[date] | None = None
+    df: DataFrame,
+    name: str,
+    mode: str = "view",
+    *,
+    path: str | None = None,
+    days: Iterable[date] | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """Publish a layer as a ``view``, a fully refreshed ``table``, or replaced ``days``.
 
@@ -91,9 +103,10 @@ def materialize(
         df.createOrReplaceTempView(name)
         return spark.table(name)
     if mode == "table":
-        packed = df.hint("rebalance", "dt") if "dt" in df.columns else df.hint("rebalance")
+        by_day = "dt" in df.columns
+        packed = _packed(df, "dt", clustered) if by_day else df.hint("rebalance")
         writer = packed.write.mode("overwrite").format("parquet")
-        if "dt" in df.columns:
+        if by_day:
             writer = writer.partitionBy("dt")
         if path is None:
             writer.saveAsTable(name)
@@ -103,6 +116,6 @@ def materialize(
     if mode == "days":
         if path is None or days is None:
             raise ValueError("mode 'days' needs a path and the days to replace")
-        replace_days(df, path, list(days))
+        replace_days(df, path, days, clustered=clustered)
         return spark.read.schema(df.schema).parquet(path)
     raise ValueError(f"unknown mode {mode!r}")

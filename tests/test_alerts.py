@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from overflight.operators import alerts
-from overflight.operators.ordered import with_previous, with_runs
+from overflight.operators.ordered import with_runs
 from tests.helpers import rows
 
 T = datetime(2026, 7, 10)
@@ -96,14 +96,6 @@ def test_runs_equal_plain_windows_across_chunks(spark):
             assert got == expected
 
 
-def test_previous_across_chunks(spark):
-    data = [("a", minutes(m), m) for m in (0, 3, 2000, 2001, 9000)] + [("b", minutes(5), 5)]
-    frame = spark.createDataFrame(data, "k STRING, ts TIMESTAMP, n INT")
-    got = with_previous(frame, ["k"], "ts", {"n": "before"}, seconds=3600)
-    assert sorted((r.k, r.n, r.before) for r in got.collect() if r.before is not None) == [
-        ("a", 3, 0), ("a", 2000, 3), ("a", 2001, 2000), ("a", 9000, 2001)]
-
-
 def sent(df):
     return [(r.notified_at, r.kind) for r in df.orderBy("notified_at").collect()]
 
@@ -163,6 +155,21 @@ def test_heartbeat(spark):
     assert alerts.heartbeat(beats, ["src"]).count() == 1
 
 
+def test_heartbeat_equals_brute_force_with_a_hot_source(spark):
+    import random
+
+    random.seed(5)
+    data = [("hot", datetime.fromtimestamp(1_780_000_000 + random.random() * 40_000)) for _ in range(3000)]
+    data += [(f"s{n % 5}", datetime.fromtimestamp(1_780_000_000 + random.random() * 40_000)) for n in range(400)]
+    beats = spark.createDataFrame(data, "src STRING, ts TIMESTAMP").repartition(6)
+    expected = []
+    for src in {s for s, _ in data}:
+        seen = sorted(t for s, t in data if s == src)
+        expected += [(src, a, b) for a, b in zip(seen, seen[1:]) if b - a > timedelta(seconds=60)]
+    got = rows(alerts.heartbeat(beats, ["src"], silent_s=60), "src", "last_seen", "next_seen")
+    assert got == sorted(expected) and len(got) > 300
+
+
 def test_classify_failures(spark):
     data = [("bronze_x.source", "e" * 900), ("bronze_x.test", None), ("stg.test", "short"), ("load", "x" * 800)]
     frame = spark.createDataFrame(data, "task_id STRING, error STRING")

@@ -19,9 +19,7 @@ def in_box(lon: Column | str, lat: Column | str, box: Box) -> Column:
     """Inclusive test; NULL coordinates give NULL and so drop out of a filter."""
     lon = F.col(lon) if isinstance(lon, str) else lon
     lat = F.col(lat) if isinstance(lat, str) else lat
-    return lon.between(F.lit(float(box.lomin)), F.lit(float(box.lomax))) & lat.between(
-        F.lit(float(box.lamin)), F.lit(float(box.lamax))
-    )
+    return lon.between(float(box.lomin), float(box.lomax)) & lat.between(float(box.lamin), float(box.lamax))
 
 
 def tag_region(

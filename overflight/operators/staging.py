@@ -32,12 +32,14 @@ def state_count(raw: Column | str) -> Column:
     return F.coalesce(F.size(F.from_json(raw, "states ARRAY<STRING>")["states"]), F.lit(0))
 
 
-def _field(index: int, dtype: str, strict: bool) -> Column:
+def _field(index: int, strict: bool = True) -> Column:
     # get() gives NULL past the end of a short vector, as a missing path does
-    text = F.get("vector", F.lit(index))
+    name, dtype = STATE_FIELDS[index]
+    if dtype == "string":
+        return F.expr(f"get(vector, {index})").alias(name)
     if dtype.startswith("array"):
-        return F.from_json(text, dtype)
-    return text.cast(dtype) if strict else text.try_cast(dtype)
+        return F.expr(f"from_json(get(vector, {index}), '{dtype}')").alias(name)
+    return F.expr(f"{'cast' if strict else 'try_cast'}(get(vector, {index}) AS {dtype})").alias(name)
 
 
 def decode_state_vector(exploded: DataFrame, strict: bool = True) -> DataFrame:
@@ -48,8 +50,8 @@ def decode_state_vector(exploded: DataFrame, strict: bool = True) -> DataFrame:
     """
     others = [c for c in exploded.columns if c != "vector"]
     fields = [
-        (clean_text(_field(i, dtype, strict)) if name == "callsign" else _field(i, dtype, strict)).alias(name)
-        for i, (name, dtype) in enumerate(STATE_FIELDS)
+        clean_text(_field(i, strict)).alias(name) if name == "callsign" else _field(i, strict)
+        for i, (name, _) in enumerate(STATE_FIELDS)
     ]
     return exploded.select(*others, *fields)
 
@@ -57,7 +59,7 @@ def decode_state_vector(exploded: DataFrame, strict: bool = True) -> DataFrame:
 def cast_failures(exploded: DataFrame) -> DataFrame:
     """Vectors with at least one value that does not fit its type, and which."""
     bad = [
-        F.when(F.get("vector", F.lit(i)).isNotNull() & _field(i, dtype, False).isNull(), F.lit(name))
+        F.when(F.get("vector", F.lit(i)).isNotNull() & _field(i, strict=False).isNull(), F.lit(name))
         for i, (name, dtype) in enumerate(STATE_FIELDS)
         if dtype != "string"
     ]
@@ -67,8 +69,7 @@ def cast_failures(exploded: DataFrame) -> DataFrame:
 
 def in_study_area(exploded: DataFrame, cfg: Config, strict: bool = True) -> DataFrame:
     """Vectors positioned inside the study area, edges included."""
-    lon, lat = _field(LON, "double", strict), _field(LAT, "double", strict)
-    return exploded.where(in_box(lon, lat, cfg.study_area))
+    return exploded.where(in_box(_field(LON, strict), _field(LAT, strict), cfg.study_area))
 
 
 def stage(bronze: DataFrame, cfg: Config = Config(), strict: bool = True) -> DataFrame:

@@ -16,49 +16,52 @@ from overflight.sources.bronze import to_bronze
 DOCUMENT_IDS = 65_536
 
 
+# Schemas of the input tables; with them no file is opened to plan a query.
+SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+}
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events with ``ts`` as an instant."""
     return read_table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _text(value: Column) -> Column:
-    return F.coalesce(F.concat(F.lit('"'), value, F.lit('"')), F.lit("null"))
-
-
-def _bare(value: Column) -> Column:
-    return F.coalesce(value.cast("string"), F.lit("null"))
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+# The 17 elements of an event's state vector as JSON text; NULL becomes null.
+_ELEMENTS = (
+    "concat('\"', lower(hex(user_id)), '\"')",
+    "concat('\"', if(event_id % 17 = 0, space(8), rpad(event_type, 8, ' ')), '\"')",
+    "concat('\"Country ', user_id % 7, '\"')",
+    "unix_seconds(ts)",
+    "unix_seconds(ts) + 1",
+    "-20D + (user_id * 7919 + event_id * 31) % 10000 / 100D",
+    "10D + (user_id * 104729 + event_id * 17) % 5500 / 100D",
+    "if(event_id % 13 = 0, NULL, value * 10D)",
+    "event_type = 'error'",
+    "value",
+    "if(event_id % 20 = 0, 505.5D, event_id % 361)",
+    "event_id % 41 - 20",
+    "if(event_id % 11 = 0, format_string('[%d,7]', user_id), NULL)",
+    "value * 10D + 5.5D",
+    "if(event_id % 7 = 0, NULL, concat('\"', lpad(event_id % 7777, 4, '0'), '\"'))",
+    "event_id % 50 = 0",
+    "if(event_id % 20 = 0, 3, 0)",
+)
 
 
 def state_vector() -> Column:
     """JSON text of one event's 17-element state vector."""
-    event, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    flarm = event % 20 == 0
-    lon = F.lit(-20.0) + (user * 7919 + event * 31) % 10000 / F.lit(100.0)
-    lat = F.lit(10.0) + (user * 104729 + event * 17) % 5500 / F.lit(100.0)
-    fields = (
-        _text(F.lower(F.hex("user_id"))),
-        _text(F.when(event % 17 == 0, F.lit(" " * 8)).otherwise(F.rpad("event_type", 8, " "))),
-        _text(F.concat(F.lit("Country "), (user % 7).cast("string"))),
-        _bare(F.unix_seconds("ts")),
-        _bare(F.unix_seconds("ts") + 1),
-        _bare(lon),
-        _bare(lat),
-        _bare(F.when(event % 13 != 0, value * F.lit(10.0))),
-        _bare(F.col("event_type") == "error"),
-        _bare(value),
-        _bare(F.when(flarm, F.lit("505.5")).otherwise((event % 361).cast("string"))),
-        _bare(event % 41 - 20),
-        F.when(event % 11 == 0, F.format_string("[%d,7]", user)).otherwise(F.lit("null")),
-        _bare(value * F.lit(10.0) + F.lit(5.5)),
-        _text(F.when(event % 7 != 0, F.lpad((event % 7777).cast("string"), 4, "0"))),
-        _bare(event % 50 == 0),
-        _bare(F.when(flarm, F.lit(3)).otherwise(F.lit(0))),
-    )
-    return F.concat(F.lit("["), F.concat_ws(",", *fields), F.lit("]"))
+    elements = ", ".join(f"coalesce(cast({element} AS STRING), 'null')" for element in _ELEMENTS)
+    return F.expr(f"concat('[', concat_ws(',', {elements}), ']')")
 
 
 def raw_documents(events: DataFrame) -> DataFrame:

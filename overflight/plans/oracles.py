@@ -428,3 +428,25 @@ ORACLES: dict[str, str] = {
     "stream_late_reload": REGION_DENSITY,
     "stream_alerts": TIMELINE,
 }
+
+# Days are compared as ISO text.
+_DAYS = {
+    "daily_coverage": ("dt",),
+    "grid_density": ("dt",),
+    "grid_density_quarter": ("dt",),
+    "grid_mart": ("dt",),
+    "grid_latest": ("dt",),
+    "grid_trend": ("dt",),
+    "source_first_seen": ("first_day", "last_day"),
+    "incomplete_days": ("dt",),
+    "missing_days": ("dt",),
+    "daily_health": ("dt",),
+    "mart_freshness": ("newest_day",),
+    "partition_replace": ("dt",),
+    "backfill": ("dt",),
+    "stream_coverage": ("dt",),
+    "stream_ingest": ("dt",),
+}
+for _name, _columns in _DAYS.items():
+    _text = ", ".join(f"CAST({column} AS VARCHAR) AS {column}" for column in _columns)
+    ORACLES[_name] = f"SELECT * REPLACE ({_text}) FROM ({ORACLES[_name]}) AS result"

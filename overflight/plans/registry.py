@@ -18,7 +18,7 @@ from overflight.session import configure, scratch_path
 from overflight.sources import bronze as bronze_source, raw as raw_source
 from overflight.sources.reference import box_table, literal_table, region_area
 from overflight.sources.storage import materialize, write_days
-from overflight.streaming import aggregates, alerts as stream_alert_jobs, ingest
+from overflight.streaming import aggregates, alert_jobs, arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,9 +46,11 @@ def query(fn: Query) -> Query:
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
-    """Instants leave as wall-clock UTC, the form the input tables have."""
+    """Instants leave as wall-clock UTC, the form the input tables have, and
+    days as ISO text."""
+    plain = {T.TimestampType: "timestamp_ntz", T.DateType: "string"}
     return df.select(*[
-        F.col(f.name).cast("timestamp_ntz").alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+        F.col(f.name).cast(plain[type(f.dataType)]).alias(f.name) if type(f.dataType) in plain else F.col(f.name)
         for f in df.schema.fields
     ])
 
@@ -488,7 +490,7 @@ def daily_build(spark, sf_dir):
 def _stream_staged(spark, sf_dir):
     table = scratch_path(spark, "bronze")
     write_days(bronze_from_events(spark, sf_dir), table)
-    return staging.stage(ingest.stream_bronze(spark, table), CFG)
+    return staging.stage(arrivals.stream_bronze(spark, table), CFG)
 
 
 @query
@@ -496,7 +498,7 @@ def stream_region_density(spark, sf_dir):
     counted = aggregates.region_density(_stream_staged(spark, sf_dir), region_area(spark))
     out = scratch_path(spark, "updates")
     writer = counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out))
-    ingest.run_available(writer, scratch_path(spark, "checkpoint"))
+    arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
     schema = "window_start TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg BIGINT, density DOUBLE"
     return aggregates.read_latest(spark, out, ["window_start", "region"], schema)
 
@@ -506,7 +508,7 @@ def stream_frames(spark, sf_dir):
     counted = aggregates.frames(_stream_staged(spark, sf_dir))
     out = scratch_path(spark, "updates")
     writer = counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out))
-    ingest.run_available(writer, scratch_path(spark, "checkpoint"))
+    arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
     return aggregates.read_latest(spark, out, ["frame", "region"], "frame TIMESTAMP, region STRING, aircraft_count BIGINT")
 
 
@@ -516,7 +518,7 @@ def stream_coverage(spark, sf_dir):
     closed = aggregates.coverage(_stream_staged(spark, sf_dir), expected=CFG.expected_snapshots)
     out = scratch_path(spark, "coverage")
     writer = closed.writeStream.outputMode("append").format("parquet").option("path", out)
-    ingest.run_available(writer, scratch_path(spark, "checkpoint"))
+    arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
     return spark.read.schema(closed.schema).parquet(out)
 
 
@@ -527,9 +529,9 @@ def stream_ingest(spark, sf_dir):
     documents = raw_documents(read_events(spark, sf_dir))
     raw_source.land_raw(documents, root)
     raw_source.land_raw(documents, root)
-    arriving = ingest.ingest(spark, root, pattern="*.txt", wholetext=False, delay="40 days")
+    arriving = arrivals.ingest(spark, root, pattern="*.txt", wholetext=False, delay="40 days")
     writer = arriving.writeStream.outputMode("append").format("parquet").partitionBy("dt").option("path", out)
-    ingest.run_available(writer, scratch_path(spark, "checkpoint"))
+    arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
     bronze = bronze_source.read_bronze(spark, out)
     return bronze.groupBy("dt").agg(F.count("*").alias("documents"), F.countDistinct("snapshot_time").alias("snapshots"))
 
@@ -544,7 +546,7 @@ def stream_late_reload(spark, sf_dir):
     late = F.xxhash64("value") % 3 == 0
     for part in (documents.where(~late), documents.where(late)):
         raw_source.land_raw(part, root)
-        ingest.apply_late(spark, root, layout, checkpoint, CFG, pattern="*.txt", packed=True)
+        arrivals.apply_late(spark, root, layout, checkpoint, CFG, pattern="*.txt", packed=True)
     mart = spark.read.parquet(layout.mart("region_density"))
     return mart.select("snapshot_time", "region", "aircraft_count", "area_sqdeg", "density", "coverage_pct")
 
@@ -560,6 +562,6 @@ def stream_alerts(spark, sf_dir):
     cut = timeparts.instant(datetime(2024, 1, 16, 5))
     for part in (series.where(F.col("ts") < cut), series.where(F.col("ts") >= cut)):
         part.write.mode("append").parquet(source)
-        job = stream_alert_jobs.alerts(stream_alert_jobs.stream_series(spark, source), rules, path)
-        ingest.run_available(job, checkpoint)
-    return _timeline(stream_alert_jobs.read_states(spark, path))
+        job = alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path)
+        arrivals.run_available(job, checkpoint)
+    return _timeline(alert_jobs.read_states(spark, path))

@@ -16,8 +16,19 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     """A table written out in the plan. Unlike one made from a Python list,
     the optimizer knows how small it is and broadcasts it by itself."""
     fields = [field.split() for field in schema.split(", ")]
-    structs = [F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, fields)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    values = ", ".join(
+        "(" + ", ".join(f"CAST({_sql(v)} AS {dtype})" for v, (_, dtype) in zip(row, fields, strict=True)) + ")"
+        for row in rows
+    )
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(name for name, _ in fields)})")
+
+
+def _sql(value: str | float | bool | None) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
 
 
 def box_table(spark: SparkSession, boxes: Sequence[Box] = REGIONS) -> DataFrame:

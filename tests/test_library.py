@@ -6,7 +6,7 @@ import pathlib
 LIBRARY = pathlib.Path(__file__).parent.parent / "overflight"
 # Rows brought to the driver, each bounded by design: one row per declared
 # check, one per day folder of a micro-batch.
-COLLECTS = {("operators/quality.py", "run_gates"), ("streaming/ingest.py", "_folder_days")}
+COLLECTS = {("operators/quality.py", "run_gates"), ("streaming/arrivals.py", "_folder_days")}
 
 
 def calls():

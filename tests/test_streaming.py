@@ -7,7 +7,7 @@ from overflight.plans import pipeline
 from overflight.sources import raw
 from overflight.sources.bronze import load_days, read_bronze
 from overflight.sources.reference import region_area
-from overflight.streaming import aggregates, alerts as alert_jobs, ingest
+from overflight.streaming import aggregates, alert_jobs, arrivals
 from tests.helpers import document, epoch, rows, vector, write_file
 
 
@@ -22,8 +22,8 @@ def test_ingest_takes_each_snapshot_once(spark, tmp_path):
     land(root, 1, 6, 10)
 
     def run():
-        stream = ingest.ingest(spark, str(root))
-        ingest.run_available(stream.writeStream.format("parquet").option("path", out), cp)
+        stream = arrivals.ingest(spark, str(root))
+        arrivals.run_available(stream.writeStream.format("parquet").option("path", out), cp)
         return rows(read_bronze(spark, out), "snapshot_time")
 
     assert len(run()) == 2
@@ -39,7 +39,7 @@ def test_closed_days_are_loaded_and_late_files_reload_them(spark, tmp_path):
     land(root, 3, 6, 0)
 
     def run():
-        ingest.apply_late(spark, str(root), layout, cp, before=date(2026, 7, 3))
+        arrivals.apply_late(spark, str(root), layout, cp, before=date(2026, 7, 3))
         return rows(read_bronze(spark, layout.bronze).groupBy("dt").count())
 
     assert run() == [(date(2026, 7, 1), 1), (date(2026, 7, 2), 1)]
@@ -62,11 +62,11 @@ def bronze_table(spark, tmp_path, days=4):
 
 def test_stream_equals_batch(spark, tmp_path):
     table = bronze_table(spark, tmp_path)
-    staged = staging.stage(ingest.stream_bronze(spark, table))
+    staged = staging.stage(arrivals.stream_bronze(spark, table))
     batch = staging.stage(read_bronze(spark, table))
     out = str(tmp_path / "density")
     counted = aggregates.region_density(staged, region_area(spark))
-    ingest.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c1"))
+    arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c1"))
     schema = "window_start TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg BIGINT, density DOUBLE"
     latest = aggregates.read_latest(spark, out, ["window_start", "region"], schema)
     expected = density.region_density(batch, region_area(spark))
@@ -74,7 +74,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
     closed = aggregates.coverage(staged)
     cov = str(tmp_path / "coverage")
-    ingest.run_available(closed.writeStream.format("parquet").option("path", cov), str(tmp_path / "c2"))
+    arrivals.run_available(closed.writeStream.format("parquet").option("path", cov), str(tmp_path / "c2"))
     # the last day is still open: the watermark has not passed its end
     assert rows(spark.read.schema(closed.schema).parquet(cov)) == rows(
         density.daily_coverage(batch).where("dt < DATE '2026-07-04'"))
@@ -82,9 +82,9 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_frames(spark, tmp_path):
     table = bronze_table(spark, tmp_path, days=1)
-    counted = aggregates.frames(staging.stage(ingest.stream_bronze(spark, table)))
+    counted = aggregates.frames(staging.stage(arrivals.stream_bronze(spark, table)))
     out = str(tmp_path / "frames")
-    ingest.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c"))
+    arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c"))
     got = aggregates.read_latest(spark, out, ["frame", "region"], "frame TIMESTAMP, region STRING, aircraft_count BIGINT")
     assert rows(got, "frame", "aircraft_count") == [
         (datetime(2026, 7, 1), 2), (datetime(2026, 7, 1, 12, 30), 6), (datetime(2026, 7, 1, 23, 30), 3)]
@@ -104,17 +104,17 @@ def test_alert_stream_continues_runs_and_ignores_replays(spark, tmp_path):
     for lo, hi in ((0, 3), (3, 4), (4, 9), (9, 12)):
         cut = (F.col("ts") >= datetime(2026, 7, 1) + timedelta(minutes=lo)) & (F.col("ts") < datetime(2026, 7, 1) + timedelta(minutes=hi))
         whole.where(cut).coalesce(1).write.mode("append").parquet(source)
-        ingest.run_available(alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path, max_gap_s=90), cp)
+        arrivals.run_available(alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path, max_gap_s=90), cp)
     columns = ("alert", "instance", "ts", "state", "active_since")
     expected = alerts.evaluate_alerts(whole, rules, max_gap_s=90).na.fill("")
     fill = lambda df: sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
     assert fill(alert_jobs.read_states(spark, path)) == fill(expected)
     # an instance silent in one batch keeps its state, a late sample is set aside
     series(spark, {"x": [1]}, start=2).write.mode("append").parquet(source)
-    ingest.run_available(alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path), cp)
+    arrivals.run_available(alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path), cp)
     assert spark.read.parquet(path + "/late").count() == 2
     series(spark, {"y": [1]}, start=12).write.mode("append").parquet(source)
-    ingest.run_available(alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path), cp)
+    arrivals.run_available(alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path), cp)
     last = alert_jobs.read_states(spark, path).where("alert = 'a' AND instance = 'y'").orderBy(F.desc("ts")).first()
     assert (last.state, last.active_since) == ("firing", datetime(2026, 7, 1))
 
@@ -140,7 +140,7 @@ def test_packed_stream_reads_lines(spark, tmp_path):
     root = str(tmp_path / "raw")
     docs = [("global", document(epoch(2026, 7, 1, 6, m), [vector(30, 50)])) for m in range(5)]
     raw.land_raw(spark.createDataFrame(docs, "region STRING, value STRING"), root)
-    stream = ingest.ingest(spark, root, pattern="*.txt", wholetext=False)
+    stream = arrivals.ingest(spark, root, pattern="*.txt", wholetext=False)
     out = str(tmp_path / "out")
-    ingest.run_available(stream.writeStream.format("parquet").option("path", out), str(tmp_path / "cp"))
+    arrivals.run_available(stream.writeStream.format("parquet").option("path", out), str(tmp_path / "cp"))
     assert read_bronze(spark, out).count() == 5

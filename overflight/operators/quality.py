@@ -3,39 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from overflight.config import BACKGROUND, POSITION_SOURCES, REGIONS
-
-RESULT_COLUMNS = ("relation", "check_name", "column_name", "severity", "failing_rows", "status")
+from overflight.functions.literals import sql_literal
 
 
 @dataclass(frozen=True)
 class Check:
-    """One declared check. ``fails`` holds for a failing row; ``unique`` checks
-    have none and count the values that occur more than once."""
+    """One declared check. ``fails`` is the SQL condition of a failing row;
+    ``unique`` checks have none and count the values that occur repeatedly."""
 
     kind: str
     column: str
-    fails: Column | None = field(default=None, compare=False)
+    fails: str | None = None
     where: str | None = None
     severity: str = "error"
 
-    @property
-    def name(self) -> str:
-        return f"{self.kind}_{self.column}"
-
     def failing(self) -> Column:
         # NULL passes, as a row that a WHERE clause does not return
-        failed = F.coalesce(self.fails, F.lit(False))
-        return failed if self.where is None else F.coalesce(F.expr(self.where), F.lit(False)) & failed
+        scoped = self.fails if self.where is None else f"({self.where}) AND ({self.fails})"
+        return F.expr(f"coalesce({scoped}, false)")
 
 
 def not_null(column: str, **scope) -> Check:
-    return Check("not_null", column, F.col(column).isNull(), **scope)
+    return Check("not_null", column, f"`{column}` IS NULL", **scope)
 
 
 def unique(column: str, **scope) -> Check:
@@ -43,16 +38,15 @@ def unique(column: str, **scope) -> Check:
 
 
 def accepted_values(column: str, values: Iterable, **scope) -> Check:
-    return Check("accepted_values", column, ~F.col(column).isin(list(values)), **scope)
+    listed = ", ".join(map(sql_literal, values))
+    return Check("accepted_values", column, f"`{column}` NOT IN ({listed})", **scope)
 
 
 def accepted_range(column: str, low: float | None = None, high: float | None = None, **scope) -> Check:
-    value, bounds = F.col(column), []
-    if low is not None:
-        bounds.append(value >= F.lit(low))
-    if high is not None:
-        bounds.append(value <= F.lit(high))
-    return Check("accepted_range", column, ~reduce(Column.__and__, bounds), **scope)
+    """Inclusive bounds, at least one."""
+    bounds = [(">=", low), ("<=", high)]
+    inside = " AND ".join(f"`{column}` {op} {sql_literal(bound)}" for op, bound in bounds if bound is not None)
+    return Check("accepted_range", column, f"NOT ({inside})", **scope)
 
 
 @dataclass(frozen=True)
@@ -77,14 +71,18 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return repeated.where(F.col("n") > 1)
 
 
-def _result(relation: str, check: Check | Singular, failing: Column) -> Column:
-    return F.struct(
-        F.lit(relation).alias("relation"),
-        F.lit(check.kind if isinstance(check, Check) else check.name).alias("check_name"),
-        F.lit(check.column if isinstance(check, Check) else "").alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        failing.cast("bigint").alias("failing_rows"),
+def _result(relation: str, check: Check | Singular, failing: str) -> str:
+    kind, column = (check.kind, check.column) if isinstance(check, Check) else (check.name, "")
+    shown = zip(
+        ("relation", "check_name", "column_name", "severity"), (relation, kind, column, check.severity), strict=True
     )
+    named = ", ".join(f"{sql_literal(value)} AS {name}" for name, value in shown)
+    return f"struct({named}, {failing} AS failing_rows)"
+
+
+def _results(counts: DataFrame, rows: Iterable[str]) -> DataFrame:
+    """Columns of counts -> one row per check."""
+    return counts.select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check], relation: str = "") -> DataFrame:
@@ -97,10 +95,9 @@ def run_checks(df: DataFrame, checks: Sequence[Check], relation: str = "") -> Da
     parts = []
     if rowwise:
         counts = df.agg(*[F.count_if(c.failing()).alias(f"c{n}") for n, c in enumerate(rowwise)])
-        rows = F.explode(F.array(*[_result(relation, c, F.col(f"c{n}")) for n, c in enumerate(rowwise)]))
-        parts.append(counts.select(rows.alias("r")).select("r.*"))
+        parts.append(_results(counts, [_result(relation, c, f"c{n}") for n, c in enumerate(rowwise)]))
     parts += [
-        failing_rows(df, c).agg(F.count("*").alias("n")).select(_result(relation, c, F.col("n")).alias("r")).select("r.*")
+        _results(failing_rows(df, c).agg(F.count("*").alias("n")), [_result(relation, c, "n")])
         for c in checks
         if c.kind == "unique"
     ]
@@ -108,9 +105,8 @@ def run_checks(df: DataFrame, checks: Sequence[Check], relation: str = "") -> Da
 
 
 def run_singular(check: Singular, relation: str = "") -> DataFrame:
-    counted = check.query().agg(F.count("*").alias("n"))
-    result = counted.select(_result(relation, check, F.col("n")).alias("r")).select("r.*")
-    return result.withColumn("status", _status(F.col("failing_rows"), F.col("severity")))
+    counted = _results(check.query().agg(F.count("*").alias("n")), [_result(relation, check, "n")])
+    return counted.withColumn("status", _status(F.col("failing_rows"), F.col("severity")))
 
 
 class GateError(RuntimeError):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overflight.config import REGIONS, Box
 from overflight.functions.geo import box_area
+from overflight.functions.literals import sql_literal
 from overflight.schemas import AREA_SCHEMA, BOX_SCHEMA
 
 
@@ -17,20 +18,12 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Da
     the optimizer knows how small it is and broadcasts it by itself."""
     fields = [field.split() for field in schema.split(", ")]
     values = ", ".join(
-        "(" + ", ".join(f"CAST({_sql(v)} AS {dtype})" for v, (_, dtype) in zip(row, fields, strict=True)) + ")"
+        "(" + ", ".join(f"CAST({sql_literal(v)} AS {dtype})" for v, (_, dtype) in zip(row, fields, strict=True)) + ")"
         for row in rows
     )
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(name for name, _ in fields)})")
 
 
-def _sql(value: str | float | bool | None) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return f"{value!r}D" if isinstance(value, float) else repr(value)
-
-
 def box_table(spark: SparkSession, boxes: Sequence[Box] = REGIONS) -> DataFrame:
     rows = [
         (b.region, n, float(b.lomin), float(b.lomax), float(b.lamin), float(b.lamax)) for n, b in enumerate(boxes, 1)

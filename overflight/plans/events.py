@@ -86,27 +86,26 @@ def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_series(events: DataFrame) -> DataFrame:
-    """Metric series ``ts, metric, label, value`` from the events of each hour."""
+    """Metric series ``ts, metric, label, value`` from the events of each hour.
+
+    The mean is taken over whole hundredths, so that it does not depend on the
+    order in which Spark adds.
+    """
     hour = time_bucket("ts", 3600).alias("ts")
+    hundredths = F.round(F.col("value") * 100).cast("bigint")
     by_type = (
-        events.groupBy(hour, "event_type")
-        .agg(F.round(F.avg("value"), 6).alias("mean"))
-        .select("ts", F.explode(F.array(
-            F.struct(F.lit("coverage").alias("metric"), F.col("event_type").alias("label"), F.round(F.col("mean") / 100, 6).alias("value")),
-            F.struct(F.lit("density").alias("metric"), F.col("event_type").alias("label"), F.col("mean").alias("value")),
-        )).alias("m"))
+        events.groupBy(hour, F.col("event_type").alias("label"))
+        .agg((F.sum(hundredths) / (F.count("*") * 100)).alias("mean"))
+        .selectExpr("ts", "label", "stack(2, 'coverage', mean / 100, 'density', mean) AS (metric, value)")
     )
     overall = (
         events.groupBy(hour)
         .agg(
             F.max("value").alias("top"),
-            F.count_if(F.col("event_type") == "error").alias("errors"),
-            F.count_if(F.col("event_type") == "view").alias("views"),
+            (F.count_if(F.col("event_type") == "error") > F.count_if(F.col("event_type") == "view")).alias("failed"),
+        )
+        .selectExpr(
+            "ts", "'' AS label", "stack(2, 'freshness', top * 1000, 'query_success', if(failed, 0D, 1D)) AS (metric, value)"
         )
-        .select("ts", F.explode(F.array(
-            F.struct(F.lit("freshness").alias("metric"), F.lit("").alias("label"), F.round(F.col("top") * 1000, 3).alias("value")),
-            F.struct(F.lit("query_success").alias("metric"), F.lit("").alias("label"),
-                     F.when(F.col("errors") > F.col("views"), 0.0).otherwise(1.0).alias("value")),
-        )).alias("m"))
     )
-    return by_type.unionByName(overall).select("ts", "m.metric", "m.label", "m.value")
+    return by_type.unionByName(overall).select("ts", "metric", "label", "value")

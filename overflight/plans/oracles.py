@@ -92,16 +92,19 @@ grid_mart AS (SELECT g.*, c.coverage_pct FROM grid g JOIN coverage c USING (dt))
 
 SERIES = """
 hourly AS (SELECT *, date_trunc('hour', ts) AS h FROM events),
-by_type AS (SELECT h, event_type, round(avg(value), 6) AS mean FROM hourly GROUP BY ALL),
+by_type AS (
+  SELECT h, event_type, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (count(*) * 100) AS mean
+  FROM hourly GROUP BY ALL
+),
 overall AS (
   SELECT h, max(value) AS top, count(*) FILTER (event_type = 'error') AS errors,
          count(*) FILTER (event_type = 'view') AS views
   FROM hourly GROUP BY h
 ),
 series AS (
-  SELECT h AS ts, 'coverage' AS metric, event_type AS label, round(mean / 100, 6) AS value FROM by_type
+  SELECT h AS ts, 'coverage' AS metric, event_type AS label, mean / 100 AS value FROM by_type
   UNION ALL SELECT h, 'density', event_type, mean FROM by_type
-  UNION ALL SELECT h, 'freshness', '', round(top * 1000, 3) FROM overall
+  UNION ALL SELECT h, 'freshness', '', top * 1000 FROM overall
   UNION ALL SELECT h, 'query_success', '', CASE WHEN errors > views THEN 0.0 ELSE 1.0 END::DOUBLE FROM overall
 )"""
 

@@ -102,6 +102,14 @@ def stream_raw(spark: SparkSession, root: str, *, pattern: str = "*.json", whole
     return reader.text(root, wholetext=wholetext)
 
 
+def stream_listing(spark: SparkSession, root: str, *, pattern: str = "*.json") -> DataFrame:
+    """``region, dt`` of new raw files as they arrive. The files are listed,
+    not opened."""
+    schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, region STRING, dt STRING"
+    files = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).schema(schema).load(root)
+    return files.select("region", "dt")
+
+
 def ingest_status(
     spark: SparkSession,
     root: str,

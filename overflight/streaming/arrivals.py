@@ -12,7 +12,8 @@ from overflight.config import Config
 from overflight.plans.pipeline import Layout, mart_layers, stage_layer
 from overflight.schemas import BRONZE_SCHEMA
 from overflight.sources.bronze import load_days, to_bronze
-from overflight.sources.raw import stream_raw
+from overflight.sources.raw import stream_listing, stream_raw
+from overflight.sources.storage import read_table
 
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -36,34 +37,47 @@ def stream_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(BRONZE_SCHEMA).parquet(path)
 
 
-def _folder_days(batch: DataFrame) -> list[str]:
-    """The raw day folders a micro-batch touches, a few per batch."""
-    return [row.dt for row in batch.select("dt").distinct().collect()]
+def note_arrivals(spark: SparkSession, root: str, checkpoint: str, *, pattern: str = "*.json") -> DataFrame:
+    """Record which day folders got new files; returns ``dt, batch_id`` of all
+    records. A replayed batch rewrites its own record."""
+    path = f"{checkpoint}-arrived"
+
+    def note(batch: DataFrame, batch_id: int) -> None:
+        batch.select("dt").distinct().coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    arrivals = stream_listing(spark, root, pattern=pattern)
+    run_available(arrivals.writeStream.foreachBatch(note), checkpoint)
+    return read_table(spark, path, "dt STRING, batch_id BIGINT")
+
+
+def _due_days(arrived: DataFrame, done: DataFrame, before: date | None) -> list[str]:
+    """Closed days with arrivals that were not loaded since; a few per run."""
+    due = arrived.join(done, ["dt", "batch_id"], "left_anti")
+    if before is not None:
+        due = due.where(F.col("dt") < before.strftime("%Y%m%d"))
+    return sorted(row.dt for row in due.select("dt").distinct().collect())
 
 
 def close_days(
     spark: SparkSession, root: str, bronze_path: str, checkpoint: str, *, pattern: str = "*.json", packed: bool = False,
     before: date | None = None, after_load: Callable[[Sequence[date]], None] | None = None,
 ) -> None:
-    """Load every day that new or late files belong to, as a whole.
+    """Load every closed day that new or late files belong to, as a whole.
 
     The stream only says which days changed; these are read again in full and
     replaced, so a replayed batch, a repeated or a late file never counts
-    twice. Days from ``before`` on are still open and left for a later run,
-    which finds them through its own new files or a plain ``load_days``.
+    twice. Days from ``before`` on are still open: they stay on record and are
+    loaded by the first run after they closed, new files or not. A run that
+    dies before its record is written loads the same days again.
     """
-
-    def reload(batch: DataFrame, _batch_id: int) -> None:
-        days = _folder_days(batch)
-        if before is not None:
-            days = [d for d in days if d < before.strftime("%Y%m%d")]
-        if days:
-            load_days(spark, root, bronze_path, days, pattern=pattern, packed=packed)
-            if after_load is not None:
-                after_load([date(int(d[:4]), int(d[4:6]), int(d[6:])) for d in days])
-
-    arrivals = stream_raw(spark, root, pattern=pattern, wholetext=not packed)
-    run_available(arrivals.select("dt").writeStream.foreachBatch(reload), checkpoint)
+    arrived = note_arrivals(spark, root, checkpoint, pattern=pattern)
+    path = f"{checkpoint}-loaded"
+    days = _due_days(arrived, read_table(spark, path, "dt STRING, batch_id BIGINT"), before)
+    if days:
+        load_days(spark, root, bronze_path, days, pattern=pattern, packed=packed)
+        if after_load is not None:
+            after_load([date(int(d[:4]), int(d[4:6]), int(d[6:])) for d in days])
+        arrived.where(F.col("dt").isin(days)).coalesce(1).write.mode("append").parquet(path)
 
 
 def apply_late(

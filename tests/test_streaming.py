@@ -38,17 +38,20 @@ def test_closed_days_are_loaded_and_late_files_reload_them(spark, tmp_path):
     land(root, 2, 6, 0)
     land(root, 3, 6, 0)
 
-    def run():
-        arrivals.apply_late(spark, str(root), layout, cp, before=date(2026, 7, 3))
+    def run(today=3):
+        arrivals.apply_late(spark, str(root), layout, cp, before=date(2026, 7, today))
         return rows(read_bronze(spark, layout.bronze).groupBy("dt").count())
 
     assert run() == [(date(2026, 7, 1), 1), (date(2026, 7, 2), 1)]
     land(root, 1, 6, 30, n=4, name="late")
     assert run() == [(date(2026, 7, 1), 2), (date(2026, 7, 2), 1)]
     assert run() == [(date(2026, 7, 1), 2), (date(2026, 7, 2), 1)]
+    # day 3 has closed: it is loaded although nothing new arrived
+    assert run(today=4) == [(date(2026, 7, 1), 2), (date(2026, 7, 2), 1), (date(2026, 7, 3), 1)]
     mart = spark.read.parquet(layout.mart("region_density"))
     assert rows(mart, "snapshot_time", "aircraft_count") == [
-        (datetime(2026, 7, 1, 6, 0), 1), (datetime(2026, 7, 1, 6, 30), 4), (datetime(2026, 7, 2, 6, 0), 1)]
+        (datetime(2026, 7, 1, 6, 0), 1), (datetime(2026, 7, 1, 6, 30), 4), (datetime(2026, 7, 2, 6, 0), 1),
+        (datetime(2026, 7, 3, 6, 0), 1)]
 
 
 def bronze_table(spark, tmp_path, days=4):

@@ -29,7 +29,7 @@ class Rule:
     threshold: float
     hold_s: int = 600
     severity: str = "warning"
-    team: str = "flight-data"
+    team: str = "overflight"
     over_labels: bool = False
     summary: str = ""
 
@@ -126,7 +126,7 @@ def alert_text(states: DataFrame) -> DataFrame:
 def throttle_notifications(
     states: DataFrame,
     *,
-    team: str | None = "flight-data",
+    team: str | None = "overflight",
     wait_s: int = 30,
     interval_s: int = 300,
     repeat_s: int = 4 * 3600,

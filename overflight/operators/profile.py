@@ -23,12 +23,18 @@ def exact_median(df: DataFrame, key: str, values: Sequence[str], accuracy: int =
     bracket is twice that wide on each side, so the median is always inside.
     """
     long = df.select(key, *values).unpivot(key, list(values), "metric", "value").where(F.col("value").isNotNull())
-    slack = 2.0 / accuracy
-    sketch = F.percentile_approx("value", [0.5 - slack, 0.5 + slack], accuracy)
+    margin = 2.0 / accuracy
+    sketch = F.percentile_approx("value", [0.5 - margin, 0.5 + margin], accuracy)
     brackets = (
         long.groupBy(key, "metric")
         .agg(sketch.alias("_b"), F.count("*").alias("_n"))
-        .select(F.col(key).alias("_key"), F.col("metric").alias("_metric"), F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n")
+        .select(
+            F.col(key).alias("_key"),
+            F.col("metric").alias("_metric"),
+            F.col("_b")[0].alias("_lo"),
+            F.col("_b")[1].alias("_hi"),
+            "_n",
+        )
     )
     brackets = checkpointed(brackets)
     if brackets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:

@@ -111,16 +111,16 @@ series AS (
 ALERTS = SERIES + """,
 samples AS (
   SELECT 'bronze_stale' AS alert, '' AS instance, ts, value, value > 100000 AS holds, 3600 AS hold_s,
-         'critical' AS severity, 'flight-data' AS team
+         'critical' AS severity, 'overflight' AS team
   FROM series WHERE metric = 'freshness'
   UNION ALL
-  SELECT 'metrics_query_failed', '', ts, value, value = 0, 3600, 'warning', 'flight-data'
+  SELECT 'metrics_query_failed', '', ts, value, value = 0, 3600, 'warning', 'overflight'
   FROM series WHERE metric = 'query_success'
   UNION ALL
-  SELECT 'low_coverage', '', ts, min(value), min(value) < 0.3, 7200, 'warning', 'flight-data'
+  SELECT 'low_coverage', '', ts, min(value), min(value) < 0.3, 7200, 'warning', 'overflight'
   FROM series WHERE metric = 'coverage' GROUP BY ts
   UNION ALL
-  SELECT 'high_density', label, ts, value, value >= 50, 3600, 'warning', 'flight-data'
+  SELECT 'high_density', label, ts, value, value >= 50, 3600, 'warning', 'overflight'
   FROM series WHERE metric = 'density'
   UNION ALL
   SELECT 'other_team', label, ts, value, value >= 60, 0, 'warning', 'someone-else'
@@ -154,7 +154,7 @@ NOTIFICATIONS = f"""WITH {ALERTS},
 episodes AS (
   SELECT alert, severity, instance, active_since, min(ts) FILTER (state = 'firing') AS start,
          max(ts) FILTER (state = 'firing') AS last, min(ts) FILTER (state = 'resolved') AS stop
-  FROM timeline WHERE state IN ('firing', 'resolved') AND team = 'flight-data' GROUP BY ALL
+  FROM timeline WHERE state IN ('firing', 'resolved') AND team = 'overflight' GROUP BY ALL
 ),
 spans AS (
   SELECT *, coalesce(start >= max(coalesce(stop, TIMESTAMP '9999-01-01')) OVER (

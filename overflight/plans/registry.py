@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from overflight.config import REGIONS, Config
 from overflight.functions import status, timeparts
-from overflight.functions.geo import tag_region
 from overflight.operators import alerts, boxes, completeness, density, metrics, points, profile, quality, staging
 from overflight.plans import pipeline
 from overflight.plans.events import bronze_from_events, hourly_series, raw_documents, read_events, read_table
@@ -356,7 +355,11 @@ def dq_results(spark, sf_dir):
         quality.not_null("l_shipdate"),
         quality.accepted_range("l_quantity", 5, None, where="l_linestatus = 'O'"),
     ]
-    orders = [quality.unique("o_orderkey"), quality.unique("o_custkey"), quality.accepted_values("o_orderstatus", ["F", "O", "P"])]
+    orders = [
+        quality.unique("o_orderkey"),
+        quality.unique("o_custkey"),
+        quality.accepted_values("o_orderstatus", ["F", "O", "P"]),
+    ]
     parts = [
         quality.run_checks(stg, quality.declared_checks()["states"] + own, "states"),
         quality.run_checks(read_table(spark, sf_dir, "lineitem"), items, "lineitem"),
@@ -478,7 +481,10 @@ def daily_build(spark, sf_dir):
     failing = reduce(DataFrame.unionByName, checked).groupBy("relation").agg(F.sum("failing_rows").alias("failing_rows"))
     sizes = reduce(
         DataFrame.unionByName,
-        [df.agg(F.lit(n).alias("relation"), F.count("*").alias("rows"), F.countDistinct("dt").alias("days")) for n, df in tables.items()],
+        [
+            df.agg(F.lit(n).alias("relation"), F.count("*").alias("rows"), F.countDistinct("dt").alias("days"))
+            for n, df in tables.items()
+        ],
     )
     return sizes.join(failing, "relation")
 

@@ -1,8 +1,6 @@
 from datetime import datetime, timedelta
 
 import pandas as pd
-import pytest
-from pyspark.sql import functions as F
 
 from overflight.operators import alerts
 from overflight.operators.ordered import with_runs

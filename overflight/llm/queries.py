@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from overflight.llm import licenses, quality
+from overflight.llm import decontam, licenses, quality
 from overflight.llm.common import table
 
 
@@ -18,9 +18,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op6_quality_rules": op6_quality_rules,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

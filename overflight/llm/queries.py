@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from overflight.llm import decontam, licenses, quality
+from overflight.llm import decontam, licenses, mixing, quality
 from overflight.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,6 +28,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
+    "op5_mix_sources": op5_mix_sources,
     "op6_quality_rules": op6_quality_rules,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from overflight.session import scratch_path
@@ -63,3 +67,17 @@ def broadcast_if_small(df: DataFrame, most_rows: int) -> DataFrame:
 
 def fits(df: DataFrame, most_rows: int) -> bool:
     return df.limit(most_rows + 1).count() <= most_rows
+
+
+def portions(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that the texts of one piece have about ``most_bytes``; a longer text is alone."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        first, held = 0, 0
+        for i, length in enumerate(lengths):
+            if held and held + length > most_bytes:
+                yield batch.slice(first, i - first)
+                first, held = i, 0
+            held += length
+        if len(lengths) > first:
+            yield batch.slice(first)

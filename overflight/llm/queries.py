@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from overflight.llm import decontam, licenses, mixing, quality
+from overflight.llm import decontam, licenses, mixing, quality, tokens
 from overflight.llm.common import table
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -26,11 +30,16 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_rules": op6_quality_rules,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_token_ids": op10_token_ids,
 }
 
 ORACLES: dict[str, str] = {}

@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from overflight.llm import chat, decontam, licenses, mixing, quality, tokens
+from overflight.llm import chat, decontam, html, licenses, mixing, quality, tokens
 from overflight.llm.common import table
 
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_rules": op6_quality_rules,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from overflight.llm import chat, decontam, html, licenses, mixing, quality, tokens
+from overflight.llm import chat, decontam, hpylm, html, langid, licenses, mixing, quality, tokens
 from overflight.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.scored(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,8 +58,10 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_token_ids": op10_token_ids,

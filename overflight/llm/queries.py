@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from overflight.llm import chat, decontam, hpylm, html, langid, licenses, mixing, quality, tokens
+from overflight.llm import chat, decontam, hpylm, html, langid, licenses, mixing, neardup, quality, tokens
 from overflight.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.clustered(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpylm.scored(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_rules": op6_quality_rules,

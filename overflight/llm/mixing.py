@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType
 
 from overflight.llm.common import broadcast_if_small, space_words, stored, text_of
 
@@ -93,7 +94,7 @@ def _offsets(sizes: DataFrame) -> DataFrame:
         "_offset", F.coalesce("_before", zero) + F.coalesce("_inner", zero)).drop("_before", "_inner", "_part")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _permuted(index: pd.Series, count: pd.Series, key: pd.Series) -> pd.Series:
     """A keyed permutation of 0..count-1: a Feistel network on the next power of four, repeated until inside."""
     x, n, key = (c.to_numpy().astype(np.uint64) for c in (index, count, key))

@@ -171,10 +171,10 @@ def _calibrated(docs: DataFrame, labels: DataFrame, columns: list[str], stratum:
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per document: the measures, the base verdict and ``kept``."""
+    """One row per document: the measures, the base verdict, ``kept``, and the steps behind it (0: none)."""
     rows = _calibrated(docs.select("doc_id", "text", stratum), labels, ["doc_id"], stratum, risk, error)
-    return rows.select("doc_id", *[f"_q.{name}" for name in MEASURES], F.col("_kept").alias("kept"),
-                       F.coalesce("_level", F.lit(0)).alias("level"))
+    return rows.select("doc_id", *[f"_q.{name}" for name in MEASURES[:-1]], F.col("_kept").alias("kept"),
+                       F.coalesce("_q.hit_level", F.lit(0)).alias("hit_level"), F.coalesce("_level", F.lit(0)).alias("level"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:

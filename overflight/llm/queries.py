@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from overflight.llm import chat, decontam, hpylm, html, langid, licenses, mixing, neardup, quality, tokens
 from overflight.llm.common import table
+from overflight.llm.oracles import ORACLES
 
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,4 +73,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_ids": op10_token_ids,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

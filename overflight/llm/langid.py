@@ -67,13 +67,12 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
         if size <= 0:
             break
         run = run[:size] * np.uint64(0x100000001B3) + marked[n - 1:] + np.uint64(1)
-        if n > 2:
-            ok = ok[:size] & inside[n - 2:n - 2 + size]
-        use = ok[:size] & (inside[:size] | inside[n - 1:])
         if n == 1:
             use = inside
-        if n == 2:
+        elif n == 2:
             use = inside[:size] | inside[1:]
+        else:
+            use = ok = ok[:size] & inside[n - 2:n - 2 + size]
         place = np.flatnonzero(use)
         mixed = (run[place] ^ (run[place] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(n)
         buckets.append(((mixed ^ (mixed >> np.uint64(32))) % np.uint64(BUCKETS)).astype(np.int64))

@@ -1,0 +1,39 @@
+"""Small documents with every case the operators define a result for."""
+
+import random
+import re
+
+LONG = " ".join(f"word{i % 977} and{i % 31}" for i in range(30_000)) + "."
+
+
+def prose(seed, words=60, vocabulary=400):
+    draw = random.Random(seed)
+    named = str.maketrans("0123456789", "abcdefghij")
+    return " ".join(draw.choice("klmnopqr") + str(draw.randrange(vocabulary)).translate(named) for _ in range(words))
+
+
+def documents(spark, rows, extra=True):
+    """``(doc_id, text, lang, source)`` rows as a table, with extra columns whose names the operators use themselves."""
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING")
+    if extra:
+        df = df.selectExpr("*", "'x' AS words", "1 AS n_words", "2 AS block", "'y' AS kept", "3 AS node", "4 AS hash", "5 AS level")
+    return df
+
+
+EDGES = [
+    (1, None, "en", "a"), (2, "", "en", None), (3, " \n\t ", None, "a"), (4, "one", "en", "b"), (5, "One", None, None),
+    (6, prose(1), "en", "a"), (6, prose(1), "en", "a"), (6, prose(2), "en", "a"), (None, prose(3), "de", "a"), (7, LONG, "fr", "c"),
+    (8, "É ñ ß Σς İ K mit license K \U0001f600 x", "es", "a"),
+]
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def space_words(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+
+
+def alnum_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))

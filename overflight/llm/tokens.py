@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -54,31 +55,56 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 NEIGHBOURS = re.compile(r"\s\s")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class Encoder:
     """Text to uint32 ids (as bytes), with the ids of chunks kept."""
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.model = self.library.model
         self.chunks: dict[str | tuple[str], bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _piece(self, piece: str) -> bytes:
+        """One piece of the pre-tokenizer, given to the library's model in its letters."""
+        letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _new(self, chunks: list[str | tuple[str]]) -> dict[str | tuple[str], bytes]:
         """Ids of chunks not seen yet, by way of the pieces the pre-tokenizer cuts them into."""
-        text = [c[0] if isinstance(c, tuple) else c if c.startswith("\n") else " " + c for c in chunks]
-        cut = [PIECES.findall(t) for t in text]
-        missing = [p for p in set().union(*cut) if p not in self.pieces]
-        pieces = dict(zip(missing, self._library(missing)))
-        if len(self.pieces) + len(pieces) <= CHUNKS_KEPT:
-            self.pieces.update(pieces)
-            pieces = self.pieces
-        else:
-            pieces = {**pieces, **{p: self.pieces[p] for c in cut for p in c if p in self.pieces}}
-        return {c: b"".join([pieces[p] for p in ps]) for c, ps in zip(chunks, cut)}
+        out, get, new = {}, self.pieces.get, {}
+        for c in chunks:
+            text = c[0] if isinstance(c, tuple) else c if c.startswith("\n") else " " + c
+            if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):
+                cut = (text,)
+            elif text[1:-1].isalpha() and text[-1] in ".,!?" and (text[0] == " " or text[0].isalpha()):
+                cut = (text[:-1], text[-1])
+            else:
+                cut = PIECES.findall(text)
+            ids = []
+            for p in cut:
+                found = get(p) or new.get(p)
+                if found is None:
+                    found = new[p] = self._piece(p)
+                ids.append(found)
+            out[c] = b"".join(ids)
+        if len(self.pieces) + len(new) <= CHUNKS_KEPT:
+            self.pieces.update(new)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """A chunk is a run without spaces and stands for itself with the space before it.
@@ -138,11 +164,12 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 def ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids from frequent to rare (ties by id), and each id's rank."""
-    distinct, place, times = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((distinct, -times))
-    rank = np.empty(len(order), dtype=np.uint32)
+    times = np.bincount(ids)
+    distinct = np.flatnonzero(times)
+    order = distinct[np.argsort(-times[distinct], kind="stable")]
+    rank = np.empty(len(times), dtype=np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    return distinct[order].astype("<u4"), rank[place]
+    return order.astype("<u4"), rank[ids]
 
 
 def _write(path: str, block_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -40,10 +40,13 @@ def instant(at: datetime) -> Column:
     return F.timestamp_micros(F.lit(round(at.timestamp() * 1_000_000)))
 
 
+def utc(at: datetime) -> datetime:
+    """The same instant in UTC; a naive datetime is taken as UTC."""
+    return at.astimezone(timezone.utc) if at.tzinfo else at
+
+
 def utc_day(at: datetime | date) -> date:
-    if isinstance(at, datetime):
-        return at.astimezone(timezone.utc).date() if at.tzinfo else at.date()
-    return at
+    return utc(at).date() if isinstance(at, datetime) else at
 
 
 def humanize_duration(seconds: Column | str) -> Column:

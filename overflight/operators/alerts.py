@@ -116,99 +116,41 @@ def evaluate_alerts(series: DataFrame, rules: DataFrame, max_gap_s: int | None =
 
 
 def alert_text(states: DataFrame) -> DataFrame:
-    """Title and text of an alert row."""
-    shown = F.when(F.col("alert") == "bronze_stale", humanize_duration("value")).otherwise(F.col("value").cast("string"))
+    """Title and text of an alert row. The value of a rule on the freshness
+    metric is a number of seconds and is shown as a duration."""
+    seconds = F.col("alert").isin([r.alert for r in DEFAULT_RULES if r.metric == FRESHNESS])
+    shown = F.when(seconds, humanize_duration("value")).otherwise(F.round("value", 3).cast("string"))
     return states.withColumn("title", F.concat_ws(" | ", F.upper("severity"), "alert")).withColumn(
         "text", F.format_string("%s (value %s)", "summary", shown)
     )
 
 
-def throttle_notifications(
-    states: DataFrame,
-    *,
-    team: str | None = "overflight",
-    wait_s: int = 30,
-    interval_s: int = 300,
-    repeat_s: int = 4 * 3600,
-) -> DataFrame:
-    """When a notification goes out, per alert name.
+def routed(states: DataFrame, team: str) -> DataFrame:
+    """The alerts that go to one team."""
+    return states.where(F.col("team") == team)
+
 
-    All instances of an alert form a group. A group opens when its first
-    instance fires; it is looked at ``wait_s`` later and then every
-    ``interval_s``. A look notifies if an instance started or stopped firing
-    since, else every ``repeat_s`` after the last notification while the group
-    fires. The look that finds nothing firing any more sends ``resolved``.
+def state_changes(states: DataFrame) -> DataFrame:
+    """Starts and ends of firing, one row each, with title and text: what there
+    is to tell somebody. When and how often it is told is not decided here.
+
+    A run of firing is known by the instance and ``active_since``; aggregation
+    by run combines on the map side.
     """
-    routed = states if team is None else states.where(F.col("team") == team)
-    episodes = (
-        routed.where(F.col("state").isin("firing", "resolved"))
-        .groupBy("alert", "severity", "instance", "active_since")
+    runs = (
+        states.where(F.col("state").isin("firing", "resolved"))
+        .groupBy("alert", "instance", "severity", "team", "summary", "active_since")
         .agg(
-            F.min(F.when(F.col("state") == "firing", F.col("ts"))).alias("start"),
-            F.max(F.when(F.col("state") == "firing", F.col("ts"))).alias("last"),
-            F.min(F.when(F.col("state") == "resolved", F.col("ts"))).alias("stop"),
+            F.min(F.when(F.col("state") == "firing", F.struct("ts", "value"))).alias("firing"),
+            F.min(F.when(F.col("state") == "resolved", F.struct("ts", "value"))).alias("resolved"),
         )
     )
-    grouped = _group_episodes(episodes)
-    first = F.unix_seconds("group_start") + wait_s
-
-    def look(at: str) -> Column:
-        late = F.unix_seconds(at) - first
-        steps = F.greatest(F.ceil(late / interval_s), F.lit(0))
-        return F.when(F.col(at).isNotNull(), F.timestamp_seconds(first + steps * interval_s))
-
-    seen = grouped.withColumn("on_look", look("start")).withColumn("off_look", look("stop"))
-    seen = seen.where(F.col("off_look").isNull() | (F.col("off_look") > F.col("on_look")))
-    edges = F.array_compact(
-        F.array(
-            F.struct(F.col("on_look").alias("at"), F.lit("firing").alias("kind")),
-            F.when(F.col("off_look").isNotNull(), F.struct(F.col("off_look").alias("at"), F.lit("resolved").alias("kind"))),
-        )
-    )
-    changes = (
-        seen.withColumn("edge", F.explode(edges))
-        .groupBy("alert", "severity", "group_start", "edge.at")
-        .agg(
-            F.count_if(F.col("edge.kind") == "firing").alias("ons"),
-            F.count_if(F.col("edge.kind") == "resolved").alias("offs"),
-            F.max("last").alias("last"),
-        )
-    )
-    order = Window.partitionBy("alert", "group_start").orderBy("at")
-    open_now = F.sum(F.col("ons") - F.col("offs")).over(order)
-    until = F.coalesce(
-        F.timestamp_seconds(F.unix_seconds(F.lead("at").over(order)) - 1),
-        F.max("last").over(Window.partitionBy("alert", "group_start")),
-    )
-    looks = changes.withColumn("open", open_now).withColumn("until", until)
-    repeats = F.when(
-        (F.col("open") > 0) & (F.col("until") > F.col("at")),
-        F.sequence("at", "until", F.expr(f"INTERVAL {int(repeat_s)} SECONDS")),
-    ).otherwise(F.array("at"))
-    sent = looks.select("*", F.posexplode(repeats).alias("n", "notified_at"))
-    kind = F.when(F.col("n") > 0, "repeat").when(F.col("ons") > 0, "firing").otherwise("resolved")
-    return sent.select(
-        "alert",
-        "severity",
-        "group_start",
-        "notified_at",
-        kind.alias("kind"),
-        F.col("open").alias("firing_instances"),
-        F.concat_ws(" | ", F.upper("severity"), "alert").alias("title"),
-    )
-
-
-def _group_episodes(episodes: DataFrame) -> DataFrame:
-    """Add ``group_start``: start of the unbroken span in which at least one
-    instance of the alert fires. Works on episodes, one row per run of firing."""
-    order = Window.partitionBy("alert").orderBy("start", "instance")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    still_open = F.max(F.col("stop").isNull()).over(before)
-    opens = ~F.coalesce(still_open, F.lit(False)) & (
-        F.max("stop").over(before).isNull() | (F.col("start") >= F.max("stop").over(before))
-    )
-    marked = episodes.withColumn("_opens", F.when(opens, F.col("start")))
-    return marked.withColumn("group_start", F.max("_opens").over(order)).drop("_opens")
+    edge = F.array_compact(F.array(*[
+        F.when(F.col(kind).isNotNull(), F.struct(F.lit(kind).alias("state"), F.col(f"{kind}.ts").alias("ts"), F.col(f"{kind}.value").alias("value")))
+        for kind in ("firing", "resolved")
+    ]))
+    edges = runs.withColumn("edge", F.explode(edge)).drop("firing", "resolved")
+    return alert_text(edges.select("*", "edge.*").drop("edge"))
 
 
 def heartbeat(
@@ -230,7 +172,7 @@ def heartbeat(
     return gaps.where(silence > silent_s * 1_000_000).select(
         *keys,
         "last_seen",
-        F.timestamp_seconds(F.unix_seconds("last_seen") + silent_s).alias("down_at"),
+        (F.col("last_seen") + F.make_dt_interval(secs=F.lit(silent_s))).alias("down_at"),
         "next_seen",
         F.floor(silence / 1_000_000).cast("bigint").alias("silent_seconds"),
     )

@@ -7,9 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from overflight.config import BACKGROUND
 from overflight.functions.geo import DAILY_CREDITS, box_area, credit_cost
 
-# Up to this many boxes a cell's candidates are kept as one array.
-ARRAY_BOXES = 10_000
-
 
 def _cells(low: str, high: str, cell: float) -> Column:
     first, last = F.floor(F.col(low) / F.lit(cell)), F.floor(F.col(high) / F.lit(cell))
@@ -29,8 +26,9 @@ def assign_box(
     Boxes are indexed by the grid cells they touch, which turns the range join
     into an equality join on the cell; points are never paired with all boxes.
     Each cell carries its candidates in priority order, so a point meets at
-    most one row and needs no later grouping. Spark broadcasts the index or
-    joins by shuffle, with AQE splitting hot cells, by its actual size.
+    most one row and needs no later grouping. A row is as long as boxes touch
+    its cell: for very many boxes choose smaller cells. Spark broadcasts the
+    index or joins by shuffle, with AQE splitting hot cells, by its actual size.
     """
     cx, cy = float(cell[0]), float(cell[1])
     x, y = F.col(lon), F.col(lat)
@@ -38,8 +36,6 @@ def assign_box(
         "_cy", F.floor(y / F.lit(cy)).cast("bigint")
     )
     indexed = boxes.withColumn("_cx", _cells("lomin", "lomax", cx)).withColumn("_cy", _cells("lamin", "lamax", cy))
-    if boxes.limit(ARRAY_BOXES + 1).count() > ARRAY_BOXES:
-        return _assign_by_match(keyed, indexed, x, y, default)
     candidates = indexed.groupBy("_cx", "_cy").agg(
         F.sort_array(F.collect_list(F.struct("priority", "region", "lomin", "lomax", "lamin", "lamax"))).alias("_boxes")
     )
@@ -53,19 +49,6 @@ def assign_box(
     )
 
 
-def _assign_by_match(keyed: DataFrame, indexed: DataFrame, x: Column, y: Column, default: str) -> DataFrame:
-    """For box tables of any size: one row per match, best match per point."""
-    columns = [c for c in keyed.columns if c not in ("_cx", "_cy")]
-    keyed = keyed.withColumn("_point", F.monotonically_increasing_id())
-    match = (
-        keyed.join(indexed.withColumnRenamed("region", "_region"), ["_cx", "_cy"], "left")
-        .withColumn("_hit", x.between(F.col("lomin"), F.col("lomax")) & y.between(F.col("lamin"), F.col("lamax")))
-        .withColumn("_best", F.when(F.col("_hit"), F.struct("priority", "_region")))
-    )
-    best = match.groupBy("_point", *columns).agg(F.min("_best").alias("_best"))
-    return best.select(*columns, F.coalesce(F.col("_best")["_region"], F.lit(default)).alias("region"))
-
-
 def observed_extents(stg: DataFrame, key: str = "region") -> DataFrame:
     """Box table of the positions seen per ``key``."""
     return stg.groupBy(F.col(key).alias("region")).agg(
@@ -92,10 +75,8 @@ def credit_budget(boxes: DataFrame, interval_minutes: int = 10, budget: int = DA
     )
 
 
-def region_geojson(boxes: DataFrame) -> DataFrame:
-    """One row, one column ``geojson``: a FeatureCollection with a closed
-    five-point ring per box. One feature per box, so it is as small as the
-    box table."""
+def geojson_features(boxes: DataFrame) -> DataFrame:
+    """``region, feature``: a GeoJSON Feature with a closed five-point ring per box."""
     corner = lambda lon, lat: F.array(F.col(lon), F.col(lat))
     ring = F.array(
         corner("lomin", "lamin"),
@@ -109,8 +90,15 @@ def region_geojson(boxes: DataFrame) -> DataFrame:
         F.struct("region").alias("properties"),
         F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
     )
-    ordered = F.sort_array(F.collect_list(F.struct("region", feature.alias("feature"))))
-    features = F.transform(ordered, lambda row: row["feature"])
-    return boxes.agg(
-        F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), features.alias("features"))).alias("geojson")
+    return boxes.select("region", F.to_json(feature).alias("feature"))
+
+
+def region_geojson(boxes: DataFrame) -> DataFrame:
+    """One row, one column ``geojson``: the FeatureCollection of a few boxes,
+    for a map that wants one document. Any number of boxes is written as one
+    feature per row by ``geojson_features``."""
+    ordered = F.sort_array(F.collect_list(F.struct("region", "feature")))
+    features = F.array_join(F.transform(ordered, lambda row: row["feature"]), ",")
+    return geojson_features(boxes).agg(
+        F.concat(F.lit('{"type":"FeatureCollection","features":['), features, F.lit("]}")).alias("geojson")
     )

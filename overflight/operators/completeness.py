@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from overflight.functions.timeparts import age_seconds, day_of, utc_day
+from overflight.functions.timeparts import age_seconds, day_of, utc, utc_day
 from overflight.sources.reference import day_spine
 
 
@@ -21,12 +21,13 @@ def recent_days(df: DataFrame, as_of: datetime, days: int, closed_only: bool = F
 
 
 def incomplete_days(bronze: DataFrame, as_of: datetime, days: int = 3, threshold: int = 115) -> DataFrame:
-    """Closed days of the window with fewer than ``threshold`` bronze rows.
-    A day without any row forms no group; ``missing_days`` reports it."""
+    """Closed days of the window with fewer than ``threshold`` snapshots of a
+    region. A snapshot counts once, in however many documents it came. A day
+    without any row forms no group; ``missing_days`` reports it."""
     window = recent_days(bronze, as_of, days, closed_only=True)
     return (
         window.groupBy(day_of(window).alias("dt"))
-        .agg(F.count("*").alias("snapshot_cnt"))
+        .agg(F.count_distinct("region", "snapshot_time").alias("snapshot_cnt"))
         .where(F.col("snapshot_cnt") < threshold)
         .orderBy("dt")
     )
@@ -70,8 +71,8 @@ def daily_health(bronze: DataFrame, as_of: datetime, days: int = 7, expected: in
 def mart_freshness(mart: DataFrame, as_of: datetime, ready_minute: int = 65) -> DataFrame:
     """One row: newest mart day against yesterday, or the day before as long
     as today's build is not due (``ready_minute`` minutes after midnight)."""
-    today = utc_day(as_of)
-    due = as_of.hour * 60 + as_of.minute >= ready_minute
+    today, at = utc_day(as_of), utc(as_of)
+    due = at.hour * 60 + at.minute >= ready_minute
     day = F.col("newest_day")
     fresh = day == F.lit(today - timedelta(days=1))
     if not due:

@@ -49,11 +49,9 @@ def daily_coverage(stg: DataFrame, expected: int = 144) -> DataFrame:
 
 
 def with_coverage(df: DataFrame, coverage: DataFrame) -> DataFrame:
-    """Add ``coverage_pct`` of the row's day (inner join).
-
-    Coverage has one row per UTC day, a century is 36,525 rows, hence the hint.
-    """
-    return df.join(F.broadcast(coverage.select("dt", "coverage_pct")), "dt")
+    """Add ``coverage_pct`` of the row's day (inner join). Spark picks the join
+    by the size it finds."""
+    return df.join(coverage.select("dt", "coverage_pct"), "dt")
 
 
 def snapshot_region_counts(stg: DataFrame, sources: Sequence[int] = (ADSB,), expected: int = 144) -> DataFrame:

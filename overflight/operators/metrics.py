@@ -14,7 +14,7 @@ from overflight.schemas import METRIC_SCHEMA
 from overflight.sources.storage import read_table
 
 SNAPSHOTS, FRESHNESS, COVERAGE, DENSITY = "snapshot", "freshness", "coverage", "density"
-QUERY_SUCCESS = "query_success"
+QUERY_SUCCESS, LAST_SUCCESS = "query_success", "last_success"
 
 
 def _long(df: DataFrame, kind: str, label, value) -> DataFrame:
@@ -22,9 +22,9 @@ def _long(df: DataFrame, kind: str, label, value) -> DataFrame:
 
 
 def metric_snapshots(bronze: DataFrame, as_of: datetime, days: int = 3) -> DataFrame:
-    """Bronze rows per day, the current day included."""
+    """Snapshots of a region per day, the current day included."""
     window = recent_days(bronze, as_of, days)
-    counts = window.groupBy(day_of(window).alias("dt")).agg(F.count("*").alias("n"))
+    counts = window.groupBy(day_of(window).alias("dt")).agg(F.count_distinct("region", "snapshot_time").alias("n"))
     return _long(counts, SNAPSHOTS, F.col("dt").cast("string"), F.col("n"))
 
 
@@ -63,35 +63,36 @@ def quality_metrics(bronze: DataFrame, mart: DataFrame, as_of: datetime) -> Data
 
 
 def write_metrics(metrics: DataFrame, ts: datetime, root: str) -> None:
-    """Replace ``<root>/current`` and append to ``<root>/history``.
+    """Store one tick below ``<root>/history``, in a folder of its own.
 
-    NULL values are not written. The metrics are evaluated once, by the append;
-    the current set is read back from the tick just stored. A tick is one small
-    file, so that stream readers see it as a whole.
+    Writing the same tick again replaces that folder, so a retry counts once
+    and readers never find the table gone. NULL values are not written. A tick
+    is one small file, so that stream readers see it as a whole.
     """
-    spark = metrics.sparkSession
-    tick = (
-        metrics.where(F.col("value").isNotNull())
-        .select(
-            instant(ts).alias("ts"),
-            F.col("kind").alias("metric"),
-            "label",
-            "value",
-            F.to_date(instant(ts)).alias("dt"),
-        )
-        .coalesce(1)
+    at = instant(ts)
+    tick = metrics.where(F.col("value").isNotNull()).select(
+        at.alias("ts"), F.col("kind").alias("metric"), "label", "value",
+        F.to_date(at).alias("dt"), F.unix_micros(at).alias("tick"),
+    )
+    (
+        tick.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "tick")
+        .parquet(f"{root}/history")
     )
-    tick.write.mode("append").partitionBy("dt").parquet(f"{root}/history")
-    stored = read_history(spark, root).where((F.col("dt") == F.to_date(instant(ts))) & (F.col("ts") == instant(ts)))
-    stored.drop("dt").coalesce(1).write.mode("overwrite").parquet(f"{root}/current")
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/history", METRIC_SCHEMA + ", dt DATE")
+    return read_table(spark, f"{root}/history", METRIC_SCHEMA + ", dt DATE, tick BIGINT").drop("tick")
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return read_table(spark, f"{root}/current", METRIC_SCHEMA)
+    """Of every metric the rows of its last tick. A metric that a failed
+    refresh could not take keeps the values it had."""
+    history = read_history(spark, root).drop("dt")
+    last = history.groupBy("metric").agg(F.max("ts").alias("ts"))
+    return history.join(last, ["metric", "ts"], "left_semi").select(*history.columns)
 
 
 def metric_min(series: DataFrame) -> DataFrame:

@@ -18,13 +18,10 @@ def thin_frames(df: DataFrame, minutes: Sequence[int] = (0, 30), ts: str = "snap
 
 
 def first_frames(df: DataFrame, seconds: int = 1800, ts: str = "snapshot_time") -> DataFrame:
-    """Keep the first snapshot of every bucket, whatever its minute.
-
-    Half-hour buckets are 48 times per day, 1.8 million in a century, hence
-    the hint; without it all rows would be shuffled by snapshot.
-    """
+    """Keep the first snapshot of every bucket, whatever its minute. Spark
+    picks the join by the number of buckets it finds."""
     first = df.groupBy(time_bucket(ts, seconds).alias("_bucket")).agg(F.min(ts).alias(ts))
-    return df.join(F.broadcast(first.select(ts)), ts, "left_semi")
+    return df.join(first.select(ts), ts, "left_semi")
 
 
 def aircraft_points(

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from overflight.functions.timeparts import day_of
-from overflight.session import checkpointed
-
-# Up to this many key rows a summary is broadcast back to the rows.
-BROADCAST_ROWS = 100_000
 
 
 def exact_median(df: DataFrame, key: str, values: Sequence[str], accuracy: int = 10_000) -> DataFrame:
@@ -20,7 +16,8 @@ def exact_median(df: DataFrame, key: str, values: Sequence[str], accuracy: int =
     median; then everything below the bracket is only counted, the few values
     inside are counted per value, and a running count over these picks the
     middle one or two. The sketch's rank error is at most rows/accuracy, the
-    bracket is twice that wide on each side, so the median is always inside.
+    bracket is twice that wide on each side, so the median is always inside;
+    the query fails if it should not be.
     """
     long = df.select(key, *values).unpivot(key, list(values), "metric", "value").where(F.col("value").isNotNull())
     margin = 2.0 / accuracy
@@ -36,9 +33,6 @@ def exact_median(df: DataFrame, key: str, values: Sequence[str], accuracy: int =
             "_n",
         )
     )
-    brackets = checkpointed(brackets)
-    if brackets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        brackets = F.broadcast(brackets)
     bracketed = long.join(brackets, (F.col("metric") == F.col("_metric")) & F.col(key).eqNullSafe(F.col("_key")))
     low = F.col("value") < F.col("_lo")
     counts = (
@@ -49,14 +43,19 @@ def exact_median(df: DataFrame, key: str, values: Sequence[str], accuracy: int =
     running = F.sum("_count").over(Window.partitionBy(key, "metric").orderBy(F.asc_nulls_first("value")))
     lower = F.floor((F.col("_n") + 1) / 2)
     upper = F.floor(F.col("_n") / 2) + 1
+    # What lies below the bracket has a null value and comes first.
+    missed = F.col("_a").isNull() | F.col("_b").isNull() | F.col("_early")
+    middle = (F.col("_a") + F.col("_b")) / F.lit(2.0)
+    outside = F.raise_error(F.lit("the median lies outside its bracket")).cast("double")
     return (
         counts.withColumn("_upto", running)
         .groupBy(key, "metric")
         .agg(
             F.min(F.when(F.col("_upto") >= lower, F.col("value"))).alias("_a"),
             F.min(F.when(F.col("_upto") >= upper, F.col("value"))).alias("_b"),
+            F.bool_or(F.col("value").isNull() & (F.col("_upto") >= lower)).alias("_early"),
         )
-        .select(key, "metric", ((F.col("_a") + F.col("_b")) / F.lit(2.0)).alias("median"))
+        .select(key, "metric", F.when(missed, outside).otherwise(middle).alias("median"))
     )
 
 

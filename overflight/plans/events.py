@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from overflight.functions.timeparts import time_bucket
 from overflight.sources.bronze import to_bronze
 
-# Events of one document come from one range of this many event ids, so a
-# document is bounded however many events share a snapshot time.
-DOCUMENT_IDS = 65_536
+# A document holds the events of one range of this many event ids, so it is
+# bounded however many events share a snapshot time. The range's number is
+# written into the document as ``piece``; the snapshot is the same for all.
+PIECE_IDS = 65_536
+REGION = "global"
 
 
 # Schemas of the input tables; with them no file is opened to plan a query.
@@ -64,24 +66,28 @@ def state_vector() -> Column:
     return F.expr(f"concat('[', concat_ws(',', {elements}), ']')")
 
 
-def raw_documents(events: DataFrame) -> DataFrame:
+def snapshot_epoch() -> Column:
+    """Snapshots are due every ten minutes and come up to 40 seconds late, a
+    lag that changes from one to the next."""
+    due = F.unix_seconds(time_bucket("ts", 600))
+    return due + F.pmod(F.floor(due / 600) * 7, F.lit(41))
+
+
+def raw_documents(events: DataFrame, piece_ids: int = PIECE_IDS) -> DataFrame:
     """``value, region``: one document per snapshot and range of event ids."""
-    zone = F.floor(F.col("event_id") / DOCUMENT_IDS).cast("bigint")
     vectors = events.select(
-        F.unix_seconds(time_bucket("ts", 600)).alias("epoch"),
-        F.concat(F.lit("zone"), zone.cast("string")).alias("region"),
+        snapshot_epoch().alias("epoch"),
+        F.floor(F.col("event_id") / piece_ids).cast("bigint").alias("piece"),
         state_vector().alias("vector"),
     )
     states = F.array_join(F.collect_list("vector"), ",")
-    document = F.concat(
-        F.lit('{"time":'), F.col("epoch").cast("string"), F.lit(',"states":['), states, F.lit("]}")
-    )
-    return vectors.groupBy("epoch", "region").agg(document.alias("value")).select("value", "region")
+    document = F.format_string('{"time":%d,"piece":%d,"states":[%s]}', "epoch", "piece", states)
+    return vectors.groupBy("epoch", "piece").agg(document.alias("value")).select("value", F.lit(REGION).alias("region"))
 
 
-def bronze_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_from_events(spark: SparkSession, sf_dir: str, piece_ids: int = PIECE_IDS) -> DataFrame:
     """Bronze rows of all events, loaded at the midnight that closes their day."""
-    bronze = to_bronze(raw_documents(read_events(spark, sf_dir)))
+    bronze = to_bronze(raw_documents(read_events(spark, sf_dir), piece_ids))
     return bronze.withColumn("_loaded_at", F.date_add("dt", 1).cast("timestamp"))
 
 
@@ -103,9 +109,11 @@ def hourly_series(events: DataFrame) -> DataFrame:
         .agg(
             F.max("value").alias("top"),
             (F.count_if(F.col("event_type") == "error") > F.count_if(F.col("event_type") == "view")).alias("failed"),
+            (F.count_distinct(time_bucket("ts", 600)) * 24).cast("double").alias("snapshots"),
         )
         .selectExpr(
-            "ts", "'' AS label", "stack(2, 'freshness', top * 1000, 'query_success', if(failed, 0D, 1D)) AS (metric, value)"
+            "ts", "'' AS label",
+            "stack(3, 'freshness', top * 1000, 'query_success', if(failed, 0D, 1D), 'snapshot', snapshots) AS (metric, value)"
         )
     )
     return by_type.unionByName(overall).select("ts", "metric", "label", "value")

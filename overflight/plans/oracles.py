@@ -6,11 +6,14 @@ what the queries compute on JSON documents made of them.
 
 from __future__ import annotations
 
+# A snapshot is due every ten minutes and comes up to 40 seconds late.
+_SNAPSHOT = """time_bucket(INTERVAL '10 minutes', ts) + to_seconds(
+           (CAST(epoch(time_bucket(INTERVAL '10 minutes', ts)) AS BIGINT) // 600 * 7) % 41)"""
+
 # One row per event with the fields of its state vector.
 VECTORS = """
 vectors AS (
-  SELECT event_id, ts, time_bucket(INTERVAL '10 minutes', ts) AS snapshot_time,
-         event_id // 65536 AS zone,
+  SELECT event_id, ts, """ + _SNAPSHOT + """ AS snapshot_time,
          lower(to_hex(user_id)) AS icao24,
          CASE WHEN event_id % 17 = 0 THEN NULL ELSE event_type END AS callsign,
          'Country ' || (user_id % 7) AS origin_country,
@@ -31,10 +34,10 @@ vectors AS (
   FROM events
 )"""
 
-# Bronze rows: one document per snapshot and id range.
+# One row per snapshot.
 BRONZE = """
 bronze AS (
-  SELECT time_bucket(INTERVAL '10 minutes', ts) AS snapshot_time, event_id // 65536 AS zone,
+  SELECT """ + _SNAPSHOT + """ AS snapshot_time,
          CAST(time_bucket(INTERVAL '10 minutes', ts) AS DATE) AS dt, count(*) AS vectors,
          CAST(CAST(time_bucket(INTERVAL '10 minutes', ts) AS DATE) + 1 AS TIMESTAMP) AS loaded_at
   FROM events GROUP BY ALL
@@ -61,7 +64,7 @@ coverage AS (
   FROM states GROUP BY dt
 ),
 areas(region, area_sqdeg) AS (
-  VALUES ('ukraine', CAST(338 AS BIGINT)), ('middle_east', CAST(540 AS BIGINT)), ('west_europe', CAST(70 AS BIGINT))
+  VALUES ('ukraine', 338.0::DOUBLE), ('middle_east', 540.0::DOUBLE), ('west_europe', 70.0::DOUBLE)
 ),
 region_mart AS (
   SELECT s.dt, s.snapshot_time, s.region, count(*) AS aircraft_count, a.area_sqdeg,
@@ -98,7 +101,8 @@ by_type AS (
 ),
 overall AS (
   SELECT h, max(value) AS top, count(*) FILTER (event_type = 'error') AS errors,
-         count(*) FILTER (event_type = 'view') AS views
+         count(*) FILTER (event_type = 'view') AS views,
+         count(DISTINCT time_bucket(INTERVAL '10 minutes', ts)) * 24.0::DOUBLE AS snapshots
   FROM hourly GROUP BY h
 ),
 series AS (
@@ -106,9 +110,10 @@ series AS (
   UNION ALL SELECT h, 'density', event_type, mean FROM by_type
   UNION ALL SELECT h, 'freshness', '', top * 1000 FROM overall
   UNION ALL SELECT h, 'query_success', '', CASE WHEN errors > views THEN 0.0 ELSE 1.0 END::DOUBLE FROM overall
+  UNION ALL SELECT h, 'snapshot', '', snapshots FROM overall
 )"""
 
-ALERTS = SERIES + """,
+_OWN_RULES = """
 samples AS (
   SELECT 'bronze_stale' AS alert, '' AS instance, ts, value, value > 100000 AS holds, 3600 AS hold_s,
          'critical' AS severity, 'overflight' AS team
@@ -125,7 +130,25 @@ samples AS (
   UNION ALL
   SELECT 'other_team', label, ts, value, value >= 60, 0, 'warning', 'someone-else'
   FROM series WHERE metric = 'density'
-),
+)"""
+
+_DECLARED_RULES = """
+samples AS (
+  SELECT 'bronze_stale' AS alert, '' AS instance, ts, value, value > 172800 AS holds, 600 AS hold_s,
+         'critical' AS severity, 'overflight' AS team
+  FROM series WHERE metric = 'freshness'
+  UNION ALL
+  SELECT 'metrics_query_failed', '', ts, value, value = 0, 600, 'warning', 'overflight'
+  FROM series WHERE metric = 'query_success'
+  UNION ALL
+  SELECT 'snapshot_incomplete', '', ts, min(value), min(value) < 115, 600, 'warning', 'overflight'
+  FROM series WHERE metric = 'snapshot' GROUP BY ts
+  UNION ALL
+  SELECT 'low_coverage', '', ts, min(value), min(value) < 0.8, 600, 'warning', 'overflight'
+  FROM series WHERE metric = 'coverage' GROUP BY ts
+)"""
+
+_TIMELINE = """,
 numbered AS (
   SELECT *, row_number() OVER w AS n,
          coalesce(sum(CASE WHEN holds THEN 0 ELSE 1 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS falses
@@ -145,53 +168,34 @@ timeline AS (
   FROM numbered n JOIN runs r USING (alert, instance, falses)
 )"""
 
+ALERTS = SERIES + "," + _OWN_RULES + _TIMELINE
+_CHANGES = """,
+runs_told AS (
+  SELECT alert, instance, severity, team, active_since, state, min(ts) AS ts, arg_min(value, ts) AS value
+  FROM timeline WHERE state IN ('firing', 'resolved') GROUP BY ALL
+)"""
+
 TIMELINE = f"""WITH {ALERTS}
 SELECT alert, instance, ts, value, state, active_since, severity FROM timeline"""
 
-# A group is open from the first firing sample of an instance to the first
-# moment no instance fires; looks happen 30 s after that start, then every 5 min.
-NOTIFICATIONS = f"""WITH {ALERTS},
-episodes AS (
-  SELECT alert, severity, instance, active_since, min(ts) FILTER (state = 'firing') AS start,
-         max(ts) FILTER (state = 'firing') AS last, min(ts) FILTER (state = 'resolved') AS stop
-  FROM timeline WHERE state IN ('firing', 'resolved') AND team = 'overflight' GROUP BY ALL
-),
-spans AS (
-  SELECT *, coalesce(start >= max(coalesce(stop, TIMESTAMP '9999-01-01')) OVER (
-              PARTITION BY alert ORDER BY start, instance ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS opens
-  FROM episodes
-),
-grouped AS (
-  SELECT *, max(CASE WHEN opens THEN start END) OVER (PARTITION BY alert ORDER BY start, instance) AS group_start FROM spans
-),
-looks AS (
-  SELECT *, epoch(group_start) + 30 + 300 * greatest(ceil((epoch(start) - epoch(group_start) - 30) / 300.0), 0) AS on_at,
-         epoch(group_start) + 30 + 300 * greatest(ceil((epoch(stop) - epoch(group_start) - 30) / 300.0), 0) AS off_at
-  FROM grouped
-),
-seen AS (SELECT * FROM looks WHERE stop IS NULL OR off_at > on_at),
-edges AS (
-  SELECT alert, severity, group_start, on_at AS look_at, 1 AS ons, 0 AS offs, last FROM seen
-  UNION ALL
-  SELECT alert, severity, group_start, off_at, 0, 1, last FROM seen WHERE stop IS NOT NULL
-),
-changes AS (
-  SELECT alert, severity, group_start, look_at, sum(ons) AS ons, sum(offs) AS offs, max(last) AS last FROM edges GROUP BY ALL
-),
-spread AS (
-  SELECT *, sum(ons - offs) OVER w AS open,
-         coalesce(lead(look_at) OVER w - 1, epoch(max(last) OVER (PARTITION BY alert, group_start))) AS until
-  FROM changes WINDOW w AS (PARTITION BY alert, group_start ORDER BY look_at)
-),
-sent AS (
-  SELECT *, unnest(CASE WHEN open > 0 AND until > look_at
-                        THEN generate_series(0, CAST(floor((until - look_at) / 14400) AS BIGINT)) ELSE [0] END) AS k
-  FROM spread
-)
-SELECT alert, severity, group_start, make_timestamp(CAST((look_at + k * 14400) * 1000000 AS BIGINT)) AS notified_at,
-       CASE WHEN k > 0 THEN 'repeat' WHEN ons > 0 THEN 'firing' ELSE 'resolved' END AS kind,
-       CAST(open AS BIGINT) AS firing_instances, upper(severity) || ' | ' || alert AS title
-FROM sent"""
+NOTIFICATIONS = f"""WITH {ALERTS}{_CHANGES}
+SELECT alert, instance, severity, state, ts, active_since, upper(severity) || ' | ' || alert AS title
+FROM runs_told WHERE team = 'overflight'"""
+
+DECLARED_RULES = f"""WITH {SERIES},{_DECLARED_RULES}{_TIMELINE}{_CHANGES},
+summaries(alert, summary) AS (VALUES ('bronze_stale', 'no bronze load for 48 h'),
+  ('metrics_query_failed', 'metrics are not being refreshed'), ('snapshot_incomplete', 'a day has fewer than 115 snapshots'),
+  ('low_coverage', 'a region''s coverage is below 0.8')),
+shown AS (SELECT *, CAST(floor(value) AS BIGINT) AS s FROM runs_told)
+SELECT alert, instance, state, ts, upper(severity) || ' | ' || alert AS title, summary || ' (value ' || CASE
+    WHEN alert <> 'bronze_stale' THEN CAST(round(value, 3) AS VARCHAR)
+    WHEN s >= 86400 THEN printf('%dd %dh %dm %ds', s // 86400, s % 86400 // 3600, s % 3600 // 60, s % 60)
+    WHEN s >= 3600 THEN printf('%dh %dm %ds', s // 3600, s % 3600 // 60, s % 60)
+    ELSE printf('%dm %ds', s // 60, s % 60) END || ')' AS text
+FROM shown JOIN summaries USING (alert)"""
+
+LOADED = f"""WITH {BRONZE} SELECT dt, count(DISTINCT snapshot_time) AS snapshots, CAST(sum(vectors) AS BIGINT) AS vectors
+FROM bronze GROUP BY dt"""
 
 REGION_DENSITY = f"""WITH {MARTS}
 SELECT snapshot_time, region, aircraft_count, area_sqdeg, density, coverage_pct FROM region_mart"""
@@ -273,6 +277,40 @@ _DQ = [
         for key in ("o_orderkey", "o_custkey")
     ],
 ]
+_REGIONS = "('ukraine', 'middle_east', 'west_europe', 'other')"
+
+
+def _known(*columns: str) -> list[tuple[str, str, str, str]]:
+    return [("not_null", column, "error", f"{column} IS NULL") for column in columns]
+
+
+def _ranges(**bounds: str) -> list[tuple[str, str, str, str]]:
+    return [("accepted_range", column, "error", f"NOT ({column} {bound})") for column, bound in bounds.items()]
+
+
+_CELLS = [
+    *_known("dt", "region", "cell_lon", "cell_lat", "aircraft_count"),
+    ("accepted_values", "region", "error", f"region NOT IN {_REGIONS}"),
+    *_ranges(cell_lon="BETWEEN -10 AND 70", cell_lat="BETWEEN 18 AND 60", aircraft_count=">= 1"),
+]
+# Every declared check, relation by relation.
+_BUILD = [
+    *_dq("region_area", _known("region", "area_sqdeg"), "areas"),
+    "SELECT 'region_area', 'unique', 'region', 'error', (SELECT count(*) FROM (SELECT region FROM areas GROUP BY region HAVING count(*) > 1))",
+    *_DQ[:9],
+    *_dq("region_density", [
+        *_known("snapshot_time", "region", "aircraft_count", "area_sqdeg", "density"),
+        ("accepted_values", "region", "error", "region NOT IN ('ukraine', 'middle_east', 'west_europe')"),
+        *_ranges(aircraft_count=">= 0", area_sqdeg=">= 1", density=">= 0"),
+    ], "region_mart"),
+    *_dq("aircraft_points", [
+        *_known("snapshot_bucket", "region", "longitude", "latitude"),
+        ("accepted_values", "region", "error", f"region NOT IN {_REGIONS}"),
+        *_ranges(longitude="BETWEEN -180 AND 180", latitude="BETWEEN -90 AND 90"),
+    ], "points"),
+    *_dq("grid_density", [*_CELLS, *_known("coverage_pct"), *_ranges(coverage_pct=">= 0")], "grid_mart"),
+    *_dq("grid_counts", _CELLS, "grid"),
+]
 _STATUS = "CASE WHEN failing_rows = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'error' END AS status"
 
 _STEPS = """CASE WHEN kind = 'freshness' THEN CASE WHEN value >= 172800 THEN 'red' WHEN value >= 129600 THEN 'yellow' ELSE 'green' END
@@ -282,7 +320,7 @@ _STEPS = """CASE WHEN kind = 'freshness' THEN CASE WHEN value >= 172800 THEN 're
 
 ORACLES: dict[str, str] = {
     "stage_states": f"WITH {STATES} SELECT * EXCLUDE (dt) FROM states",
-    "snapshot_sizes": f"WITH {BRONZE} SELECT snapshot_time, 'zone' || zone AS region, vectors AS aircraft FROM bronze",
+    "snapshot_sizes": f"WITH {BRONZE} SELECT snapshot_time, 'global' AS region, vectors AS aircraft FROM bronze",
     "cast_quarantine": f"""WITH {VECTORS} SELECT snapshot_time, 'last_contact' AS failed_fields, count(*) AS vectors
         FROM vectors WHERE position_source = 3 GROUP BY snapshot_time""",
     "daily_coverage": f"WITH {MARTS} SELECT dt, snapshots_observed, coverage_pct FROM coverage",
@@ -316,6 +354,14 @@ ORACLES: dict[str, str] = {
         SELECT region, mean_density,
                round((SELECT mean_density FROM means WHERE region = 'west_europe') / nullif(mean_density, 0), 1) AS times_lower
         FROM means""",
+    "region_density_boxes": f"""WITH {MARTS},
+        boxed AS (SELECT * REPLACE (CASE WHEN longitude BETWEEN 2.5 AND 14.25 AND latitude BETWEEN 45.5 AND 52.75 THEN 'north'
+            WHEN longitude BETWEEN 10 AND 40.5 AND latitude BETWEEN 30.25 AND 46.5 THEN 'south' ELSE 'other' END AS region) FROM states),
+        own(region, area_sqdeg) AS (VALUES ('north', 11.75::DOUBLE * 7.25::DOUBLE), ('south', 30.5::DOUBLE * 16.25::DOUBLE))
+        SELECT snapshot_time, region, count(*) AS aircraft_count, area_sqdeg,
+               round(CAST(count(*) AS DOUBLE) / area_sqdeg, 4) AS density, coverage_pct
+        FROM boxed JOIN own USING (region) JOIN coverage USING (dt)
+        WHERE on_ground = false AND position_source = 0 GROUP BY snapshot_time, region, area_sqdeg, coverage_pct""",
     "source_profile": MEDIANS,
     "source_first_seen": f"""WITH {STATES} SELECT position_source, min(dt) AS first_day, max(dt) AS last_day,
         count(DISTINCT dt) AS days_seen FROM states GROUP BY position_source""",
@@ -356,7 +402,8 @@ ORACLES: dict[str, str] = {
         moments(as_of, oldest, latest) AS (
           VALUES (TIMESTAMP '2024-01-31 12:00:00', DATE '2024-01-30', DATE '2024-01-30'),
                  (TIMESTAMP '2024-02-01 00:30:00', DATE '2024-01-30', DATE '2024-01-31'),
-                 (TIMESTAMP '2024-02-01 01:30:00', DATE '2024-01-31', DATE '2024-01-31'))
+                 (TIMESTAMP '2024-02-01 01:30:00', DATE '2024-01-31', DATE '2024-01-31'),
+                 (TIMESTAMP '2024-02-01 00:45:00', DATE '2024-01-30', DATE '2024-01-31'))
         SELECT newest, newest_day, CASE WHEN newest_day BETWEEN oldest AND latest THEN 'ok' ELSE 'stale' END AS status, as_of
         FROM newest CROSS JOIN moments""",
     "freshness_status": f"""WITH {BRONZE},
@@ -379,6 +426,11 @@ ORACLES: dict[str, str] = {
         all_metrics AS (SELECT * FROM metrics UNION ALL SELECT 'query_success', '', 1.0::DOUBLE)
         SELECT TIMESTAMP '2024-01-31 12:00:00' AS ts, kind AS metric, label, round(value, 6) AS value, {_STEPS} AS status
         FROM all_metrics WHERE value IS NOT NULL""",
+    "metric_refresh": f"""{QUALITY}
+        SELECT TIMESTAMP '2024-01-31 12:05:00' AS ts, kind AS metric, label,
+               CASE WHEN kind = 'freshness' THEN value + 300 ELSE round(value, 6) END AS value FROM metrics WHERE value IS NOT NULL
+        UNION ALL SELECT TIMESTAMP '2024-01-31 12:05:00', 'last_success', '', epoch(TIMESTAMP '2024-01-31 12:05:00')
+        UNION ALL SELECT TIMESTAMP '2024-01-31 12:10:00', 'query_success', '', 0.0::DOUBLE""",
     "metric_minimum": f"WITH {SERIES} SELECT ts, metric, min(value) AS value FROM series GROUP BY ts, metric",
     "last_not_null": """SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS label, max(ts) AS ts,
         arg_max(value, ts) AS value FROM events WHERE event_id % 3 <> 0 GROUP BY event_type, user_id""",
@@ -390,11 +442,12 @@ ORACLES: dict[str, str] = {
         '' AS column_name, 'warn' AS severity, count(*) AS failing_rows FROM few) SELECT *, {_STATUS} FROM results""",
     "alert_timeline": TIMELINE,
     "alert_notifications": NOTIFICATIONS,
+    "declared_rules": DECLARED_RULES,
     "heartbeat_gaps": """WITH seen AS (
           SELECT user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_seen FROM events),
         gaps AS (SELECT user_id, ts AS last_seen, next_seen,
                         epoch_us(coalesce(next_seen, TIMESTAMP '2024-01-31 12:00:00')) - epoch_us(ts) AS silence FROM seen)
-        SELECT user_id, last_seen, date_trunc('second', last_seen) + INTERVAL '6 hours' AS down_at, next_seen,
+        SELECT user_id, last_seen, last_seen + INTERVAL '6 hours' AS down_at, next_seen,
                CAST(silence // 1000000 AS BIGINT) AS silent_seconds
         FROM gaps WHERE silence > 21600000000""",
     "classify_failures": """WITH f AS (
@@ -410,24 +463,27 @@ ORACLES: dict[str, str] = {
         SELECT dt, count(*) AS orders, round(sum(o_totalprice), 2) AS price FROM (
           SELECT dt, o_totalprice * 2 AS o_totalprice FROM urgent
           UNION ALL SELECT dt, o_totalprice FROM o WHERE dt NOT IN (SELECT dt FROM urgent)) GROUP BY dt""",
-    "backfill": f"""WITH {BRONZE} SELECT dt, count(*) AS documents, count(DISTINCT snapshot_time) AS snapshots,
-        CAST(sum(vectors) AS BIGINT) AS vectors FROM bronze GROUP BY dt""",
+    "backfill": LOADED,
+    "load_quarantine": f"""WITH {BRONZE},
+        numbered AS (SELECT CAST(epoch(snapshot_time) AS BIGINT) // 600 AS n FROM bronze)
+        SELECT 'loaded' AS outcome, count(*) AS snapshots FROM numbered WHERE n % 5 <> 0 AND n % 7 <> 0
+        UNION ALL SELECT 'quarantined', count(*) FROM numbered WHERE n % 5 = 0 OR n % 7 = 0""",
     "ingest_status": """SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes FROM events
         WHERE CAST(ts AS DATE) = DATE '2024-01-30'""",
     "daily_build": f"""WITH {GRID_MART},
         sizes AS (SELECT 'region_density' AS relation, count(*) AS rows, count(DISTINCT dt) AS days FROM region_mart
           UNION ALL SELECT 'grid_density', count(*), count(DISTINCT dt) FROM grid_mart
-          UNION ALL SELECT 'aircraft_points', count(*), count(DISTINCT CAST(snapshot_time AS DATE)) FROM points)
-        SELECT *, CAST(0 AS BIGINT) AS failing_rows FROM sizes""",
+          UNION ALL SELECT 'aircraft_points', count(*), count(DISTINCT CAST(snapshot_time AS DATE)) FROM points),
+        checks AS ({' UNION ALL '.join(_BUILD)})
+        SELECT sizes.*, CAST(sum(failing_rows) AS BIGINT) AS failing_rows FROM sizes JOIN checks USING (relation) GROUP BY ALL""",
+    "build_checks": f"WITH {GRID_MART}, results AS ({' UNION ALL '.join(_BUILD)}) SELECT *, {_STATUS} FROM results",
     "stream_region_density": f"""WITH {MARTS}
-        SELECT snapshot_time AS window_start, region, aircraft_count, area_sqdeg, density FROM region_mart""",
-    "stream_frames": f"""WITH {STATES}
-        SELECT time_bucket(INTERVAL '30 minutes', snapshot_time) AS frame, region, count(*) AS aircraft_count
-        FROM states WHERE on_ground = false AND position_source = 0 GROUP BY ALL""",
+        SELECT snapshot_time, region, aircraft_count, area_sqdeg, density FROM region_mart""",
+    "stream_frames": f"""WITH {MARTS}
+        SELECT snapshot_bucket AS frame, region, count(*) AS aircraft_count FROM points GROUP BY ALL""",
     "stream_coverage": f"""WITH {MARTS} SELECT dt, snapshots_observed, coverage_pct FROM coverage
         WHERE CAST(dt + 1 AS TIMESTAMP) <= (SELECT max(snapshot_time) - INTERVAL '1 hour' FROM states)""",
-    "stream_ingest": f"""WITH {BRONZE} SELECT dt, count(*) AS documents, count(DISTINCT snapshot_time) AS snapshots
-        FROM bronze GROUP BY dt""",
+    "stream_ingest": LOADED,
     "stream_late_reload": REGION_DENSITY,
     "stream_alerts": TIMELINE,
 }

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overflight.config import Config
+from overflight.functions.timeparts import utc
 from overflight.operators import density, metrics, points, quality, staging
 from overflight.operators.completeness import freshness_status, incomplete_days
 from overflight.sources.bronze import read_bronze
@@ -79,11 +82,12 @@ def _store(df: DataFrame, path: str, days: Sequence[date] | None, clustered: boo
     return stored if days is None else stored.where(F.col("dt").isin(list(days)))
 
 
-def mart_layers(spark: SparkSession, layout: Layout, cfg: Config, stg: DataFrame, days: Sequence[date] | None) -> dict:
+def mart_layers(
+    spark: SparkSession, layout: Layout, cfg: Config, stg: DataFrame, days: Sequence[date] | None, areas: DataFrame
+) -> dict[str, DataFrame]:
     """Build the marts from stored staging. All of them are per day, so the
     affected days alone give the same result as a full refresh."""
     coverage = _store(density.daily_coverage(stg, cfg.expected_snapshots), layout.coverage, days)
-    areas = region_area(spark, cfg.regions)
     region = density.region_density(stg, areas, coverage, sources=cfg.sources)
     grid = density.grid_mart(stg, coverage, cfg.cell_deg, cfg.sources)
     frames = points.aircraft_points(stg, cfg.frame_minutes, cfg.frame_seconds, cfg.sources)
@@ -96,46 +100,71 @@ def mart_layers(spark: SparkSession, layout: Layout, cfg: Config, stg: DataFrame
     }
 
 
+def check_layers(areas: DataFrame, layers: Mapping[str, DataFrame]) -> DataFrame:
+    """The result of every declared check on stored layers. The counts behind
+    the grid mart are the mart without its coverage."""
+    tables = {"region_area": areas, **layers}
+    if "grid_density" in layers:
+        tables["grid_counts"] = layers["grid_density"].drop("coverage_pct")
+    declared = quality.declared_checks()
+    return reduce(DataFrame.unionByName, [quality.run_checks(df, declared[name], name) for name, df in tables.items()])
+
+
+def checked_layers(
+    spark: SparkSession, layout: Layout, cfg: Config, days: Sequence[date] | None = None, areas: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Staging -> staging checks -> marts -> mart checks, the one way in which
+    layers are built, in full or for the days that changed.
+
+    Marts are written before they can be checked; a failing check of severity
+    error stops the run and everything that would follow.
+    """
+    areas = region_area(spark, cfg.regions) if areas is None else areas
+    stg = stage_layer(spark, layout, cfg, days)
+    quality.run_gates([check_layers(areas, {"states": stg})])
+    marts = mart_layers(spark, layout, cfg, stg, days, areas)
+    quality.run_gates([check_layers(areas, marts)])
+    return {"states": stg, **marts}
+
+
 def build(
     spark: SparkSession,
     layout: Layout,
     cfg: Config = Config(),
     days: Sequence[date] | None = None,
     as_of: datetime | None = None,
+    areas: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Gates -> staging -> staging checks -> marts -> mart checks -> metrics.
 
-    ``days`` limits the run to these days; None rebuilds everything. With
-    ``as_of`` the gates run first and metrics are taken last. A failing check
-    of severity error stops what comes after it.
+    ``days`` limits the run to these days; None rebuilds everything. The gates
+    and the metrics look at the tables as of ``as_of``, by default now.
+    ``areas`` replaces the areas of the configured boxes, such as a table read
+    by ``read_region_area``. A failing check of severity error stops what comes
+    after it.
+    """
+    as_of = as_of or datetime.now(timezone.utc)
+    quality.run_gates(gate_results(spark, layout, cfg, as_of))
+    layers = checked_layers(spark, layout, cfg, days, areas)
+    refresh_metrics(spark, layout, as_of)
+    return layers
+
+
+def refresh_metrics(spark: SparkSession, layout: Layout, as_of: datetime, into: str | None = None) -> bool:
+    """Take the metrics and store them with ``query_success`` 1 and the time of
+    this success; if they cannot be taken, store ``query_success`` 0 alone and
+    carry on. The metrics are a row per day of the window and per region; they
+    are taken before the write, whose own failure is not caught. ``into`` names
+    another metric table than the layout's.
     """
-    declared = quality.declared_checks()
-    areas = region_area(spark, cfg.regions)
-    first = [quality.run_checks(areas, declared["region_area"], "region_area")]
-    if as_of is not None:
-        first += gate_results(spark, layout, cfg, as_of)
-    quality.run_gates(first)
-    stg = stage_layer(spark, layout, cfg, days)
-    quality.run_gates([quality.run_checks(stg, declared["states"], "states")])
-    marts = mart_layers(spark, layout, cfg, stg, days)
-    quality.run_gates([quality.run_checks(df, declared[name], name) for name, df in marts.items()])
-    if as_of is not None:
-        refresh_metrics(spark, layout, as_of)
-    return {"states": stg, **marts}
-
-
-def refresh_metrics(spark: SparkSession, layout: Layout, as_of: datetime) -> bool:
-    """Take the metrics and store them with ``query_success`` 1; if they cannot
-    be taken, store ``query_success`` 0 alone and carry on."""
-    mart_path = layout.mart("region_density")
     try:
-        taken = metrics.quality_metrics(read_bronze(spark, layout.bronze), spark.read.parquet(mart_path), as_of)
-        metrics.write_metrics(taken.unionByName(_success(spark, 1.0)), as_of, layout.metrics)
-        return True
+        mart = spark.read.parquet(layout.mart("region_density"))
+        taken = metrics.quality_metrics(read_bronze(spark, layout.bronze), mart, as_of).collect()
     except Exception:  # any failed query is the event to record
-        metrics.write_metrics(_success(spark, 0.0), as_of, layout.metrics)
-        return False
-
-
-def _success(spark: SparkSession, value: float) -> DataFrame:
-    return literal_table(spark, [(metrics.QUERY_SUCCESS, "", value)], "kind STRING, label STRING, value DOUBLE")
+        logging.getLogger(__name__).exception("metrics could not be taken")
+        rows = [(metrics.QUERY_SUCCESS, "", 0.0)]
+    else:
+        rows = [(metrics.QUERY_SUCCESS, "", 1.0), (metrics.LAST_SUCCESS, "", utc(as_of).replace(tzinfo=timezone.utc).timestamp()), *map(tuple, taken)]
+    tick = literal_table(spark, rows, "kind STRING, label STRING, value DOUBLE")
+    metrics.write_metrics(tick, as_of, into or layout.metrics)
+    return len(rows) > 1

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from overflight.config import REGIONS, Config
+from overflight.config import REGIONS, Box, Config
 from overflight.functions import status, timeparts
 from overflight.operators import alerts, boxes, completeness, density, metrics, points, profile, quality, staging
 from overflight.plans import pipeline
-from overflight.plans.events import bronze_from_events, hourly_series, raw_documents, read_events, read_table
+from overflight.plans.events import REGION, bronze_from_events, hourly_series, raw_documents, read_events, read_table
 from overflight.session import configure, scratch_path
 from overflight.sources import bronze as bronze_source, raw as raw_source
-from overflight.sources.reference import box_table, literal_table, region_area
+from overflight.sources.reference import box_table, literal_table, read_region_area, region_area
 from overflight.sources.storage import materialize, write_days
 from overflight.streaming import aggregates, alert_jobs, arrivals
 
@@ -24,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 CFG = Config()
 AS_OF = datetime(2024, 1, 31, 12, 0)  # the events end on 2024-01-30
-FIRST_DAY, LAST_DAY = date(2024, 1, 1), date(2024, 1, 30)
+LAST_DAY = date(2024, 1, 30)
 
 # Rules for the hourly series of the events.
 RULES = (
@@ -95,7 +96,7 @@ def stage_states(spark, sf_dir):
 @query
 def snapshot_sizes(spark, sf_dir):
     bronze = bronze_from_events(spark, sf_dir)
-    return bronze.select("snapshot_time", "region", staging.state_count("raw").cast("bigint").alias("aircraft"))
+    return bronze.groupBy("snapshot_time", "region").agg(F.sum(staging.state_count("raw")).cast("bigint").alias("aircraft"))
 
 
 @query
@@ -193,6 +194,14 @@ def source_first_seen(spark, sf_dir):
     return profile.source_first_seen(_staged(spark, sf_dir))
 
 
+@query
+def region_density_boxes(spark, sf_dir):
+    """Density in boxes whose sides are no whole degrees."""
+    own = (Box("north", 2.5, 14.25, 45.5, 52.75), Box("south", 10.0, 40.5, 30.25, 46.5))
+    stg = boxes.assign_box(_staged(spark, sf_dir).drop("region"), box_table(spark, own))
+    return density.region_density(stg, region_area(spark, own), expected=CFG.expected_snapshots).drop("dt")
+
+
 # --- boxes -------------------------------------------------------------------
 
 
@@ -260,7 +269,8 @@ def daily_health(spark, sf_dir):
 @query
 def mart_freshness(spark, sf_dir):
     mart = _stored_mart(spark, bronze_from_events(spark, sf_dir))
-    moments = (AS_OF, datetime(2024, 2, 1, 0, 30), datetime(2024, 2, 1, 1, 30))
+    seoul = timezone(timedelta(hours=9))
+    moments = (AS_OF, datetime(2024, 2, 1, 0, 30), datetime(2024, 2, 1, 1, 30), datetime(2024, 2, 1, 9, 45, tzinfo=seoul))
     checked = [
         completeness.mart_freshness(mart, at, CFG.mart_ready_minute).withColumn("as_of", timeparts.instant(at))
         for at in moments
@@ -315,6 +325,22 @@ def metric_panels(spark, sf_dir):
     return current.select("ts", "metric", "label", F.round("value", 6).alias("value"), shown.alias("status"))
 
 
+@query
+def metric_refresh(spark, sf_dir):
+    """The metric table after two refreshes, one of them repeated, and a third
+    that fails for want of a mart: the last good values stay."""
+    layout = pipeline.Layout(scratch_path(spark, "refresh"))
+    write_days(bronze_from_events(spark, sf_dir), layout.bronze)
+    mart = _density(spark, staging.stage(bronze_source.read_bronze(spark, layout.bronze), CFG))
+    materialize(mart, "region_density", "table", path=layout.mart("region_density"))
+    pace = timedelta(minutes=5)
+    for tick in (AS_OF, AS_OF + pace, AS_OF + pace):
+        pipeline.refresh_metrics(spark, layout, tick)
+    without = replace(layout, env="trial")  # no marts there
+    pipeline.refresh_metrics(spark, without, AS_OF + 2 * pace, into=layout.metrics)
+    return metrics.read_current(spark, layout.metrics).withColumn("value", F.round("value", 6))
+
+
 @query
 def metric_minimum(spark, sf_dir):
     return metrics.metric_min(_series(spark, sf_dir))
@@ -397,7 +423,17 @@ def alert_timeline(spark, sf_dir):
 
 @query
 def alert_notifications(spark, sf_dir):
-    return alerts.throttle_notifications(_stored(_states(spark, sf_dir), "alert_states"))
+    """What one team is told: starts and ends of firing."""
+    told = alerts.state_changes(alerts.routed(_states(spark, sf_dir), "overflight"))
+    return told.select("alert", "instance", "severity", "state", "ts", "active_since", "title")
+
+
+@query
+def declared_rules(spark, sf_dir):
+    """The declared rules on the stored series, with the text of each change."""
+    series = _stored(_series(spark, sf_dir), "series")
+    told = alerts.state_changes(alerts.evaluate_alerts(series, alerts.rule_table(spark)))
+    return told.select("alert", "instance", "state", "ts", "title", "text")
 
 
 @query
@@ -445,19 +481,38 @@ def partition_replace(spark, sf_dir):
 def backfill(spark, sf_dir):
     """Raw files on disk, loaded over the whole date range and then again."""
     root, table = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
-    documents = raw_documents(read_events(spark, sf_dir))
+    events = read_events(spark, sf_dir)
+    documents = raw_documents(events)
     raw_source.land_raw(documents, root)
     raw_source.land_raw(documents, root)  # the same snapshots land again
+    first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
     for _ in range(2):
-        bronze_source.backfill(spark, root, table, FIRST_DAY, LAST_DAY, pattern="*.txt", packed=True)
-    bronze = bronze_source.read_bronze(spark, table)
+        bronze_source.backfill(spark, root, table, first, last, regions=[REGION], pattern="*.txt", packed=True)
+    return _loaded(bronze_source.read_bronze(spark, table))
+
+
+def _loaded(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("dt").agg(
-        F.count("*").alias("documents"),
-        F.countDistinct("snapshot_time").alias("snapshots"),
-        F.sum(staging.state_count("raw")).alias("vectors"),
+        F.countDistinct("region", "snapshot_time").alias("snapshots"),
+        F.sum(staging.state_count("raw")).cast("bigint").alias("vectors"),
     )
 
 
+@query
+def load_quarantine(spark, sf_dir):
+    """Documents of which some are glued together and some cut short: what a
+    tolerant load takes and what it sets aside."""
+    documents = raw_documents(read_events(spark, sf_dir))
+    number = F.floor(F.get_json_object("value", "$.time").cast("bigint") / 600)
+    value = F.col("value")
+    spoilt = documents.withColumn("value", F.when(number % 5 == 0, F.concat(value, value)).when(
+        number % 7 == 0, F.substring(value, F.lit(1), F.length(value) - 2)).otherwise(value))
+    loaded = bronze_source.to_bronze(spoilt, mode="PERMISSIVE").select("snapshot_time").distinct()
+    aside = bronze_source.quarantine(spoilt).select(F.regexp_extract("value", '"time":([0-9]+)', 1).alias("time")).distinct()
+    count = lambda df, name: df.agg(F.lit(name).alias("outcome"), F.count("*").alias("snapshots"))
+    return count(loaded, "loaded").unionByName(count(aside, "quarantined"))
+
+
 @query
 def ingest_status(spark, sf_dir):
     """The landed raw files of the last day as a listing; file times and sizes
@@ -474,11 +529,10 @@ def daily_build(spark, sf_dir):
     layout = pipeline.Layout(scratch_path(spark, "lake"))
     write_days(bronze_from_events(spark, sf_dir), layout.bronze)
     pipeline.build(spark, layout, CFG, as_of=AS_OF)
-    built = pipeline.build(spark, layout, CFG, days=[date(2024, 1, d) for d in (3, 4, 30)])
-    declared = quality.declared_checks()
+    built = pipeline.build(spark, layout, CFG, days=[date(2024, 1, d) for d in (3, 4, 30)], as_of=AS_OF)
     tables = {name: spark.read.parquet(layout.mart(name)) for name in built if name != "states"}
-    checked = [quality.run_checks(df, declared[name], name) for name, df in tables.items()]
-    failing = reduce(DataFrame.unionByName, checked).groupBy("relation").agg(F.sum("failing_rows").alias("failing_rows"))
+    checks = pipeline.check_layers(region_area(spark), tables)
+    failing = checks.groupBy("relation").agg(F.sum("failing_rows").alias("failing_rows"))
     sizes = reduce(
         DataFrame.unionByName,
         [
@@ -489,6 +543,17 @@ def daily_build(spark, sf_dir):
     return sizes.join(failing, "relation")
 
 
+@query
+def build_checks(spark, sf_dir):
+    """All declared checks on layers built with the areas of a reference file."""
+    layout, seed = pipeline.Layout(scratch_path(spark, "lake")), scratch_path(spark, "areas")
+    write_days(bronze_from_events(spark, sf_dir), layout.bronze)
+    region_area(spark).coalesce(1).write.option("header", True).csv(seed)
+    areas = read_region_area(spark, seed)
+    layers = pipeline.build(spark, layout, CFG, as_of=AS_OF, areas=areas)
+    return pipeline.check_layers(areas, layers)
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -504,8 +569,8 @@ def stream_region_density(spark, sf_dir):
     out = scratch_path(spark, "updates")
     writer = counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out))
     arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
-    schema = "window_start TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg BIGINT, density DOUBLE"
-    return aggregates.read_latest(spark, out, ["window_start", "region"], schema)
+    schema = "snapshot_time TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg DOUBLE, density DOUBLE"
+    return aggregates.read_latest(spark, out, ["snapshot_time", "region"], schema)
 
 
 @query
@@ -529,29 +594,28 @@ def stream_coverage(spark, sf_dir):
 
 @query
 def stream_ingest(spark, sf_dir):
-    """Raw files as they land, each snapshot once, although all land twice."""
-    root, out = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
-    documents = raw_documents(read_events(spark, sf_dir))
-    raw_source.land_raw(documents, root)
-    raw_source.land_raw(documents, root)
-    arriving = arrivals.ingest(spark, root, pattern="*.txt", wholetext=False, delay="40 days")
-    writer = arriving.writeStream.outputMode("append").format("parquet").partitionBy("dt").option("path", out)
-    arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
-    bronze = bronze_source.read_bronze(spark, out)
-    return bronze.groupBy("dt").agg(F.count("*").alias("documents"), F.countDistinct("snapshot_time").alias("snapshots"))
+    """Raw files as they land. Every snapshot lands first with some of its
+    vectors and then in full; the later copy counts."""
+    root, out, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
+    events = read_events(spark, sf_dir)
+    for part in (events.where("event_id % 3 <> 0"), events):
+        raw_source.land_raw(raw_documents(part), root)
+        arrivals.ingest(spark, root, out, checkpoint, pattern="*.txt", packed=True)
+    return _loaded(bronze_source.read_bronze(spark, out))
 
 
 @query
 def stream_late_reload(spark, sf_dir):
-    """A third of the documents land a run later; their days are reloaded and the
-    marts rebuilt, which must equal a build from complete data."""
+    """A third of the documents land a run later, and the last days are still
+    open in the first run; days that closed or got late files are reloaded and
+    the marts rebuilt, which must equal a build from complete data."""
     layout = pipeline.Layout(scratch_path(spark, "lake"))
     root, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
     documents = raw_documents(read_events(spark, sf_dir))
     late = F.xxhash64("value") % 3 == 0
-    for part in (documents.where(~late), documents.where(late)):
+    for part, before in ((documents.where(~late), LAST_DAY - timedelta(days=5)), (documents.where(late), None)):
         raw_source.land_raw(part, root)
-        arrivals.apply_late(spark, root, layout, checkpoint, CFG, pattern="*.txt", packed=True)
+        arrivals.apply_late(spark, root, layout, checkpoint, CFG, pattern="*.txt", packed=True, before=before)
     mart = spark.read.parquet(layout.mart("region_density"))
     return mart.select("snapshot_time", "region", "aircraft_count", "area_sqdeg", "density", "coverage_pct")
 

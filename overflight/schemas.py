@@ -27,6 +27,6 @@ LON, LAT = 5, 6
 RAW_SCHEMA = "value STRING, region STRING, dt STRING"
 BRONZE_SCHEMA = "snapshot_time TIMESTAMP, region STRING, raw STRING, _loaded_at TIMESTAMP, dt DATE"
 STAGING_COLUMNS = ("snapshot_time", "region", "_loaded_at", *(name for name, _ in STATE_FIELDS))
-AREA_SCHEMA = "region STRING, area_sqdeg BIGINT"
+AREA_SCHEMA = "region STRING, area_sqdeg DOUBLE"
 BOX_SCHEMA = "region STRING, priority INT, lomin DOUBLE, lomax DOUBLE, lamin DOUBLE, lamax DOUBLE"
 METRIC_SCHEMA = "ts TIMESTAMP, metric STRING, label STRING, value DOUBLE"

@@ -14,11 +14,12 @@ from overflight.sources.storage import guard_day, read_table, write_days
 
 
 def _snapshot_epoch(mode: str) -> Column:
-    """``time`` of the document. The parser reads up to the closing brace and
-    takes one-element arrays as objects, so both ends are checked as well."""
+    """``time`` of the document. A value with more than one document, or with
+    anything after it, is no array of one object once it stands in brackets."""
     text = F.btrim("value", F.lit(" \t\r\n"))
-    whole = text.startswith("{") & text.endswith("}")
-    return F.when(whole, F.from_json("value", "time BIGINT", {"mode": mode})["time"])
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "ARRAY<STRUCT<time: BIGINT>>", {"mode": mode})
+    one = text.startswith("{") & text.endswith("}") & (F.size(parsed) == 1)
+    return F.when(one, F.get(parsed, F.lit(0))["time"])
 
 
 def to_bronze(

@@ -12,6 +12,10 @@ from overflight.functions.timeparts import compact_day, instant, utc_day
 from overflight.schemas import RAW_SCHEMA
 
 
+# Fixed value: the record separator ends each document of a packed file.
+DOCUMENT_END = "\x1e"
+
+
 def raw_path(region: str, epoch: int) -> str:
     """Path of one snapshot below the root; the same snapshot has the same path."""
     day = datetime.fromtimestamp(epoch, timezone.utc).strftime("%Y%m%d")
@@ -37,8 +41,8 @@ def read_raw(
 ) -> DataFrame:
     """``value, region, dt`` with one row per document.
 
-    ``wholetext=False`` reads files with one document per line, the packed
-    layout ``land_raw`` writes. No matching file gives an empty frame.
+    ``wholetext=False`` reads files with many documents, the packed layout
+    ``land_raw`` writes. No matching file gives an empty frame.
     """
     reader = (
         spark.read.option("pathGlobFilter", pattern)
@@ -46,6 +50,8 @@ def read_raw(
         .schema(RAW_SCHEMA)
     )
     try:
+        if not wholetext:
+            reader = reader.option("lineSep", DOCUMENT_END)
         return reader.text(_folders(root, regions, dts), wholetext=wholetext)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
@@ -54,40 +60,44 @@ def read_raw(
 
 
 def latest_per_snapshot(raw: DataFrame) -> DataFrame:
-    """Keep the last landed document per (region, snapshot time).
+    """Keep the last landed document per (region, snapshot time), or per piece
+    of a snapshot that is cut into several documents.
 
     Stands in for "same snapshot, same path" where several documents share a
-    file. ``raw`` must come straight from a file read. ``max_by`` combines on
-    the map side, so many copies of one snapshot do not meet in one task.
+    file. ``raw`` must come straight from a file read. Each document is carried
+    once, behind what orders it; the maximum combines on the map side, so many
+    copies of one snapshot do not meet in one task.
     """
+    head = F.from_json("value", "time BIGINT, piece BIGINT")
     stamped = raw.select(
-        *raw.columns,
-        F.from_json("value", "time BIGINT")["time"].alias("_epoch"),
+        "region", "dt", head["time"].alias("_epoch"), head["piece"].alias("_piece"),
         F.struct("_metadata.file_modification_time", "_metadata.file_name", "value").alias("_landed"),
     )
-    unread = stamped.where(F.col("_epoch").isNull()).select("value", "region", "dt")
+    unread = stamped.where(F.col("_epoch").isNull())
     kept = (
         stamped.where(F.col("_epoch").isNotNull())
-        .groupBy("region", "dt", "_epoch")
-        .agg(F.max_by("value", "_landed").alias("value"))
-        .select("value", "region", "dt")
+        .groupBy("region", "dt", "_epoch", "_piece")
+        .agg(F.max("_landed").alias("_landed"))
     )
-    return kept.unionByName(unread)
+    return kept.unionByName(unread, allowMissingColumns=True).select("_landed.value", "region", "dt")
 
 
 def land_raw(df: DataFrame, root: str) -> None:
-    """Append documents ``(region, value)`` to the store, packed one per line.
+    """Append documents ``(region, value)`` to the store, packed many to a file.
 
     Files are shared by the snapshots of a (region, day) rather than written
     one per snapshot, which keeps the store listable; read back with
-    ``pattern='*.txt', wholetext=False`` and ``latest_per_snapshot``.
+    ``pattern='*.txt', wholetext=False`` and ``latest_per_snapshot``. Documents
+    are kept as they are: a control character that JSON does not allow inside
+    a document separates them, so line breaks may stay.
     """
     epoch = F.from_json("value", "time BIGINT", {"mode": "FAILFAST"})["time"]
     epoch = F.coalesce(epoch, F.raise_error(F.lit("document without time")).cast("bigint"))
     (
-        df.select(F.regexp_replace("value", r"[\r\n]+", " ").alias("value"), "region", compact_day(epoch).alias("dt"))
+        df.select("value", "region", compact_day(epoch).alias("dt"))
         .hint("rebalance", "region", "dt")
         .write.mode("append")
+        .option("lineSep", DOCUMENT_END)
         .partitionBy("region", "dt")
         .text(root)
     )
@@ -97,6 +107,8 @@ def stream_raw(spark: SparkSession, root: str, *, pattern: str = "*.json", whole
                max_files: int | None = None) -> DataFrame:
     """Same rows as ``read_raw``, as new files arrive."""
     reader = spark.readStream.option("pathGlobFilter", pattern).schema(RAW_SCHEMA)
+    if not wholetext:
+        reader = reader.option("lineSep", DOCUMENT_END)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(root, wholetext=wholetext)

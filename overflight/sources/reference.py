@@ -33,7 +33,7 @@ def box_table(spark: SparkSession, boxes: Sequence[Box] = REGIONS) -> DataFrame:
 
 def region_area(spark: SparkSession, boxes: Sequence[Box] = REGIONS) -> DataFrame:
     """``region, area_sqdeg`` derived from the boxes."""
-    return box_table(spark, boxes).select("region", box_area().cast("bigint").alias("area_sqdeg"))
+    return box_table(spark, boxes).select("region", box_area().alias("area_sqdeg"))
 
 
 def read_region_area(spark: SparkSession, path: str) -> DataFrame:

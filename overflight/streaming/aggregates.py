@@ -8,21 +8,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overflight.config import ADSB
 from overflight.operators.density import adsb_only, airborne, located
+from overflight.operators.points import thin_frames
 
 
 def region_density(
-    stg: DataFrame, areas: DataFrame, *, sources: Sequence[int] = (ADSB,), width: str = "10 minutes", delay: str = "1 hour"
+    stg: DataFrame, areas: DataFrame, *, sources: Sequence[int] = (ADSB,), delay: str = "1 hour"
 ) -> DataFrame:
-    """Airborne count and density per (window, region); ``areas`` is static."""
+    """Airborne count and density per (snapshot, region); ``areas`` is static.
+    State of a snapshot is dropped once the watermark has passed it."""
     counts = (
         adsb_only(airborne(stg), sources)
         .withWatermark("snapshot_time", delay)
         .join(areas, "region")
-        .groupBy(F.window("snapshot_time", width).alias("w"), "region", "area_sqdeg")
+        .groupBy("snapshot_time", "region", "area_sqdeg")
         .agg(F.count("*").alias("aircraft_count"))
     )
     return counts.select(
-        F.col("w.start").alias("window_start"),
+        "snapshot_time",
         "region",
         "aircraft_count",
         "area_sqdeg",
@@ -30,10 +32,13 @@ def region_density(
     )
 
 
-def frames(stg: DataFrame, *, sources: Sequence[int] = (ADSB,), width: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
-    """Airborne rows per (frame, region)."""
+def frames(
+    stg: DataFrame, *, sources: Sequence[int] = (ADSB,), minutes: Sequence[int] = (0, 30), width: str = "30 minutes",
+    delay: str = "1 hour",
+) -> DataFrame:
+    """Airborne rows per (frame, region), of the snapshots the map shows."""
     return (
-        adsb_only(airborne(located(stg)), sources)
+        thin_frames(adsb_only(airborne(located(stg)), sources), minutes)
         .withWatermark("snapshot_time", delay)
         .groupBy(F.window("snapshot_time", width).alias("w"), "region")
         .agg(F.count("*").alias("aircraft_count"))

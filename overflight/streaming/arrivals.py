@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from overflight.config import Config
-from overflight.plans.pipeline import Layout, mart_layers, stage_layer
+from overflight.plans.pipeline import Layout, checked_layers
 from overflight.schemas import BRONZE_SCHEMA
-from overflight.sources.bronze import load_days, to_bronze
-from overflight.sources.raw import stream_listing, stream_raw
+from overflight.sources.bronze import load_days
+from overflight.sources.raw import stream_listing
 from overflight.sources.storage import read_table
 
 
@@ -22,16 +22,6 @@ def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def unique_snapshots(bronze: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop repeats of a (region, snapshot) that arrive within ``delay``."""
-    return bronze.withWatermark("snapshot_time", delay).dropDuplicatesWithinWatermark(["region", "snapshot_time"])
-
-
-def ingest(spark: SparkSession, root: str, *, pattern: str = "*.json", wholetext: bool = True, delay: str = "1 day") -> DataFrame:
-    """New raw files as a stream of bronze rows, each snapshot once."""
-    return unique_snapshots(to_bronze(stream_raw(spark, root, pattern=pattern, wholetext=wholetext)), delay)
-
-
 def stream_bronze(spark: SparkSession, path: str) -> DataFrame:
     """New files of a bronze table as a stream."""
     return spark.readStream.schema(BRONZE_SCHEMA).parquet(path)
@@ -58,9 +48,16 @@ def _due_days(arrived: DataFrame, done: DataFrame, before: date | None) -> list[
     return sorted(row.dt for row in due.select("dt").distinct().collect())
 
 
+def ingest(spark: SparkSession, root: str, bronze_path: str, checkpoint: str, **options) -> None:
+    """Micro-batch ingest: bring bronze up to date with all files that arrived,
+    open days included. Like a load, it keeps the last landed copy of a snapshot."""
+    close_days(spark, root, bronze_path, checkpoint, **options)
+
+
 def close_days(
     spark: SparkSession, root: str, bronze_path: str, checkpoint: str, *, pattern: str = "*.json", packed: bool = False,
-    before: date | None = None, after_load: Callable[[Sequence[date]], None] | None = None,
+    before: date | None = None, regions: Sequence[str] | None = None,
+    after_load: Callable[[Sequence[date]], None] | None = None,
 ) -> None:
     """Load every closed day that new or late files belong to, as a whole.
 
@@ -74,7 +71,7 @@ def close_days(
     path = f"{checkpoint}-loaded"
     days = _due_days(arrived, read_table(spark, path, "dt STRING, batch_id BIGINT"), before)
     if days:
-        load_days(spark, root, bronze_path, days, pattern=pattern, packed=packed)
+        load_days(spark, root, bronze_path, days, regions=regions, pattern=pattern, packed=packed)
         if after_load is not None:
             after_load([date(int(d[:4]), int(d[4:6]), int(d[6:])) for d in days])
         arrived.where(F.col("dt").isin(days)).coalesce(1).write.mode("append").parquet(path)
@@ -84,9 +81,11 @@ def apply_late(
     spark: SparkSession, root: str, layout: Layout, checkpoint: str, cfg: Config = Config(), *, pattern: str = "*.json",
     packed: bool = False, before: date | None = None,
 ) -> None:
-    """``close_days`` plus staging and marts of exactly the reloaded days."""
+    """``close_days`` plus staging, marts and all their checks for exactly the
+    reloaded days. A failing check leaves the days on record, so that the next
+    run takes them up again."""
 
     def rebuild(days: Sequence[date]) -> None:
-        mart_layers(spark, layout, cfg, stage_layer(spark, layout, cfg, days), days)
+        checked_layers(spark, layout, cfg, days)
 
     close_days(spark, root, layout.bronze, checkpoint, pattern=pattern, packed=packed, before=before, after_load=rebuild)

@@ -94,47 +94,30 @@ def test_runs_equal_plain_windows_across_chunks(spark):
             assert got == expected
 
 
-def sent(df):
-    return [(r.notified_at, r.kind) for r in df.orderBy("notified_at").collect()]
+def told(df):
+    return [(r.ts, r.instance, r.state) for r in alerts.state_changes(df).orderBy("ts", "instance").collect()]
 
 
-def test_nine_hours_of_firing(spark):
-    held = [1] * (9 * 12 + 1) + [0] * 6
-    notes = alerts.throttle_notifications(states(spark, held, hold_s=0, step=5))
-    wait = timedelta(seconds=30)
-    assert sent(notes) == [
-        (T + wait, "firing"), (T + timedelta(hours=4) + wait, "repeat"), (T + timedelta(hours=8) + wait, "repeat"),
-        (T + timedelta(hours=9, minutes=5) + wait, "resolved")]
+def test_changes_of_a_run(spark):
+    held = [0, 1, 1, 1, 0, 1, 0]
+    assert told(states(spark, held, hold_s=0, step=5)) == [
+        (minutes(5), "", "firing"), (minutes(20), "", "resolved"), (minutes(25), "", "firing"), (minutes(30), "", "resolved")]
+    assert told(states(spark, [1] * 13, hold_s=0, step=60)) == [(T, "", "firing")]  # still firing
+    assert told(states(spark, [1, 0, 1, 0], hold_s=600, step=5)) == []  # never held long enough
 
 
-def test_still_firing_has_no_resolved(spark):
-    assert [k for _, k in sent(alerts.throttle_notifications(states(spark, [1] * 13, hold_s=0, step=60)))] == [
-        "firing", "repeat", "repeat"]
-
-
-def test_gone_before_the_first_look_is_not_sent(spark):
-    data = [(T, "m", "", 1.0), (T + timedelta(seconds=20), "m", "", 0.0)]
-    rules = alerts.rule_table(spark, [alerts.Rule("a", "m", ">", 0, hold_s=0)])
-    got = alerts.evaluate_alerts(spark.createDataFrame(data, SERIES), rules)
-    assert sent(alerts.throttle_notifications(got)) == []
-
-
-def test_instances_of_an_alert_share_notifications(spark):
-    held = {"x": [1] * 20 + [0] * 20, "y": [0] * 7 + [1] * 20 + [0] * 13, "z": [0] * 3 + [1] + [0] * 36}
+def test_changes_of_instances(spark):
+    held = {"x": [1] * 20 + [0] * 20, "y": [0] * 7 + [1] * 20 + [0] * 13}
     data = [(minutes(n), "m", label, float(h)) for label, hs in held.items() for n, h in enumerate(hs)]
     rules = alerts.rule_table(spark, [alerts.Rule("a", "m", ">", 0, hold_s=0)])
     got = alerts.evaluate_alerts(spark.createDataFrame(data, SERIES), rules)
-    wait = timedelta(seconds=30)
-    # z comes and goes between two looks
-    assert sent(alerts.throttle_notifications(got)) == [
-        (minutes(0) + wait, "firing"), (minutes(10) + wait, "firing"), (minutes(20) + wait, "resolved"),
-        (minutes(30) + wait, "resolved")]
+    assert told(got) == [(minutes(0), "x", "firing"), (minutes(7), "y", "firing"), (minutes(20), "x", "resolved"), (minutes(27), "y", "resolved")]
 
 
 def test_routing_by_team(spark):
     other = states(spark, [1, 1], hold_s=0, team="someone-else")
-    assert sent(alerts.throttle_notifications(other)) == []
-    assert len(sent(alerts.throttle_notifications(other, team=None))) == 1
+    assert told(alerts.routed(other, "overflight")) == []
+    assert len(told(alerts.routed(other, "someone-else"))) == 1
 
 
 def test_alert_text(spark):

@@ -5,8 +5,8 @@ import pathlib
 
 LIBRARY = pathlib.Path(__file__).parent.parent / "overflight"
 # Rows brought to the driver, each bounded by design: one row per declared
-# check, one per day folder with new files.
-COLLECTS = {("operators/quality.py", "run_gates"), ("streaming/arrivals.py", "_due_days")}
+# check, one per day folder with new files, one per metric and label of a tick.
+COLLECTS = {("operators/quality.py", "run_gates"), ("streaming/arrivals.py", "_due_days"), ("plans/pipeline.py", "refresh_metrics")}
 
 
 def calls():

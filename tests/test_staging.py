@@ -121,12 +121,23 @@ def test_box_table_equals_rule(spark):
         assert rows(assigned) == rows(ruled)
 
 
-def test_box_table_beyond_array_size(spark, monkeypatch):
-    from overflight.operators import boxes
-
+def test_boxes_over_each_other(spark):
     points = spark.createDataFrame([(1.0, 1.0), (1.0, 1.0), (9.0, 9.0), (None, 2.0), (5.0, 5.0)], "longitude DOUBLE, latitude DOUBLE")
     areas = box_table(spark, [Box(f"b{n}", 0, n, 0, n) for n in range(6, 0, -1)])
-    few = rows(assign_box(points, areas).na.fill(-1.0))
-    monkeypatch.setattr(boxes, "ARRAY_BOXES", 2)
-    assert rows(assign_box(points, areas).na.fill(-1.0)) == few
-    assert few == [(-1.0, 2.0, "other"), (1.0, 1.0, "b6"), (1.0, 1.0, "b6"), (5.0, 5.0, "b6"), (9.0, 9.0, "other")]
+    assert rows(assign_box(points, areas).na.fill(-1.0)) == [
+        (-1.0, 2.0, "other"), (1.0, 1.0, "b6"), (1.0, 1.0, "b6"), (5.0, 5.0, "b6"), (9.0, 9.0, "other")]
+
+
+def test_planning_runs_no_job(spark):
+    from overflight.operators import density, points, profile
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "plans only")
+    stg = spark.createDataFrame([], "snapshot_time TIMESTAMP, region STRING, longitude DOUBLE, latitude DOUBLE, callsign STRING, "
+                                "origin_country STRING, baro_altitude DOUBLE, velocity DOUBLE, on_ground BOOLEAN, position_source BIGINT")
+    assign_box(stg, box_table(spark))
+    profile.source_profile(stg)
+    density.grid_mart(stg, density.daily_coverage(stg))
+    points.aircraft_points(stg, first_per_bucket=True)
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setJobGroup("", "")

@@ -16,20 +16,26 @@ def land(root, day, hour, minute, n=1, name="a"):
     write_file(root, "global", f"202607{day:02d}", f"{name}_{t}.json", document(t, [vector(30, 50)] * n))
 
 
-def test_ingest_takes_each_snapshot_once(spark, tmp_path):
-    root, out, cp = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "cp")
-    land(root, 1, 6, 0)
-    land(root, 1, 6, 10)
+def test_ingest_keeps_the_last_copy(spark, tmp_path):
+    root, out, cp = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run(*counts):
+        docs = [("global", document(epoch(2026, 7, 1, 6, m), [vector(30, 50)] * n)) for m, n in counts]
+        raw.land_raw(spark.createDataFrame(docs, "region STRING, value STRING"), root)
+        arrivals.ingest(spark, root, out, cp, pattern="*.txt", packed=True)
+        sizes = read_bronze(spark, out).select("snapshot_time", staging.state_count("raw").alias("n"))
+        return [(t.minute, n) for t, n in rows(sizes)]
+
+    assert run((0, 1), (10, 2)) == [(0, 1), (10, 2)]
+    assert run((10, 5), (20, 1)) == [(0, 1), (10, 5), (20, 1)]
 
-    def run():
-        stream = arrivals.ingest(spark, str(root))
-        arrivals.run_available(stream.writeStream.format("parquet").option("path", out), cp)
-        return rows(read_bronze(spark, out), "snapshot_time")
 
-    assert len(run()) == 2
-    land(root, 1, 6, 10, name="again")
-    land(root, 1, 6, 20)
-    assert run() == [(datetime(2026, 7, 1, 6, m),) for m in (0, 10, 20)]
+def test_ingest_of_one_region(spark, tmp_path):
+    root, out = tmp_path / "raw", str(tmp_path / "out")
+    for region in ("global", "korea"):
+        write_file(root, region, "20260701", f"{region}.json", document(epoch(2026, 7, 1, 6, 0), []))
+    arrivals.close_days(spark, str(root), out, str(tmp_path / "cp"), regions=["korea"])
+    assert rows(read_bronze(spark, out), "region") == [("korea",)]
 
 
 def test_closed_days_are_loaded_and_late_files_reload_them(spark, tmp_path):
@@ -57,7 +63,7 @@ def test_closed_days_are_loaded_and_late_files_reload_them(spark, tmp_path):
 def bronze_table(spark, tmp_path, days=4):
     root, table = tmp_path / "raw", str(tmp_path / "bronze")
     for day in range(1, days + 1):
-        for hour, minute in ((0, 0), (0, 10), (12, 30), (23, 50)):
+        for hour, minute in ((0, 0), (0, 1), (0, 10), (12, 30), (23, 50)):
             land(root, day, hour, minute, n=hour % 7 + 1)
     load_days(spark, str(root), table, [f"202607{d:02d}" for d in range(1, days + 1)])
     return table
@@ -70,8 +76,8 @@ def test_stream_equals_batch(spark, tmp_path):
     out = str(tmp_path / "density")
     counted = aggregates.region_density(staged, region_area(spark))
     arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c1"))
-    schema = "window_start TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg BIGINT, density DOUBLE"
-    latest = aggregates.read_latest(spark, out, ["window_start", "region"], schema)
+    schema = "snapshot_time TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg DOUBLE, density DOUBLE"
+    latest = aggregates.read_latest(spark, out, ["snapshot_time", "region"], schema)
     expected = density.region_density(batch, region_area(spark))
     assert rows(latest) == rows(expected, "snapshot_time", "region", "aircraft_count", "area_sqdeg", "density")
 
@@ -90,7 +96,7 @@ def test_frames(spark, tmp_path):
     arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c"))
     got = aggregates.read_latest(spark, out, ["frame", "region"], "frame TIMESTAMP, region STRING, aircraft_count BIGINT")
     assert rows(got, "frame", "aircraft_count") == [
-        (datetime(2026, 7, 1), 2), (datetime(2026, 7, 1, 12, 30), 6), (datetime(2026, 7, 1, 23, 30), 3)]
+        (datetime(2026, 7, 1), 1), (datetime(2026, 7, 1, 12, 30), 6)]
 
 
 def series(spark, held, start=0):
@@ -131,7 +137,7 @@ def test_metric_job_survives_failures(spark, tmp_path):
 
         for _ in range(60):
             time.sleep(0.5)
-            if (tmp_path / "lake" / "metrics" / "quality" / "current" / "_SUCCESS").exists():
+            if (tmp_path / "lake" / "metrics" / "quality" / "history" / "_SUCCESS").exists():
                 break
     finally:
         query.stop()
@@ -139,11 +145,12 @@ def test_metric_job_survives_failures(spark, tmp_path):
     assert rows(stored.select("metric", "value").distinct()) == [("query_success", 0.0)]
 
 
-def test_packed_stream_reads_lines(spark, tmp_path):
+def test_packed_files_keep_the_documents(spark, tmp_path):
     root = str(tmp_path / "raw")
-    docs = [("global", document(epoch(2026, 7, 1, 6, m), [vector(30, 50)])) for m in range(5)]
+    docs = [("global", document(epoch(2026, 7, 1, 6, m), [vector(30, 50)]).replace(",", ",\r\n")) for m in range(5)]
     raw.land_raw(spark.createDataFrame(docs, "region STRING, value STRING"), root)
-    stream = arrivals.ingest(spark, root, pattern="*.txt", wholetext=False)
+    assert rows(raw.read_raw(spark, root, pattern="*.txt", wholetext=False), "region", "value") == sorted(docs)
+    stream = raw.stream_raw(spark, root, pattern="*.txt", wholetext=False)
     out = str(tmp_path / "out")
     arrivals.run_available(stream.writeStream.format("parquet").option("path", out), str(tmp_path / "cp"))
-    assert read_bronze(spark, out).count() == 5
+    assert rows(spark.read.parquet(out), "region", "value") == sorted(docs)

@@ -2,6 +2,7 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the threads. All queries run
 once to warm up the JVM, then each one ``BENCH_RUNS`` times; the median counts.
+The last five are whole jobs (loads, builds, streams) rather than single plans.
 """
 
 import json
@@ -38,6 +39,11 @@ HEADLINE = (
     "last_not_null",
     "partition_replace",
     "stream_region_density",
+    "backfill",
+    "daily_build",
+    "stream_ingest",
+    "stream_late_reload",
+    "stream_alerts",
 )
 
 

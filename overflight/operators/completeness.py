@@ -20,6 +20,13 @@ def recent_days(df: DataFrame, as_of: datetime, days: int, closed_only: bool = F
     return recent.where(day < F.lit(today)) if closed_only else recent
 
 
+def lately(df: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
+    """Rows of the last days, or all rows if there are none: whoever asks for
+    the newest day then opens no older files. Looks whether a row exists."""
+    recent = recent_days(df, as_of, days)
+    return df if recent.isEmpty() else recent
+
+
 def incomplete_days(bronze: DataFrame, as_of: datetime, days: int = 3, threshold: int = 115) -> DataFrame:
     """Closed days of the window with fewer than ``threshold`` snapshots of a
     region. A snapshot counts once, in however many documents it came. A day
@@ -77,7 +84,7 @@ def mart_freshness(mart: DataFrame, as_of: datetime, ready_minute: int = 65) ->
     fresh = day == F.lit(today - timedelta(days=1))
     if not due:
         fresh = fresh | (day == F.lit(today - timedelta(days=2)))
-    return mart.agg(F.max("snapshot_time").alias("newest")).select(
+    return lately(mart, as_of).agg(F.max("snapshot_time").alias("newest")).select(
         "newest",
         F.to_date("newest").alias("newest_day"),
     ).withColumn("status", F.when(day.isNull(), "empty").when(fresh, "ok").otherwise("stale"))

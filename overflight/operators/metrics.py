@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from overflight.functions.timeparts import age_seconds, day_of, instant
-from overflight.operators.completeness import recent_days
+from overflight.operators.completeness import lately, recent_days
 from overflight.operators.density import latest_day
 from overflight.schemas import METRIC_SCHEMA
 from overflight.sources.storage import read_table
@@ -53,6 +53,7 @@ def metric_density(mart: DataFrame) -> DataFrame:
 def quality_metrics(bronze: DataFrame, mart: DataFrame, as_of: datetime) -> DataFrame:
     """All metrics ``kind, label, value`` as one query. ``mart`` should be the
     stored, day-partitioned table: two parts read its latest day."""
+    mart = lately(mart, as_of)
     parts = [
         metric_snapshots(bronze, as_of),
         metric_freshness(bronze, as_of),

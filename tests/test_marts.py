@@ -189,3 +189,20 @@ def test_status_steps(spark):
     assert [r[0] for r in ages.select(status.status_steps("v", status.FRESHNESS_STEPS)).collect()] == ["green", "yellow", "red"]
     flags = spark.createDataFrame([(1.0,), (0.0,), (0.5,)], "v DOUBLE")
     assert [r[0] for r in flags.select(status.map_values("v", status.SUCCESS_LABELS)).collect()] == ["OK", "FAIL", "0.5"]
+
+
+def test_the_newest_day_opens_no_older_files(spark, tmp_path):
+    from datetime import datetime
+
+    from overflight.operators.completeness import lately, mart_freshness
+
+    path = str(tmp_path / "mart")
+    spark.sql("SELECT make_timestamp(2026, 7, d, 6, 0, 0) AS snapshot_time, make_date(2026, 7, d) AS dt FROM (SELECT explode(sequence(1, 30)) AS d)") \
+        .write.partitionBy("dt").parquet(path)
+    mart = spark.read.parquet(path)
+    assert len(lately(mart, datetime(2026, 7, 30, 2)).inputFiles()) == 30  # listed, and pruned when read:
+    plan = mart_freshness(mart, datetime(2026, 7, 30, 2))._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2026-07-23" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert mart_freshness(mart, datetime(2026, 7, 31, 2)).first().status == "ok"
+    late = mart_freshness(mart, datetime(2026, 9, 1, 2)).first()  # nothing lately: the whole table is asked
+    assert (late.newest, late.status) == (datetime(2026, 7, 30, 6), "stale")

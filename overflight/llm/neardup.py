@@ -43,7 +43,6 @@ from overflight.llm.common import broadcast_if_small, portions, stored
 
 COORDINATES = 96
 DEVIATIONS = 6.3  # below the expected number of matches
-WORDS_KEPT = 1_000_000  # hashes a worker remembers
 BLOCK = 400  # documents compared with as many others in one piece
 MANY_NODES = 500_000
 
@@ -51,7 +50,6 @@ _random = np.random.default_rng(20_240_101)
 _FACTORS = _random.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _TERMS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 _ORDER = _random.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
-_hashes: dict[bytes, int] = {}
 
 
 def matches(percent: int) -> int:
@@ -65,12 +63,8 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    if len(_hashes) > WORDS_KEPT:
-        _hashes.clear()
-    for w in set(words):
-        if w not in _hashes:
-            _hashes[w] = xxhash.xxh3_64_intdigest(w)
-    each = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
+    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     size = min(size, len(words))
     mixed = np.full(len(words) - size + 1, size, np.uint64)
     for i in range(size):

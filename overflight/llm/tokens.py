@@ -44,7 +44,7 @@ from overflight.session import scratch_path
 
 END_ID = 0
 BLOCK_IDS = 1 << 20
-CHUNKS_KEPT = 1_000_000  # per worker; more are encoded again when they come back
+CHUNKS_KEPT = 400_000  # per worker; more are encoded again when they come back
 MANY_PARTS = 1_000_000
 FILE_SCHEMA = (
     "part INT, block INT, before BIGINT, doc_ids ARRAY<BIGINT>, counts ARRAY<INT>, ranked BINARY, control BINARY, data BINARY"

@@ -11,7 +11,8 @@ each round through the source, and slots and blocks meet in a join on the
 index. No block is taken more than twice, as targets stop at twice the size.
 
 Everything random is a hash of a seed and of an index: reruns, retried tasks
-and other partitionings give the same mix.
+and other partitionings give the same mix. Slots and pieces come out of few
+rows, which misleads size estimates; their joins are told to sort and merge.
 
 Defined results: a null text has no words; a document without words is listed
 with ``taken = 0``. A null source is a source of its own, last in order. Equal
@@ -124,17 +125,20 @@ def slots(sources: DataFrame, shard: int = SHARD) -> DataFrame:
         F.struct((F.col("top") / F.col("total")).alias("end"), "_source"))).alias("ends"))
     last = F.least(F.lit(shard).cast("long"), F.col("total") - F.col("shard") * shard) - 1
     shards = ends.select("*", F.explode(F.expr(f"sequence(0L, CAST(ceil(total / {shard}) AS BIGINT) - 1)")).alias("shard"))
-    thrown = shards.repartition("shard").select(
+    # A few rows become all slots: spread them first, whatever AQE thinks of their size.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    thrown = shards.repartition(tasks, "shard").select(
         "shard", "ends", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("slot"))
     unit = F.pmod(F.xxhash64(F.lit(SEED), "shard", "slot"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     thrown = thrown.withColumn("unit", unit).select(
         "shard", "slot", F.filter("ends", lambda e: e["end"] > F.col("unit"))[0]["_source"].alias("_source"))
 
+    thrown = stored(thrown, "mix-slots")
     counts = stored(thrown.groupBy("shard", "_source").agg(F.count("*").alias("n")), "mix-counts")
     before = F.sum("n").over(Window.partitionBy("_source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     numbered = thrown.withColumn(
         "row", F.row_number().over(Window.partitionBy("shard", "_source").orderBy("slot")) - 1,
-    ).join(counts.withColumn("before", F.coalesce(before, F.lit(0).cast("long"))).drop("n"), ["shard", "_source"])
+    ).hint("merge").join(counts.withColumn("before", F.coalesce(before, F.lit(0).cast("long"))).drop("n"), ["shard", "_source"])
     numbered = numbered.select("shard", "slot", "_source", (F.col("before") + F.col("row")).alias("k"))
 
     # Sources with too many draws free their last slots; sources with too few take them, both in order.
@@ -182,11 +186,11 @@ def mix(docs: DataFrame, percent: int = TOTAL_PERCENT, weights: tuple[int, ...]
     """One row per document: size, size and target of its source, words the mix takes of it."""
     rows, sources = _plan(docs, percent, weights)
     times = slots(sources).groupBy("_source", "block").agg(F.count("*").alias("times"))
-    taken = pieces(rows).join(times, ["_source", "block"]).groupBy("_source", "_offset", "_id1", "_id2").agg(
+    taken = pieces(rows).hint("merge").join(times, ["_source", "block"]).groupBy("_source", "_offset", "_id1", "_id2").agg(
         F.sum(F.col("words") * F.col("times")).alias("taken"))
     few = broadcast_if_small(sources.select("_source", "source_size", "target"), MANY_SOURCES)
     # A document with words has its offset for itself.
-    return rows.join(few, "_source").join(taken, ["_source", "_offset", "_id1", "_id2"], "left").select(
+    return rows.join(few, "_source").hint("merge").join(taken, ["_source", "_offset", "_id1", "_id2"], "left").select(
         "doc_id", F.col("_size").alias("size"), "source_size", "target",
         F.when(F.col("_size") > 0, F.coalesce("taken", F.lit(0).cast("long"))).otherwise(0).cast("long").alias("taken"))
 
@@ -199,14 +203,14 @@ def mixed(docs: DataFrame, percent: int = TOTAL_PERCENT, weights: tuple[int, ...
     one, follows the text.
     """
     rows, sources = _plan(docs, percent, weights)
-    found = pieces(rows).join(slots(sources), ["_source", "block"]).groupBy(
+    found = pieces(rows).hint("merge").join(slots(sources), ["_source", "block"]).groupBy(
         "_source", "_offset", "_id1", "_id2", "_size", "round"
     ).agg(F.sum("words").alias("_taken"), F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_parts"))
     texts = sized(docs).drop("_source", "_size").dropDuplicates(["_id1", "_id2"])
     words = F.flatten(F.transform("_parts", lambda p: F.slice(
         "_words", (p["first"] + 1).cast("int"), p["words"].cast("int"))))
     text = F.when(F.col("_taken") == F.col("_size"), F.col("text")).otherwise(F.array_join(words, " "))
-    out = found.join(texts, ["_id1", "_id2"]).withColumn("_words", space_words(text_of())).withColumn("text", text)
+    out = found.hint("merge").join(texts, ["_id1", "_id2"]).withColumn("_words", space_words(text_of())).withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -15,6 +15,7 @@ from overflight.llm import decontam, mixing, neardup, quality, tokens
 from overflight.llm.common import stored, table
 
 TOKENIZER = "byte_bpe_50k.json"
+CHUNKS_KEPT = 400_000  # by a Python worker, which other stages use as well
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +40,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files, read back by document."""
-    return tokens.encoded(docs, public_tokenizers.path(TOKENIZER))
+    return tokens.encoded(docs, public_tokenizers.path(TOKENIZER), kept=CHUNKS_KEPT)
 
 
 STAGES = [

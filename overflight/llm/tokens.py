@@ -44,7 +44,7 @@ from overflight.session import scratch_path
 
 END_ID = 0
 BLOCK_IDS = 1 << 20
-CHUNKS_KEPT = 400_000  # per worker; more are encoded again when they come back
+CHUNKS_KEPT = 1_000_000  # per worker; more are encoded again when they come back
 MANY_PARTS = 1_000_000
 FILE_SCHEMA = (
     "part INT, block INT, before BIGINT, doc_ids ARRAY<BIGINT>, counts ARRAY<INT>, ranked BINARY, control BINARY, data BINARY"
@@ -68,7 +68,8 @@ BYTE_LETTERS = _byte_letters()
 class Encoder:
     """Text to uint32 ids (as bytes), with the ids of chunks kept."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = CHUNKS_KEPT):
+        self.kept = kept
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.model = self.library.model
@@ -102,7 +103,7 @@ class Encoder:
                     found = new[p] = self._piece(p)
                 ids.append(found)
             out[c] = b"".join(ids)
-        if len(self.pieces) + len(new) <= CHUNKS_KEPT:
+        if len(self.pieces) + len(new) <= self.kept:
             self.pieces.update(new)
         return out
 
@@ -126,14 +127,14 @@ class Encoder:
         new = self._new(list(missing))
         for i, ids in known.items():
             out[i] = b"".join([new[c] if v is None else v for c, v in zip(cut[i], ids)])
-        if len(self.chunks) + len(new) <= CHUNKS_KEPT:
+        if len(self.chunks) + len(new) <= self.kept:
             self.chunks.update(new)
         return out
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, kept: int = CHUNKS_KEPT) -> Encoder:
+    return Encoder(path, kept)
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -172,7 +173,7 @@ def ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order.astype("<u4"), rank[ids]
 
 
-def _write(path: str, block_ids: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _write(path: str, block_ids: int, kept: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("counts", pa.list_(pa.int32())), ("ranked", pa.binary()), ("control", pa.binary()), ("data", pa.binary())])
     end = np.array([END_ID], dtype="<u4").tobytes()
@@ -193,7 +194,7 @@ def _write(path: str, block_ids: int) -> Callable[[Iterator[pa.RecordBatch]], It
 
         for batch in portions(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder(path).encode(texts)):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder(path, kept).encode(texts)):
                 if held and size + len(ids) // 4 + 1 > block_ids:
                     yield packed()
                     block, before, docs, held, size = block + 1, before + size, [], [], 0
@@ -206,10 +207,10 @@ def _write(path: str, block_ids: int) -> Callable[[Iterator[pa.RecordBatch]], It
     return run
 
 
-def write(docs: DataFrame, tokenizer: str, path: str, block_ids: int = BLOCK_IDS) -> None:
+def write(docs: DataFrame, tokenizer: str, path: str, block_ids: int = BLOCK_IDS, kept: int = CHUNKS_KEPT) -> None:
     """Encode all documents and write the files, in ascending order of doc_id."""
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(_write(tokenizer, block_ids), FILE_SCHEMA).write.parquet(path)
+    rows.mapInArrow(_write(tokenizer, block_ids, kept), FILE_SCHEMA).write.parquet(path)
 
 
 def block_ids(row: dict) -> np.ndarray:
@@ -248,8 +249,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         _read, "doc_id BIGINT, start BIGINT, n_tokens BIGINT, ids_crc32 BIGINT, n_bytes BIGINT")
 
 
-def encoded(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS, kept: int = CHUNKS_KEPT) -> DataFrame:
     """Write the files to the shared folder and return what they hold by document."""
     path = scratch_path(docs.sparkSession, "token-ids")
-    write(docs, tokenizer, path, block_ids)
+    write(docs, tokenizer, path, block_ids, kept)
     return read(docs.sparkSession, path)

@@ -39,9 +39,8 @@ def test_encoder_equals_the_library(library, text):
     assert ids == library.encode(text, add_special_tokens=False).ids
 
 
-def test_kept_chunks_are_bounded(library, monkeypatch):
-    monkeypatch.setattr(tokens, "CHUNKS_KEPT", 20)
-    own = tokens.Encoder(PATH)
+def test_kept_chunks_are_bounded(library):
+    own = tokens.Encoder(PATH, 20)
     for seed in range(3):
         text = prose(seed) + ", and so on."
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

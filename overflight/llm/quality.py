@@ -9,6 +9,15 @@ with an exact binomial test of "the false rejection rate exceeds ``risk``", at
 sequence inside one, so the family-wise error stays below ``error``). The last
 step before the first failed test holds for the stratum.
 
+That is the result ``judged`` gives, where all rules share one step and every
+good document is tested, as its SQL states. ``accepted`` gives every rule its
+own cutoff, so that a noisy rule does not hold up a clean one: the steps of all
+rules are put in one order for each stratum, by the unlabelled documents a step
+rejects for each one labelled bad, and tested in that order. Step by step it is
+the good documents rejected by any rule so far that count, so ``risk`` bounds
+all rules together. The order comes from documents other than those that are
+tested, and only documents that the base rule keeps count in either.
+
 Defined results: null and empty texts have no words and fail the base rule. A
 null stratum is a stratum of its own. A stratum without enough labels certifies
 no step, so only the base rule rejects there. Several labels of one document
@@ -41,7 +50,7 @@ RULES: dict[str, tuple[float, ...]] = {
     "_m.word_chars / greatest(_m.n_words, 1)": (40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0),
     "-_m.word_chars / greatest(_m.n_words, 1)": (-1.2, -1.4, -1.6, -1.8, -2.0, -2.2, -2.4, -2.6),
 }
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "hit_level")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "steps")
 
 # Words of the text that lie in a five-word window found at least twice. Hashes
 # show that most texts have no such window; the others are decided on the
@@ -98,12 +107,12 @@ def measured(docs: DataFrame) -> DataFrame:
     return counted.select(
         *docs.columns,
         F.struct(*[F.col(f"_m.{name}") for name in MEASURES[:5]], base_failed.alias("base_failed"),
-                 _hit_level().alias("hit_level")).alias("_q"),
+                 _steps().alias("steps")).alias("_q"),
     )
 
 
-def _hit_level() -> Column:
-    """The first step, from 1, whose cutoff any rule exceeds; null if no step does."""
+def _steps() -> Column:
+    """For every rule the first step, from 1, whose cutoff it exceeds; null if no step does."""
     steps = []
     for rule, cutoffs in RULES.items():
         value = F.expr(f"CAST({rule} AS DOUBLE)")
@@ -111,7 +120,7 @@ def _hit_level() -> Column:
         for level, cutoff in reversed(list(enumerate(cutoffs, 1))):
             step = F.when(value > cutoff, level).otherwise(step)
         steps.append(step)
-    return F.least(*steps)
+    return F.array(*steps)
 
 
 def _tail(n: str, k: str, rate: float) -> Column:
@@ -127,17 +136,18 @@ def _tail(n: str, k: str, rate: float) -> Column:
             z -> z.total)) END""")
 
 
+def _marks(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()) \
+        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
 def certified(measures: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """``(stratum, level)``: the strictest step shown to reject at most ``risk`` of the good documents.
 
     ``measures`` has doc_id, stratum and hit_level.
     """
     steps = len(next(iter(RULES.values())))
-    good = (
-        labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-        .where("quality = 1").select("doc_id")
-    )
+    good = _marks(labels).where("quality = 1").select("doc_id")
     held = (
         measures.join(good, "doc_id")
         .groupBy("stratum", F.coalesce("hit_level", F.lit(steps + 1)).alias("step")).agg(F.count("*").alias("n"))
@@ -154,29 +164,76 @@ def certified(measures: DataFrame, labels: DataFrame, risk: float = RISK, error:
     return held.select("stratum", level.alias("level"))
 
 
-def _verdict(measures: DataFrame, levels: DataFrame) -> DataFrame:
-    """Add ``kept`` from the certified step of the row's stratum."""
-    levels = broadcast_if_small(stored(levels, "quality-levels"), MANY_STRATA)
-    levels = levels.select(F.col("stratum").alias("_stratum"), F.col("level").alias("_level"))
-    return measures.join(levels, F.col("_key") == F.col("_stratum"), "left").withColumn(
-        "_kept", ~F.col("_q.base_failed")
-        & (F.coalesce(F.col("_q.hit_level"), F.lit(1 << 30)) > F.coalesce(F.col("_level"), F.lit(0))))
+def _ordered(measures: DataFrame, marks: DataFrame) -> DataFrame:
+    """``(stratum, path)``: the steps of all rules as ``(place, rule, level)``, those that reject least besides junk first.
+
+    Steps that reject no document but labelled good ones are left out.
+    """
+    last = len(next(iter(RULES.values())))
+    hit = measures.select("doc_id", "stratum", F.posexplode("steps").alias("rule", "step")).where("step IS NOT NULL")
+    counts = (
+        hit.join(marks, "doc_id", "left").where("quality IS NULL OR quality <> 1")
+        .groupBy("stratum", "rule", "step")
+        .agg(F.count(F.when(F.col("quality").isNull(), 1)).alias("other"), F.count("quality").alias("bad"))
+        .select("stratum", "rule", "other", "bad", F.explode(F.sequence("step", F.lit(last))).alias("level"))
+        .groupBy("stratum", "rule", "level").agg(F.sum("other").alias("other"), F.sum("bad").alias("bad"))
+    )
+    order = Window.partitionBy("stratum").orderBy((F.col("other") + 1) / (F.col("bad") + 1), "rule", "level")
+    return counts.withColumn("place", F.row_number().over(order)) \
+        .groupBy("stratum").agg(F.collect_list(F.struct("place", "rule", "level")).alias("path"))  # rules x steps at most
+
+
+def certified_rules(measures: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """``(stratum, cutoffs)``: for every rule its strictest certified step, 0 if none; together they reject at most ``risk``.
+
+    ``measures`` has doc_id, stratum and steps of the documents that the base rule keeps.
+    """
+    marks = _marks(labels)
+    paths = stored(_ordered(measures, marks), "quality-paths")
+    held = measures.join(marks.where("quality = 1").select("doc_id"), "doc_id").join(
+        broadcast_if_small(paths, MANY_STRATA), "stratum", "left")
+    place = F.expr("array_min(transform(filter(path, p -> get(steps, p.rule) <= p.level), p -> p.place))")
+    tested = (
+        held.groupBy("stratum", F.coalesce(place, F.lit(0)).alias("place")).agg(F.count("*").alias("held"))
+        .groupBy("stratum").agg(F.sum("held").alias("n"), F.collect_list(F.struct("place", "held")).alias("hits"))
+        .withColumn("share", error / F.count("*").over(Window.partitionBy(F.lit(0))))  # one row for each stratum here
+        # Nothing changes between the places where good documents are rejected; place 1 tests that none is.
+        .withColumn("place", F.explode(F.array_union(F.array(F.lit(1)), F.filter("hits.place", lambda p: p > 0))))
+        .withColumn("k", F.expr("aggregate(filter(hits, h -> h.place BETWEEN 1 AND place), 0L, (total, h) -> total + h.held)"))
+    )
+    failed = tested.where(_tail("n", "k", risk) > F.col("share")).groupBy("stratum").agg(F.min("place").alias("failed"))
+    limits = tested.select("stratum").distinct().join(failed, "stratum", "left")
+    cutoff = lambda rule: F.expr(
+        f"coalesce(array_max(transform(filter(path, p -> p.rule = {rule} AND p.place < coalesce(failed, p.place + 1)), p -> p.level)), 0)")
+    return limits.join(paths, "stratum").select("stratum", F.array(*[cutoff(rule) for rule in range(len(RULES))]).alias("cutoffs"))
 
 
-def _calibrated(docs: DataFrame, labels: DataFrame, columns: list[str], stratum: str, risk: float, error: float) -> DataFrame:
+def _measured(docs: DataFrame, columns: list[str], stratum: str) -> DataFrame:
     key = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("null"))
-    rows = stored(measured(docs).select(*columns, F.col("_q"), key.alias("_key")), "quality")
-    levels = certified(rows.select("doc_id", F.col("_key").alias("stratum"), F.col("_q.hit_level")), labels, risk, error)
-    return _verdict(rows, levels)
+    return stored(measured(docs).select(*columns, F.col("_q"), key.alias("_key")), "quality")
+
+
+def _with(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """Add the stratum's ``name`` as ``_name``."""
+    found = broadcast_if_small(stored(found, f"quality-{name}"), MANY_STRATA)
+    found = found.select(F.col("stratum").alias("_stratum"), F.col(name).alias(f"_{name}"))
+    return rows.join(found, F.col("_key") == F.col("_stratum"), "left")
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
     """One row per document: the measures, the base verdict, ``kept``, and the steps behind it (0: none)."""
-    rows = _calibrated(docs.select("doc_id", "text", stratum), labels, ["doc_id"], stratum, risk, error)
-    return rows.select("doc_id", *[f"_q.{name}" for name in MEASURES[:-1]], F.col("_kept").alias("kept"),
-                       F.coalesce("_q.hit_level", F.lit(0)).alias("hit_level"), F.coalesce("_level", F.lit(0)).alias("level"))
+    rows = _measured(docs.select("doc_id", "text", stratum), ["doc_id"], stratum)
+    rows = rows.withColumn("_hit", F.array_min("_q.steps"))
+    levels = certified(rows.select("doc_id", F.col("_key").alias("stratum"), F.col("_hit").alias("hit_level")), labels, risk, error)
+    kept = ~F.col("_q.base_failed") & (F.coalesce("_hit", F.lit(1 << 30)) > F.coalesce("_level", F.lit(0)))
+    return _with(rows, levels, "level").select(
+        "doc_id", *[f"_q.{name}" for name in MEASURES[:-1]], kept.alias("kept"),
+        F.coalesce("_hit", F.lit(0)).alias("hit_level"), F.coalesce("_level", F.lit(0)).alias("level"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """The documents that are kept, with their columns."""
-    return _calibrated(docs, labels, docs.columns, stratum, risk, error).where("_kept").select(*docs.columns)
+    """The documents that neither the base rule nor a rule's own certified cutoff rejects, with their columns."""
+    rows = _measured(docs, docs.columns, stratum).where("NOT _q.base_failed")
+    cutoffs = certified_rules(rows.select("doc_id", F.col("_key").alias("stratum"), F.col("_q.steps")), labels, risk, error)
+    rejected = F.expr("exists(zip_with(_q.steps, _cutoffs, (s, c) -> s <= c), x -> x)")
+    return _with(rows, cutoffs, "cutoffs").where(~F.coalesce(rejected, F.lit(False))).select(*docs.columns)

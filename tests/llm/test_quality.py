@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 from overflight.llm import quality
@@ -67,3 +68,49 @@ def test_empty_tables(spark):
     none = labels(spark, [])
     assert quality.judged(documents(spark, []), none).collect() == []
     assert quality.accepted(documents(spark, [(1, prose(1), "en", "a")]), none).count() == 1
+
+
+def test_each_rule_has_its_own_cutoff(spark):
+    """Good documents that the base rule rejects, and a rule that good documents exceed, do not hold up the symbol rule."""
+    clean = [(i, prose(i), "en", "a") for i in range(700)]
+    lines = [(1000 + i, "\n".join([prose(1000 + i)[:90], "same line", "same line", "same line"]), "en", "a") for i in range(40)]
+    repeated = [(2000 + i, "same five words here again " * 9, "en", "a") for i in range(30)]
+    junk = [(3000 + i, prose(i).replace(" ", " #$ "), "en", "a") for i in range(60)]
+    docs = documents(spark, clean + lines + repeated + junk)
+    marks = [(d[0], int(d[0] < 3000), 0) for d in clean + lines + repeated + junk[:30]]
+    kept = sorted(r.doc_id for r in quality.accepted(docs, labels(spark, marks)).collect())
+    assert kept == [d[0] for d in clean + lines]
+
+
+def test_certified_rules(spark):
+    """The order and its tests by brute force; all rules together stay within the risk."""
+    risk, error, draw = 0.05, 0.1, random.Random(1)
+    rows, marks = [], []
+    for lang, n in (("en", 900), ("de", 300), ("fr", 20)):
+        for _ in range(n):
+            quality_label = draw.choice([1, 1, 1, 0, None])
+            often = (0.01, 0.0, 0.02, 0.004, 0.0, 0.01, 0.0, 0.05) if quality_label != 0 else (0.6, 0.0, 0.1, 0.2, 0.0, 0.0, 0.3, 0.0)
+            steps = [draw.randint(1, 8) if draw.random() < p else None for p in often]
+            if quality_label is not None:
+                marks.append((len(rows), quality_label, 0))
+            rows.append((len(rows), lang, steps))
+    got = {r.stratum: r.cutoffs for r in quality.certified_rules(
+        spark.createDataFrame(rows, "doc_id BIGINT, stratum STRING, steps ARRAY<INT>"), labels(spark, marks), risk, error).collect()}
+    known = {doc: label for doc, label, _ in marks}
+    hits = lambda steps, rule, level: steps[rule] is not None and steps[rule] <= level
+    for lang in ("en", "de", "fr"):
+        good, bad, other = ([s for i, name, s in rows if name == lang and known.get(i) == k] for k in (1, 0, None))
+        path = []
+        for rule in range(8):
+            for level in range(1, 9):
+                b, o = (sum(hits(s, rule, level) for s in part) for part in (bad, other))
+                if b + o:
+                    path.append(((o + 1) / (b + 1), rule, level))
+        cutoffs = [0] * 8
+        for i, (_, rule, level) in enumerate(sorted(path)):
+            k = sum(any(hits(s, r, at) for _, r, at in sorted(path)[:i + 1]) for s in good)
+            if k >= risk * len(good) or tail(len(good), k, risk) > error / 3:
+                break
+            cutoffs[rule] = max(cutoffs[rule], level)
+        assert got.get(lang, [0] * 8) == cutoffs
+    assert got["en"][0] > 0 and got.get("fr", [0] * 8) == [0] * 8

@@ -11,7 +11,9 @@ and so are paths of headings and short blocks inside the same containers. The
 text is every block of the content paths, in page order.
 
 Where a page marks its article or main part and that part has text, only paths
-inside it compete.
+inside it compete. An article (or main part without one) that holds a content
+path is one container, whatever sections divide it: all its paths are content
+but those whose text is mostly links in a container without content.
 
 Defined results: null, empty and text-free pages give an empty text. Broken
 markup is closed as browsers do for paragraphs, list items and table cells; an
@@ -73,6 +75,7 @@ LINKED_SHARE = 0.6
 class Block:
     path: tuple[str, ...]
     marked: bool  # inside an article or main element
+    part: int  # steps of the path down to the outermost article, or main element where there is none; 0 without either
     linked: int  # characters inside links
     text: str
 
@@ -111,13 +114,23 @@ def blocks(page: str) -> list[Block]:
     stack: list[_Open] = []
     parts: list[tuple[str, bool]] = []
 
+    def part() -> int:
+        steps = main = 0
+        for o in stack:
+            steps += o.step is not None
+            if o.tag == "article":
+                return steps
+            if o.marked and not main:
+                main = steps
+        return main
+
     def flush() -> None:
         raw = "".join(p for p, _ in parts)
         text = " ".join(raw.split())
         if text:
             linked = sum(len(p.strip()) for p, link in parts if link)
             path = tuple(o.step for o in stack if o.step)
-            out.append(Block(path, any(o.marked for o in stack), linked, text))
+            out.append(Block(path, any(o.marked for o in stack), part(), linked, text))
         parts.clear()
 
     def close(depth: int) -> None:
@@ -188,19 +201,26 @@ def content_paths(found: list[Block]) -> set[tuple[str, ...]]:
     """The paths whose fused, smoothed length and punctuation ratios reach the threshold, and what belongs to them."""
     order = list(dict.fromkeys(b.path for b in found))
     number = {path: i for i, path in enumerate(order)}
-    nodes, length, marks, linked = (np.zeros(len(order)) for _ in range(4))
+    nodes, length, marks, linked, links = (np.zeros(len(order)) for _ in range(5))
+    parts: dict[tuple[str, ...], int] = {}
     for b in found:
         i = number[b.path]
         nodes[i] += 1
         length[i] += len(b.text)
         marks[i] += len(PUNCTUATION.findall(b.text))
         linked[i] += 0 if b.marked else b.linked
+        links[i] += b.linked
+        parts.setdefault(b.path, b.part)
     plain = np.where(linked > LINKED_SHARE * length, 0.0, 1.0)
     fused = _smooth(length / nodes * plain) * _smooth((1 + marks) / nodes * plain) * plain * np.log1p(length)
     chosen = {path for path, score in zip(order, fused) if score > 0 and score >= CONTENT_SHARE * fused.max()}
     # Their containers: the parent, but not the page itself unless text stands right under it.
     inside = {path[:-1] for path in chosen}
     kept = {path for path in order if plain[number[path]] and any(path[:len(c)] == c for c in inside)}
+    # The whole article or main part around them, however it is divided.
+    around = {path[:parts[path]] for path in chosen if parts[path]}
+    kept |= {path for path in order if links[number[path]] <= LINKED_SHARE * length[number[path]]
+             and path[:parts[path]] in around}
     return kept | chosen
 
 

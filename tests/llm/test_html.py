@@ -36,6 +36,25 @@ def test_broken_pages(broken):
     assert isinstance(html.main_text(broken), str)
 
 
+ITEM, LONG = "an item of the list without any mark, fifty letters", " ".join([PARAGRAPH] * 9)
+
+
+@pytest.mark.parametrize("body, lines", [
+    (f"<article><section class=a>{f'<p>{LONG}</p>' * 12}</section><section class=b><h2>Head</h2><ul>{f'<li>{ITEM}</li>' * 6}</ul></section>"
+     f"<section class=c>{f'<p>{PARAGRAPH}</p>' * 2}</section></article>", [LONG] * 12 + ["Head"] + [ITEM] * 6 + [PARAGRAPH] * 2),
+    (f"<article><header><h1>Title</h1><p>By somebody</p></header><div class=body>{f'<p>{LONG}</p>' * 12}</div></article>",
+     ["Title", "By somebody"] + [LONG] * 12),
+    (f"<article><div class=lead><h1>Title</h1><p>{PARAGRAPH}</p></div><div class=body>{f'<p>{LONG}</p>' * 12}</div></article>",
+     ["Title", PARAGRAPH] + [LONG] * 12),
+    (f"<div role=main><div class=lead><p>Lead</p></div><div class=body>{f'<p>{LONG}</p>' * 12}</div></div>", ["Lead"] + [LONG] * 12),
+    # Links alone, what is declared, and what is outside the article stay out.
+    (f"<main><div class=teaser><p>Other</p></div><article><div class=body>{f'<p>{LONG}</p>' * 12}</div><div class=more><p><a>one more</a></p></div>"
+     f"<div class=share><p>Share</p></div></article></main>", [LONG] * 12),
+])
+def test_divided_articles(body, lines):
+    assert html.main_text(page(body)).split("\n") == lines
+
+
 def test_long_page_keeps_everything():
     texts = [f"Paragraph {i}, with words." for i in range(20_000)]
     assert html.main_text(page("<article>" + "".join(f"<p>{t}</p>" for t in texts) + "</article>")) == "\n".join(texts)

@@ -6,7 +6,7 @@ diagonals do not occur in them, except where a result column counts them.
 
 from __future__ import annotations
 
-from overflight.llm import chat, decontam, licenses, quality
+from overflight.llm import chat, decontam, importance, licenses, quality, substrings
 from overflight.llm.decontam import MASKS, SPAN, WINDOW
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -172,10 +172,140 @@ def _chat() -> str:
     FROM shown GROUP BY conv_id"""
 
 
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes; the table follows from the polynomial."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    coded = f"hex(encode({text}))"
+    octets = f"list_transform(range(0, length({coded}) // 2), lambda i: ('0x' || substr({coded}, 2 * i + 1, 2))::BIGINT)"
+    return (f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, ({table}::BIGINT[])[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), "
+            "4294967295::BIGINT)")
+
+
+def _importance(percent: int = 25, least: int = 20, seed: int = 7) -> str:
+    """Features as strings, each counted by bucket."""
+    listed = lambda table, row: f"""SELECT {row}, unnest(list_concat(words, list_transform(
+        range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature FROM {table}"""
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_alnum_words()} AS words FROM documents),
+    b AS (SELECT item_id, {_alnum_words()} AS words FROM benchmark),
+    of_docs AS ({listed("d", "row")}), of_items AS ({listed("b", "item_id")}),
+    buckets AS (SELECT feature, {_crc32("feature")} % {importance.BUCKETS} AS bucket
+        FROM (SELECT feature FROM of_docs UNION SELECT feature FROM of_items)),
+    s AS (SELECT bucket, count(*) AS s FROM of_docs JOIN buckets USING (feature) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS t FROM of_items JOIN buckets USING (feature) GROUP BY bucket),
+    gains AS (
+        SELECT s.bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + {importance.BUCKETS})::DOUBLE)
+            / ((s + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + {importance.BUCKETS})::DOUBLE)))::BIGINT AS gain
+        FROM s LEFT JOIN t USING (bucket)),
+    weights AS (
+        SELECT row, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+        FROM of_docs JOIN buckets USING (feature) JOIN gains USING (bucket) GROUP BY row),
+    scored AS (
+        SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(
+            -1000 * ln(-ln((('0x' || substr(sha256('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+        FROM d LEFT JOIN weights USING (row)),
+    able AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place FROM scored WHERE n_words >= {least})
+    SELECT doc_id, n_words, n_features, weight, score,
+        CASE WHEN place <= {percent} * (SELECT count(*) FROM able) // 100 THEN place END AS rank FROM able
+    UNION ALL SELECT doc_id, n_words, n_features, weight, score, NULL FROM scored WHERE n_words < {least}"""
+
+
+_SUBSTRINGS = f"""
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_space_words()} AS words FROM documents),
+    places AS (SELECT row, unnest(range(1, len(words) - {substrings.LENGTH - 2})) AS i, words FROM d WHERE len(words) >= {substrings.LENGTH}),
+    windows AS (SELECT row, i, count(*) OVER (PARTITION BY array_to_string(words[i:i + {substrings.LENGTH - 1}], ' ')) AS times FROM places),
+    removed AS (
+        SELECT row, list(DISTINCT i + k) AS gone FROM windows, (SELECT unnest(range(0, {substrings.LENGTH})) AS k)
+        WHERE times > 1 GROUP BY row),
+    left_over AS (
+        SELECT row, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+    gone AS (SELECT row, unnest(gone) AS i FROM removed),
+    kept AS (
+        SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM left_over ANTI JOIN gone USING (row, i) GROUP BY row)
+    SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM d LEFT JOIN removed USING (row) LEFT JOIN kept USING (row)"""
+
+
+def _repair() -> str:
+    """Row after row: the least (cost, audit) that leaves the repaired rows in each state."""
+    paid = lambda state, cost, edit: f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}}"
+    never = "{'c': 1000000000, 'a': '~'}"
+    to_user = lambda cost, edit: ", ".join(paid(s, cost, edit) for s in ("s0", "s1", "s3"))
+    may = lambda allowed, listed: f"CASE WHEN {allowed} THEN least({listed}) ELSE {never} END"
+    more, stays = "(fault = 't')::INT", "fault <> 'd'"
+    return f"""
+    WITH RECURSIVE drawn AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault FROM conversations),
+    hurt AS (
+        SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+            CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(0, CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+        FROM drawn WHERE fault <> 0),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM hurt),
+    judged AS (
+        SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+            WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' END AS found,
+            substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+        FROM numbered),
+    symbols AS (
+        SELECT conv_id, i, role, text, initial, CASE WHEN found IN ('blank', 'duplicate') THEN 'd' WHEN found = 'truncated' THEN 't' ELSE '-' END AS fault
+        FROM judged),
+    parse(conv_id, i, s0, s1, s2, s3) AS (
+        SELECT DISTINCT conv_id, 0::BIGINT, {{'c': 0, 'a': ''}}, {never}, {{'c': 2, 'a': 'I'}}, {{'c': 4, 'a': 'II'}} FROM symbols
+        UNION ALL
+        SELECT conv_id, i, t0, t1, u2, least(t3, {paid("u2", 2, "I")})
+        FROM (
+            SELECT *, least(t2, {paid("t0", 2, "I")}, {paid("t1", 2, "I")}, {paid("t3", 2, "I")}) AS u2
+            FROM (
+                SELECT x.conv_id, x.i, {paid("s0", 3, "D")} AS t0,
+                    least({paid("s1", 3, "D")}, {may(f"{stays} AND initial = 's'", paid("s0", more, "K"))}) AS t1,
+                    least({paid("s2", 3, "D")}, {may(f"{stays} AND initial = 'u'", to_user(more, "K"))},
+                        {may(stays, to_user(f"2 + {more}", "R"))}) AS t2,
+                    least({paid("s3", 3, "D")}, {may(f"{stays} AND initial = 'a'", paid("s2", more, "K"))},
+                        {may(stays, paid("s2", f"2 + {more}", "R"))}) AS t3
+                FROM parse p JOIN symbols x ON x.conv_id IS NOT DISTINCT FROM p.conv_id AND x.i = p.i + 1))),
+    best AS (SELECT conv_id, least(s0, s3) AS best FROM parse p WHERE i = (SELECT max(i) FROM symbols s WHERE s.conv_id IS NOT DISTINCT FROM p.conv_id)),
+    letters AS (
+        SELECT conv_id, unnest(string_split(best.a, '')) AS edit, unnest(range(1, length(best.a) + 1)) AS k FROM best),
+    placed AS (
+        SELECT *, sum(CASE WHEN edit <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) AS i,
+            sum(CASE WHEN edit <> 'D' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY k) AS nth FROM letters),
+    edited AS (
+        SELECT p.conv_id, k, nth, edit, role, CASE WHEN edit = 'I' THEN '' ELSE text END AS text,
+            max(CASE WHEN edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY p.conv_id) AS led
+        FROM placed p LEFT JOIN symbols s ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.i = p.i),
+    repaired AS (
+        SELECT conv_id, sha256(string_agg(
+            CASE WHEN edit = 'K' THEN role WHEN (nth - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY k)) AS digest
+        FROM edited WHERE edit <> 'D' GROUP BY conv_id),
+    facts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (found = 'blank') AS blank, count(*) FILTER (found = 'duplicate') AS duplicate,
+            count(*) FILTER (found = 'truncated') AS truncated,
+            count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM judged GROUP BY conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+        coalesce(best.a, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 ORACLES: dict[str, str] = {
     "op2_license_scan": _licenses(),
     "op3_minhash_near_dedup": _NEAR,
     "op6_quality_rules": _quality(),
     "op8_benchmark_decontamination": _decontamination(),
     "op9_chat_formatting": _chat(),
+    "op11_importance_resampling": _importance(),
+    "op12_substring_dedup": _SUBSTRINGS,
+    "op13_conversation_repair": _repair(),
 }

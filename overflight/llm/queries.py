@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from overflight.llm import chat, decontam, hpylm, html, langid, licenses, mixing, neardup, quality, tokens
+from overflight.llm import (
+    chat, decontam, hpylm, html, importance, langid, licenses, mixing, neardup, quality, repair, substrings, tokens,
+)
 from overflight.llm.common import table
 from overflight.llm.oracles import ORACLES
 
@@ -60,6 +62,19 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a rule on their keys."""
+    return repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
@@ -71,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_token_ids": op10_token_ids,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

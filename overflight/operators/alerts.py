@@ -6,13 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from overflight.functions.text import clip_text
 from overflight.functions.timeparts import humanize_duration, instant
 from overflight.operators.metrics import COVERAGE, FRESHNESS, QUERY_SUCCESS, SNAPSHOTS
 from overflight.sources.reference import literal_table
-from overflight.operators.ordered import with_runs
+from overflight.operators.ordered import with_next, with_runs
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,7 @@ DEFAULT_RULES = (
     Rule("low_coverage", COVERAGE, "<", 0.8, over_labels=True, summary="a region's coverage is below 0.8"),
 )
 HEARTBEAT_S = 300
+CHUNK_BUCKETS = 10_000
 
 RULE_SCHEMA = (
     "alert STRING, metric STRING, op STRING, threshold DOUBLE, hold_s BIGINT, severity STRING, team STRING, "
@@ -73,16 +74,23 @@ def rule_samples(series: DataFrame, rules: DataFrame) -> DataFrame:
     condition holds. ``rules`` is joined by its known small size; aggregation
     over the labels combines on the map side."""
     instance = F.when(F.col("over_labels"), F.lit("")).otherwise(F.col("label"))
-    return (
+    return holding(
         series.where(F.col("value").isNotNull())
         .join(rules, "metric")
         .groupBy("alert", instance.alias("instance"), "ts", "op", "threshold", "hold_s", "severity", "team", "summary")
         .agg(F.min("value").alias("value"))
-        .withColumn("holds", _holds(F.col("value"), F.col("op"), F.col("threshold")))
-        .drop("op", "threshold")
     )
 
 
+def holding(samples: DataFrame) -> DataFrame:
+    """Samples of rules with ``holds`` instead of operator and threshold, and
+    with their ``instance``, if the labels are still there."""
+    if "label" in samples.columns:
+        samples = samples.withColumn("instance", F.when(F.col("over_labels"), F.lit("")).otherwise(F.col("label")))
+    held = _holds(F.col("value"), F.col("op"), F.col("threshold"))
+    return samples.withColumn("holds", held).drop("op", "threshold", "label", "over_labels", "metric")
+
+
 def alert_states(samples: DataFrame, max_gap_s: int | None = None) -> DataFrame:
     """State per sample: inactive, pending, firing or (once) resolved.
 
@@ -162,11 +170,12 @@ def heartbeat(
     Inside a bucket of ``silent_s`` seconds no silence can be that long, so
     first and last sign per bucket are enough. That aggregate combines on the
     map side: a source that sends most of the rows is as small as any other.
+    The next sign is looked up in pieces of ``CHUNK_BUCKETS`` buckets, so the
+    history of a source is never one task's work.
     """
     bucket = F.floor(F.unix_micros(ts) / (silent_s * 1_000_000)).cast("bigint").alias("_bucket")
     signs = series.groupBy(*keys, bucket).agg(F.min(ts).alias("_first"), F.max(ts).alias("last_seen"))
-    order = Window.partitionBy(*keys).orderBy("_bucket")
-    gaps = signs.withColumn("next_seen", F.lead("_first").over(order))
+    gaps = with_next(signs, keys, "last_seen", "_first", "next_seen", CHUNK_BUCKETS * silent_s)
     end = F.col("next_seen") if as_of is None else F.coalesce(F.col("next_seen"), instant(as_of))
     silence = F.timestamp_diff("MICROSECOND", F.col("last_seen"), end)
     return gaps.where(silence > silent_s * 1_000_000).select(

@@ -72,3 +72,19 @@ def with_runs(
         prev["ts"].alias("prev_ts"),
         F.greatest("_upto", "_carry").alias("active_since"),
     )
+
+
+def with_next(df: DataFrame, keys: Sequence[str], ts: str, value: str, name: str, seconds: int = CHUNK_SECONDS) -> DataFrame:
+    """Add ``name``: ``value`` of the key's next row in the order of ``ts``, NULL for the last one.
+
+    Looked up inside (key, time chunk) pieces; the last row of a piece takes it
+    from the first row of the next piece.
+    """
+    piece = Window.partitionBy(*keys, "_chunk").orderBy(ts)
+    inside = _chunked(df, ts, seconds).withColumn("_inside", F.lead(value).over(piece)).withColumn(
+        "_last", F.lead(F.lit(True)).over(piece).isNull())
+    pieces = inside.groupBy(*keys, "_chunk").agg(F.min_by(value, ts).alias("_first"))
+    order = Window.partitionBy(*keys).orderBy("_chunk")
+    pieces = pieces.withColumn("_next", F.lead("_first").over(order)).drop("_first")
+    following = F.when(F.col("_last"), F.col("_next")).otherwise(F.col("_inside"))
+    return _join_pieces(inside, pieces, keys).select(*df.columns, following.alias(name))

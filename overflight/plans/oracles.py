@@ -175,6 +175,18 @@ runs_told AS (
   FROM timeline WHERE state IN ('firing', 'resolved') GROUP BY ALL
 )"""
 
+# The timeline again, of a series with one more sample among those before the middle of the month.
+_AND_LATE = SERIES + """,
+late_series AS (
+  SELECT * FROM series UNION ALL
+  SELECT max(ts) - INTERVAL '30 minutes', 'freshness', '', 1e9::DOUBLE FROM series
+  WHERE metric = 'freshness' AND ts < TIMESTAMP '2024-01-16 05:00:00'
+)"""
+TWO_RUNS = f"""SELECT *, 'first' AS run FROM (WITH {ALERTS}
+  SELECT alert, instance, ts, value, state, active_since, severity FROM timeline) AS whole
+UNION ALL SELECT *, 'second' FROM (WITH {_AND_LATE + "," + _OWN_RULES.replace("FROM series", "FROM late_series") + _TIMELINE}
+  SELECT alert, instance, ts, value, state, active_since, severity FROM timeline) AS again"""
+
 TIMELINE = f"""WITH {ALERTS}
 SELECT alert, instance, ts, value, state, active_since, severity FROM timeline"""
 
@@ -485,7 +497,13 @@ ORACLES: dict[str, str] = {
         WHERE CAST(dt + 1 AS TIMESTAMP) <= (SELECT max(snapshot_time) - INTERVAL '1 hour' FROM states)""",
     "stream_ingest": LOADED,
     "stream_late_reload": REGION_DENSITY,
-    "stream_alerts": TIMELINE,
+    "stream_alerts": TWO_RUNS,
+    "stream_heartbeat": """WITH signs AS (
+          SELECT CAST(user_id AS VARCHAR) AS source, ts FROM events UNION ALL SELECT 'all', ts FROM events),
+        seen AS (SELECT source, ts, lead(ts) OVER (PARTITION BY source ORDER BY ts) AS next_seen FROM signs)
+        SELECT source, ts AS last_seen, ts + INTERVAL '6 hours' AS down_at, next_seen,
+               CAST((epoch_us(next_seen) - epoch_us(ts)) // 1000000 AS BIGINT) AS silent_seconds
+        FROM seen WHERE epoch_us(next_seen) - epoch_us(ts) > 21600000000""",
 }
 
 # Days are compared as ISO text.

@@ -622,15 +622,45 @@ def stream_late_reload(spark, sf_dir):
 
 @query
 def stream_alerts(spark, sf_dir):
-    """The alert timeline out of two micro-batches, the second continuing
-    where the first left off."""
+    """The alert timeline from a stream that is stopped and started again.
+
+    The first run (checkpoint) gets half of the ticks and is stopped; started
+    again it gets the others and a sample that is too late to change what was
+    sent. A second run with a new checkpoint reads the series from its start
+    and finds that sample in its place.
+    """
     path, source = scratch_path(spark, "alerts"), scratch_path(spark, "series")
     series = _stored(_series(spark, sf_dir), "series")
     rules = alerts.rule_table(spark, RULES)
-    checkpoint = scratch_path(spark, "checkpoint")
+    first, cut = scratch_path(spark, "checkpoint"), timeparts.instant(datetime(2024, 1, 16, 5))
+
+    def run(checkpoint):
+        arrivals.run_available(alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path), checkpoint)
+        return alert_jobs.read_states(spark, path)
+
+    series.where(F.col("ts") < cut).write.mode("append").parquet(source)
+    run(first)
+    late = series.where("metric = 'freshness'").agg(
+        F.max(F.when(F.col("ts") < cut, F.col("ts"))).alias("ts"), F.lit("freshness").alias("metric"), F.lit("").alias("label"),
+        F.lit(1e9).alias("value"))
+    late = late.withColumn("ts", F.col("ts") - F.make_dt_interval(mins=F.lit(30)))
+    series.where(F.col("ts") >= cut).unionByName(late).write.mode("append").parquet(source)
+    states = _stored(_timeline(run(first)).withColumn("run", F.lit("first")), "first-run")
+    return states.unionByName(_timeline(run(scratch_path(spark, "checkpoint"))).withColumn("run", F.lit("second")))
+
+
+@query
+def stream_heartbeat(spark, sf_dir):
+    """Silences between closed sessions of every user and of one source that sends all events, from a
+    stream in two parts. A last sign of somebody else moves the watermark past all sessions."""
+    path, source, checkpoint = (scratch_path(spark, name) for name in ("sessions", "signs", "checkpoint"))
+    events = read_events(spark, sf_dir).select("ts", F.col("user_id").cast("string").alias("source"))
+    signs = _stored(events.unionByName(events.withColumn("source", F.lit("all"))), "signs")
+    silent_s = 6 * 3600
     cut = timeparts.instant(datetime(2024, 1, 16, 5))
-    for part in (series.where(F.col("ts") < cut), series.where(F.col("ts") >= cut)):
+    last = signs.agg(F.max("ts").alias("ts")).select(F.col("ts") + F.make_dt_interval(days=F.lit(2)), F.lit("clock"))
+    for part in (signs.where(F.col("ts") < cut), signs.where(F.col("ts") >= cut), last.toDF("ts", "source")):
         part.write.mode("append").parquet(source)
-        job = alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path)
-        arrivals.run_available(job, checkpoint)
-    return _timeline(alert_jobs.read_states(spark, path))
+        stream = spark.readStream.schema("ts TIMESTAMP, source STRING").parquet(source)
+        arrivals.run_available(alert_jobs.heartbeat(stream, ["source"], path, silent_s=silent_s), checkpoint)
+    return alert_jobs.read_silences(spark, path, "source STRING", silent_s).where(F.col("next_seen").isNotNull())

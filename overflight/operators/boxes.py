@@ -8,11 +8,30 @@ from overflight.config import BACKGROUND
 from overflight.functions.geo import DAILY_CREDITS, box_area, credit_cost
 
 
-def _cells(low: str, high: str, cell: float) -> Column:
-    first, last = F.floor(F.col(low) / F.lit(cell)), F.floor(F.col(high) / F.lit(cell))
+LEVELS = 8
+STEP = 4.0  # sides of the cells of one level, of those of the level below
+
+
+def _cells(low: str, high: str, cell: Column) -> Column:
+    first, last = F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)
     return F.explode(F.sequence(first.cast("bigint"), last.cast("bigint")))
 
 
+def box_level(cell: tuple[float, float], levels: int = LEVELS) -> Column:
+    """The lowest level whose cells are no smaller than the box."""
+    larger = F.greatest((F.col("lomax") - F.col("lomin")) / F.lit(float(cell[0])), (F.col("lamax") - F.col("lamin")) / F.lit(float(cell[1])))
+    steps = [F.when(larger > F.lit(STEP**n), 1).otherwise(0) for n in range(levels - 1)]
+    return sum(steps, F.lit(0))
+
+
+def box_index(boxes: DataFrame, cell: tuple[float, float], levels: int = LEVELS) -> DataFrame:
+    """``level, cx, cy`` and the box: on the level of its own size a box touches at most four cells, however large it is."""
+    leveled = boxes.withColumn("level", box_level(cell, levels))
+    side = F.pow(F.lit(STEP), F.col("level"))
+    return leveled.withColumn("cx", _cells("lomin", "lomax", side * F.lit(float(cell[0])))).withColumn(
+        "cy", _cells("lamin", "lamax", side * F.lit(float(cell[1]))))
+
+
 def assign_box(
     points: DataFrame,
     boxes: DataFrame,
@@ -20,33 +39,34 @@ def assign_box(
     lat: str = "latitude",
     cell: tuple[float, float] = (5.0, 5.0),
     default: str = BACKGROUND,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """Add ``region``: the box of lowest priority number that holds the point.
 
     Boxes are indexed by the grid cells they touch, which turns the range join
     into an equality join on the cell; points are never paired with all boxes.
-    Each cell carries its candidates in priority order, so a point meets at
-    most one row and needs no later grouping. A row is as long as boxes touch
-    its cell: for very many boxes choose smaller cells. Spark broadcasts the
-    index or joins by shuffle, with AQE splitting hot cells, by its actual size.
+    There are ``levels`` grids, ``cell`` being the cells of the finest one, and
+    a box lies on the one that fits its size, so that it has at most four
+    rows. A point looks up its cell on each level; levels without boxes drop
+    out when the query runs. Each cell carries its candidates in priority
+    order, so a point meets at most one row a level and needs no later
+    grouping. Spark broadcasts an index or joins by shuffle, with AQE splitting
+    hot cells, by its actual size.
     """
-    cx, cy = float(cell[0]), float(cell[1])
     x, y = F.col(lon), F.col(lat)
-    keyed = points.withColumn("_cx", F.floor(x / F.lit(cx)).cast("bigint")).withColumn(
-        "_cy", F.floor(y / F.lit(cy)).cast("bigint")
-    )
-    indexed = boxes.withColumn("_cx", _cells("lomin", "lomax", cx)).withColumn("_cy", _cells("lamin", "lamax", cy))
-    candidates = indexed.groupBy("_cx", "_cy").agg(
-        F.sort_array(F.collect_list(F.struct("priority", "region", "lomin", "lomax", "lamin", "lamax"))).alias("_boxes")
-    )
-    inside = F.filter(
-        "_boxes", lambda b: x.between(b["lomin"], b["lomax"]) & y.between(b["lamin"], b["lamax"])
-    )
-    return (
-        keyed.join(candidates, ["_cx", "_cy"], "left")
-        .withColumn("region", F.coalesce(F.get(inside, F.lit(0))["region"], F.lit(default)))
-        .drop("_cx", "_cy", "_boxes")
-    )
+    candidate = F.struct("priority", "region", "lomin", "lomax", "lamin", "lamax")
+    index = box_index(boxes, cell, levels).groupBy("level", "cx", "cy").agg(F.sort_array(F.collect_list(candidate)).alias("_boxes"))
+    found, first = points, []
+    for level in range(levels):
+        cx, cy = (F.lit(float(side) * STEP**level) for side in cell)
+        here = index.where(F.col("level") == level).select(
+            F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("_boxes").alias(f"_boxes{level}"))
+        at = [F.col("_cx") == F.floor(x / cx).cast("bigint"), F.col("_cy") == F.floor(y / cy).cast("bigint")]
+        found = found.join(here, at, "left").drop("_cx", "_cy")
+        inside = F.filter(f"_boxes{level}", lambda b: x.between(b["lomin"], b["lomax"]) & y.between(b["lamin"], b["lamax"]))
+        first.append(F.get(inside, F.lit(0)))
+    best = F.least(*first) if levels > 1 else first[0]
+    return found.withColumn("region", F.coalesce(best["region"], F.lit(default))).drop(*[f"_boxes{n}" for n in range(levels)])
 
 
 def observed_extents(stg: DataFrame, key: str = "region") -> DataFrame:

@@ -29,12 +29,14 @@ def lately(df: DataFrame, as_of: datetime, days: int = 7) -> DataFrame:
 
 def incomplete_days(bronze: DataFrame, as_of: datetime, days: int = 3, threshold: int = 115) -> DataFrame:
     """Closed days of the window with fewer than ``threshold`` snapshots of a
-    region. A snapshot counts once, in however many documents it came. A day
-    without any row forms no group; ``missing_days`` reports it."""
+    region. A snapshot counts once, in however many documents it came; the
+    ledger of bronze has them counted. A day without any row forms no group;
+    ``missing_days`` reports it."""
     window = recent_days(bronze, as_of, days, closed_only=True)
+    counted = F.sum("snapshots") if "snapshots" in bronze.columns else F.count_distinct("region", "snapshot_time")
     return (
         window.groupBy(day_of(window).alias("dt"))
-        .agg(F.count_distinct("region", "snapshot_time").alias("snapshot_cnt"))
+        .agg(counted.alias("snapshot_cnt"))
         .where(F.col("snapshot_cnt") < threshold)
         .orderBy("dt")
     )
@@ -94,7 +96,8 @@ def freshness_status(
     bronze: DataFrame, as_of: datetime, warn_s: int = 36 * 3600, error_s: int = 48 * 3600
 ) -> DataFrame:
     """One row: age of the newest load; above the limits warn, then error.
-    An empty table is an error."""
+    An empty table is an error. A load of an old day is a load too, so this
+    looks at all days: give it the ledger of bronze, not bronze."""
     age = F.col("age_seconds")
     return (
         bronze.agg(F.max("_loaded_at").alias("newest_load"))

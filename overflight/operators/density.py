@@ -76,6 +76,31 @@ def snapshot_region_counts(stg: DataFrame, sources: Sequence[int] = (ADSB,), exp
     )
 
 
+def coverage_parts(stg: DataFrame, *by: str) -> DataFrame:
+    """Snapshot times of a day as bitmaps over its seconds: ``dt, bucket, bitmap`` (and the columns ``by``).
+
+    A bucket holds 32,768 seconds in 4 KB, so a day has at most three rows of
+    bounded size. Bitmaps of parts (regions, late files, hours) are merged
+    without looking at the rows again, and their union counts exactly.
+    """
+    second = F.unix_seconds("snapshot_time") % 86_400
+    return stg.groupBy(
+        F.to_date("snapshot_time").alias("dt"), *by, F.bitmap_bucket_number(second).alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(second)).alias("bitmap"))
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """Bitmaps of any number of parts as those of the whole."""
+    return parts.groupBy("dt", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def coverage_of_parts(parts: DataFrame, expected: int = 144) -> DataFrame:
+    """The same as ``daily_coverage`` of the rows behind the parts."""
+    seen = merged_parts(parts).groupBy("dt").agg(F.sum(F.bitmap_count("bitmap")).alias("snapshots_observed"))
+    share = F.col("snapshots_observed") / F.lit(float(expected))
+    return seen.select("dt", "snapshots_observed", F.round(share, 3).alias("coverage_pct"))
+
+
 def region_density(
     stg: DataFrame,
     areas: DataFrame,
@@ -150,6 +175,20 @@ def latest_day(df: DataFrame, day: str = "dt") -> DataFrame:
     return df.where(F.col(day) == df.agg(F.max(day)).scalar())
 
 
+def _spread(number: Column) -> Column:
+    """The low 16 bits of a number, every second bit free. The masks are those of interleaving by doubling."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        number = F.shiftleft(number, shift).bitwiseOR(number).bitwiseAND(F.lit(mask))
+    return number
+
+
+def morton(cell_lon: Column | str, cell_lat: Column | str, cell_deg: float = 0.5) -> Column:
+    """Number of a cell on a curve that keeps neighbouring cells together."""
+    column = lambda c: F.col(c) if isinstance(c, str) else c
+    step = lambda degrees, offset: F.floor((column(degrees) + F.lit(offset)) / F.lit(cell_deg)).cast("bigint").bitwiseAND(F.lit(0xFFFF))
+    return _spread(step(cell_lon, 180.0)).bitwiseOR(F.shiftleft(_spread(step(cell_lat, 90.0)), 1))
+
+
 def grid_latest(grid: DataFrame) -> DataFrame:
     return latest_day(grid)
 
@@ -157,7 +196,10 @@ def grid_latest(grid: DataFrame) -> DataFrame:
 def grid_trend(
     grid: DataFrame, region: str | None = None, cell: tuple[float, float] | None = None
 ) -> DataFrame:
-    """The grid over days, for one region or cell, ordered by day."""
+    """The grid over days, for one region or cell, ordered by day. Of a grid
+    stored in the order of ``morton`` a cell's trend reads the few row groups
+    whose statistics admit the cell.
+    """
     if region is not None:
         grid = grid.where(F.col("region") == region)
     if cell is not None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,9 +22,10 @@ def _long(df: DataFrame, kind: str, label, value) -> DataFrame:
 
 
 def metric_snapshots(bronze: DataFrame, as_of: datetime, days: int = 3) -> DataFrame:
-    """Snapshots of a region per day, the current day included."""
+    """Snapshots of a region per day, the current day included; counted in bronze or added up from its ledger."""
     window = recent_days(bronze, as_of, days)
-    counts = window.groupBy(day_of(window).alias("dt")).agg(F.count_distinct("region", "snapshot_time").alias("n"))
+    counted = F.sum("snapshots") if "snapshots" in bronze.columns else F.count_distinct("region", "snapshot_time")
+    counts = window.groupBy(day_of(window).alias("dt")).agg(counted.alias("n"))
     return _long(counts, SNAPSHOTS, F.col("dt").cast("string"), F.col("n"))
 
 
@@ -51,8 +52,9 @@ def metric_density(mart: DataFrame) -> DataFrame:
 
 
 def quality_metrics(bronze: DataFrame, mart: DataFrame, as_of: datetime) -> DataFrame:
-    """All metrics ``kind, label, value`` as one query. ``mart`` should be the
-    stored, day-partitioned table: two parts read its latest day."""
+    """All metrics ``kind, label, value`` as one query. ``bronze`` may be its
+    ledger, which knows the answers. ``mart`` should be the stored,
+    day-partitioned table: two parts read its latest day."""
     mart = lately(mart, as_of)
     parts = [
         metric_snapshots(bronze, as_of),
@@ -90,10 +92,43 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """Of every metric the rows of its last tick. A metric that a failed
-    refresh could not take keeps the values it had."""
-    history = read_history(spark, root).drop("dt")
+    refresh could not take keeps the values it had. Reads the values folded
+    by ``fold_history`` and the ticks since, not all history."""
+    upto, folded = _folded(spark, root)
+    return _last_ticks(_since(spark, root, upto).unionByName(folded))
+
+
+def _last_ticks(history: DataFrame) -> DataFrame:
     last = history.groupBy("metric").agg(F.max("ts").alias("ts"))
-    return history.join(last, ["metric", "ts"], "left_semi").select(*history.columns)
+    return history.join(last, ["metric", "ts"], "left_semi").select("ts", "metric", "label", "value")
+
+
+def _since(spark: SparkSession, root: str, day: date | None) -> DataFrame:
+    history = read_history(spark, root)
+    return (history if day is None else history.where(F.col("dt") >= F.lit(day))).drop("dt")
+
+
+def _folded(spark: SparkSession, root: str) -> tuple[date | None, DataFrame]:
+    """The day up to which (itself not included) ticks are folded, and the rows as of then."""
+    row = read_table(spark, f"{root}/folds", "upto DATE").first()
+    upto = None if row is None else row["upto"]
+    return upto, read_table(spark, f"{root}/folded/upto={upto}", METRIC_SCHEMA)
+
+
+def fold_history(spark: SparkSession, root: str, before: date) -> None:
+    """Keep the current values as of the start of day ``before`` in one small
+    table, so that ``read_current`` opens the ticks of later days only.
+
+    For the days that have closed. History itself stays. The note of the fold
+    is written last: a fold that dies, or is repeated, changes no result.
+    """
+    upto, folded = _folded(spark, root)
+    if upto is not None and upto >= before:
+        return
+    ticks = read_history(spark, root).where(F.col("dt") < F.lit(before))
+    ticks = ticks if upto is None else ticks.where(F.col("dt") >= F.lit(upto))
+    _last_ticks(ticks.drop("dt").unionByName(folded)).coalesce(1).write.mode("overwrite").parquet(f"{root}/folded/upto={before}")
+    spark.range(1).select(F.lit(before).alias("upto")).coalesce(1).write.mode("overwrite").parquet(f"{root}/folds")
 
 
 def metric_min(series: DataFrame) -> DataFrame:

@@ -222,6 +222,17 @@ extents AS (
   FROM states GROUP BY region
 )"""
 
+# Rows and aircraft of two days of the region mart from every second event.
+_HALF_MARTS = """
+  SELECT dt, count(*) AS rows, CAST(sum(n) AS BIGINT) AS aircraft FROM (
+    SELECT CAST(snapshot_time AS DATE) AS dt, snapshot_time, CASE WHEN longitude BETWEEN 18 AND 44 AND latitude BETWEEN 42 AND 55 THEN 'ukraine'
+             WHEN longitude BETWEEN 36 AND 66 AND latitude BETWEEN 24 AND 42 THEN 'middle_east' ELSE 'west_europe' END AS region, count(*) AS n
+    FROM vectors WHERE event_id % 2 = 0 AND NOT on_ground AND position_source = 0
+      AND CAST(snapshot_time AS DATE) IN (DATE '2024-01-03', DATE '2024-01-04')
+      AND (longitude BETWEEN 18 AND 44 AND latitude BETWEEN 42 AND 55 OR longitude BETWEEN 36 AND 66 AND latitude BETWEEN 24 AND 42
+        OR longitude BETWEEN 2 AND 12 AND latitude BETWEEN 45 AND 52)
+    GROUP BY ALL) GROUP BY dt"""
+
 INCOMPLETE = f"""WITH {BRONZE},
 few AS (
   SELECT dt, count(*) AS snapshot_cnt FROM bronze
@@ -336,6 +347,11 @@ ORACLES: dict[str, str] = {
     "cast_quarantine": f"""WITH {VECTORS} SELECT snapshot_time, 'last_contact' AS failed_fields, count(*) AS vectors
         FROM vectors WHERE position_source = 3 GROUP BY snapshot_time""",
     "daily_coverage": f"WITH {MARTS} SELECT dt, snapshots_observed, coverage_pct FROM coverage",
+    "coverage_merged": f"WITH {MARTS} SELECT dt, snapshots_observed, coverage_pct FROM coverage",
+    "grid_cell_trend": f"""WITH {GRID_MART},
+        sizes AS (SELECT cell_lon, cell_lat, sum(aircraft_count) AS n FROM grid_mart GROUP BY ALL),
+        fullest AS (SELECT cell_lon, cell_lat FROM sizes ORDER BY n DESC, cell_lon DESC, cell_lat DESC LIMIT 1)
+        SELECT grid_mart.* FROM grid_mart JOIN fullest USING (cell_lon, cell_lat)""",
     "region_density": REGION_DENSITY,
     "region_density_zero_filled": f"""WITH {MARTS},
         snapshots AS (SELECT DISTINCT dt, snapshot_time FROM states)
@@ -385,6 +401,14 @@ ORACLES: dict[str, str] = {
                       ELSE 'other' END AS region
           FROM lineitem) GROUP BY region""",
     "assign_box_states": f"WITH {STATES} SELECT snapshot_time, icao24, longitude, latitude, region FROM states",
+    "assign_box_sizes": f"""WITH {STATES},
+        sides AS (SELECT DISTINCT user_id, -20.0::DOUBLE + (user_id * 7919 % 10000) / 100.0::DOUBLE AS lomin,
+            10.0::DOUBLE + (user_id * 104729 % 5500) / 100.0::DOUBLE AS lamin, 0.05::DOUBLE * pow(2.0, user_id % 13) AS side FROM events),
+        numbered AS (SELECT row_number() OVER () AS n, longitude, latitude FROM states),
+        inside AS (SELECT n, min(user_id) AS user_id FROM numbered JOIN sides ON longitude BETWEEN lomin AND lomin + side
+            AND latitude BETWEEN lamin AND lamin + side GROUP BY n)
+        SELECT coalesce('box ' || user_id, 'world') AS region, count(*) AS positions, true AS bounded
+        FROM numbered LEFT JOIN inside USING (n) GROUP BY 1""",
     "credit_budget": f"""WITH {EXTENTS},
         costs AS (SELECT *, (lamax - lamin) * (lomax - lomin) AS area FROM extents),
         priced AS (SELECT *, CAST(CASE WHEN area <= 25 THEN 1 WHEN area <= 100 THEN 2 WHEN area <= 400 THEN 3 ELSE 4 END
@@ -440,9 +464,9 @@ ORACLES: dict[str, str] = {
         FROM all_metrics WHERE value IS NOT NULL""",
     "metric_refresh": f"""{QUALITY}
         SELECT TIMESTAMP '2024-01-31 12:05:00' AS ts, kind AS metric, label,
-               CASE WHEN kind = 'freshness' THEN value + 300 ELSE round(value, 6) END AS value FROM metrics WHERE value IS NOT NULL
-        UNION ALL SELECT TIMESTAMP '2024-01-31 12:05:00', 'last_success', '', epoch(TIMESTAMP '2024-01-31 12:05:00')
-        UNION ALL SELECT TIMESTAMP '2024-01-31 12:10:00', 'query_success', '', 0.0::DOUBLE""",
+               CASE WHEN kind = 'freshness' THEN value + 300 ELSE round(value, 6) END AS value, 5 AS ticks FROM metrics WHERE value IS NOT NULL
+        UNION ALL SELECT TIMESTAMP '2024-01-31 12:05:00', 'last_success', '', epoch(TIMESTAMP '2024-01-31 12:05:00'), 5
+        UNION ALL SELECT TIMESTAMP '2024-01-31 12:10:00', 'query_success', '', 0.0::DOUBLE, 5""",
     "metric_minimum": f"WITH {SERIES} SELECT ts, metric, min(value) AS value FROM series GROUP BY ts, metric",
     "last_not_null": """SELECT event_type AS metric, CAST(user_id AS VARCHAR) AS label, max(ts) AS ts,
         arg_max(value, ts) AS value FROM events WHERE event_id % 3 <> 0 GROUP BY event_type, user_id""",
@@ -480,8 +504,10 @@ ORACLES: dict[str, str] = {
         numbered AS (SELECT CAST(epoch(snapshot_time) AS BIGINT) // 600 AS n FROM bronze)
         SELECT 'loaded' AS outcome, count(*) AS snapshots FROM numbered WHERE n % 5 <> 0 AND n % 7 <> 0
         UNION ALL SELECT 'quarantined', count(*) FROM numbered WHERE n % 5 = 0 OR n % 7 = 0""",
-    "ingest_status": """SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes FROM events
-        WHERE CAST(ts AS DATE) = DATE '2024-01-30'""",
+    "ingest_status": """WITH days AS (SELECT CAST(ts AS DATE) AS dt, count(*) AS n FROM events GROUP BY 1),
+        spine AS (SELECT CAST(unnest(generate_series(min(dt), max(dt) + 1, INTERVAL 1 DAY)) AS DATE) AS dt FROM days)
+        SELECT CAST(dt AS VARCHAR) AS dt, n > 0 IS TRUE AS has_files, n > 0 IS TRUE AS has_bytes, n > 0 IS TRUE AS has_newest,
+               CASE WHEN n > 0 THEN 'ok' ELSE 'no files' END AS status FROM spine LEFT JOIN days USING (dt)""",
     "daily_build": f"""WITH {GRID_MART},
         sizes AS (SELECT 'region_density' AS relation, count(*) AS rows, count(DISTINCT dt) AS days FROM region_mart
           UNION ALL SELECT 'grid_density', count(*), count(DISTINCT dt) FROM grid_mart
@@ -496,7 +522,22 @@ ORACLES: dict[str, str] = {
     "stream_coverage": f"""WITH {MARTS} SELECT dt, snapshots_observed, coverage_pct FROM coverage
         WHERE CAST(dt + 1 AS TIMESTAMP) <= (SELECT max(snapshot_time) - INTERVAL '1 hour' FROM states)""",
     "stream_ingest": LOADED,
-    "stream_late_reload": REGION_DENSITY,
+    "stream_late_reload": REGION_DENSITY.replace("('ukraine', 338.0::DOUBLE)", "('ukraine', 1000.0::DOUBLE)"),
+    "reload_changed": f"""WITH {MARTS},
+        kept AS (SELECT dt, count(*) FILTER (day(dt) % 3 <> 0 OR day(dt) % 2 = 0 OR event_id % 4 <> 0) AS aircraft
+                 FROM vectors_in_regions GROUP BY dt),
+        days AS (SELECT CAST(ts AS DATE) AS dt, bool_or(event_id % 4 = 0) AS quarter FROM events GROUP BY 1)
+        SELECT dt, day(dt) % 2 = 0 AS reloaded, day(dt) % 6 = 0 AND quarter AS rebuilt, nullif(aircraft, 0) AS aircraft
+        FROM days LEFT JOIN kept USING (dt)""".replace("vectors_in_regions", """(
+            SELECT event_id, CAST(snapshot_time AS DATE) AS dt FROM vectors
+            WHERE NOT on_ground AND position_source = 0 AND (longitude BETWEEN 18 AND 44 AND latitude BETWEEN 42 AND 55
+              OR longitude BETWEEN 36 AND 66 AND latitude BETWEEN 24 AND 42 OR longitude BETWEEN 2 AND 12 AND latitude BETWEEN 45 AND 52))"""),
+    "publish_after_audit": f"""WITH {MARTS},
+        before AS (SELECT dt, count(*) AS rows, CAST(sum(aircraft_count) AS BIGINT) AS aircraft FROM region_mart GROUP BY dt),
+        halves AS ({_HALF_MARTS})
+        SELECT *, 'rejected' AS load, 0 AS rebuilt FROM before
+        UNION ALL SELECT *, 'sound', 2 FROM before WHERE dt NOT IN (DATE '2024-01-03', DATE '2024-01-04')
+        UNION ALL SELECT *, 'sound', 2 FROM halves""",
     "stream_alerts": TWO_RUNS,
     "stream_heartbeat": """WITH signs AS (
           SELECT CAST(user_id AS VARCHAR) AS source, ts FROM events UNION ALL SELECT 'all', ts FROM events),
@@ -523,6 +564,10 @@ _DAYS = {
     "backfill": ("dt",),
     "stream_coverage": ("dt",),
     "stream_ingest": ("dt",),
+    "reload_changed": ("dt",),
+    "coverage_merged": ("dt",),
+    "grid_cell_trend": ("dt",),
+    "publish_after_audit": ("dt",),
 }
 for _name, _columns in _DAYS.items():
     _text = ", ".join(f"CAST({column} AS VARCHAR) AS {column}" for column in _columns)

@@ -1,4 +1,4 @@
-"""The daily run: gates, staging, marts, metrics; by day or in full."""
+"""The daily run: gates, staging, marts, checks, publishing, metrics; by day or in full."""
 
 from __future__ import annotations
 
@@ -8,23 +8,29 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from overflight.config import Config
 from overflight.functions.timeparts import utc
 from overflight.operators import density, metrics, points, quality, staging
 from overflight.operators.completeness import freshness_status, incomplete_days
+from overflight.sources import ledger
 from overflight.sources.bronze import read_bronze
 from overflight.sources.reference import literal_table, region_area
-from overflight.sources.storage import layer_name, materialize
+from overflight.sources.storage import layer_name, materialize, read_table, replace_days
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the layers of one environment lie."""
+    """Where the layers of one environment lie; ``lake`` is the root of bronze, if it is another one."""
 
     root: str
     env: str = "prod"
+    lake: str | None = None
+
+    def run(self, name: str) -> Layout:
+        """The same layers in a folder of a run, out of readers' sight."""
+        return Layout(f"{self.root.rstrip('/')}/_runs/{name}", self.env, self.lake or self.root)
 
     def _at(self, layer: str | None, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer_name(self.env, layer, 'source')}/{name}"
@@ -32,7 +38,7 @@ class Layout:
     @property
     def bronze(self) -> str:
         # shared by all environments: raw data is collected once
-        return f"{self.root.rstrip('/')}/bronze/snapshots"
+        return f"{(self.lake or self.root).rstrip('/')}/bronze/snapshots"
 
     @property
     def staging(self) -> str:
@@ -46,15 +52,20 @@ class Layout:
     def metrics(self) -> str:
         return self._at("metrics", "quality")
 
+    @property
+    def built(self) -> str:
+        return self._at("intermediate", "built")
+
     def mart(self, name: str) -> str:
         return self._at("marts", name)
 
 
 def gate_results(spark: SparkSession, layout: Layout, cfg: Config, as_of: datetime) -> list[DataFrame]:
     """Source checks that run before any transform: freshness of the last load
-    (blocks when too old) and completeness of recent days (never blocks)."""
-    bronze = read_bronze(spark, layout.bronze)
-    fresh = freshness_status(bronze, as_of, cfg.freshness_warn_s, cfg.freshness_error_s).select(
+    (blocks when too old) and completeness of recent days (never blocks), both
+    from the load ledger."""
+    loads = ledger.read_ledger(spark, layout.bronze)
+    fresh = freshness_status(loads, as_of, cfg.freshness_warn_s, cfg.freshness_error_s).select(
         F.lit("bronze").alias("relation"),
         F.lit("freshness").alias("check_name"),
         F.lit("_loaded_at").alias("column_name"),
@@ -64,7 +75,7 @@ def gate_results(spark: SparkSession, layout: Layout, cfg: Config, as_of: dateti
     )
     few = quality.Singular(
         "daily_completeness",
-        lambda: incomplete_days(bronze, as_of, cfg.completeness_days, cfg.min_snapshots),
+        lambda: incomplete_days(loads, as_of, cfg.completeness_days, cfg.min_snapshots),
         severity="warn",
     )
     return [fresh, quality.run_singular(few, "bronze")]
@@ -76,22 +87,24 @@ def stage_layer(spark: SparkSession, layout: Layout, cfg: Config, days: Sequence
     return _store(staged, layout.staging, days, clustered=True)
 
 
-def _store(df: DataFrame, path: str, days: Sequence[date] | None, clustered: bool = False) -> DataFrame:
+def _store(
+    df: DataFrame, path: str, days: Sequence[date] | None, clustered: bool = False, order: Sequence[Column] = ()
+) -> DataFrame:
     mode = "table" if days is None else "days"
-    stored = materialize(df, path, mode, path=path, days=days, clustered=clustered)
+    stored = materialize(df, path, mode, path=path, days=days, clustered=clustered, order=order)
     return stored if days is None else stored.where(F.col("dt").isin(list(days)))
 
 
 def mart_layers(
     spark: SparkSession, layout: Layout, cfg: Config, stg: DataFrame, days: Sequence[date] | None, areas: DataFrame
-) -> dict[str, DataFrame]:
-    """Build the marts from stored staging. All of them are per day, so the
-    affected days alone give the same result as a full refresh."""
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Coverage and the marts, built from stored staging. All of them are per
+    day, so the affected days alone give the same result as a full refresh."""
     coverage = _store(density.daily_coverage(stg, cfg.expected_snapshots), layout.coverage, days)
     region = density.region_density(stg, areas, coverage, sources=cfg.sources)
     grid = density.grid_mart(stg, coverage, cfg.cell_deg, cfg.sources)
     frames = points.aircraft_points(stg, cfg.frame_minutes, cfg.frame_seconds, cfg.sources)
-    return {
+    return coverage, {
         "region_density": _store(region, layout.mart("region_density"), days),
         "grid_density": _store(grid, layout.mart("grid_density"), days),
         "aircraft_points": _store(
@@ -113,18 +126,102 @@ def check_layers(areas: DataFrame, layers: Mapping[str, DataFrame]) -> DataFrame
 def checked_layers(
     spark: SparkSession, layout: Layout, cfg: Config, days: Sequence[date] | None = None, areas: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Staging -> staging checks -> marts -> mart checks, the one way in which
-    layers are built, in full or for the days that changed.
+    """Write, audit, publish: the one way in which layers are built, in full or for the days that changed.
 
-    Marts are written before they can be checked; a failing check of severity
-    error stops the run and everything that would follow.
+    Staging, its checks, marts and their checks all happen in a folder of this
+    run, which the next run takes over (a layout has one writer at a time). A
+    failing check of severity error stops there, and readers go on seeing what
+    they saw. Only then the days of every published layer are replaced, and
+    what they were built from is recorded. A run that dies while it publishes
+    is repeated as a whole.
     """
     areas = region_area(spark, cfg.regions) if areas is None else areas
-    stg = stage_layer(spark, layout, cfg, days)
+    source = _sources(spark, layout, cfg, areas, days)
+    run = layout.run("next")
+    stg = stage_layer(spark, run, cfg, days)
     quality.run_gates([check_layers(areas, {"states": stg})])
-    marts = mart_layers(spark, layout, cfg, stg, days, areas)
+    coverage, marts = mart_layers(spark, run, cfg, stg, days, areas)
     quality.run_gates([check_layers(areas, marts)])
-    return {"states": stg, **marts}
+    _store(coverage, layout.coverage, days, clustered=True)
+    published = {"states": _store(stg, layout.staging, days, clustered=True)}
+    for name, mart in marts.items():
+        # neighbouring cells together, so that statistics tell which row groups hold a cell
+        order = [density.morton("cell_lon", "cell_lat", cfg.cell_deg)] if name == "grid_density" else []
+        published[name] = _store(mart, layout.mart(name), days, clustered=True, order=order)
+    sizes = [df.groupBy("dt").agg(F.lit(name).alias("layer"), F.count("*").alias("rows")) for name, df in published.items()]
+    record_built(reduce(DataFrame.unionByName, sizes), source, layout, days)
+    return published
+
+
+BUILT_SCHEMA = "layer STRING, rows BIGINT, fingerprint DECIMAL(38,0), recipe STRING, dt DATE"
+WHOLE_DAY = "day"
+
+
+def recipe(cfg: Config, areas: DataFrame) -> DataFrame:
+    """One value that changes with the parameters and the areas of a build."""
+    rows = F.sort_array(F.collect_list(F.struct("region", "area_sqdeg")))  # one row per region
+    return areas.agg(F.sha2(F.concat(F.lit(repr(cfg)), F.to_json(rows)), 256).alias("recipe"))
+
+
+def _sources(spark: SparkSession, layout: Layout, cfg: Config, areas: DataFrame, days: Sequence[date] | None) -> DataFrame:
+    """What bronze holds of these days, from its ledger: ``dt, fingerprint, recipe``."""
+    held = ledger.days(ledger.read_ledger(spark, layout.bronze)).select("dt", "fingerprint")
+    held = held if days is None else held.where(F.col("dt").isin(list(days)))
+    return held.withColumn("recipe", recipe(cfg, areas).scalar())
+
+
+def record_built(sizes: DataFrame, source: DataFrame, layout: Layout, days: Sequence[date] | None) -> None:
+    """Rows per layer and day, and per day what the layers were built from."""
+    spark = sizes.sparkSession
+    day = source.select(F.lit(WHOLE_DAY).alias("layer"), F.lit(None).cast("bigint").alias("rows"), "fingerprint", "recipe", "dt")
+    rows = sizes.select("layer", "rows", F.lit(None).cast("decimal(38,0)").alias("fingerprint"), F.lit(None).cast("string").alias("recipe"), "dt")
+    rows = rows.unionByName(day).coalesce(1)
+    if days is None:
+        rows.write.mode("overwrite").partitionBy("dt").parquet(layout.built)
+    else:
+        replace_days(rows, layout.built, days, clustered=True)
+
+
+def read_built(spark: SparkSession, layout: Layout) -> DataFrame:
+    return read_table(spark, layout.built, BUILT_SCHEMA)
+
+
+def built_days(spark: SparkSession, layout: Layout, layer: str) -> DataFrame:
+    """``dt, rows`` of a published layer, from the build's own record."""
+    return read_built(spark, layout).where(F.col("layer") == layer).select("dt", "rows")
+
+
+def latest_published(spark: SparkSession, layout: Layout, name: str, schema: str | None = None) -> DataFrame:
+    """The newest day of a published mart; its days are known from the record, so files of other days are not opened."""
+    mart = spark.read.parquet(layout.mart(name)) if schema is None else read_table(spark, layout.mart(name), schema)
+    return mart.where(F.col("dt") == built_days(spark, layout, name).agg(F.max("dt")).scalar())
+
+
+def changed_days(
+    spark: SparkSession, layout: Layout, cfg: Config, days: Sequence[date] | None = None, areas: DataFrame | None = None
+) -> DataFrame:
+    """``dt, changed``: whether bronze now holds something else than what the layers of a day were built from."""
+    areas = region_area(spark, cfg.regions) if areas is None else areas
+    now = _sources(spark, layout, cfg, areas, days)
+    before = read_built(spark, layout).where(F.col("layer") == WHOLE_DAY).select(
+        "dt", F.struct("fingerprint", "recipe").alias("_before"))
+    same = F.struct("fingerprint", "recipe").eqNullSafe(F.col("_before"))
+    return now.join(before, "dt", "left").select("dt", (~same).alias("changed"))
+
+
+def rebuild_changed(
+    spark: SparkSession, layout: Layout, cfg: Config = Config(), days: Sequence[date] | None = None, areas: DataFrame | None = None
+) -> list[date]:
+    """Rebuild the layers of those days whose bronze, or whose parameters, changed since they were built.
+
+    A reload that brought what was there before rebuilds nothing. Returns the
+    days, one value for each.
+    """
+    changed = changed_days(spark, layout, cfg, days, areas).where("changed")
+    due = sorted(row.dt for row in changed.select("dt").collect())
+    if due:
+        checked_layers(spark, layout, cfg, due, areas)
+    return due
 
 
 def build(
@@ -135,7 +232,7 @@ def build(
     as_of: datetime | None = None,
     areas: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Gates -> staging -> staging checks -> marts -> mart checks -> metrics.
+    """Gates -> staging -> staging checks -> marts -> mart checks -> publishing -> metrics.
 
     ``days`` limits the run to these days; None rebuilds everything. The gates
     and the metrics look at the tables as of ``as_of``, by default now.
@@ -158,8 +255,8 @@ def refresh_metrics(spark: SparkSession, layout: Layout, as_of: datetime, into:
     another metric table than the layout's.
     """
     try:
-        mart = spark.read.parquet(layout.mart("region_density"))
-        taken = metrics.quality_metrics(read_bronze(spark, layout.bronze), mart, as_of).collect()
+        mart = latest_published(spark, layout, "region_density")
+        taken = metrics.quality_metrics(ledger.read_ledger(spark, layout.bronze), mart, as_of).collect()
     except Exception:  # any failed query is the event to record
         logging.getLogger(__name__).exception("metrics could not be taken")
         rows = [(metrics.QUERY_SUCCESS, "", 0.0)]

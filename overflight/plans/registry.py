@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta, timezone
 from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from overflight.config import REGIONS, Box, Config
@@ -15,10 +16,10 @@ from overflight.operators import alerts, boxes, completeness, density, metrics,
 from overflight.plans import pipeline
 from overflight.plans.events import REGION, bronze_from_events, hourly_series, raw_documents, read_events, read_table
 from overflight.session import configure, scratch_path
-from overflight.sources import bronze as bronze_source, raw as raw_source
+from overflight.sources import bronze as bronze_source, ledger, raw as raw_source
 from overflight.sources.reference import box_table, literal_table, read_region_area, region_area
 from overflight.sources.storage import materialize, write_days
-from overflight.streaming import aggregates, alert_jobs, arrivals
+from overflight.streaming import aggregates, alert_jobs, arrivals, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,6 +78,14 @@ def _density(spark: SparkSession, stg: DataFrame, **options) -> DataFrame:
     return density.region_density(stg, region_area(spark), expected=CFG.expected_snapshots, **options)
 
 
+def _lake(spark: SparkSession, bronze: DataFrame, name: str = "lake") -> pipeline.Layout:
+    """A new lake that holds these bronze rows and their ledger."""
+    layout = pipeline.Layout(scratch_path(spark, name))
+    write_days(bronze, layout.bronze)
+    bronze_source.note_load(spark, layout.bronze)
+    return layout
+
+
 def _stored_mart(spark: SparkSession, bronze: DataFrame) -> DataFrame:
     return _stored(_density(spark, staging.stage(bronze, CFG)), "region_density")
 
@@ -116,6 +125,15 @@ def daily_coverage(spark, sf_dir):
     return density.daily_coverage(_staged(spark, sf_dir), CFG.expected_snapshots)
 
 
+@query
+def coverage_merged(spark, sf_dir):
+    """Daily coverage from bitmaps of parts: by region and by whether an event came late. Parts overlap in the
+    snapshots they saw."""
+    stg = _staged(spark, sf_dir).withColumn("late", F.xxhash64("icao24") % 3 == 0)
+    parts = _stored(density.coverage_parts(stg, "region", "late"), "coverage-parts")
+    return density.coverage_of_parts(parts, CFG.expected_snapshots)
+
+
 @query
 def region_density(spark, sf_dir):
     return _density(spark, _staged(spark, sf_dir)).drop("dt")
@@ -148,7 +166,10 @@ def grid_mart(spark, sf_dir):
 
 @query
 def grid_latest(spark, sf_dir):
-    return density.grid_latest(_stored(_grid_mart(spark, sf_dir), "grid"))
+    """The newest day of the published grid, known from the record of the build."""
+    layout = _lake(spark, bronze_from_events(spark, sf_dir))
+    pipeline.checked_layers(spark, layout, CFG)
+    return pipeline.latest_published(spark, layout, "grid_density")
 
 
 @query
@@ -156,6 +177,16 @@ def grid_trend(spark, sf_dir):
     return density.grid_trend(_grid_mart(spark, sf_dir), region="ukraine")
 
 
+@query
+def grid_cell_trend(spark, sf_dir):
+    """The fullest cell over all days, from a published grid in the order of the curve."""
+    layout = _lake(spark, bronze_from_events(spark, sf_dir))
+    grid = pipeline.checked_layers(spark, layout, CFG)["grid_density"]
+    sizes = grid.groupBy("cell_lon", "cell_lat").agg(F.sum("aircraft_count").alias("n"))
+    fullest = sizes.agg(F.max(F.struct("n", "cell_lon", "cell_lat")).alias("top")).select("top.*").first()
+    return density.grid_trend(grid, cell=(fullest.cell_lon, fullest.cell_lat))
+
+
 @query
 def aircraft_points(spark, sf_dir):
     return points.aircraft_points(_staged(spark, sf_dir))
@@ -168,8 +199,9 @@ def aircraft_points_first_frame(spark, sf_dir):
 
 @query
 def points_export(spark, sf_dir):
-    out = scratch_path(spark, "export")
-    points.export_points(points.aircraft_points(_staged(spark, sf_dir)), AS_OF, out, CFG.map_days)
+    """The export reads the stored mart."""
+    out, mart = scratch_path(spark, "export"), points.aircraft_points(_staged(spark, sf_dir))
+    points.export_points(_stored(mart.withColumn("dt", F.to_date("snapshot_time")), "points"), AS_OF, out, CFG.map_days)
     return spark.read.parquet(out)
 
 
@@ -231,6 +263,27 @@ def assign_box_states(spark, sf_dir):
     return boxes.assign_box(stg, box_table(spark, REGIONS))
 
 
+@query
+def assign_box_sizes(spark, sf_dir):
+    """Every position among as many boxes as there are users, with sides from 0.05 to 205 degrees, and the
+    whole world. Returns the index rows a box takes at most, with the positions per box."""
+    side = F.lit(0.05) * F.pow(F.lit(2.0), F.col("user_id") % 13)
+    own = read_events(spark, sf_dir).select("user_id").distinct().select(
+        F.concat(F.lit("box "), F.col("user_id").cast("string")).alias("region"), (F.col("user_id") + 1).cast("int").alias("priority"),
+        (F.lit(-20.0) + (F.col("user_id") * 7919 % 10000) / F.lit(100.0)).alias("lomin"),
+        (F.lit(10.0) + (F.col("user_id") * 104729 % 5500) / F.lit(100.0)).alias("lamin"), side.alias("side"))
+    own = own.select("region", "priority", "lomin", (F.col("lomin") + F.col("side")).alias("lomax"), "lamin",
+                     (F.col("lamin") + F.col("side")).alias("lamax"))
+    world = literal_table(spark, [("world", 2_000_000_000, -180.0, 180.0, -90.0, 90.0)],
+                          "region STRING, priority INT, lomin DOUBLE, lomax DOUBLE, lamin DOUBLE, lamax DOUBLE")
+    areas = _stored(own.unionByName(world), "boxes")
+    cell = (0.1, 0.1)
+    most = boxes.box_index(areas, cell).groupBy("region").count().agg(F.max("count").alias("most"))
+    stg = _staged(spark, sf_dir).select("longitude", "latitude")
+    placed = boxes.assign_box(stg, areas, cell=cell).groupBy("region").agg(F.count("*").alias("positions"))
+    return placed.withColumn("bounded", most.scalar() <= 4)
+
+
 @query
 def credit_budget(spark, sf_dir):
     extents = boxes.observed_extents(_staged(spark, sf_dir))
@@ -280,11 +333,13 @@ def mart_freshness(spark, sf_dir):
 
 @query
 def freshness_status(spark, sf_dir):
-    bronze = _stored_bronze(spark, sf_dir)
+    """From the load ledger alone."""
+    layout = _lake(spark, bronze_from_events(spark, sf_dir))
+    loads = ledger.read_ledger(spark, layout.bronze)
     newest = datetime(2024, 1, 31)
     ages = (timedelta(hours=36), timedelta(hours=36, seconds=1), timedelta(hours=48, seconds=1))
     checked = [
-        completeness.freshness_status(bronze, newest + age, CFG.freshness_warn_s, CFG.freshness_error_s) for age in ages
+        completeness.freshness_status(loads, newest + age, CFG.freshness_warn_s, CFG.freshness_error_s) for age in ages
     ]
     shown = status.status_steps("age_seconds", status.FRESHNESS_STEPS)
     return reduce(DataFrame.unionByName, checked).withColumn("panel", shown)
@@ -327,18 +382,30 @@ def metric_panels(spark, sf_dir):
 
 @query
 def metric_refresh(spark, sf_dir):
-    """The metric table after two refreshes, one of them repeated, and a third
-    that fails for want of a mart: the last good values stay."""
-    layout = pipeline.Layout(scratch_path(spark, "refresh"))
-    write_days(bronze_from_events(spark, sf_dir), layout.bronze)
-    mart = _density(spark, staging.stage(bronze_source.read_bronze(spark, layout.bronze), CFG))
-    materialize(mart, "region_density", "table", path=layout.mart("region_density"))
-    pace = timedelta(minutes=5)
+    """The metric table after a day of its refresh job (two triggers) and a
+    day later, when two refreshes, one of them repeated, are followed by one
+    that fails for want of a mart: the last good values stay. What the first
+    day left is folded before."""
+    layout = _lake(spark, bronze_from_events(spark, sf_dir))
+    pipeline.checked_layers(spark, layout, CFG)
+    pace, times = timedelta(minutes=5), [AS_OF - timedelta(days=1, minutes=5), AS_OF - timedelta(days=1)]
+
+    def clock():
+        return times.pop(0)  # no third time: the job ends there
+
+    job = alert_jobs.metrics(spark, layout, every="1 second", clock=clock).option("checkpointLocation", scratch_path(spark, "checkpoint"))
+    try:
+        job.start().awaitTermination()
+    except StreamingQueryException:
+        pass
+    metrics.fold_history(spark, layout.metrics, AS_OF.date())
     for tick in (AS_OF, AS_OF + pace, AS_OF + pace):
         pipeline.refresh_metrics(spark, layout, tick)
     without = replace(layout, env="trial")  # no marts there
     pipeline.refresh_metrics(spark, without, AS_OF + 2 * pace, into=layout.metrics)
-    return metrics.read_current(spark, layout.metrics).withColumn("value", F.round("value", 6))
+    ticks = metrics.read_history(spark, layout.metrics).agg(F.count_distinct("ts").alias("ticks"))
+    current = metrics.read_current(spark, layout.metrics).withColumn("value", F.round("value", 6))
+    return current.withColumn("ticks", ticks.select("ticks").scalar())
 
 
 @query
@@ -479,11 +546,12 @@ def partition_replace(spark, sf_dir):
 
 @query
 def backfill(spark, sf_dir):
-    """Raw files on disk, loaded over the whole date range and then again."""
+    """Raw files of two regions on disk, one of them loaded over the whole date
+    range and then again."""
     root, table = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
     events = read_events(spark, sf_dir)
     documents = raw_documents(events)
-    raw_source.land_raw(documents, root)
+    raw_source.land_raw(documents.unionByName(documents.withColumn("region", F.lit("korea"))), root)
     raw_source.land_raw(documents, root)  # the same snapshots land again
     first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
     for _ in range(2):
@@ -515,19 +583,25 @@ def load_quarantine(spark, sf_dir):
 
 @query
 def ingest_status(spark, sf_dir):
-    """The landed raw files of the last day as a listing; file times and sizes
-    vary from run to run and are left out."""
+    """The landed raw files of every day and of the day after the last one, as a listing. File
+    times and sizes vary from run to run; whether there are any, and the verdict, do not."""
     root = scratch_path(spark, "raw")
-    raw_source.land_raw(raw_documents(read_events(spark, sf_dir)), root)
-    listed = raw_source.ingest_status(spark, root, datetime(2024, 1, 30, 12), pattern="*.txt")
-    return listed.select((F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    events = read_events(spark, sf_dir)
+    raw_source.land_raw(raw_documents(events), root)
+    first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    listed = [
+        raw_source.ingest_status(spark, root, datetime.combine(day, datetime.min.time()), pattern="*.txt").select(
+            F.lit(day).alias("dt"), (F.col("files") > 0).alias("has_files"),
+            (F.coalesce("bytes", F.lit(0)) > 0).alias("has_bytes"), F.col("newest").isNotNull().alias("has_newest"), "status")
+        for day in (first + timedelta(days=n) for n in range((last - first).days + 2))
+    ]
+    return reduce(DataFrame.unionByName, listed)
 
 
 @query
 def daily_build(spark, sf_dir):
     """Full build, then a rebuild of three days; rows and checks per mart."""
-    layout = pipeline.Layout(scratch_path(spark, "lake"))
-    write_days(bronze_from_events(spark, sf_dir), layout.bronze)
+    layout = _lake(spark, bronze_from_events(spark, sf_dir))
     pipeline.build(spark, layout, CFG, as_of=AS_OF)
     built = pipeline.build(spark, layout, CFG, days=[date(2024, 1, d) for d in (3, 4, 30)], as_of=AS_OF)
     tables = {name: spark.read.parquet(layout.mart(name)) for name in built if name != "states"}
@@ -546,14 +620,37 @@ def daily_build(spark, sf_dir):
 @query
 def build_checks(spark, sf_dir):
     """All declared checks on layers built with the areas of a reference file."""
-    layout, seed = pipeline.Layout(scratch_path(spark, "lake")), scratch_path(spark, "areas")
-    write_days(bronze_from_events(spark, sf_dir), layout.bronze)
+    layout, seed = _lake(spark, bronze_from_events(spark, sf_dir)), scratch_path(spark, "areas")
     region_area(spark).coalesce(1).write.option("header", True).csv(seed)
     areas = read_region_area(spark, seed)
     layers = pipeline.build(spark, layout, CFG, as_of=AS_OF, areas=areas)
     return pipeline.check_layers(areas, layers)
 
 
+@query
+def publish_after_audit(spark, sf_dir):
+    """What readers see of two days of the region mart. Both are loaded again
+    with half of their vectors: first with velocities that a check rejects,
+    which must leave the published mart as it is, then with sound ones."""
+    layout = _lake(spark, bronze_from_events(spark, sf_dir))
+    days = [date(2024, 1, 3), date(2024, 1, 4)]
+    pipeline.checked_layers(spark, layout, CFG)
+    half = read_events(spark, sf_dir).where((F.col("event_id") % 2 == 0) & F.to_date("ts").isin(days))
+    seen = []
+    for name, value in (("rejected", F.lit(-1.0)), ("sound", F.col("value"))):
+        bronze = bronze_source.to_bronze(raw_documents(half.withColumn("value", value)), AS_OF)
+        write_days(bronze, layout.bronze)
+        bronze_source.note_load(spark, layout.bronze, days)
+        try:
+            rebuilt = len(pipeline.rebuild_changed(spark, layout, CFG, days))
+        except quality.GateError:
+            rebuilt = 0
+        mart = spark.read.parquet(layout.mart("region_density")).groupBy("dt").agg(
+            F.count("*").alias("rows"), F.sum("aircraft_count").alias("aircraft"))
+        seen.append(_stored(mart.select("*", F.lit(name).alias("load"), F.lit(rebuilt).cast("bigint").alias("rebuilt")), name))
+    return reduce(DataFrame.unionByName, seen)
+
+
 # --- streams -----------------------------------------------------------------
 
 
@@ -565,21 +662,27 @@ def _stream_staged(spark, sf_dir):
 
 @query
 def stream_region_density(spark, sf_dir):
-    counted = aggregates.region_density(_stream_staged(spark, sf_dir), region_area(spark))
-    out = scratch_path(spark, "updates")
-    writer = counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out))
-    arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
+    """Continuous density, in two parts of the days; the updates of the first part are folded in between."""
+    bronze, table = _stored_bronze(spark, sf_dir), scratch_path(spark, "bronze")
+    out, checkpoint = scratch_path(spark, "updates"), scratch_path(spark, "checkpoint")
     schema = "snapshot_time TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg DOUBLE, density DOUBLE"
-    return aggregates.read_latest(spark, out, ["snapshot_time", "region"], schema)
+    keys = ["snapshot_time", "region"]
+    for part, folded in ((bronze.where(F.dayofmonth("dt") <= 15), False), (bronze.where(F.dayofmonth("dt") > 15), True)):
+        write_days(part, table)
+        counted = aggregates.region_density(staging.stage(arrivals.stream_bronze(spark, table), CFG), region_area(spark))
+        arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(runs.write_batch(out)), checkpoint)
+        if not folded:
+            runs.fold(spark, out, keys, schema)
+    return runs.read_latest(spark, out, keys, schema)
 
 
 @query
 def stream_frames(spark, sf_dir):
     counted = aggregates.frames(_stream_staged(spark, sf_dir))
     out = scratch_path(spark, "updates")
-    writer = counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out))
+    writer = counted.writeStream.outputMode("update").foreachBatch(runs.write_batch(out))
     arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
-    return aggregates.read_latest(spark, out, ["frame", "region"], "frame TIMESTAMP, region STRING, aircraft_count BIGINT")
+    return runs.read_latest(spark, out, ["frame", "region"], "frame TIMESTAMP, region STRING, aircraft_count BIGINT")
 
 
 @query
@@ -604,18 +707,42 @@ def stream_ingest(spark, sf_dir):
     return _loaded(bronze_source.read_bronze(spark, out))
 
 
+@query
+def reload_changed(spark, sf_dir):
+    """Which days a second load brought in again, and which of these were
+    rebuilt. Every third day first lands without a quarter of its vectors, then
+    every second day lands again in full: only every sixth day has changed."""
+    layout = pipeline.Layout(scratch_path(spark, "lake"))
+    root, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
+    events = read_events(spark, sf_dir)
+    documents = _stored(raw_documents(events), "documents")  # the second copy says the same word for word
+    day = F.dayofmonth(F.timestamp_seconds(F.get_json_object("value", "$.time").cast("bigint")))
+    short = raw_documents(events.where((F.dayofmonth("ts") % 3 == 0) & (F.col("event_id") % 4 != 0)))
+    loads = []
+    for part in (documents.where(day % 3 != 0).unionByName(short), documents.where(day % 2 == 0)):
+        raw_source.land_raw(part, root)
+        rebuilt = arrivals.apply_late(spark, root, layout, checkpoint, CFG, pattern="*.txt", packed=True)
+        loads.append(_stored(ledger.days(ledger.read_ledger(spark, layout.bronze)), "ledger"))
+    before, after = loads[0].select("dt", F.col("_loaded_at").alias("_before")), loads[1]
+    mart = spark.read.parquet(layout.mart("region_density")).groupBy("dt").agg(F.sum("aircraft_count").alias("aircraft"))
+    reloaded = after.join(before, "dt").select("dt", (F.col("_loaded_at") > F.col("_before")).alias("reloaded"))
+    return reloaded.withColumn("rebuilt", F.col("dt").isin(rebuilt)).join(mart, "dt", "left")
+
+
 @query
 def stream_late_reload(spark, sf_dir):
     """A third of the documents land a run later, and the last days are still
     open in the first run; days that closed or got late files are reloaded and
-    the marts rebuilt, which must equal a build from complete data."""
+    the marts rebuilt, which must equal a build from complete data. The areas
+    are given, and one of them is not that of its box."""
     layout = pipeline.Layout(scratch_path(spark, "lake"))
+    areas = region_area(spark).withColumn("area_sqdeg", F.when(F.col("region") == "ukraine", 1000.0).otherwise(F.col("area_sqdeg")))
     root, checkpoint = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint")
     documents = raw_documents(read_events(spark, sf_dir))
     late = F.xxhash64("value") % 3 == 0
     for part, before in ((documents.where(~late), LAST_DAY - timedelta(days=5)), (documents.where(late), None)):
         raw_source.land_raw(part, root)
-        arrivals.apply_late(spark, root, layout, checkpoint, CFG, pattern="*.txt", packed=True, before=before)
+        arrivals.apply_late(spark, root, layout, checkpoint, CFG, pattern="*.txt", packed=True, before=before, areas=areas)
     mart = spark.read.parquet(layout.mart("region_density"))
     return mart.select("snapshot_time", "region", "aircraft_count", "area_sqdeg", "density", "coverage_pct")
 

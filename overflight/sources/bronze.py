@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from overflight.functions.timeparts import instant, utc_day
 from overflight.schemas import BRONZE_SCHEMA
+from overflight.sources import ledger
 from overflight.sources.raw import latest_per_snapshot, read_raw
 from overflight.sources.storage import guard_day, read_table, write_days
 
 
-def _snapshot_epoch(mode: str) -> Column:
+def snapshot_epoch(mode: str) -> Column:
     """``time`` of the document. A value with more than one document, or with
     anything after it, is no array of one object once it stands in brackets."""
     text = F.btrim("value", F.lit(" \t\r\n"))
@@ -31,7 +32,7 @@ def to_bronze(
     PERMISSIVE skips such rows, which ``quarantine`` returns. Columns named in
     ``keep`` are passed through.
     """
-    epoch = _snapshot_epoch(mode)
+    epoch = snapshot_epoch(mode)
     if mode == "FAILFAST":
         epoch = F.coalesce(epoch, F.raise_error(F.lit("document is not a JSON object with a time")).cast("bigint"))
     stamped = raw.select(
@@ -48,7 +49,7 @@ def to_bronze(
 
 def quarantine(raw: DataFrame) -> DataFrame:
     """The documents a PERMISSIVE load skips."""
-    return raw.where(_snapshot_epoch("PERMISSIVE").isNull())
+    return raw.where(snapshot_epoch("PERMISSIVE").isNull())
 
 
 def write_bronze(df: DataFrame, path: str, dt: date | Column) -> None:
@@ -59,7 +60,8 @@ def write_bronze(df: DataFrame, path: str, dt: date | Column) -> None:
 
 
 def read_bronze(spark: SparkSession, path: str, days: Sequence[date] | None = None) -> DataFrame:
-    bronze = read_table(spark, path, BRONZE_SCHEMA)
+    """Bronze, loaded by day or by piece."""
+    bronze = read_table(spark, path, BRONZE_SCHEMA).select(*[field.split()[0] for field in BRONZE_SCHEMA.split(", ")])
     return bronze if days is None else bronze.where(F.col("dt").isin(list(days)))
 
 
@@ -81,13 +83,20 @@ def load_days(
 ) -> None:
     """Load raw days into bronze in one job, each day replaced as a whole.
 
-    Every document must belong to the day of the folder it lies in.
+    Every document must belong to the day of the folder it lies in. The load
+    ends with the ledger rows of these days, which readers ask instead of bronze.
     """
     raw = read_raw(spark, root, dts, regions, pattern=pattern, wholetext=not packed)
     if packed:
         raw = latest_per_snapshot(raw)
     bronze = to_bronze(raw.withColumnRenamed("dt", "folder"), loaded_at, keep=("folder",))
     write_bronze(bronze, bronze_path, F.to_date("folder", "yyyyMMdd"))
+    note_load(spark, bronze_path, [date(int(d[:4]), int(d[4:6]), int(d[6:])) for d in dts])
+
+
+def note_load(spark: SparkSession, bronze_path: str, days: Sequence[date] | None = None) -> None:
+    """Write the ledger rows of these days as bronze holds them now; None for all days."""
+    ledger.record(ledger.entries(read_bronze(spark, bronze_path, days)), bronze_path)
 
 
 def backfill(spark: SparkSession, root: str, bronze_path: str, start: date, end: date, **options) -> None:

@@ -104,14 +104,19 @@ def land_raw(df: DataFrame, root: str) -> None:
 
 
 def stream_raw(spark: SparkSession, root: str, *, pattern: str = "*.json", wholetext: bool = True,
-               max_files: int | None = None) -> DataFrame:
-    """Same rows as ``read_raw``, as new files arrive."""
+               max_files: int | None = None, stamped: bool = False) -> DataFrame:
+    """Same rows as ``read_raw``, as new files arrive; ``stamped`` adds when
+    and in which file a document landed (``landed_at, file``)."""
     reader = spark.readStream.option("pathGlobFilter", pattern).schema(RAW_SCHEMA)
     if not wholetext:
         reader = reader.option("lineSep", DOCUMENT_END)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.text(root, wholetext=wholetext)
+    stream = reader.text(root, wholetext=wholetext)
+    if not stamped:
+        return stream
+    return stream.select(
+        "*", F.col("_metadata.file_modification_time").alias("landed_at"), F.col("_metadata.file_name").alias("file"))
 
 
 def stream_listing(spark: SparkSession, root: str, *, pattern: str = "*.json") -> DataFrame:

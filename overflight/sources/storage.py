@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -19,21 +19,22 @@ def guard_day(df: DataFrame, expected: date | Column, day: str = "dt") -> DataFr
     return df.withColumn(day, F.when(F.col(day) == expected, F.col(day)).otherwise(stray))
 
 
-def _packed(df: DataFrame, day: str, clustered: bool) -> DataFrame:
-    """Rows arranged for a write by day.
+def _packed(df: DataFrame, day: str, clustered: bool, order: Sequence[Column] = ()) -> DataFrame:
+    """Rows arranged for a write by day, within a file in ``order``.
 
     The rebalance hint packs a day into files of the advisory size and lets
     AQE split a day that is far larger than the others over several tasks.
     ``clustered`` rows, a narrow transformation of a table stored by day, lie
     together already and are written as they come, without a shuffle.
     """
-    return df if clustered else df.hint("rebalance", day)
+    packed = df if clustered else df.hint("rebalance", day)
+    return packed.sortWithinPartitions(day, *order) if order else packed
 
 
-def write_days(df: DataFrame, path: str, day: str = "dt", clustered: bool = False) -> None:
+def write_days(df: DataFrame, path: str, day: str = "dt", clustered: bool = False, order: Sequence[Column] = ()) -> None:
     """Replace the days present in ``df``; an empty frame changes nothing."""
     (
-        _packed(df, day, clustered)
+        _packed(df, day, clustered, order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day)
@@ -41,7 +42,9 @@ def write_days(df: DataFrame, path: str, day: str = "dt", clustered: bool = Fals
     )
 
 
-def replace_days(df: DataFrame, path: str, days: Iterable[date], day: str = "dt", clustered: bool = False) -> None:
+def replace_days(
+    df: DataFrame, path: str, days: Iterable[date], day: str = "dt", clustered: bool = False, order: Sequence[Column] = ()
+) -> None:
     """Make ``path`` hold exactly the rows of ``df`` for ``days``.
 
     Unlike ``write_days``, a listed day without rows ends up empty, so a
@@ -49,7 +52,7 @@ def replace_days(df: DataFrame, path: str, days: Iterable[date], day: str = "dt"
     """
     days, written = set(days), Observation()
     observed = df.where(F.col(day).isin(list(days))).observe(written, F.collect_set(day).alias("days"))
-    write_days(observed, path, day, clustered)
+    write_days(observed, path, day, clustered, order)
     for empty in sorted(days - set(written.get["days"])):
         target = f"{path.rstrip('/')}/{day}={empty.isoformat()}"
         if exists(df.sparkSession, target):
@@ -93,6 +96,7 @@ def materialize(
     path: str | None = None,
     days: Iterable[date] | None = None,
     clustered: bool = False,
+    order: Sequence[Column] = (),
 ) -> DataFrame:
     """Publish a layer as a ``view``, a fully refreshed ``table``, or replaced ``days``.
 
@@ -104,7 +108,7 @@ def materialize(
         return spark.table(name)
     if mode == "table":
         by_day = "dt" in df.columns
-        packed = _packed(df, "dt", clustered) if by_day else df.hint("rebalance")
+        packed = _packed(df, "dt", clustered, order) if by_day else df.hint("rebalance")
         writer = packed.write.mode("overwrite").format("parquet")
         if by_day:
             writer = writer.partitionBy("dt")
@@ -116,6 +120,6 @@ def materialize(
     if mode == "days":
         if path is None or days is None:
             raise ValueError("mode 'days' needs a path and the days to replace")
-        replace_days(df, path, days, clustered=clustered)
+        replace_days(df, path, days, clustered=clustered, order=order)
         return spark.read.schema(df.schema).parquet(path)
     raise ValueError(f"unknown mode {mode!r}")

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from overflight.config import Config
-from overflight.plans.pipeline import Layout, checked_layers
+from overflight.plans.pipeline import Layout, rebuild_changed
 from overflight.schemas import BRONZE_SCHEMA
-from overflight.sources.bronze import load_days
-from overflight.sources.raw import stream_listing
-from overflight.sources.storage import read_table
+from overflight.sources import ledger
+from overflight.sources.bronze import load_days, snapshot_epoch
+from overflight.sources.raw import stream_listing, stream_raw
+from overflight.sources.reference import literal_table
+from overflight.sources.storage import exists, read_table
+from overflight.streaming.runs import batch_path, run_id
 
 
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
@@ -48,10 +51,97 @@ def _due_days(arrived: DataFrame, done: DataFrame, before: date | None) -> list[
     return sorted(row.dt for row in due.select("dt").distinct().collect())
 
 
-def ingest(spark: SparkSession, root: str, bronze_path: str, checkpoint: str, **options) -> None:
-    """Micro-batch ingest: bring bronze up to date with all files that arrived,
-    open days included. Like a load, it keeps the last landed copy of a snapshot."""
-    close_days(spark, root, bronze_path, checkpoint, **options)
+def ingest(
+    spark: SparkSession, root: str, bronze_path: str, checkpoint: str, *, pattern: str = "*.json", packed: bool = False,
+    regions: Sequence[str] | None = None, max_files: int = 1000,
+) -> None:
+    """Bring a bronze table that is kept by piece up to date with all files that arrived, open days included.
+
+    A batch costs its new files and the (region, hour) pieces they belong to,
+    whatever the day already holds. See ``merge_pieces``.
+    """
+    stream = stream_raw(spark, root, pattern=pattern, wholetext=not packed, max_files=max_files, stamped=True)
+    if regions is not None:
+        stream = stream.where(F.col("region").isin(list(regions)))
+    run_available(stream.writeStream.foreachBatch(merge_pieces(bronze_path)), checkpoint)
+
+
+def merge_pieces(bronze_path: str) -> Callable[[DataFrame, int], None]:
+    """Sink for stamped raw documents: last copy wins, per piece of the table.
+
+    Documents that cannot be read, or lie in the folder of another day, go to
+    ``<path>-quarantine``. The others are merged with the stored rows of the
+    pieces they touch: of the copies of a (region, snapshot time, piece number)
+    the last landed one stays. The merged pieces, and the ledger rows of their
+    days, are complete in a folder of their own before they replace the stored
+    ones, so a batch that is repeated after a crash half-way takes them from
+    there and loses nothing. Two such folders take turns.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark, mark = batch.sparkSession, f"{run_id(batch)}-{batch_id}"
+        ready = f"{bronze_path}-merging/slot={batch_id % 2}"
+        if not _is_ready(spark, f"{ready}/ledger", mark):
+            documents = _documents(batch)
+            good = F.col("dt") == F.to_date("folder", "yyyyMMdd")
+            aside = documents.where(~F.coalesce(good, F.lit(False))).select(F.col("raw").alias("value"), "region", "folder", "file")
+            aside.write.mode("overwrite").parquet(batch_path(f"{bronze_path}-quarantine", batch, batch_id))
+            new = documents.where(good).drop("folder")
+            touched = [tuple(row) for row in new.select(*ledger.PIECE).distinct().collect()]
+            merged = _last_landed(_pieces(read_table(spark, bronze_path, PIECES_SCHEMA), touched).unionByName(new))
+            merged.write.mode("overwrite").parquet(f"{ready}/rows")
+            entries = ledger.entries(spark.read.schema(PIECES_SCHEMA).parquet(f"{ready}/rows"))
+            others = _pieces(ledger.read_ledger(spark, bronze_path), touched, "left_anti")
+            both = entries.unionByName(others).withColumn("_mark", F.lit(mark))
+            both.coalesce(1).write.mode("overwrite").parquet(f"{ready}/ledger")
+        (
+            spark.read.schema(PIECES_SCHEMA).parquet(f"{ready}/rows").hint("rebalance", *ledger.PIECE)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*ledger.PIECE).parquet(bronze_path)
+        )
+        ledger.record(spark.read.schema(ledger.LEDGER_SCHEMA).parquet(f"{ready}/ledger"), bronze_path)
+
+    return merge
+
+
+PIECES_SCHEMA = (
+    "snapshot_time TIMESTAMP, raw STRING, _loaded_at TIMESTAMP, piece BIGINT, landed_at TIMESTAMP, file STRING, "
+    "dt DATE, region STRING, hour INT"
+)
+
+
+def _is_ready(spark: SparkSession, path: str, mark: str) -> bool:
+    """Whether this batch was merged before and did not get to its end. The folder is written last."""
+    return exists(spark, f"{path}/_SUCCESS") and not read_table(spark, path, "_mark STRING").where(F.col("_mark") == mark).isEmpty()
+
+
+def _documents(batch: DataFrame) -> DataFrame:
+    """Stamped raw documents as rows of bronze; what cannot be read has no day."""
+    head = F.from_json("value", "piece BIGINT")
+    time = snapshot_epoch("PERMISSIVE")
+    rows = batch.select(
+        F.timestamp_seconds(time).alias("snapshot_time"), F.col("value").alias("raw"), F.current_timestamp().alias("_loaded_at"),
+        head["piece"].alias("piece"), "landed_at", "file", "region", F.col("dt").alias("folder"),
+    )
+    return rows.withColumn("dt", F.to_date("snapshot_time")).withColumn("hour", F.hour("snapshot_time"))
+
+
+def _pieces(stored: DataFrame, touched: Sequence[tuple], how: str = "left_semi") -> DataFrame:
+    """Stored rows of the pieces that new documents belong to, or (anti) the other rows of their days. A batch
+    touches at most 24 pieces a file; files of other pieces, or days, are not opened."""
+    if not touched:
+        return stored.limit(0)
+    for name, values in zip(ledger.PIECE if how == "left_semi" else ["dt"], zip(*touched)):
+        stored = stored.where(F.col(name).isin(sorted(set(values))))
+    pieces = literal_table(stored.sparkSession, touched, "dt DATE, region STRING, hour INT")
+    return stored.join(pieces, list(ledger.PIECE), how)
+
+
+def _last_landed(rows: DataFrame) -> DataFrame:
+    """One row per (region, snapshot time, piece number). Each document is carried once, behind what orders
+    it; the maximum combines on the map side, so many copies do not meet in one task."""
+    keys = ["dt", "region", "hour", "snapshot_time", "piece"]
+    landed = F.struct("landed_at", "file", "raw", "_loaded_at")
+    return rows.groupBy(*keys).agg(F.max(landed).alias("_landed")).select(*keys, "_landed.*")
 
 
 def close_days(
@@ -79,13 +169,16 @@ def close_days(
 
 def apply_late(
     spark: SparkSession, root: str, layout: Layout, checkpoint: str, cfg: Config = Config(), *, pattern: str = "*.json",
-    packed: bool = False, before: date | None = None,
-) -> None:
+    packed: bool = False, before: date | None = None, areas: DataFrame | None = None,
+) -> list[date]:
     """``close_days`` plus staging, marts and all their checks for exactly the
-    reloaded days. A failing check leaves the days on record, so that the next
-    run takes them up again."""
+    reloaded days that hold something else than what their layers were built
+    from. ``areas`` are those of the build. A failing check leaves the days on
+    record, so that the next run takes them up again. Returns the rebuilt days."""
+    rebuilt: list[date] = []
 
     def rebuild(days: Sequence[date]) -> None:
-        checked_layers(spark, layout, cfg, days)
+        rebuilt.extend(rebuild_changed(spark, layout, cfg, days, areas))
 
     close_days(spark, root, layout.bronze, checkpoint, pattern=pattern, packed=packed, before=before, after_load=rebuild)
+    return rebuilt

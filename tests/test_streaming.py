@@ -2,12 +2,12 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from overflight.operators import alerts, density, staging
+from overflight.operators import alerts, completeness, density, metrics, staging
 from overflight.plans import pipeline
-from overflight.sources import raw
+from overflight.sources import ledger, raw
 from overflight.sources.bronze import load_days, read_bronze
 from overflight.sources.reference import region_area
-from overflight.streaming import aggregates, alert_jobs, arrivals
+from overflight.streaming import aggregates, alert_jobs, arrivals, runs
 from tests.helpers import document, epoch, rows, vector, write_file
 
 
@@ -75,9 +75,9 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = staging.stage(read_bronze(spark, table))
     out = str(tmp_path / "density")
     counted = aggregates.region_density(staged, region_area(spark))
-    arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c1"))
+    arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(runs.write_batch(out)), str(tmp_path / "c1"))
     schema = "snapshot_time TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg DOUBLE, density DOUBLE"
-    latest = aggregates.read_latest(spark, out, ["snapshot_time", "region"], schema)
+    latest = runs.read_latest(spark, out, ["snapshot_time", "region"], schema)
     expected = density.region_density(batch, region_area(spark))
     assert rows(latest) == rows(expected, "snapshot_time", "region", "aircraft_count", "area_sqdeg", "density")
 
@@ -93,8 +93,8 @@ def test_frames(spark, tmp_path):
     table = bronze_table(spark, tmp_path, days=1)
     counted = aggregates.frames(staging.stage(arrivals.stream_bronze(spark, table)))
     out = str(tmp_path / "frames")
-    arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(aggregates.keep_updates(out)), str(tmp_path / "c"))
-    got = aggregates.read_latest(spark, out, ["frame", "region"], "frame TIMESTAMP, region STRING, aircraft_count BIGINT")
+    arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(runs.write_batch(out)), str(tmp_path / "c"))
+    got = runs.read_latest(spark, out, ["frame", "region"], "frame TIMESTAMP, region STRING, aircraft_count BIGINT")
     assert rows(got, "frame", "aircraft_count") == [
         (datetime(2026, 7, 1), 1), (datetime(2026, 7, 1, 12, 30), 6)]
 
@@ -154,3 +154,103 @@ def test_packed_files_keep_the_documents(spark, tmp_path):
     out = str(tmp_path / "out")
     arrivals.run_available(stream.writeStream.format("parquet").option("path", out), str(tmp_path / "cp"))
     assert rows(spark.read.parquet(out), "region", "value") == sorted(docs)
+
+
+def spoil(folder, *keep):
+    """Make every data file unreadable that does not lie below one of these parts."""
+    for file in folder.rglob("*.parquet"):
+        if not any(part in str(file) for part in keep):
+            file.write_bytes(b"no parquet")
+            checksum = file.with_name(f".{file.name}.crc")
+            if checksum.exists():
+                checksum.unlink()
+
+
+def test_a_batch_opens_only_the_pieces_it_touches(spark, tmp_path):
+    root, out, cp = tmp_path / "raw", tmp_path / "bronze", str(tmp_path / "cp")
+    for day in (1, 2):
+        for hour in (5, 6, 7):
+            land(root, day, hour, 0)
+    arrivals.ingest(spark, str(root), str(out), cp)
+    spoil(out, "dt=2026-07-02/region=global/hour=6")
+    land(root, 2, 6, 10, n=3)
+    arrivals.ingest(spark, str(root), str(out), cp)
+    touched = spark.read.parquet(f"{out}/dt=2026-07-02/region=global/hour=6")
+    assert rows(touched.select("snapshot_time", staging.state_count("raw").alias("n"))) == [
+        (datetime(2026, 7, 2, 6, 0), 1), (datetime(2026, 7, 2, 6, 10), 3)]
+    days = ledger.days(ledger.read_ledger(spark, str(out)))
+    assert rows(days, "dt", "documents", "snapshots") == [(date(2026, 7, 1), 3, 3), (date(2026, 7, 2), 4, 4)]
+
+
+def test_ingest_quarantines_and_survives_a_crash(spark, tmp_path, monkeypatch):
+    root, out, cp = tmp_path / "raw", str(tmp_path / "bronze"), str(tmp_path / "cp")
+    land(root, 1, 6, 0)
+    write_file(root, "global", "20260701", "cut.json", '{"time": 17829')
+    write_file(root, "global", "20260701", "stray.json", document(epoch(2026, 7, 2, 6, 0), []))
+    arrivals.ingest(spark, str(root), out, cp)
+    aside = spark.read.parquet(out + "-quarantine")
+    assert rows(aside, "file", "folder") == [("cut.json", "20260701"), ("stray.json", "20260701")]
+    land(root, 1, 6, 10)
+
+    def crash(*_):
+        (tmp_path / "bronze" / "dt=2026-07-01" / "region=global" / "hour=6").rename(tmp_path / "gone")  # half of a replacement
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "record", crash)
+        try:
+            arrivals.ingest(spark, str(root), out, cp)
+            raise AssertionError
+        except Exception as failed:
+            assert "crash" in str(failed)
+    arrivals.ingest(spark, str(root), out, cp)
+    assert rows(read_bronze(spark, out), "snapshot_time") == [(datetime(2026, 7, 1, 6, 0),), (datetime(2026, 7, 1, 6, 10),)]
+    assert rows(ledger.days(ledger.read_ledger(spark, out)), "snapshots") == [(2,)]
+
+
+def test_the_ledger_answers_without_the_table(spark, tmp_path):
+    root, table = tmp_path / "raw", tmp_path / "bronze"
+    for day in (1, 2, 4):
+        land(root, day, 6, 0)
+        land(root, day, 7, 10)
+    load_days(spark, str(root), str(table), ["20260701", "20260702", "20260704"], loaded_at=datetime(2026, 7, 5))
+    before = read_bronze(spark, str(table))
+    as_of = datetime(2026, 7, 5, 12)
+    ask = lambda df: (
+        rows(completeness.freshness_status(df, as_of)), rows(completeness.missing_days(df, as_of, 5)),
+        rows(completeness.incomplete_days(df, as_of, 5)), rows(metrics.metric_snapshots(df, as_of, 5)))
+    expected = ask(before)
+    spoil(table)
+    assert ask(ledger.read_ledger(spark, str(table))) == expected
+
+
+def test_silences_from_sessions(spark, tmp_path):
+    start = datetime(2026, 7, 1)
+    at = lambda *minutes: [start + timedelta(minutes=m) for m in minutes]
+    signs = [("a", t) for t in at(0, 3, 8, 20, 40)] + [("b", t) for t in at(*range(0, 60, 5))] + [(None, t) for t in at(1, 30)]
+    source, path, cp = str(tmp_path / "signs"), str(tmp_path / "sessions"), str(tmp_path / "cp")
+    table = spark.createDataFrame(signs, "src STRING, ts TIMESTAMP")
+    end = spark.createDataFrame([("clock", start + timedelta(days=1))], "src STRING, ts TIMESTAMP")
+    for part in (table.where(F.minute("ts") < 15), table.where(F.minute("ts") >= 15), end):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema("src STRING, ts TIMESTAMP").parquet(source)
+        arrivals.run_available(alert_jobs.heartbeat(stream, ["src"], path), cp)
+    got = alert_jobs.read_silences(spark, path, "src STRING").where("next_seen IS NOT NULL")
+    names = ("src", "last_seen", "down_at", "next_seen", "silent_seconds")
+    key = lambda r: tuple(map(str, r))
+    expected = alerts.heartbeat(table, ["src"])
+    assert sorted((tuple(r) for r in got.select(*names).collect()), key=key) == sorted(
+        (tuple(r) for r in expected.select(*names).collect()), key=key) != []
+
+
+def test_a_forgotten_alert_starts_anew(spark, tmp_path):
+    rules = alerts.rule_table(spark, [alerts.Rule("a", "m", ">", 0, hold_s=60)])
+    source, path, cp = str(tmp_path / "series"), str(tmp_path / "alerts"), str(tmp_path / "cp")
+    parts = [series(spark, {"x": [1, 1]}), series(spark, {"y": [1]}, start=5000), series(spark, {"y": [1]}, start=5001),
+             series(spark, {"x": [1]}, start=5002)]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(source)
+        job = alert_jobs.alerts(alert_jobs.stream_series(spark, source), rules, path, delay="1 minute", forget=timedelta(days=1))
+        arrivals.run_available(job, cp)
+    got = alert_jobs.read_states(spark, path).where("instance = 'x'").orderBy("ts")
+    assert [r.state for r in got.collect()] == ["pending", "firing", "pending"]

@@ -52,11 +52,18 @@ def remainder(col: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back, so that a lost executor costs no recomputation."""
+ROWS_PER_FILE = 50_000
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write to the shared folder and read back, so that a lost executor costs no recomputation.
+
+    Where about ``rows`` narrow rows are expected, they go to no more files
+    than that takes, however many partitions they come in.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(rows // ROWS_PER_FILE + 1)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -261,37 +261,45 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     sketches = texts.mapInArrow(_sketched(length, gram), _SKETCH).groupBy("digest").agg(F.count("*").alias("copies"), first)
     classes = stored(sketches.select("digest", "copies", "first.*").withColumn("node", F.monotonically_increasing_id()), "classes")
 
+    known = classes.count()
     posted = classes.select("node", F.explode(F.arrays_zip("anchors", "starts", "sizes")).alias("r")).select(
         "node", F.col("r.anchors").alias("anchor"), F.col("r.starts").alias("start"), F.col("r.sizes").alias("size"))
-    counts = stored(posted.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
-    frequent = broadcast_if_small(counts.where(F.col("n") > MANY).select("anchor"), MANY_ANCHORS)
-    rare = posted.join(counts.where(F.col("n") <= MANY).select("anchor"), "anchor")
-    meeting = stored(rare.withColumn("frequent", F.lit(False)).unionByName(
-        posted.join(frequent, "anchor").withColumn("frequent", F.lit(True))), "runs")
+    counts = posted.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    frequent = stored(counts.where(F.col("n") > MANY).select("anchor"), "frequent-anchors", known)
+    rare = counts.where(F.col("n") <= MANY).select("anchor", F.lit(False).alias("frequent"))
+    often = broadcast_if_small(frequent.withColumn("frequent", F.lit(True)), MANY_ANCHORS)
+    found = posted.join(rare, "anchor").unionByName(posted.join(often, "anchor"))
+    # One row per text, with the runs that meet others: those of rare and of frequent anchors.
+    run = F.struct("anchor", "start", "size")
+    meeting = stored(found.groupBy("node").agg(
+        F.collect_list(F.when(~F.col("frequent"), run)).alias("rare"), F.collect_list(F.when(F.col("frequent"), run)).alias("frequent")),
+        "runs", known)
 
     # One shuffle of the texts, by row; every join below reads it.
     by_row = texts.withColumn("key", _key()).repartition("key")
     nodes = classes.select("node", "copies", "doc_id", "digest", _key(), "own_starts", "own_sizes")
 
-    def with_runs(which: Column) -> DataFrame:
-        listed = meeting.where(which).groupBy("node").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("runs"))
+    def with_runs(which: str) -> DataFrame:
+        listed = meeting.where(F.size(which) > 0).select("node", F.col(which).alias("runs"))
         wanted = listed.join(nodes.select("node", "doc_id", "digest", "key"), "node")
         return by_row.alias("t").join(wanted.alias("w"), "key").where(
             "t.doc_id <=> w.doc_id AND t.digest = w.digest").select("t.text", "w.node", "w.runs")
 
-    words = meeting.where("NOT frequent").agg(F.sum(F.col("size") + length - 1)).first()[0] or 0
-    bins = int(words // BIN_WORDS + 1)
-    pieces = with_runs(~F.col("frequent")).mapInArrow(_pieces(length, bins), "bin INT, node BIGINT, start INT, piece BINARY")
+    size_of = lambda runs: F.aggregate(runs, F.lit(0).cast("long"), lambda total, r: total + r["size"] + F.lit(length - 1))
+    words, some = meeting.agg(F.sum(size_of("rare")), F.max(F.size("frequent"))).first()
+    bins = (words or 0) // BIN_WORDS + 1
+    pieces = with_runs("rare").mapInArrow(_pieces(length, bins), "bin INT, node BIGINT, start INT, piece BINARY")
     found = pieces.groupBy("bin").applyInArrow(_trees(length), "node BIGINT, start INT, size INT")
     ranges = found.select("node", F.struct(F.lit(REPEATED).alias("kind"), "start", "size").alias("range"))
     own = nodes.select("node", F.explode(F.arrays_zip("own_starts", "own_sizes")).alias("r"))
     ranges = ranges.unionByName(own.select("node", F.struct(
         F.lit(REPEATED).alias("kind"), F.col("r.own_starts").alias("start"), F.col("r.own_sizes").alias("size")).alias("range")))
-    if not meeting.where("frequent").isEmpty():
-        leaves = with_runs(F.col("frequent")).mapInArrow(_digested(length), "window BINARY, node BIGINT, start INT")
+    if some:
+        leaves = with_runs("frequent").mapInArrow(_digested(length), "window BINARY, node BIGINT, start INT")
         alone = leaves.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("node", "start")).alias("leaf")).where("n = 1")
-        ranges = ranges.unionByName(meeting.where("frequent").select(
-            "node", F.struct(F.lit(ASKED).alias("kind"), "start", "size").alias("range"))).unionByName(alone.select(
+        asked = meeting.select("node", F.explode("frequent").alias("r"))
+        ranges = ranges.unionByName(asked.select("node", F.struct(
+            F.lit(ASKED).alias("kind"), "r.start", "r.size").alias("range"))).unionByName(alone.select(
                 "leaf.node", F.struct(F.lit(ALONE).alias("kind"), "leaf.start", F.lit(1).alias("size")).alias("range")))
     ranges = ranges.groupBy("node").agg(F.collect_list("range").alias("ranges"))
     marks = nodes.select("node", "copies", "doc_id", "digest", "key").join(ranges, "node", "left")

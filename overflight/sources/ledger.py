@@ -1,10 +1,10 @@
 """A load ledger: what each piece of a bronze table holds, in a few numbers.
 
-A load writes one row per (day, region, hour) it touched into a table beside
+A load writes one row per (day, region, piece of six hours) into a table beside
 bronze: documents, snapshots, newest load and a fingerprint. Freshness, latest
 and missing days and the question whether a day changed are answered from
 these rows, without opening a file of the table. The rows of a day are
-replaced as a whole, so a retry or a reload never counts twice. Hours are
+replaced as a whole, so a retry or a reload never counts twice. Pieces are
 disjoint, so counts add up.
 """
 
@@ -18,12 +18,19 @@ LEDGER_SCHEMA = (
     "documents BIGINT, snapshots BIGINT, _loaded_at TIMESTAMP, fingerprint DECIMAL(38,0), dt DATE, region STRING, hour INT"
 )
 PIECE = ("dt", "region", "hour")
+PIECE_HOURS = 6
 
 
 def ledger_path(bronze_path: str) -> str:
     return f"{bronze_path.rstrip('/')}-ledger"
 
 
+def piece_hour(ts: str = "snapshot_time") -> Column:
+    """The hour in which the piece of a day begins that ``ts`` lies in."""
+    hour = F.hour(ts)
+    return hour - hour % F.lit(PIECE_HOURS)
+
+
 def row_fingerprint() -> Column:
     """A hash of what a document says, not of when it was loaded."""
     return F.xxhash64("snapshot_time", "region", "raw").cast("decimal(38,0)")
@@ -31,7 +38,7 @@ def row_fingerprint() -> Column:
 
 def entries(bronze: DataFrame) -> DataFrame:
     """Ledger rows of bronze rows. The fingerprint is a sum, so the order of rows does not matter and parts add up."""
-    return bronze.groupBy("dt", "region", F.hour("snapshot_time").alias("hour")).agg(
+    return bronze.groupBy("dt", "region", piece_hour().alias("hour")).agg(
         F.count("*").alias("documents"),
         F.count_distinct("snapshot_time").alias("snapshots"),
         F.max("_loaded_at").alias("_loaded_at"),

@@ -57,7 +57,7 @@ def ingest(
 ) -> None:
     """Bring a bronze table that is kept by piece up to date with all files that arrived, open days included.
 
-    A batch costs its new files and the (region, hour) pieces they belong to,
+    A batch costs its new files and the (region, six hours) pieces they belong to,
     whatever the day already holds. See ``merge_pieces``.
     """
     stream = stream_raw(spark, root, pattern=pattern, wholetext=not packed, max_files=max_files, stamped=True)
@@ -122,12 +122,12 @@ def _documents(batch: DataFrame) -> DataFrame:
         F.timestamp_seconds(time).alias("snapshot_time"), F.col("value").alias("raw"), F.current_timestamp().alias("_loaded_at"),
         head["piece"].alias("piece"), "landed_at", "file", "region", F.col("dt").alias("folder"),
     )
-    return rows.withColumn("dt", F.to_date("snapshot_time")).withColumn("hour", F.hour("snapshot_time"))
+    return rows.withColumn("dt", F.to_date("snapshot_time")).withColumn("hour", ledger.piece_hour())
 
 
 def _pieces(stored: DataFrame, touched: Sequence[tuple], how: str = "left_semi") -> DataFrame:
     """Stored rows of the pieces that new documents belong to, or (anti) the other rows of their days. A batch
-    touches at most 24 pieces a file; files of other pieces, or days, are not opened."""
+    touches at most four pieces a file; files of other pieces, or days, are not opened."""
     if not touched:
         return stored.limit(0)
     for name, values in zip(ledger.PIECE if how == "left_semi" else ["dt"], zip(*touched)):

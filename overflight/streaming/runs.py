@@ -68,11 +68,11 @@ def fold(spark: SparkSession, path: str, keys: Sequence[str], schema: str) -> No
     repeated, or dies, leaves the one before in force.
     """
     upto, folded = _folded(spark, path, schema)
-    updates = _batches(spark, path, schema)
+    updates = _batches(spark, path, schema).drop("run").where(F.col("batch_id") > upto)
     run, last = newest_run(spark, path), updates.agg(F.max("batch_id")).first()[0]
-    if last is None or last <= upto:
+    if last is None:
         return
-    rows = folded.unionByName(updates.drop("run").where(F.col("batch_id").between(upto + 1, last)))
+    rows = folded.unionByName(updates.where(F.col("batch_id") <= last))
     target = f"{path}/folded/run={run}/upto={last}"
     _last(rows, keys).write.mode("overwrite").parquet(target)
     done = spark.range(1).select(F.lit(last).cast("bigint").alias("upto"))

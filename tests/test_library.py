@@ -6,7 +6,7 @@ import pathlib
 LIBRARY = pathlib.Path(__file__).parent.parent / "overflight"
 # Rows brought to the driver, each bounded by design: one row per declared
 # check, one per day folder with new files, one per metric and label of a tick,
-# one per (region, hour) that a batch of files touches, one per changed day.
+# one per (region, six hours) that a batch of files touches, one per changed day.
 COLLECTS = {
     ("operators/quality.py", "run_gates"), ("streaming/arrivals.py", "_due_days"), ("plans/pipeline.py", "refresh_metrics"),
     ("streaming/arrivals.py", "merge"), ("streaming/arrivals.py", "merge_pieces"), ("plans/pipeline.py", "rebuild_changed"),

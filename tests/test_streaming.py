@@ -169,7 +169,7 @@ def spoil(folder, *keep):
 def test_a_batch_opens_only_the_pieces_it_touches(spark, tmp_path):
     root, out, cp = tmp_path / "raw", tmp_path / "bronze", str(tmp_path / "cp")
     for day in (1, 2):
-        for hour in (5, 6, 7):
+        for hour in (5, 8, 12):
             land(root, day, hour, 0)
     arrivals.ingest(spark, str(root), str(out), cp)
     spoil(out, "dt=2026-07-02/region=global/hour=6")
@@ -177,7 +177,7 @@ def test_a_batch_opens_only_the_pieces_it_touches(spark, tmp_path):
     arrivals.ingest(spark, str(root), str(out), cp)
     touched = spark.read.parquet(f"{out}/dt=2026-07-02/region=global/hour=6")
     assert rows(touched.select("snapshot_time", staging.state_count("raw").alias("n"))) == [
-        (datetime(2026, 7, 2, 6, 0), 1), (datetime(2026, 7, 2, 6, 10), 3)]
+        (datetime(2026, 7, 2, 6, 10), 3), (datetime(2026, 7, 2, 8, 0), 1)]
     days = ledger.days(ledger.read_ledger(spark, str(out)))
     assert rows(days, "dt", "documents", "snapshots") == [(date(2026, 7, 1), 3, 3), (date(2026, 7, 2), 4, 4)]
 

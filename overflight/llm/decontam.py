@@ -3,12 +3,18 @@
 A seed hashes some of the words under a fixed mask and ignores the others, so a
 changed word at an ignored place does not hide the match. The seeds of every
 training position are joined with those of the benchmark; each hit fixes an
-alignment of the two texts, and the words around it are compared: a hit stands
-if at least ``identity`` of a window of ``WINDOW`` words (the whole item, if it
-is shorter) are the same at the same places.
-
-Items shorter than a mask are hashed whole, at each length that occurs, and
-found as consecutive runs. Items without a word match nothing.
+alignment of the two texts, and the words around it are compared: an overlap is
+a window of ``WINDOW`` words (the whole item, if it is shorter) of which at
+least ``identity`` are the same at the same places. The masks are chosen so that
+every such window holds a hit, whichever of its words were changed (a test goes
+through all patterns), and of the windows that contain a hit the best one
+counts, so what is found does not depend on the masks.
+
+Items shorter than ``SPAN`` words are hashed whole, at each length that occurs,
+and found as consecutive runs, without tolerance. Below ``LEAST_RUN`` words a
+run says nothing (an item of one common word would mark every text), so such an
+item is found only where it is the whole text. Items without a word match
+nothing.
 
 The benchmark's seeds are broadcast when a count shows at most ``MANY_SEEDS``
 of them. Beyond that, positions and seeds meet in a shuffled join and the words
@@ -28,79 +34,70 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from overflight.llm.common import alnum_words, fits, row_key, stored, text_of
 
-# 1 is hashed, 0 ignored.
-MASKS = ("1101100101", "1110010011", "1011001101")
-SPAN = len(MASKS[0])
+# 1 is hashed, 0 ignored. Found by search: no other three masks of five words were shorter.
+MASKS = ("111101", "10100111", "11011001")
+SPAN = max(map(len, MASKS))
+LEAST_RUN = 5
 WINDOW = 16
 IDENTITY = 0.8
 MANY_SEEDS = 1_000_000
 
 
 def _seeds(words: str, at: Column, short: list[int]) -> list[Column]:
-    """The hashes of the seeds that start at a position; null where the text ends before."""
+    """``(seed, span)`` of the seeds that start at a position; null where the text ends before."""
     n = F.size(words)
     word = lambda i: F.get(words, at + i)
-    masked = [
-        F.when(at + SPAN <= n, F.xxhash64(F.lit(number), *[word(i) for i, used in enumerate(mask) if used == "1"]))
-        for number, mask in enumerate(MASKS)
-    ]
+    seed = lambda mark, used, span: F.when(
+        at + span <= n, F.struct(F.xxhash64(F.lit(mark), *map(word, used)).alias("seed"), F.lit(span).alias("span")))
+    masked = [seed(number, [i for i, bit in enumerate(mask) if bit == "1"], len(mask)) for number, mask in enumerate(MASKS)]
     return masked + [
-        F.when(at + size <= n, F.xxhash64(F.lit(-size), *[word(i) for i in range(size)])) for size in short]
+        F.when((n == size) | F.lit(size >= LEAST_RUN), seed(-size, range(size), size)) for size in short]
 
 
 def _positions(texts: DataFrame, words: str, short: list[int], keep: list[str]) -> DataFrame:
     at = texts.select(*keep, words, F.posexplode(words).alias("at", "word"))
-    return at.select(*keep, words, "at", F.explode(F.array(*_seeds(words, F.col("at"), short))).alias("seed")) \
-        .where("seed IS NOT NULL")
+    at = at.select(*keep, words, "at", F.explode(F.array(*_seeds(words, F.col("at"), short))).alias("_s"))
+    return at.where("_s IS NOT NULL").select(*keep, words, "at", "_s.seed", "_s.span")
 
 
 def benchmark_seeds(items: DataFrame, short: list[int]) -> DataFrame:
-    """``item, q, item_seed``; a short item has the one seed of its own length."""
-    rows = _positions(items, "item_words", short, ["item"])
-    long_enough = F.size("item_words") >= SPAN
-    whole = [F.col("seed") == seed for seed in _seeds("item_words", F.lit(0), short)[len(MASKS):]]
-    own = F.lit(False)
-    for size, same in zip(short, whole):
-        own = own | ((F.size("item_words") == size) & (F.col("at") == 0) & F.coalesce(same, F.lit(False)))
-    masked = F.lit(False)
-    for seed in _seeds("item_words", F.col("at"), []):
-        masked = masked | (F.col("seed") == F.coalesce(seed, F.lit(0)))
-    return rows.where((long_enough & masked) | own).select(
-        "item", F.col("at").alias("q"), F.col("seed").alias("item_seed"))
-
-
-def _same(first: Column, length: Column) -> Column:
-    """Equal words of item and text at ``length`` places of the item from ``first``, aligned by the hit."""
-    ours = F.slice("item_words", first + 1, length)
-    theirs = F.slice("words", first + F.col("at") - F.col("q") + 1, length)
-    return F.aggregate(F.zip_with(ours, theirs, lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))),
-                       F.lit(0), lambda total, x: total + x)
+    """``item, q, item_seed, span``; a short item has the one seed of its own length."""
+    masked = _positions(items.where(F.size("item_words") >= SPAN), "item_words", [], ["item"])
+    rows = masked
+    for size in short:
+        own = _positions(items.where(F.size("item_words") == size), "item_words", [size], ["item"])
+        rows = rows.unionByName(own.where(F.col("span") == size).where(
+            F.col("seed") == F.xxhash64(F.lit(-size), *[F.get("item_words", F.lit(i)) for i in range(size)])))
+    return rows.select("item", F.col("at").alias("q"), F.col("seed").alias("item_seed"), "span")
 
 
 def _confirmed(found: DataFrame, identity: float) -> DataFrame:
-    """Compare the words of the window that starts, and of the one that ends, at the hit.
+    """``window``: the words of the text, from ``first`` to ``last``, that lie in windows around a hit with enough
+    equal words, and the share of the best one.
 
-    A window is moved so that it lies inside both texts. If the two texts share
-    fewer aligned places than a window has, the missing ones count as different.
+    Windows lie inside both texts. If the two share fewer aligned places than a
+    window has, the missing ones count as different.
     """
     size = F.least(F.size("item_words"), F.lit(WINDOW))
-    span = F.least(F.lit(SPAN), F.size("item_words"))
     shift = F.col("at") - F.col("q")
     low = F.greatest(F.lit(0), -shift)
     high = F.least(F.size("item_words"), F.size("words") - shift)
     length = F.least(size, high - low)
     place = lambda start: F.greatest(low, F.least(start, high - length))
-    return (
-        found.withColumn("_size", size).withColumn("_length", length)
-        .withColumn("_from", place(F.col("q"))).withColumn("_to", place(F.col("q") + span - length))
-        .withColumn("_same", F.greatest(_same(F.col("_from"), F.col("_length")), _same(F.col("_to"), F.col("_length"))))
-        .where(F.col("_same") >= identity * F.col("_size"))
-        .withColumn("_share", F.col("_same") / F.col("_size"))
-    )
+    placed = found.withColumn("_size", size).withColumn("_length", length).withColumn("_shift", shift) \
+        .withColumn("_from", place(F.col("q") + F.col("span") - length)).withColumn("_to", place(F.col("q")))
+    reach = F.col("_to") - F.col("_from") + F.col("_length")
+    ours, theirs = F.slice("item_words", F.col("_from") + 1, reach), F.slice("words", F.col("_from") + F.col("_shift") + 1, reach)
+    placed = placed.withColumn("_equal", F.zip_with(ours, theirs, lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))))
+    same = lambda start: F.aggregate(F.slice("_equal", start + 1, F.col("_length")), F.lit(0), lambda total, x: total + x)
+    windows = F.transform(F.sequence(F.lit(0), F.col("_to") - F.col("_from")), lambda k: F.struct(
+        (F.col("_from") + F.col("_shift") + k).alias("first"), (F.col("_from") + F.col("_shift") + k + F.col("_length") - 1).alias("last"),
+        (same(k) / F.col("_size")).alias("share")))
+    return placed.withColumn("window", F.explode(F.filter(windows, lambda w: w["share"] >= identity)))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, identity: float = IDENTITY, many_seeds: int = MANY_SEEDS) -> DataFrame:
-    """Rows ``doc_id, item_id, n_seeds, first_word, last_word, identity`` for documents that hold a benchmark passage."""
+    """Rows ``doc_id, item_id, item_words, first_word, last_word, identity`` for documents that hold a benchmark passage."""
     items = benchmark.select(
         "item_id", F.xxhash64("item_id", "text").alias("item"), alnum_words(text_of()).alias("item_words")
     ).where(F.size("item_words") > 0)
@@ -112,7 +109,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, identity: float = IDENTITY,
     at = _positions(texts, "words", short, ["doc_id", "text_hash"])
     items = items.dropDuplicates(["item"])
     if fits(seeds, many_seeds):  # then the items' words are as few
-        found = at.join(F.broadcast(seeds), F.col("seed") == F.col("item_seed")).join(F.broadcast(items), "item")
+        found = at.drop("span").join(F.broadcast(seeds), F.col("seed") == F.col("item_seed")).join(F.broadcast(items), "item")
     else:
         key = ["doc_id", "text_hash"]
         met = at.select(*key, "at", "seed").join(seeds, F.col("seed") == F.col("item_seed")).distinct()
@@ -120,10 +117,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, identity: float = IDENTITY,
         found = met.join(one, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))) \
             .join(items, "item")
     return _confirmed(found, identity).groupBy("doc_id", "item_id").agg(
-        F.count_distinct("at").alias("n_seeds"),
-        F.min("at").cast("long").alias("first_word"),
-        F.max(F.col("at") + F.least(F.lit(SPAN), F.size("item_words")) - 1).cast("long").alias("last_word"),
-        F.max("_share").alias("identity"),
+        F.max(F.size("item_words")).cast("long").alias("item_words"),
+        F.min("window.first").cast("long").alias("first_word"),
+        F.max("window.last").cast("long").alias("last_word"),
+        F.max("window.share").alias("identity"),
     )
 
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from overflight.llm import decontam
@@ -32,6 +33,38 @@ def test_passages_with_substitutions(spark):
     assert sorted(shuffled.collect()) == sorted(got.collect())
 
 
+def test_every_pattern_of_changes_is_found(spark):
+    """All ways to change three of 16 words inside a longer item, and as many words of a whole item as the identity allows."""
+    words = [f"w{i}" for i in range(40)]
+    rows, items = [], [(0, " ".join(words))]
+    for bad in itertools.combinations(range(16), 3):
+        text = [f"x{i}" if i in bad else w for i, w in enumerate(words[10:26])]
+        rows.append((len(rows), " ".join(["before"] * 20 + text + ["after"] * 20), "en", "a"))
+    for n, c in ((8, 1), (9, 1), (10, 2), (12, 2), (14, 2), (15, 3)):
+        items.append((n, " ".join(f"v{n}y{i}" for i in range(n))))
+        for bad in itertools.combinations(range(n), c):
+            text = [f"x{i}" if i in bad else f"v{n}y{i}" for i in range(n)]
+            rows.append((len(rows), " ".join(["before"] * 3 + text + ["after"]), "en", "a"))
+    got = decontam.overlaps(documents(spark, rows, extra=False), benchmark(spark, items)).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
+    assert {r.identity for r in got if r.item_id == 0} == {13 / 16}
+
+
+def test_too_many_changes(spark):
+    words = item(1, 16).split()
+    rows = [(n, " ".join(["a"] * 9 + ["x"] * n + words[n:] + ["b"] * 9), "en", "a") for n in range(6)]
+    got = decontam.overlaps(documents(spark, rows), benchmark(spark, [(1, item(1, 16))]))
+    assert sorted((r.doc_id, r.identity, r.first_word, r.last_word) for r in got.collect()) == [(n, (16 - n) / 16, 9, 24) for n in range(4)]
+
+
+def test_common_words_as_items(spark):
+    rows = [(n, f"yes and {prose(n)} no", "en", "a") for n in range(50)] + [(90, "Yes", "en", "a"), (91, "and no but so yes!", "en", "a")]
+    items = [(1, "yes"), (2, "and"), (3, "and no but so yes")]
+    docs, bench = documents(spark, rows), benchmark(spark, items)
+    assert sorted((r.doc_id, r.item_id) for r in decontam.overlaps(docs, bench).collect()) == [(90, 1), (91, 3)]
+    assert decontam.cleaned(docs, bench).count() == 50
+
+
 def test_short_items_and_ends(spark):
     items = [(1, "alpha beta gamma"), (2, None), (3, ""), (4, "delta"), (5, item(5, 12)), (5, item(6, 12)), (None, item(7))]
     rows = [(1, "x alpha beta gamma y", "en", "a"), (2, "alpha beta x gamma", "en", "a"), (3, "DELTA", "en", "a"),
@@ -39,7 +72,7 @@ def test_short_items_and_ends(spark):
             (7, "alpha beta gamma", "en", "a"), (7, "alpha beta gamma", "en", "a")]
     got = decontam.overlaps(documents(spark, rows), benchmark(spark, items)).collect()
     found = sorted(((r.doc_id, r.item_id) for r in got), key=str)
-    assert found == sorted([(1, 1), (3, 4), (4, 5), (5, 5), (None, None), (7, 1)], key=str)
+    assert found == sorted([(3, 4), (4, 5), (5, 5), (None, None), (7, 1)], key=str)
 
 
 def test_empty_tables(spark):

@@ -7,7 +7,6 @@ diagonals do not occur in them, except where a result column counts them.
 from __future__ import annotations
 
 from overflight.llm import chat, decontam, importance, licenses, quality, substrings
-from overflight.llm.decontam import MASKS, SPAN, WINDOW
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,24 +37,32 @@ def _licenses() -> str:
     pieces AS (SELECT *, array_to_string(string_split(phrase, ' ')[q + 1:q + size], ' ') AS gram FROM parts),
     places AS ({places}),
     spots AS (SELECT doc_id, size, pos, array_to_string(words[pos + 1:pos + size], ' ') AS gram FROM places),
-    votes AS (
-        SELECT doc_id, template, label, grams, whole, pos - q AS diagonal, count(*) AS votes, min(pos) AS first
-        FROM spots JOIN pieces USING (size, gram) GROUP BY ALL),
-    apart AS (
-        SELECT *, CASE WHEN whole OR diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal)
-            <= {licenses.NEIGHBOUR} IS NOT TRUE THEN 1 ELSE 0 END AS new FROM votes),
-    numbered AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM apart),
+    met AS (SELECT DISTINCT doc_id, template, label, grams, whole, q, pos AS p, pos - q AS diagonal FROM spots JOIN pieces USING (size, gram)),
+    starts AS (SELECT DISTINCT doc_id, template, diagonal AS start FROM met),
+    -- all places that a span beginning at a diagonal may take, in the order of the template
     spans AS (
-        SELECT doc_id, template, label, whole, span, least(sum(votes) / grams, 1.0) AS share, min(first) AS first
-        FROM numbered GROUP BY doc_id, template, label, grams, whole, span
-        HAVING sum(votes) / grams >= CASE WHEN whole THEN 1.0 ELSE {licenses.COVERAGE} END),
+        SELECT doc_id, template, label, grams, whole, start, list({{'q': q, 'p': p, 'n': 0}} ORDER BY q, p) AS places
+        FROM met JOIN starts USING (doc_id, template)
+        WHERE diagonal BETWEEN start AND start + CASE WHEN whole THEN 0 ELSE {licenses.DRIFT} END GROUP BY ALL),
+    -- the longest series that rises in template and text: each place goes on from the best one before it
+    series AS (
+        SELECT * EXCLUDE (places), list_max(list_transform(list_reduce(
+            list_transform(places, lambda x: [x]),
+            lambda known, one: list_append(known, {{'q': one[1].q, 'p': one[1].p, 'n': 1 + coalesce(list_max(list_transform(
+                list_filter(known, lambda k: k.q < one[1].q AND k.p < one[1].p), lambda k: k.n)), 0)}}),
+            []::STRUCT(q BIGINT, p BIGINT, n BIGINT)[]), lambda x: x.n)) / grams AS share
+        FROM (SELECT * REPLACE (list_transform(places, lambda x: {{'q': x.q::BIGINT, 'p': x.p::BIGINT, 'n': 0::BIGINT}}) AS places) FROM spans
+              WHERE len(list_distinct(list_transform(places, lambda x: x.q))) >= {licenses.COVERAGE} * grams)),
+    held AS (
+        SELECT *, start - lag(start) OVER (PARTITION BY doc_id, template ORDER BY start) <= {licenses.DRIFT} IS TRUE AS same
+        FROM series WHERE share >= CASE WHEN whole THEN 1.0 ELSE {licenses.COVERAGE} END),
     found AS (
-        SELECT doc_id, count(*) FILTER (whole) AS n_base, min(first) FILTER (whole) AS first_word,
-            max(first) FILTER (whole) AS last_word,
+        SELECT doc_id, count(*) FILTER (whole) AS n_base, min(start) FILTER (whole) AS first_word,
+            max(start) FILTER (whole) AS last_word,
             array_to_string(list_sort(list(DISTINCT label) FILTER (whole)), ',') AS base_labels,
             array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(share) AS score,
-            count(*) FILTER (NOT whole) AS n_notices
-        FROM spans GROUP BY doc_id)
+            count(*) FILTER (NOT whole AND NOT same) AS n_notices
+        FROM held GROUP BY doc_id)
     SELECT w.doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
         coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score,
         coalesce(n_notices, 0) AS n_notices
@@ -80,79 +87,85 @@ _NEAR = rf"""
 
 
 def _quality() -> str:
-    steps = len(next(iter(quality.RULES.values())))
-    hits = ", ".join(
+    last = len(next(iter(quality.RULES.values())))
+    steps = ", ".join(
         "CASE " + " ".join(f"WHEN {rule.replace('_m.', 'm.')} > {cutoff!r} THEN {step}" for step, cutoff in enumerate(cutoffs, 1)) + " END"
         for rule, cutoffs in quality.RULES.items())
     risk = quality.RISK
     count = lambda chars: rf"length(regexp_replace(t, '[^{chars}]+', '', 'g'))"
     return rf"""
-    WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {_space_words()} AS words FROM documents),
-    l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
-    places AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM d WHERE len(words) >= 5),
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS t, {_space_words()} AS words FROM documents),
+    l AS (SELECT row, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+    places AS (SELECT row, unnest(range(1, len(words) - 3)) AS i, words FROM d WHERE len(words) >= 5),
     windows AS (
-        SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 4], ' ')) AS times FROM places),
+        SELECT row, i, count(*) OVER (PARTITION BY row, array_to_string(words[i:i + 4], ' ')) AS times FROM places),
     repeated AS (
-        SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, (SELECT unnest(range(0, 5)) AS k) WHERE times > 1 GROUP BY doc_id),
+        SELECT row, count(DISTINCT i + k) AS n FROM windows, (SELECT unnest(range(0, 5)) AS k) WHERE times > 1 GROUP BY row),
     m AS (
-        SELECT doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        SELECT row, doc_id, lang, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
             {count("#*$%&|<>")} AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
             coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines, {count("!")} AS bangs,
             {count(chr(92) + "p{Lu}")} AS capitals, {count("0-9")} AS digits
-        FROM d JOIN l USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+        FROM d JOIN l USING (row) LEFT JOIN repeated USING (row)),
     q AS (
         SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
-            least({hits}) AS hit_level FROM m),
-    good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
-    strata AS (SELECT lang, count(*) AS n FROM q JOIN good USING (doc_id) GROUP BY lang),
-    rejected AS (
-        SELECT lang, step, strata.n, (SELECT count(*) FROM q JOIN good USING (doc_id)
-            WHERE q.lang IS NOT DISTINCT FROM strata.lang AND hit_level <= step) AS k
-        FROM strata, (SELECT unnest(range(1, {steps + 1})) AS step)),
+            [{steps}] AS steps, coalesce(lang, chr(0)) AS stratum FROM m),
+    marks AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+    sound AS (SELECT row, stratum, steps, quality FROM q LEFT JOIN marks USING (doc_id) WHERE NOT base_failed),
+    ladder AS (SELECT r, level FROM (SELECT unnest(range(1, {len(quality.RULES) + 1})) AS r), (SELECT unnest(range(1, {last + 1})) AS level)),
+    rejected AS (SELECT row, stratum, quality, r, level FROM sound, ladder WHERE steps[r] <= level),
+    ordered AS (
+        SELECT stratum, r, level, row_number() OVER (PARTITION BY stratum ORDER BY (other + 1) / (bad + 1), r, level) AS place
+        FROM (SELECT stratum, r, level, count(*) FILTER (quality IS NULL) AS other, count(*) FILTER (quality IS NOT NULL) AS bad
+            FROM rejected WHERE quality IS DISTINCT FROM 1 GROUP BY ALL)),
+    strata AS (SELECT stratum, count(*) AS n FROM sound WHERE quality = 1 GROUP BY stratum),
+    first_place AS (
+        SELECT stratum, row, min(place) AS place FROM rejected JOIN ordered USING (stratum, r, level) WHERE quality = 1 GROUP BY ALL),
     tested AS (
-        SELECT lang, step, (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk}) + (n - j) * ln(1 - {risk})))
-            FROM (SELECT unnest(range(0, k + 1)) AS j)) <= {quality.ERROR} / (SELECT count(*) FROM strata) AND k < n * {risk} AS passed
-        FROM rejected),
-    levels AS (
-        SELECT lang, coalesce(min(step) FILTER (NOT passed), {steps + 1}) - 1 AS level FROM tested GROUP BY lang)
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(hit_level, 0) AS hit_level,
-        NOT base_failed AND coalesce(hit_level, {steps + 1}) > coalesce(level, 0) AS kept, coalesce(level, 0) AS level
-    FROM q LEFT JOIN levels ON q.lang IS NOT DISTINCT FROM levels.lang"""
+        SELECT stratum, place, n, (SELECT count(*) FROM first_place f WHERE f.stratum = o.stratum AND f.place <= o.place) AS k
+        FROM ordered o JOIN strata USING (stratum)),
+    failed AS (
+        SELECT stratum, min(place) AS failed FROM tested
+        WHERE k >= n * {risk} OR (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk}) + (n - j) * ln(1 - {risk})))
+            FROM (SELECT unnest(range(0, k + 1)) AS j)) > {quality.ERROR} / (SELECT count(*) FROM strata)
+        GROUP BY stratum),
+    cutoffs AS (
+        SELECT stratum, r, max(level) AS cutoff FROM ordered JOIN strata USING (stratum) LEFT JOIN failed USING (stratum)
+        WHERE place < failed OR failed IS NULL GROUP BY ALL),
+    verdicts AS (SELECT row, min(r) AS rule FROM q JOIN cutoffs USING (stratum) WHERE steps[r] <= cutoff GROUP BY row)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(list_min(steps), 0) AS hit_level,
+        NOT base_failed AND rule IS NULL AS kept, coalesce(rule, 0) AS rejected_by
+    FROM q LEFT JOIN verdicts USING (row)"""
 
 
 def _decontamination() -> str:
-    """Every place of both texts gives one string per mask; an alignment is compared on the window at the hit."""
-    def seeds(words: str, at: str) -> str:
-        return "[" + ", ".join(
-            f"'{n}:' || " + " || ' ' || ".join(f"{words}[{at} + {i + 1}]" for i, used in enumerate(mask) if used == "1")
-            for n, mask in enumerate(MASKS)) + "]"
-
-    same = lambda start: (
-        f"(SELECT count(*) FROM (SELECT unnest(range(0, length)) AS i) WHERE item_words[{start} + i + 1] = words[{start} + pos - q + i + 1])")
+    """No seeds: texts and items are aligned wherever three words in a row are equal, which every overlap has."""
+    least, short, window = decontam.LEAST_RUN, decontam.SPAN, decontam.WINDOW
+    triple = lambda words, at: f"{words}[{at} + 1] || ' ' || {words}[{at} + 2] || ' ' || {words}[{at} + 3]"
     return f"""
     WITH w AS (SELECT DISTINCT doc_id, {_alnum_words()} AS words FROM documents),
     items AS (SELECT item_id, {_alnum_words()} AS item_words FROM benchmark),
-    short AS (SELECT DISTINCT len(item_words) AS size FROM items WHERE len(item_words) BETWEEN 1 AND {SPAN - 1}),
-    spots AS (SELECT doc_id, unnest(range(0, len(words) - {SPAN - 1})) AS pos, words FROM w WHERE len(words) >= {SPAN}),
-    seeds AS (
-        SELECT doc_id, pos, unnest({seeds("words", "pos")}) AS seed FROM spots
-        UNION ALL SELECT doc_id, pos, array_to_string(words[pos + 1:pos + size], ' ')
-        FROM (SELECT doc_id, words, size, unnest(range(0, len(words) - size + 1)) AS pos FROM w, short WHERE len(words) >= size)),
-    item_at AS (SELECT item_id, unnest(range(0, len(item_words) - {SPAN - 1})) AS q, item_words FROM items WHERE len(item_words) >= {SPAN}),
-    item_seeds AS (
-        SELECT item_id, q, item_words, unnest({seeds("item_words", "q")}) AS seed FROM item_at
-        UNION ALL SELECT item_id, 0, item_words, array_to_string(item_words, ' ') FROM items WHERE len(item_words) BETWEEN 1 AND {SPAN - 1}),
-    hits AS (
-        SELECT DISTINCT doc_id, pos, item_id, q, item_words, words, least(len(item_words), {WINDOW}) AS size,
-            greatest(0, q - pos) AS low, least(len(item_words), len(words) - pos + q) AS high, least({SPAN}, len(item_words)) AS span
-        FROM seeds JOIN item_seeds USING (seed) JOIN w USING (doc_id)),
-    placed AS (SELECT *, least(size, high - low) AS length FROM hits),
-    moved AS (
-        SELECT *, greatest(low, least(q, high - length)) AS a, greatest(low, least(q + span - length, high - length)) AS b FROM placed),
-    compared AS (SELECT *, greatest({same("a")}, {same("b")}) / size AS share FROM moved)
-    SELECT doc_id, item_id, count(DISTINCT pos) AS n_seeds, min(pos) AS first_word, max(pos + span - 1) AS last_word,
-        max(share)::DOUBLE AS identity
-    FROM compared WHERE share >= {decontam.IDENTITY} GROUP BY doc_id, item_id"""
+    spots AS (SELECT doc_id, words, unnest(range(0, len(words) - 2)) AS p FROM w WHERE len(words) > 2),
+    item_at AS (SELECT item_id, item_words, unnest(range(0, len(item_words) - 2)) AS q FROM items WHERE len(item_words) >= {short}),
+    aligned AS (
+        SELECT DISTINCT doc_id, item_id, words, item_words, p - q AS shift
+        FROM (SELECT *, {triple("words", "p")} AS triple FROM spots)
+        JOIN (SELECT *, {triple("item_words", "q")} AS triple FROM item_at) USING (triple)),
+    bounded AS (
+        SELECT *, least(len(item_words), {window}) AS size, greatest(0, -shift) AS low, least(len(item_words), len(words) - shift) AS high
+        FROM aligned),
+    placed AS (SELECT *, least(size, high - low) AS length FROM bounded),
+    windows AS (SELECT *, unnest(range(low, high - length + 1)) AS a FROM placed),
+    shares AS (
+        SELECT doc_id, item_id, len(item_words) AS item_words, a + shift AS first, a + shift + length - 1 AS last,
+            len(list_filter(range(a, a + length), lambda i: item_words[i + 1] = words[i + shift + 1])) / size AS share FROM windows),
+    runs AS (
+        SELECT doc_id, item_id, len(item_words) AS item_words, p AS first, p + len(item_words) - 1 AS last, 1.0::DOUBLE AS share
+        FROM (SELECT doc_id, words, unnest(range(0, len(words))) AS p FROM w) x
+        JOIN (SELECT * FROM items WHERE len(item_words) BETWEEN 1 AND {short - 1}) i
+        ON words[p + 1:p + len(item_words)] = item_words AND (len(item_words) >= {least} OR len(words) = len(item_words)))
+    SELECT doc_id, item_id, max(item_words) AS item_words, min(first) AS first_word, max(last) AS last_word, max(share)::DOUBLE AS identity
+    FROM (SELECT * FROM shares WHERE share >= {decontam.IDENTITY} UNION ALL SELECT * FROM runs) GROUP BY doc_id, item_id"""
 
 
 def _chat() -> str:

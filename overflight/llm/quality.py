@@ -1,22 +1,17 @@
 """Quality rules whose strictness is set by labelled holdouts (risk control).
 
 A document is measured once. Every rule compares one measure with a ladder of
-cutoffs, from lenient to strict; ``hit_level`` is the first step at which any
-rule would reject the document. The labelled good documents of a stratum tell
-how many of them each step would reject. Steps are tested in their fixed order
-with an exact binomial test of "the false rejection rate exceeds ``risk``", at
-``error`` divided by the number of strata (Bonferroni over strata, fixed
-sequence inside one, so the family-wise error stays below ``error``). The last
-step before the first failed test holds for the stratum.
-
-That is the result ``judged`` gives, where all rules share one step and every
-good document is tested, as its SQL states. ``accepted`` gives every rule its
-own cutoff, so that a noisy rule does not hold up a clean one: the steps of all
-rules are put in one order for each stratum, by the unlabelled documents a step
-rejects for each one labelled bad, and tested in that order. Step by step it is
-the good documents rejected by any rule so far that count, so ``risk`` bounds
-all rules together. The order comes from documents other than those that are
-tested, and only documents that the base rule keeps count in either.
+cutoffs, from lenient to strict. Only documents that the base rule keeps count
+from here on. The steps of all rules are put in one order for each stratum, by
+the documents a step rejects that are not labelled for each one labelled bad,
+and tested in that order on the labelled good documents: an exact binomial test
+of "the rules so far falsely reject more than ``risk``", at ``error`` divided by
+the number of strata (Bonferroni over strata, fixed sequence inside one, so the
+family-wise error stays below ``error``). The steps before the first failed test
+hold, so every rule has its own cutoff and a noisy rule does not hold up a clean
+one, while ``risk`` bounds all rules together. The order comes from documents
+other than those that are tested. ``judged`` reports the verdicts, ``accepted``
+applies them.
 
 Defined results: null and empty texts have no words and fail the base rule. A
 null stratum is a stratum of its own. A stratum without enough labels certifies
@@ -31,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from overflight.llm.common import SPACE_CHARS, broadcast_if_small, space_words, stored, text_of
+from overflight.llm.common import SPACE_CHARS, broadcast_if_small, in_files, space_words, stored, text_of
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -141,29 +136,6 @@ def _marks(labels: DataFrame) -> DataFrame:
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
 
 
-def certified(measures: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """``(stratum, level)``: the strictest step shown to reject at most ``risk`` of the good documents.
-
-    ``measures`` has doc_id, stratum and hit_level.
-    """
-    steps = len(next(iter(RULES.values())))
-    good = _marks(labels).where("quality = 1").select("doc_id")
-    held = (
-        measures.join(good, "doc_id")
-        .groupBy("stratum", F.coalesce("hit_level", F.lit(steps + 1)).alias("step")).agg(F.count("*").alias("n"))
-        .groupBy("stratum").agg(
-            F.sum("n").alias("n"),
-            *[F.sum(F.when(F.col("step") <= level, F.col("n")).otherwise(0)).alias(f"k{level}") for level in range(1, steps + 1)])
-    )
-    share = error / F.count("*").over(Window.partitionBy(F.lit(0)))  # one row for each stratum here
-    held = held.withColumn("share", share)
-    level, passed = F.lit(0), F.lit(True)
-    for step in range(1, steps + 1):
-        passed = passed & (_tail("n", f"k{step}", risk) <= F.col("share"))
-        level = F.when(passed, step).otherwise(level)
-    return held.select("stratum", level.alias("level"))
-
-
 def _ordered(measures: DataFrame, marks: DataFrame) -> DataFrame:
     """``(stratum, path)``: the steps of all rules as ``(place, rule, level)``, those that reject least besides junk first.
 
@@ -189,7 +161,7 @@ def certified_rules(measures: DataFrame, labels: DataFrame, risk: float = RISK,
     ``measures`` has doc_id, stratum and steps of the documents that the base rule keeps.
     """
     marks = _marks(labels)
-    paths = stored(_ordered(measures, marks), "quality-paths")
+    paths = stored(_ordered(measures, marks), "quality-paths", MANY_STRATA)
     held = measures.join(marks.where("quality = 1").select("doc_id"), "doc_id").join(
         broadcast_if_small(paths, MANY_STRATA), "stratum", "left")
     place = F.expr("array_min(transform(filter(path, p -> get(steps, p.rule) <= p.level), p -> p.place))")
@@ -210,30 +182,38 @@ def certified_rules(measures: DataFrame, labels: DataFrame, risk: float = RISK,
 
 def _measured(docs: DataFrame, columns: list[str], stratum: str) -> DataFrame:
     key = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("null"))
-    return stored(measured(docs).select(*columns, F.col("_q"), key.alias("_key")), "quality")
+    return stored(in_files(measured(docs).select(*columns, F.col("_q"), key.alias("_key")), docs.count()), "quality")
 
 
 def _with(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
     """Add the stratum's ``name`` as ``_name``."""
-    found = broadcast_if_small(stored(found, f"quality-{name}"), MANY_STRATA)
+    found = broadcast_if_small(stored(found, f"quality-{name}", MANY_STRATA), MANY_STRATA)
     found = found.select(F.col("stratum").alias("_stratum"), F.col(name).alias(f"_{name}"))
     return rows.join(found, F.col("_key") == F.col("_stratum"), "left")
 
 
+def _verdicts(docs: DataFrame, columns: list[str], labels: DataFrame, stratum: str, risk: float, error: float) -> DataFrame:
+    """The columns, the measures ``_q`` and ``_by``: the number of the first rule, from 1, whose cutoff rejects (0: none)."""
+    rows = _measured(docs, columns, stratum)
+    sound = rows.where("NOT _q.base_failed")
+    cutoffs = certified_rules(sound.select("doc_id", F.col("_key").alias("stratum"), F.col("_q.steps")), labels, risk, error)
+    rejects = F.expr("coalesce(array_position(zip_with(_q.steps, _cutoffs, (s, c) -> s <= c), true), 0L)")
+    return _with(rows, cutoffs, "cutoffs").withColumn("_by", rejects)
+
+
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per document: the measures, the base verdict, ``kept``, and the steps behind it (0: none)."""
-    rows = _measured(docs.select("doc_id", "text", stratum), ["doc_id"], stratum)
-    rows = rows.withColumn("_hit", F.array_min("_q.steps"))
-    levels = certified(rows.select("doc_id", F.col("_key").alias("stratum"), F.col("_hit").alias("hit_level")), labels, risk, error)
-    kept = ~F.col("_q.base_failed") & (F.coalesce("_hit", F.lit(1 << 30)) > F.coalesce("_level", F.lit(0)))
-    return _with(rows, levels, "level").select(
+    """One row per document: the measures, the base verdict, ``kept``, the first step that any rule reaches
+    (``hit_level``), and the first rule that rejects (``rejected_by``); 0 for none."""
+    rows = _verdicts(docs.select("doc_id", "text", stratum), ["doc_id"], labels, stratum, risk, error)
+    kept = ~F.col("_q.base_failed") & (F.col("_by") == 0)
+    return rows.select(
         "doc_id", *[f"_q.{name}" for name in MEASURES[:-1]], kept.alias("kept"),
-        F.coalesce("_hit", F.lit(0)).alias("hit_level"), F.coalesce("_level", F.lit(0)).alias("level"))
+        F.coalesce(F.array_min("_q.steps"), F.lit(0)).alias("hit_level"), F.col("_by").alias("rejected_by"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """The documents that neither the base rule nor a rule's own certified cutoff rejects, with their columns."""
-    rows = _measured(docs, docs.columns, stratum).where("NOT _q.base_failed")
-    cutoffs = certified_rules(rows.select("doc_id", F.col("_key").alias("stratum"), F.col("_q.steps")), labels, risk, error)
-    rejected = F.expr("exists(zip_with(_q.steps, _cutoffs, (s, c) -> s <= c), x -> x)")
-    return _with(rows, cutoffs, "cutoffs").where(~F.coalesce(rejected, F.lit(False))).select(*docs.columns)
+    """The documents that neither the base rule nor a rule's certified cutoff rejects, with their columns."""
+    own = {c: f"_own{n}" for n, c in enumerate(docs.columns)}  # the measures' names are free then, whatever the columns are called
+    plain = docs.select("doc_id", "text", stratum, F.struct(*[F.col(c).alias(o) for c, o in own.items()]).alias("_row"))
+    rows = _verdicts(plain, ["doc_id", "_row"], labels, stratum, risk, error)
+    return rows.where("NOT _q.base_failed AND _by = 0").select(*[F.col(f"_row.{o}").alias(c) for c, o in own.items()])

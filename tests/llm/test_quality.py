@@ -30,29 +30,7 @@ def test_measures(spark):
     assert len(got) == len(rows)
     found = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got)
     assert found == Counter((i, *base(text)) for i, text, _, _ in rows)
-    assert all(r.kept is (not r.base_failed) and r.level == 0 for r in got)  # too few labels to reject anything
-
-
-def test_certified_levels(spark):
-    risk, error, steps = 0.05, 0.1, 8
-    held = {"en": Counter({9: 600, 3: 10, 2: 4}), "de": Counter({9: 30}), "fr": Counter({9: 900, 1: 200}), "es": Counter({9: 5000})}
-    rows, n = [], 0
-    for lang, counts in held.items():
-        for step, times in counts.items():
-            rows += [(n + i, lang, None if step == 9 else step) for i in range(times)]
-            n += times
-    marks = [(i, 1, 0) for i in range(n)] + [(0, 1, 1)]
-    marks += [(n, 0, 0)]
-    got = {r.stratum: r.level for r in quality.certified(
-        spark.createDataFrame(rows + [(n, "en", 1)], "doc_id BIGINT, stratum STRING, hit_level INT"), labels(spark, marks), risk, error).collect()}
-    for lang, counts in held.items():
-        total, level = sum(counts.values()), 0
-        for step in range(1, steps + 1):
-            if tail(total, sum(c for s, c in counts.items() if s <= step), risk) > error / len(held):
-                break
-            level = step
-        assert got[lang] == level
-    assert got["es"] == steps and got["fr"] == 0 and 0 < got["en"]
+    assert all(r.kept is (not r.base_failed) and r.rejected_by == 0 for r in got)  # too few labels to reject anything
 
 
 def test_accepted_keeps_columns_and_clean_documents(spark):
@@ -78,8 +56,13 @@ def test_each_rule_has_its_own_cutoff(spark):
     junk = [(3000 + i, prose(i).replace(" ", " #$ "), "en", "a") for i in range(60)]
     docs = documents(spark, clean + lines + repeated + junk)
     marks = [(d[0], int(d[0] < 3000), 0) for d in clean + lines + repeated + junk[:30]]
-    kept = sorted(r.doc_id for r in quality.accepted(docs, labels(spark, marks)).collect())
+    clash = docs.selectExpr("*", "1 AS _key", "2 AS _q", "3 AS _by", "4 AS _row", "5 AS _m", "6 AS _cutoffs", "7 AS _words")
+    accepted = quality.accepted(clash, labels(spark, marks))
+    assert accepted.columns == clash.columns
+    kept = sorted(r.doc_id for r in accepted.collect())
     assert kept == [d[0] for d in clean + lines]
+    told = {r.doc_id: r.kept for r in quality.judged(clash, labels(spark, marks)).collect()}
+    assert sorted(d for d, keep in told.items() if keep) == kept
 
 
 def test_certified_rules(spark):

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType
 
-from overflight.llm.common import broadcast_if_small, space_words, stored, text_of
+from overflight.llm.common import broadcast_if_small, in_files, space_words, stored, text_of
 
 WEIGHTS = (5, 2, 1)  # by source, repeating
 TOTAL_PERCENT = 150
@@ -133,8 +133,9 @@ def slots(sources: DataFrame, shard: int = SHARD) -> DataFrame:
     thrown = thrown.withColumn("unit", unit).select(
         "shard", "slot", F.filter("ends", lambda e: e["end"] > F.col("unit"))[0]["_source"].alias("_source"))
 
-    thrown = stored(thrown, "mix-slots")
-    counts = stored(thrown.groupBy("shard", "_source").agg(F.count("*").alias("n")), "mix-counts")
+    slots_due = due.agg(F.max("total")).first()[0] or 0
+    thrown = stored(thrown, "mix-slots", slots_due)
+    counts = stored(thrown.groupBy("shard", "_source").agg(F.count("*").alias("n")), "mix-counts", slots_due)
     before = F.sum("n").over(Window.partitionBy("_source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     numbered = thrown.withColumn(
         "row", F.row_number().over(Window.partitionBy("shard", "_source").orderBy("slot")) - 1,
@@ -149,7 +150,7 @@ def slots(sources: DataFrame, shard: int = SHARD) -> DataFrame:
     balance = stored(drawn.select(
         "_source", "slots", "blocks", "drawn", short.alias("short"),
         (F.sum(free).over(in_order) - free).alias("free_from"), (F.sum(short).over(in_order) - short).alias("short_from"),
-    ), "mix-balance")
+    ), "mix-balance", MANY_SOURCES)
     few = broadcast_if_small(balance.select("_source", "slots", "free_from"), MANY_SOURCES)
     numbered = numbered.join(few, "_source")
     stay = numbered.where("k < slots").select("shard", "slot", "_source", "k")
@@ -178,8 +179,9 @@ def pieces(rows: DataFrame) -> DataFrame:
 def _plan(docs: DataFrame, percent: int, weights: tuple[int, ...]) -> tuple[DataFrame, DataFrame]:
     """The documents' sizes and offsets, and the sources, both stored."""
     rows = sized(docs.select("doc_id", "source", "text")).select("doc_id", "_source", "_size", "_id1", "_id2")
-    rows = stored(rows, "mix-sizes")
-    return stored(_offsets(rows), "mix-offsets"), stored(targets(rows, percent, weights), "mix-targets")
+    n = docs.count()
+    rows = stored(in_files(rows, n), "mix-sizes")
+    return stored(_offsets(rows), "mix-offsets", n), stored(targets(rows, percent, weights), "mix-targets", MANY_SOURCES)
 
 
 def mix(docs: DataFrame, percent: int = TOTAL_PERCENT, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -206,11 +208,15 @@ def mixed(docs: DataFrame, percent: int = TOTAL_PERCENT, weights: tuple[int, ...
     found = pieces(rows).hint("merge").join(slots(sources), ["_source", "block"]).groupBy(
         "_source", "_offset", "_id1", "_id2", "_size", "round"
     ).agg(F.sum("words").alias("_taken"), F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_parts"))
-    texts = sized(docs).drop("_source", "_size").dropDuplicates(["_id1", "_id2"])
+    found = found.select("_id1", "_id2", "_size", "_taken", "_parts")
+    own = {c: f"_own{n}" for n, c in enumerate(docs.columns) if c not in ("text", "n_chars")}  # in a struct no name clashes
+    plain = docs.select("doc_id", "source", "text", F.struct(*[F.col(c).alias(o) for c, o in own.items()]).alias("_row"))
+    texts = sized(plain).select("_id1", "_id2", "text", "_row").dropDuplicates(["_id1", "_id2"])
     words = F.flatten(F.transform("_parts", lambda p: F.slice(
         "_words", (p["first"] + 1).cast("int"), p["words"].cast("int"))))
     text = F.when(F.col("_taken") == F.col("_size"), F.col("text")).otherwise(F.array_join(words, " "))
     out = found.hint("merge").join(texts, ["_id1", "_id2"]).withColumn("_words", space_words(text_of())).withColumn("text", text)
+    fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        fresh["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[(fresh[c] if c in fresh else F.col(f"_row.{own[c]}")).alias(c) for c in docs.columns])

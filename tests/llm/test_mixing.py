@@ -57,6 +57,13 @@ def test_equal_rows_and_null_ids(spark):
     assert mixing.mixed(documents(spark, EDGES)).count() > 0
 
 
+def test_columns_of_any_name_pass_through(spark):
+    docs = documents(spark, EDGES).selectExpr("*", "doc_id AS round", "1 AS _size", "2 AS _source", "3 AS _id1", "4 AS _row", "5 AS _taken", "6 AS first")
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    assert all((r["round"], r["_size"], r["first"]) == (r.doc_id, 1, 6) for r in out.collect())
+
+
 def test_permutation_is_one():
     permuted = mixing._permuted.func
     for n in (1, 2, 3, 5, 64, 1000, 4097):

@@ -53,17 +53,23 @@ def remainder(col: str, divisor: int) -> Column:
 
 
 ROWS_PER_FILE = 50_000
+DOCS_PER_FILE = 20_000
+
+
+def in_files(df: DataFrame, rows: int, per_file: int = DOCS_PER_FILE) -> DataFrame:
+    """About ``rows`` rows in no more partitions than that takes, however many they come in: a file each, when
+    they are written, and every file costs its task a few processes of the file system's."""
+    return df.coalesce(rows // per_file + 1)
 
 
 def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write to the shared folder and read back, so that a lost executor costs no recomputation.
 
-    Where about ``rows`` narrow rows are expected, they go to no more files
-    than that takes, however many partitions they come in.
+    ``rows``, where it is known about how many narrow rows there are, keeps the number of files down.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    (df if rows is None else df.coalesce(rows // ROWS_PER_FILE + 1)).write.parquet(path)
+    (df if rows is None else in_files(df, rows, ROWS_PER_FILE)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

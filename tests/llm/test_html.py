@@ -55,6 +55,72 @@ def test_divided_articles(body, lines):
     assert html.main_text(page(body)).split("\n") == lines
 
 
+S = [f"Sentence {i} of the text, with marks; and more words to read." for i in range(60)]
+P = [f"<p>{t}</p>" for t in S]
+MENU = "<nav><ul><li><a href=/>Home</a></li><li><a href=/b>More</a></li></ul></nav>"
+NOISE = "<div class='cookie-banner'>We use cookies, as all do.</div><div class='share-buttons'><a>Post</a> it, now.</div>"
+END = "<footer><p>All rights, reserved. 2020.</p></footer>"
+
+
+@pytest.mark.parametrize("body, lines", [
+    # sections of a container without any mark
+    (f"{MENU}<div class=content><section class=a>{''.join(P[:12])}</section><section class=b><h2>Head</h2><ul>{'<li>item</li>' * 6}</ul>"
+     f"</section><section class=c>{P[12]}</section></div>{END}", S[:12] + ["Head"] + ["item"] * 6 + S[12:13]),
+    (f"{MENU}<div class=lead><h1>Title</h1><p>Lead in words</p></div><div class=body>{''.join(P[:9])}</div>{END}",
+     ["Title", "Lead in words"] + S[:9]),
+    (f"<div id=wrap><div id=page>{MENU}<div class=story><div class=text>{''.join(P[:20])}</div><div class=notes><p>Note</p></div></div></div></div>",
+     S[:20] + ["Note"]),
+    # names that only look like furniture
+    (f"{MENU}<div class=legal-text>{''.join(P[:5])}</div>{END}", S[:5]),
+    (f"{MENU}<div id=content class=social-history>{''.join(P[:5])}</div>{NOISE}", S[:5]),
+    (f"<article>{P[0]}<section id=discussion><h2>Discussion</h2>{P[1]}</section><section class=related-work>{P[2]}</section>"
+     f"<div class=side-by-side><p>left</p><p>right</p></div></article>{NOISE}", [S[0], "Discussion", S[1], S[2], "left", "right"]),
+    (f"<article class=ad-hoc>{''.join(P[:3])}</article>", S[:3]),
+    (f"<div class=menu-planning>{''.join(P[:3])}</div>{MENU}", S[:3]),
+    (f"<main><div class=disclaimer-law>{''.join(P[:3])}</div></main>", S[:3]),
+    (f"{MENU}<div id=discussion>{''.join(P[:7])}</div>", S[:7]),
+    # furniture by name
+    (f"<div class=story>{''.join(P[:9])}</div><div class=discussion>{P[20]}</div><div class=site-footer>{P[21]}</div>{NOISE}", S[:9]),
+    (f"<div class=story>{''.join(P[:9])}</div><div id=left-sidebar>{P[20]}</div><div class='box related-posts'>{P[21]}</div>", S[:9]),
+    (f"<div class='newsletter-signup'>{P[30]}</div><div class=story>{''.join(P[:9])}</div><ol class=commentlist><li>{S[31]}</ol>", S[:9]),
+    (f"<div class=TopBanner>{P[30]}</div><div class=story>{''.join(P[:4])}<div class=adSlot>{P[31]}</div>{''.join(P[4:8])}</div>", S[:8]),
+    (f"<div role=navigation>{P[30]}</div><div class=story>{''.join(P[:4])}</div><div role=complementary>{P[31]}</div>", S[:4]),
+    (f"<header class=x><h1>Site</h1></header><div class=story><h1>Title</h1>{''.join(P[:4])}</div>", ["Title"] + S[:4]),
+    # tables, definition lists, quotes, code, captions, formulas
+    (f"<article>{P[0]}<table><tr><th>a</th><th>b</th></tr><tr><td>1</td><td>2</td></tr></table>{P[1]}</article>", [S[0], "a", "b", "1", "2", S[1]]),
+    (f"<article>{P[0]}<dl><dt>term<dd>meaning<dt>other<dd>sense</dl></article>", [S[0], "term", "meaning", "other", "sense"]),
+    (f"<article><blockquote>{P[0]}<cite>Somebody</cite></blockquote><pre>x = 1\n  y = 2</pre></article>", [S[0], "Somebody", "x = 1 y = 2"]),
+    (f"<article>{P[0]}<figure><img src=x><figcaption>A caption</figcaption></figure>{P[1]}</article>", [S[0], "A caption", S[1]]),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be, then <svg><text>no</text></svg>go.</p></article>", ["Let x=1 be, then go."]),
+    (f"<main><h1>Title</h1><p class=byline>By her</p>{''.join(P[:3])}<details><summary>More</summary>{P[3]}</details></main>",
+     ["Title", "By her"] + S[:3] + ["More", S[3]]),
+    (f"<article>{''.join(f'<section><h2>Part {i}</h2>{P[i]}</section>' for i in range(8))}</article>",
+     [line for i in range(8) for line in (f"Part {i}", S[i])]),
+    (f"<table><tr><td class=menu><a>one</a><td class=text>{''.join(P[:6])}</table>", S[:6]),
+    (f"<body><center><font size=2>{''.join(P[:6])}</font></center><hr>{END}", S[:6]),
+    (f"{''.join(P[:6])}", S[:6]),
+    (f"<div>{S[0]}<br><br>{S[1]}</div>", [f"{S[0]} {S[1]}"]),
+    (f"<article>{P[0]}<p><a href=x>A line that is a link, all of it.</a></p>{P[1]}</article>", [S[0], "A line that is a link, all of it.", S[1]]),
+    (f"<div class=post><div class=entry>{''.join(P[:5])}<ul><li>short<li>ones</ul></div></div><div class=post-navigation><a>Next</a></div>",
+     S[:5] + ["short", "ones"]),
+    (f"<article>{''.join(P[:2])}</article><article>{''.join(P[2:4])}</article>", S[:4]),
+])
+def test_layouts(body, lines):
+    assert html.main_text(page(body)).split("\n") == lines
+
+
+@pytest.mark.parametrize("name, says", [
+    ("sidebar", 2), ("share-buttons", 2), ("siteFooter", 2), ("cookie_notice", 2), ("related-posts", 2), ("discussion", 1), ("ad-hoc", 1),
+    ("legal-text", 0), ("social-history", 0), ("side-by-side", 0), ("content", 0), ("shadow", 0), ("", 0)])
+def test_names(name, says):
+    assert html.named(name) == says
+
+
+def test_equal_scores_are_both_content():
+    two = "".join(f"<div class={c}>" + "".join(f"<p>{'same words here, always.'}</p>" for _ in range(4)) + "</div>" for c in "ab")
+    assert html.main_text(page(two)).split("\n") == ["same words here, always."] * 8
+
+
 def test_long_page_keeps_everything():
     texts = [f"Paragraph {i}, with words." for i in range(20_000)]
     assert html.main_text(page("<article>" + "".join(f"<p>{t}</p>" for t in texts) + "</article>")) == "\n".join(texts)

@@ -499,7 +499,7 @@ ORACLES: dict[str, str] = {
         SELECT dt, count(*) AS orders, round(sum(o_totalprice), 2) AS price FROM (
           SELECT dt, o_totalprice * 2 AS o_totalprice FROM urgent
           UNION ALL SELECT dt, o_totalprice FROM o WHERE dt NOT IN (SELECT dt FROM urgent)) GROUP BY dt""",
-    "backfill": LOADED,
+    "backfill": f"SELECT loaded.*, region FROM ({LOADED}) AS loaded CROSS JOIN (VALUES ('global'), ('korea')) AS r(region)",
     "load_quarantine": f"""WITH {BRONZE},
         numbered AS (SELECT CAST(epoch(snapshot_time) AS BIGINT) // 600 AS n FROM bronze)
         SELECT 'loaded' AS outcome, count(*) AS snapshots FROM numbered WHERE n % 5 <> 0 AND n % 7 <> 0

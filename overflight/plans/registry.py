@@ -546,21 +546,22 @@ def partition_replace(spark, sf_dir):
 
 @query
 def backfill(spark, sf_dir):
-    """Raw files of two regions on disk, one of them loaded over the whole date
-    range and then again."""
+    """Raw files of three regions on disk, two of them loaded over the whole
+    date range and then again."""
     root, table = scratch_path(spark, "raw"), scratch_path(spark, "bronze")
     events = read_events(spark, sf_dir)
     documents = raw_documents(events)
-    raw_source.land_raw(documents.unionByName(documents.withColumn("region", F.lit("korea"))), root)
+    others = [documents.withColumn("region", F.lit(name)) for name in ("korea", "left out")]
+    raw_source.land_raw(reduce(DataFrame.unionByName, others, documents), root)
     raw_source.land_raw(documents, root)  # the same snapshots land again
     first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
     for _ in range(2):
-        bronze_source.backfill(spark, root, table, first, last, regions=[REGION], pattern="*.txt", packed=True)
-    return _loaded(bronze_source.read_bronze(spark, table))
+        bronze_source.backfill(spark, root, table, first, last, regions=[REGION, "korea"], pattern="*.txt", packed=True)
+    return _loaded(bronze_source.read_bronze(spark, table), "region")
 
 
-def _loaded(bronze: DataFrame) -> DataFrame:
-    return bronze.groupBy("dt").agg(
+def _loaded(bronze: DataFrame, *by: str) -> DataFrame:
+    return bronze.groupBy("dt", *by).agg(
         F.countDistinct("region", "snapshot_time").alias("snapshots"),
         F.sum(staging.state_count("raw")).cast("bigint").alias("vectors"),
     )

@@ -517,6 +517,8 @@ ORACLES: dict[str, str] = {
     "build_checks": f"WITH {GRID_MART}, results AS ({' UNION ALL '.join(_BUILD)}) SELECT *, {_STATUS} FROM results",
     "stream_region_density": f"""WITH {MARTS}
         SELECT snapshot_time, region, aircraft_count, area_sqdeg, density FROM region_mart""",
+    "stream_density_folded": f"""WITH {MARTS}
+        SELECT snapshot_time, region, aircraft_count, area_sqdeg, density FROM region_mart""",
     "stream_frames": f"""WITH {MARTS}
         SELECT snapshot_bucket AS frame, region, count(*) AS aircraft_count FROM points GROUP BY ALL""",
     "stream_coverage": f"""WITH {MARTS} SELECT dt, snapshots_observed, coverage_pct FROM coverage

@@ -661,20 +661,33 @@ def _stream_staged(spark, sf_dir):
     return staging.stage(arrivals.stream_bronze(spark, table), CFG)
 
 
+DENSITY_UPDATES = "snapshot_time TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg DOUBLE, density DOUBLE"
+
+
 @query
 def stream_region_density(spark, sf_dir):
-    """Continuous density, in two parts of the days; the updates of the first part are folded in between."""
+    counted = aggregates.region_density(_stream_staged(spark, sf_dir), region_area(spark))
+    out = scratch_path(spark, "updates")
+    writer = counted.writeStream.outputMode("update").foreachBatch(runs.write_batch(out))
+    arrivals.run_available(writer, scratch_path(spark, "checkpoint"))
+    return runs.read_latest(spark, out, ["snapshot_time", "region"], DENSITY_UPDATES)
+
+
+@query
+def stream_density_folded(spark, sf_dir):
+    """Continuous density of days that come one half after the other; the updates of the first half are folded
+    into one row per key before the second, and readers start from there."""
     bronze, table = _stored_bronze(spark, sf_dir), scratch_path(spark, "bronze")
     out, checkpoint = scratch_path(spark, "updates"), scratch_path(spark, "checkpoint")
-    schema = "snapshot_time TIMESTAMP, region STRING, aircraft_count BIGINT, area_sqdeg DOUBLE, density DOUBLE"
     keys = ["snapshot_time", "region"]
-    for part, folded in ((bronze.where(F.dayofmonth("dt") <= 15), False), (bronze.where(F.dayofmonth("dt") > 15), True)):
-        write_days(part, table)
+    early = F.dayofmonth("dt") <= 15
+    for half, fold in ((early, True), (~early, False)):
+        write_days(bronze.where(half), table)
         counted = aggregates.region_density(staging.stage(arrivals.stream_bronze(spark, table), CFG), region_area(spark))
         arrivals.run_available(counted.writeStream.outputMode("update").foreachBatch(runs.write_batch(out)), checkpoint)
-        if not folded:
-            runs.fold(spark, out, keys, schema)
-    return runs.read_latest(spark, out, keys, schema)
+        if fold:
+            runs.fold(spark, out, keys, DENSITY_UPDATES)
+    return runs.read_latest(spark, out, keys, DENSITY_UPDATES)
 
 
 @query

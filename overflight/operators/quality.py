@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from overflight.config import BACKGROUND, POSITION_SOURCES, REGIONS
 from overflight.functions.literals import sql_literal
@@ -125,6 +125,33 @@ def run_gates(results: Iterable[DataFrame]) -> list:
     return rows
 
 
+@dataclass
+class Audit:
+    """Row-wise checks of a relation that are counted while it is written, without reading it again."""
+
+    relation: str
+    checks: Sequence[Check]
+    seen: Observation
+
+    def gate(self) -> None:
+        """After the write: raise if a check of severity error failed. A task that ran twice may count a row
+        twice, which turns no pass into a failure."""
+        counts = self.seen.get
+        errors = [
+            f"{self.relation}.{c.kind}({c.column}): {counts[f'c{n}']}"
+            for n, c in enumerate(self.checks) if c.severity == "error" and counts[f"c{n}"]
+        ]
+        if errors:
+            raise GateError("; ".join(sorted(errors)))
+
+
+def audited(df: DataFrame, checks: Sequence[Check], relation: str) -> tuple[DataFrame, Audit]:
+    """``df`` to write, and the audit of its row-wise checks."""
+    rowwise = [c for c in checks if c.kind != "unique"]
+    audit = Audit(relation, rowwise, Observation())
+    return df.observe(audit.seen, *[F.count_if(c.failing()).alias(f"c{n}") for n, c in enumerate(rowwise)]), audit
+
+
 # The declared checks per relation.
 _STUDY = [b.region for b in REGIONS]
 _ALL_REGIONS = [*_STUDY, BACKGROUND]

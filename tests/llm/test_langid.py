@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import zlib
 
@@ -41,6 +43,42 @@ def test_mixtures(spark):
     assert langid.predict("the house", [], np.empty((0, langid.BUCKETS), np.float32)) == ("und", 0.0, "")
 
 
+def plain_em(rows, columns, steps=4000):
+    """Proportions by expectation-maximisation, in lists, run to convergence."""
+    share = [1 / len(columns)] * len(columns)
+    for _ in range(steps):
+        sums = [0.0] * len(columns)
+        for row in rows:
+            weights = [s * row[c] for s, c in zip(share, columns)]
+            for i, w in enumerate(weights):
+                sums[i] += w / sum(weights)
+        share = [s / len(rows) for s in sums]
+    return share, sum(math.log(sum(s * row[c] for s, c in zip(share, columns))) for row in rows)
+
+
+def test_mixture_against_plain_em():
+    """The chosen set is the best of all sets by penalised likelihood, with the proportions of a plain EM."""
+    draw = np.random.default_rng(3)
+    for languages, truth, n in ((3, [0.7, 0.3, 0.0], 60), (3, [1.0, 0.0, 0.0], 50), (4, [0.4, 0.35, 0.25, 0.0], 80), (2, [0.5, 0.5], 40)):
+        spoken = draw.choice(languages, size=n, p=truth)
+        scores = draw.normal(-14, 1.5, (n, languages))
+        scores[np.arange(n), spoken] += 9
+        rows = np.exp(np.maximum(scores - scores.max(axis=1)[:, None], -20)).tolist()
+        cost = langid.PENALTY * math.log(n + 1) / 2
+        best = max(
+            (value - cost * (len(columns) - 1), columns, share)
+            for size in range(1, languages + 1) for columns in itertools.combinations(range(languages), size)
+            for share, value in [plain_em(rows, columns, 400)])
+        chosen, share = langid.mixture(scores)
+        assert sorted(chosen.tolist()) == list(best[1])
+        assert all(abs(share[chosen.tolist().index(c)] - s) < 0.01 for c, s in zip(best[1], best[2]))
+
+
+def test_a_tie_goes_to_the_first_language():
+    model = np.log(np.full((2, langid.BUCKETS), 1 / langid.BUCKETS, dtype=np.float32))
+    assert langid.predict("some words", ["aa", "bb"], model)[:2] == ("aa", 1.0)
+
+
 def test_labels_are_learned_only_outside_the_fold(spark):
     rows = corpus()
     lied = [(i, t, "zz" if held_out(i) else lang, s) for i, t, lang, s in rows] + [(500, None, "yy", "s"), (501, "the", None, "s")]

@@ -464,7 +464,7 @@ ORACLES: dict[str, str] = {
         FROM all_metrics WHERE value IS NOT NULL""",
     "metric_refresh": f"""{QUALITY}
         SELECT TIMESTAMP '2024-01-31 12:05:00' AS ts, kind AS metric, label,
-               CASE WHEN kind = 'freshness' THEN value + 300 ELSE round(value, 6) END AS value, 5 AS ticks FROM metrics WHERE value IS NOT NULL
+               CASE WHEN kind = 'freshness' THEN value + 300 ELSE round(value, 6) END AS value, 5::BIGINT AS ticks FROM metrics WHERE value IS NOT NULL
         UNION ALL SELECT TIMESTAMP '2024-01-31 12:05:00', 'last_success', '', epoch(TIMESTAMP '2024-01-31 12:05:00'), 5
         UNION ALL SELECT TIMESTAMP '2024-01-31 12:10:00', 'query_success', '', 0.0::DOUBLE, 5""",
     "metric_minimum": f"WITH {SERIES} SELECT ts, metric, min(value) AS value FROM series GROUP BY ts, metric",
@@ -537,7 +537,7 @@ ORACLES: dict[str, str] = {
     "publish_after_audit": f"""WITH {MARTS},
         before AS (SELECT dt, count(*) AS rows, CAST(sum(aircraft_count) AS BIGINT) AS aircraft FROM region_mart GROUP BY dt),
         halves AS ({_HALF_MARTS})
-        SELECT *, 'rejected' AS load, 0 AS rebuilt FROM before
+        SELECT *, 'rejected' AS load, 0::BIGINT AS rebuilt FROM before
         UNION ALL SELECT *, 'sound', 2 FROM before WHERE dt NOT IN (DATE '2024-01-03', DATE '2024-01-04')
         UNION ALL SELECT *, 'sound', 2 FROM halves""",
     "stream_alerts": TWO_RUNS,

@@ -46,8 +46,10 @@ def check(spark, rows, size, percent):
     assert Counter((r.doc_id, r.n_shingles) for r in got) == Counter((i, len(s)) for i, found in sets_of(rows, size).items() for s in found)
 
 
-@pytest.mark.parametrize("size, percent", [(3, 85), (5, 80)])
-def test_components_equal_brute_force(spark, size, percent):
+@pytest.mark.parametrize("size, percent, block, sent", [(3, 85, 400, 500_000), (5, 80, 400, 500_000), (5, 80, 60, 0)])
+def test_components_equal_brute_force(spark, monkeypatch, size, percent, block, sent):
+    monkeypatch.setattr(neardup, "BLOCK", block)  # large groups are cut into parts
+    monkeypatch.setattr(neardup, "MANY_NODES", sent)  # with 0 nothing is broadcast
     draw = random.Random(3)
     base, rows = prose(1, 120, 3000).split(), []
     for _ in range(500):  # near copies of a text that is not itself there

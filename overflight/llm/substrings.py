@@ -268,7 +268,8 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     frequent = stored(counts.where(F.col("n") > MANY).select("anchor"), "frequent-anchors", known)
     rare = counts.where(F.col("n") <= MANY).select("anchor", F.lit(False).alias("frequent"))
     often = broadcast_if_small(frequent.withColumn("frequent", F.lit(True)), MANY_ANCHORS)
-    found = posted.join(rare, "anchor").unionByName(posted.join(often, "anchor"))
+    # Frequent anchors leave before the shuffle that would bring all their runs to one task.
+    found = posted.join(often, "anchor", "left_anti").join(rare, "anchor").unionByName(posted.join(often, "anchor"))
     # One row per text, with the runs that meet others: those of rare and of frequent anchors.
     run = F.struct("anchor", "start", "size")
     meeting = stored(found.groupBy("node").agg(

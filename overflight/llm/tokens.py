@@ -132,6 +132,10 @@ class Encoder:
         return out
 
 
+    def forget(self) -> None:
+        self.chunks, self.pieces = {}, {}
+
+
 @cache
 def encoder(path: str, kept: int = CHUNKS_KEPT) -> Encoder:
     return Encoder(path, kept)
@@ -173,7 +177,7 @@ def ranked(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order.astype("<u4"), rank[ids]
 
 
-def _write(path: str, block_ids: int, kept: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _write(path: str, block_ids: int, kept: int, forget: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("counts", pa.list_(pa.int32())), ("ranked", pa.binary()), ("control", pa.binary()), ("data", pa.binary())])
     end = np.array([END_ID], dtype="<u4").tobytes()
@@ -203,14 +207,22 @@ def _write(path: str, block_ids: int, kept: int) -> Callable[[Iterator[pa.Record
                 size += len(held[-1]) // 4
         if held:
             yield packed()
+        if forget:
+            encoder(path, kept).forget()
 
     return run
 
 
-def write(docs: DataFrame, tokenizer: str, path: str, block_ids: int = BLOCK_IDS, kept: int = CHUNKS_KEPT) -> None:
-    """Encode all documents and write the files, in ascending order of doc_id."""
+def write(
+    docs: DataFrame, tokenizer: str, path: str, block_ids: int = BLOCK_IDS, kept: int = CHUNKS_KEPT, forget: bool = False
+) -> None:
+    """Encode all documents and write the files, in ascending order of doc_id.
+
+    A worker keeps the ids of ``kept`` chunks from task to task; with
+    ``forget`` it drops them after each one, which leaves the memory to others.
+    """
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(_write(tokenizer, block_ids, kept), FILE_SCHEMA).write.parquet(path)
+    rows.mapInArrow(_write(tokenizer, block_ids, kept, forget), FILE_SCHEMA).write.parquet(path)
 
 
 def block_ids(row: dict) -> np.ndarray:
@@ -249,8 +261,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         _read, "doc_id BIGINT, start BIGINT, n_tokens BIGINT, ids_crc32 BIGINT, n_bytes BIGINT")
 
 
-def encoded(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS, kept: int = CHUNKS_KEPT) -> DataFrame:
+def encoded(
+    docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS, kept: int = CHUNKS_KEPT, forget: bool = False
+) -> DataFrame:
     """Write the files to the shared folder and return what they hold by document."""
     path = scratch_path(docs.sparkSession, "token-ids")
-    write(docs, tokenizer, path, block_ids, kept)
+    write(docs, tokenizer, path, block_ids, kept, forget)
     return read(docs.sparkSession, path)

@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from overflight.llm.common import broadcast_if_small, portions, stored
+from overflight.llm.common import broadcast_if_small, in_files, portions, stored
 
 COORDINATES = 96
 DEVIATIONS = 6.3  # below the expected number of matches
@@ -106,11 +106,12 @@ def _sets(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
-def hub_groups(nodes: DataFrame, needed: int) -> DataFrame:
+def hub_groups(nodes: DataFrame, needed: int, most: int) -> DataFrame:
     """``hub, node``: every document that is posted in a list, with that list's hub.
 
     ``nodes`` has node and signature. A document's shared tokens number at most
-    ``COORDINATES``; lists are only ever reduced to their hub.
+    ``COORDINATES``; lists are only ever reduced to their hub. ``most`` is the
+    number of nodes.
     """
     token = F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     posted = nodes.select("node", F.posexplode("signature").alias("at", "value")).select("node", token.alias("token"))
@@ -119,7 +120,7 @@ def hub_groups(nodes: DataFrame, needed: int) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"), F.sum("df").alias("weight"))
     shared = shared.where(F.size("tokens") >= needed)
     prefix = F.slice("tokens", F.lit(1), F.size("tokens") - needed + 1)
-    lists = stored(shared.select("node", "weight", F.explode(F.transform(prefix, lambda t: t["token"])).alias("token")), "lists")
+    lists = stored(shared.select("node", "weight", F.explode(F.transform(prefix, lambda t: t["token"])).alias("token")), "lists", 8 * most)
     hubs = lists.groupBy("token").agg(F.max(F.struct("weight", (-F.col("node")).alias("order"))).alias("top"), F.count("*").alias("n"))
     hubs = hubs.where("n > 1").select("token", (-F.col("top.order")).alias("hub"))
     return lists.join(hubs, "token").select("hub", "node").distinct()
@@ -188,7 +189,7 @@ def _compare(percent: int, needed: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, most: int | None = None) -> DataFrame:
     """``node, component``: the smallest node reachable, for nodes with a link.
 
     Large-star and small-star steps on the links alone: every node passes its
@@ -199,7 +200,7 @@ def components(links: DataFrame) -> DataFrame:
         return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     pairs = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    pairs = stored(pairs, "links")
+    pairs = stored(pairs, "links", most)
     before = state(pairs)
     while True:
         # Every neighbour above a node is sent to the node's smallest neighbour.
@@ -210,7 +211,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")) \
             .unionByName(least.select("a", F.col("least").alias("b"))).distinct()
-        pairs = stored(small, "links")
+        pairs = stored(small, "links", 2 * before[0])
         now = state(pairs)
         if now == before:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
@@ -223,11 +224,12 @@ def _leftover(groups: DataFrame, found: DataFrame, sets: DataFrame, percent: int
     own = groups.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     hubs = found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
     own = own.join(hubs, "hub", "left").withColumn("outside", F.col("component") != F.coalesce("hub_component", "hub"))
-    own = stored(own.select("hub", "node", "component", "outside"), "groups")
+    own = stored(own.select("hub", "node", "component", "outside"), "groups", groups.count())
     sizes = own.groupBy("hub").agg(F.count("*").alias("n"), F.count(F.when(F.col("outside"), 1)).alias("n_outside")) \
         .where("n_outside > 0 AND n > 2")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    rows = own.join(sizes, "hub").withColumn("draw", F.xxhash64("node"))
+    # Few hubs have anybody outside; sent to the rows, so that no hub's whole group meets in one task.
+    rows = own.join(broadcast_if_small(sizes, MANY_NODES), "hub").withColumn("draw", F.xxhash64("node"))
     every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
     # Documents outside are one side of a block, all documents of the group the other.
     one = rows.where("outside").select("hub", "node", "component", F.lit(True).alias("outside"),
@@ -238,28 +240,41 @@ def _leftover(groups: DataFrame, found: DataFrame, sets: DataFrame, percent: int
     return laid.groupBy("hub", "row", "column").applyInArrow(_compare(percent, needed), "a BIGINT, b BIGINT")
 
 
+def _beside_hubs(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """``hub, node, members, hub_members``. The members of a large group are dealt to parts of about ``BLOCK``
+    documents, each with a copy of the hub's set, so that no task meets the whole group."""
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    sizes = groups.groupBy("hub").agg(F.count("*").alias("n")).where("n > 1")
+    large = broadcast_if_small(sizes.where(F.col("n") > BLOCK).select("hub", parts.alias("parts")), MANY_NODES)
+    dealt = groups.where("hub <> node").join(large, "hub", "left").withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")).join(
+        sets.select(F.col("node").alias("hub"), F.col("members").alias("hub_members")), "hub")
+    return dealt.join(sets.select("node", "members"), "node").join(hubs, ["hub", "part"]).drop("part")
+
+
 def clustered(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     needed = matches(percent)
     texts = docs.select("doc_id", "text")
-    signed = stored(texts.mapInArrow(
-        _signed(size), "doc_id BIGINT, n_shingles BIGINT, digest BINARY, signature ARRAY<INT>"), "signatures")
+    signed = stored(in_files(texts.mapInArrow(
+        _signed(size), "doc_id BIGINT, n_shingles BIGINT, digest BINARY, signature ARRAY<INT>"), docs.count()), "signatures")
     known = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(known.groupBy("digest").agg(F.min(F.struct("doc_id", "signature")).alias("first")).select(
-        "digest", F.col("first.doc_id").alias("node"), F.col("first.signature").alias("signature")), "classes")
+        "digest", F.col("first.doc_id").alias("node"), F.col("first.signature").alias("signature")), "classes", signed.count())
 
-    groups = stored(hub_groups(classes.select("node", "signature"), needed), "hub-groups")
+    n = classes.count()
+    groups = stored(hub_groups(classes.select("node", "signature"), needed, n), "hub-groups", n)
     wanted = broadcast_if_small(groups.select("node").union(groups.select("hub")).distinct(), MANY_NODES)
     sets = texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi").mapInArrow(
         _sets(size), "node BIGINT, signature ARRAY<INT>, members BINARY")
-    sets = stored(sets.where(F.length("members") > 0), "sets")
+    sets = stored(in_files(sets.where(F.length("members") > 0), docs.count()), "sets")
 
-    met = groups.where("hub <> node").join(sets.select("node", "members"), "node").join(
-        sets.select(F.col("node").alias("hub"), F.col("members").alias("hub_members")), "hub")
+    met = _beside_hubs(groups, sets)
     star = stored(met.mapInArrow(_confirm(percent), "hub BIGINT, node BIGINT, linked BOOLEAN").where("linked")
                   .select(F.col("hub").alias("a"), F.col("node").alias("b")), "star-links")
-    found = components(star)
-    rest = stored(_leftover(groups, found, sets, percent, needed), "rest-links")
+    found = components(star, n)
+    rest = stored(_leftover(groups, found, sets, percent, needed), "rest-links", n)
     if not rest.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest))
 

@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from overflight.config import BACKGROUND
 from overflight.functions.geo import DAILY_CREDITS, box_area, credit_cost
 
 
 LEVELS = 8
-STEP = 4.0  # sides of the cells of one level, of those of the level below
+STEP = 4.0  # sides of the cells of one level, of those of the level below; a power of two, so that cells nest exactly
+MOST = 16  # boxes a cell lists before it hands them to the cells below it
+EDGES = ("lomin", "lomax", "lamin", "lamax")
+CANDIDATE = ("priority", "region", *EDGES)
+
+
+def _ends(low: str, high: str, cell: Column) -> tuple[Column, Column]:
+    """Numbers of the first and the last cell that the box touches."""
+    return F.floor(F.col(low) / cell).cast("bigint"), F.floor(F.col(high) / cell).cast("bigint")
 
 
 def _cells(low: str, high: str, cell: Column) -> Column:
-    first, last = F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)
-    return F.explode(F.sequence(first.cast("bigint"), last.cast("bigint")))
+    return F.explode(F.sequence(*_ends(low, high, cell)))
 
 
 def box_level(cell: tuple[float, float], levels: int = LEVELS) -> Column:
@@ -32,6 +39,43 @@ def box_index(boxes: DataFrame, cell: tuple[float, float], levels: int = LEVELS)
         "cy", _cells("lamin", "lamax", side * F.lit(float(cell[1]))))
 
 
+def _listed(rows: DataFrame) -> DataFrame:
+    """``level, cx, cy, boxes``: each cell's boxes in priority order."""
+    return rows.groupBy("level", "cx", "cy").agg(F.sort_array(F.collect_list(F.struct(*CANDIDATE))).alias("boxes"))
+
+
+def box_lists(boxes: DataFrame, cell: tuple[float, float], levels: int = LEVELS, most: int = MOST) -> DataFrame:
+    """``level, cx, cy, boxes``: an index for many boxes that lie over each other, to be stored and given to ``assign_box``.
+
+    A box starts in its cells of ``box_index``. Behind a box that covers a cell
+    no other counts there, and of equal boxes only the first does. A cell left
+    with more than ``most`` boxes keeps the one that covers it and hands the
+    others to those of its cells on the level below that they touch; there more
+    are covered. Only what still crosses a cell of the lowest level is listed
+    without a bound.
+    """
+    first = F.min(F.struct("priority", "region")).alias("first")
+    rows = box_index(boxes.groupBy(*EDGES).agg(first).select("first.*", *EDGES), cell, levels)
+    at = Window.partitionBy("level", "cx", "cy")
+    before = at.orderBy(*CANDIDATE).rowsBetween(Window.unboundedPreceding, -1)
+    for level in reversed(range(levels)):
+        side = F.pow(F.lit(STEP), F.col("level"))
+        (x0, x1), (y0, y1) = (_ends(*EDGES[n:n + 2], side * F.lit(float(cell[n // 2]))) for n in (0, 2))
+        covers = (x0 < F.col("cx")) & (F.col("cx") < x1) & (y0 < F.col("cy")) & (F.col("cy") < y1)
+        rows = rows.withColumn("covers", covers).withColumn("hidden", F.bool_or("covers").over(before))
+        rows = rows.where(~F.coalesce("hidden", F.lit(False)))
+        if level:
+            down = (F.col("level") == level) & ~F.col("covers") & (F.count("*").over(at) > most)
+            rows = rows.withColumn("down", down)
+            for n, name in ((0, "cx"), (2, "cy")):
+                begin, end = _ends(*EDGES[n:n + 2], F.lit(float(cell[n // 2]) * STEP ** (level - 1)))
+                inner = F.col(name) * int(STEP)
+                below = F.sequence(F.greatest(inner, begin), F.least(inner + int(STEP) - 1, end))
+                rows = rows.withColumn(name, F.explode(F.when(F.col("down"), below).otherwise(F.array(name))))
+            rows = rows.withColumn("level", F.col("level") - F.col("down").cast("int"))
+    return _listed(rows)
+
+
 def assign_box(
     points: DataFrame,
     boxes: DataFrame,
@@ -40,6 +84,7 @@ def assign_box(
     cell: tuple[float, float] = (5.0, 5.0),
     default: str = BACKGROUND,
     levels: int = LEVELS,
+    lists: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``region``: the box of lowest priority number that holds the point.
 
@@ -52,21 +97,23 @@ def assign_box(
     order, so a point meets at most one row a level and needs no later
     grouping. Spark broadcasts an index or joins by shuffle, with AQE splitting
     hot cells, by its actual size.
+
+    Where thousands of boxes lie over each other, give their stored
+    ``box_lists`` of the same cells and levels as ``lists``: the same result,
+    with a few boxes to look through on each level.
     """
     x, y = F.col(lon), F.col(lat)
-    candidate = F.struct("priority", "region", "lomin", "lomax", "lamin", "lamax")
-    index = box_index(boxes, cell, levels).groupBy("level", "cx", "cy").agg(F.sort_array(F.collect_list(candidate)).alias("_boxes"))
-    found, first = points, []
+    index = _listed(box_index(boxes, cell, levels)) if lists is None else lists
+    found = points.withColumn("_best", F.lit(None).cast(index.schema["boxes"].dataType.elementType))
     for level in range(levels):
         cx, cy = (F.lit(float(side) * STEP**level) for side in cell)
         here = index.where(F.col("level") == level).select(
-            F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("_boxes").alias(f"_boxes{level}"))
+            F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("boxes").alias("_boxes"))
         at = [F.col("_cx") == F.floor(x / cx).cast("bigint"), F.col("_cy") == F.floor(y / cy).cast("bigint")]
-        found = found.join(here, at, "left").drop("_cx", "_cy")
-        inside = F.filter(f"_boxes{level}", lambda b: x.between(b["lomin"], b["lomax"]) & y.between(b["lamin"], b["lamax"]))
-        first.append(F.get(inside, F.lit(0)))
-    best = F.least(*first) if levels > 1 else first[0]
-    return found.withColumn("region", F.coalesce(best["region"], F.lit(default))).drop(*[f"_boxes{n}" for n in range(levels)])
+        inside = F.filter("_boxes", lambda b: x.between(b["lomin"], b["lomax"]) & y.between(b["lamin"], b["lamax"]))
+        found = found.join(here, at, "left").withColumn("_best", F.least("_best", F.get(inside, F.lit(0))))
+        found = found.drop("_cx", "_cy", "_boxes")
+    return found.withColumn("region", F.coalesce(F.col("_best")["region"], F.lit(default))).drop("_best")
 
 
 def observed_extents(stg: DataFrame, key: str = "region") -> DataFrame:

@@ -279,8 +279,9 @@ def assign_box_sizes(spark, sf_dir):
     areas = _stored(own.unionByName(world), "boxes")
     cell = (0.1, 0.1)
     most = boxes.box_index(areas, cell).groupBy("region").count().agg(F.max("count").alias("most"))
+    lists = _stored(boxes.box_lists(areas, cell), "box-lists")
     stg = _staged(spark, sf_dir).select("longitude", "latitude")
-    placed = boxes.assign_box(stg, areas, cell=cell).groupBy("region").agg(F.count("*").alias("positions"))
+    placed = boxes.assign_box(stg, areas, cell=cell, lists=lists).groupBy("region").agg(F.count("*").alias("positions"))
     return placed.withColumn("bounded", most.scalar() <= 4)
 
 

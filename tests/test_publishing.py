@@ -166,6 +166,32 @@ def test_boxes_of_any_size(spark):
     assert index.agg(F.max("count")).first()[0] <= 4 and index.count() == len(table)
 
 
+def test_boxes_in_crowds(spark):
+    """Many boxes over each other, copies and touching edges among them, against every box by hand."""
+    draw = random.Random(9)
+    table = [("world", 10_000, -180.0, 180.0, -90.0, 90.0)]
+    for n in range(900):
+        side = 0.1 * 2 ** draw.randrange(11)
+        lo, la = (draw.randrange(-200, 800) / 10, draw.randrange(100, 600) / 10)
+        table.append((f"box{n}", draw.randrange(3000), lo, lo + side, la, la + side * draw.choice((0.01, 1))))
+    table += [(f"copy{n}", 4000 + n, 20.0, 30.0, 20.0, 30.0) for n in range(200)]
+    areas = literal_table(spark, table, BOXES)
+    spots = [(draw.uniform(-190, 190), draw.uniform(-95, 95)) for _ in range(300)]
+    spots += [(draw.randrange(-200, 800) / 10, draw.randrange(100, 600) / 10) for _ in range(1200)] + [(None, 1.0)]
+    spots += [(x, y) for _, _, a, b, c, d in table[:200] for x in (a, b) for y in (c, d)]
+    points = spark.createDataFrame(spots, "longitude DOUBLE, latitude DOUBLE")
+
+    def first(x, y):
+        inside = [b for b in table if x is not None and b[2] <= x <= b[3] and b[4] <= y <= b[5]]
+        return min(inside, key=lambda b: b[1:2] + b[:1])[0] if inside else "other"
+
+    for cell, levels, most in (((0.1, 0.1), boxes.LEVELS, boxes.MOST), ((0.7, 0.3), 4, 2)):
+        lists = boxes.box_lists(areas, cell, levels, most)
+        assert lists.where("level > 0").agg(F.max(F.size("boxes"))).first()[0] <= most + 1
+        got = {(r.longitude, r.latitude): r.region for r in boxes.assign_box(points, areas, cell=cell, levels=levels, lists=lists).collect()}
+        assert got == {spot: first(*spot) for spot in spots}
+
+
 def test_coverage_of_overlapping_parts(spark, tmp_path, lake):
     load(spark, tmp_path, lake, 3, *[(m, [vector(30, 50), vector(5, 46)]) for m in range(0, 60, 7)])
     stg = staging.stage(read_bronze(spark, lake.bronze))

@@ -14,9 +14,9 @@ the block), ``ranked`` (ids from frequent to rare, uint32), ``control``,
 
 Encoding is done by the tokenizers library. Its pre-tokenizer never joins
 characters across a space that stands between two other characters, so a text
-is cut there and every distinct chunk is encoded once per worker; texts with
-neighbouring white space go to the library whole. Special-token strings in a
-text are ordinary text.
+is cut there and every distinct chunk is encoded once per worker; the texts of a
+batch are gathered from its distinct chunks. Texts with neighbouring white space
+go to the library whole. Special-token strings in a text are ordinary text.
 
 Defined results: null and empty texts have the end id alone. Documents with the
 same id stand next to each other, ordered by text; null ids come first. A
@@ -29,11 +29,13 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -44,6 +46,7 @@ from overflight.session import scratch_path
 
 END_ID = 0
 BLOCK_IDS = 1 << 20
+BATCH_BYTES = 1 << 22  # of texts encoded at once; the more, the fewer distinct chunks they have
 CHUNKS_KEPT = 1_000_000  # per worker; more are encoded again when they come back
 MANY_PARTS = 1_000_000
 FILE_SCHEMA = (
@@ -55,11 +58,11 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 NEIGHBOURS = re.compile(r"\s\s")
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
+def _byte_letters() -> str:
+    """The 256 letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(256 + n) for n, b in enumerate(others)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in plain else next(others)) for b in range(256))
 
 
 BYTE_LETTERS = _byte_letters()
@@ -82,7 +85,7 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         """One piece of the pre-tokenizer, given to the library's model in its letters."""
-        letters = piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        letters, _ = charmap_decode(piece.encode(), "strict", BYTE_LETTERS)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _new(self, chunks: list[str | tuple[str]]) -> dict[str | tuple[str], bytes]:
@@ -117,21 +120,36 @@ class Encoder:
         whole = [i for i, t in enumerate(texts) if NEIGHBOURS.search(t)]
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
-        get, cut, known, missing = self.chunks.get, {}, {}, set()
-        for i, t in enumerate(texts):
-            if out[i] is None:
-                cut[i] = chunks = t.replace("\n", " \n").split(" ")
-                chunks[0] = (chunks[0],)
-                known[i] = ids = list(map(get, chunks))
-                missing.update([c for c, v in zip(chunks, ids) if v is None])
-        new = self._new(list(missing))
-        for i, ids in known.items():
-            out[i] = b"".join([new[c] if v is None else v for c, v in zip(cut[i], ids)])
+        cut = [i for i, ids in enumerate(out) if ids is None]
+        if not cut:
+            return out
+        # Chunks by number; the batch's distinct ones are looked up once and the texts gathered from them.
+        lists = pc.split_pattern(pc.replace_substring(pa.array([texts[i] for i in cut], pa.large_string()), "\n", " \n"), " ")
+        coded = lists.flatten().dictionary_encode()
+        number = coded.indices.to_numpy().astype(np.int64)
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        firsts: dict[tuple[str], int] = {}
+        number[bounds[:-1]] = [len(chunks) + firsts.setdefault((chunks[n],), len(firsts)) for n in number[bounds[:-1]].tolist()]
+        chunks += firsts
+        known = list(map(self.chunks.get, chunks))
+        new = self._new([c for c, ids in zip(chunks, known) if ids is None])
+        known = [new[c] if ids is None else ids for c, ids in zip(chunks, known)]
         if len(self.chunks) + len(new) <= self.kept:
             self.chunks.update(new)
+        table = np.frombuffer(b"".join(known), np.uint32)
+        length = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        begin = np.cumsum(length) - length
+        each = length[number]
+        end = np.cumsum(each)
+        at = np.repeat(begin[number] - (end - each), each)
+        at += np.arange(len(at))
+        ids = table[at]
+        stops = np.append(0, end)[bounds].tolist()
+        for i, first, last in zip(cut, stops, stops[1:]):
+            out[i] = ids[first:last].tobytes()
         return out
 
-
     def forget(self) -> None:
         self.chunks, self.pieces = {}, {}
 
@@ -196,7 +214,7 @@ def _write(path: str, block_ids: int, kept: int, forget: bool) -> Callable[[Iter
                 "part": part, "block": block, "before": before, "doc_ids": docs, "counts": [len(h) // 4 for h in held],
                 "ranked": table.tobytes(), "control": control, "data": data}], schema=schema)
 
-        for batch in portions(batches, "text"):
+        for batch in portions(batches, "text", BATCH_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder(path, kept).encode(texts)):
                 if held and size + len(ids) // 4 + 1 > block_ids:

@@ -47,6 +47,23 @@ def test_kept_chunks_are_bounded(library):
     assert len(own.chunks) <= 20 and len(own.pieces) <= 20
 
 
+def test_a_batch_looks_a_chunk_up_once(library):
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *args):
+            Counted.looked += 1
+            return super().get(*args)
+
+    own = tokens.Encoder(PATH)
+    own.chunks = Counted()
+    texts = ["", " ", "a", "\n", " the end ", "a\nb \u3000c", "x  y", *[prose(i, 200, vocabulary=50) + "\nthe end" for i in range(30)]]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Counted.looked < 600  # of over 6000 places
+    assert own.encode([]) == [] and own.encode(["x  y"]) == [own.encode(["x  y", "z"])[0]]
+
+
 @pytest.mark.parametrize("block", [1, 500, 1 << 20])
 def test_files_round_trip(spark, library, block):
     rows = [*EDGES, *[(100 - i, prose(i, i * 9), "en", "a") for i in range(60)]]

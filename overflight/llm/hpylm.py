@@ -266,9 +266,17 @@ def _swept(model: Model, sent, sweep: int, tables: float) -> Callable[[Iterator[
     return run
 
 
+def swept(known: DataFrame, model: Model, spelling: Spelling, sweep: int, tables: float) -> tuple[Spelling, float]:
+    """A sweep over the customers of the corpus restaurant (``word, train``): the bytes' seating and the words' tables."""
+    sent = known.sparkSession.sparkContext.broadcast(spelling)
+    ordered = known.mapInArrow(_swept(model, sent, sweep, tables), "dish BIGINT, n DOUBLE") \
+        .groupBy("dish").agg(F.sum("n").alias("n")).toArrow().sort_by("dish")  # one row per byte of a restaurant at most
+    dish, n = ordered["dish"].to_numpy(), ordered["n"].to_numpy()
+    return resampled(dish[dish >= 0], n[dish >= 0], spelling, sweep), float(n[dish == -1].sum())
+
+
 def fit(words: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Model:
     """Sample the seating from a stored vocabulary."""
-    spark = words.sparkSession
     known = words.where("train > 0").select("word", "train")
     total, distinct, once, twice = known.agg(
         F.coalesce(F.sum("train"), F.lit(0)), F.count("*"), F.count(F.when(F.col("train") == 1, 1)),
@@ -277,12 +285,7 @@ def fit(words: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Mod
     model = Model(total, distinct, discount, [])
     spelling, tables = Spelling(), float(distinct)
     for sweep in range(burn_in + samples if distinct else 0):
-        sent = spark.sparkContext.broadcast(spelling)
-        ordered = known.mapInArrow(_swept(model, sent, sweep, tables), "dish BIGINT, n DOUBLE") \
-            .groupBy("dish").agg(F.sum("n").alias("n")).toArrow().sort_by("dish")  # one row per byte of a restaurant at most
-        dish, n = ordered["dish"].to_numpy(), ordered["n"].to_numpy()
-        tables = float(n[dish == -1].sum())
-        spelling = resampled(dish[dish >= 0], n[dish >= 0], spelling, sweep)
+        spelling, tables = swept(known, model, spelling, sweep, tables)
         if sweep >= burn_in:
             model.samples.append(Sample(sweep + 1, spelling, tables))
     if not model.samples:
@@ -427,9 +430,14 @@ def scored(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
         F.sum(F.coalesce("own.base", F.lit(0.0)) + F.coalesce(F.col("times") * F.col("base"), F.lit(0.0))).alias("base"),
         F.sum(F.coalesce("own.score", F.lit(0.0)) + F.coalesce("score", F.lit(0.0)) + F.coalesce(later, F.lit(0.0))).alias("score"),
     )
+    return per_row(sums, model.total)
+
+
+def per_row(sums: DataFrame, total: int) -> DataFrame:
+    """A row for each of the equal rows whose sums these are."""
     whole = lambda name: (F.col(name) / F.col("copies")).cast("long").alias(name)
     return sums.select(
-        "doc_id", "held_out", whole("n_tokens"), whole("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
+        "doc_id", "held_out", whole("n_tokens"), whole("n_known"), F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") / F.col("copies")).alias("base_score"), (F.col("score") / F.col("copies")).alias("score"),
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).drop("copy")
 

@@ -84,3 +84,20 @@ def test_scores_by_brute_force(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(documents(spark, [])).collect() == []
+
+
+def test_rows_come_in_few_partitions(spark, monkeypatch):
+    """Each partition is a file, and each file costs an executor a few processes."""
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    rows = [(n, f"{prose(n)} mit license", "en", "a") for n in range(50)]
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        monkeypatch.setattr("overflight.llm.common.in_files.__defaults__", (20,))
+        found = licenses.scan(documents(spark, rows).repartition(30))
+        assert found.rdd.getNumPartitions() == 3
+        assert sorted((r.doc_id, r.n_base) for r in found.collect()) == [(n, 1) for n in range(50)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

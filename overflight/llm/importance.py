@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from overflight.llm.common import broadcast_if_small, portions, stored
+from overflight.llm.common import ROWS_PER_FILE, broadcast_if_small, in_files, portions, stored
 
 BUCKETS = 10_000
 PIECE = 1 << 20
@@ -133,9 +133,12 @@ def _weigh(gain: np.ndarray, longest: int, seed: int) -> Callable[[Iterator[pa.R
     return run
 
 
-def ranked(rows: DataFrame, *order) -> DataFrame:
-    """The rows with ``rank``, 1 for the first in this order. No group or single task sees all of them."""
-    placed = stored(rows.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+def ranked(rows: DataFrame, n: int, *order) -> DataFrame:
+    """The ``n`` rows with ``rank``, 1 for the first in this order. No group or single task sees all of them.
+
+    ``_at`` names a part of the sort, of which a file may hold several.
+    """
+    placed = stored(rows.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ranked", n)
     part = F.shiftright("_at", PLACE_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per part of the sorted table.
@@ -154,10 +157,14 @@ def resample(docs: DataFrame, target: DataFrame, longest: int = 2, buckets: int
     those with the highest scores; ties go to the smaller id.
     """
     gain = gains(bucket_counts(docs, longest, buckets), bucket_counts(target, longest, buckets), buckets)
-    scored = stored(docs.select("doc_id", "text").mapInArrow(
-        _weigh(gain, longest, seed), "doc_id BIGINT, n_words BIGINT, n_features BIGINT, weight BIGINT, score BIGINT"), "weights")
+    n = docs.count()
+    weighed = docs.select("doc_id", "text").mapInArrow(
+        _weigh(gain, longest, seed), "doc_id BIGINT, n_words BIGINT, n_features BIGINT, weight BIGINT, score BIGINT")
+    # The texts are read by as many tasks as they come in; their few numbers go to few files.
+    scored = stored(weighed.repartition(n // ROWS_PER_FILE + 1), "weights")
     able = F.col("n_words") >= least_words
-    due = scored.where(able).count() * percent // 100
-    in_order = ranked(scored.where(able), F.desc("score"), F.asc_nulls_last("doc_id"), "n_features", "weight")
+    n_able = scored.where(able).count()
+    due = n_able * percent // 100
+    in_order = ranked(scored.where(able), n_able, F.desc("score"), F.asc_nulls_last("doc_id"), "n_features", "weight")
     drawn = in_order.withColumn("rank", F.when(F.col("rank") <= due, F.col("rank")))
-    return drawn.unionByName(scored.where(~able).withColumn("rank", F.lit(None).cast("long")))
+    return in_files(drawn.unionByName(scored.where(~able).withColumn("rank", F.lit(None).cast("long"))), n)

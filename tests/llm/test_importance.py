@@ -69,3 +69,26 @@ def test_empty_tables(spark):
 def test_bytes():
     text = "Ab,cD\té ÀB x\x7f1_2".encode()
     assert [w for words in importance.pieces(text) for w in words] == [w.encode() for w in alnum_words(text.decode())]
+
+
+def test_few_files(spark, monkeypatch):
+    """Each file costs an executor a few processes; the parts of a sort may share one."""
+    held = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    items = spark.createDataFrame(BENCHMARK, "item_id BIGINT, text STRING, bucket INT")
+    rows = [(i, prose(i, words=15 + i % 9), "en", "a") for i in range(200)]
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        monkeypatch.setattr("overflight.llm.common.ROWS_PER_FILE", 50)
+        monkeypatch.setattr(importance, "ROWS_PER_FILE", 50)
+        df = importance.resample(documents(spark, rows).repartition(40), items)
+        assert df.rdd.getNumPartitions() == 1
+        files = [f.split("/")[-2].split("-")[0] for f in df.inputFiles()]
+        able = sum(len(alnum_words(r[1])) >= 20 for r in rows)
+        assert Counter(files) == {"weights": 5, "ranked": able // 50 + 1}
+        assert sorted((tuple(r) for r in df.select(*COLUMNS).collect()), key=str) == sorted(
+            wanted(rows, [t for _, t, _ in BENCHMARK]), key=str)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -18,7 +18,8 @@ the spare customers.
 Words go by a key: frequent ones by a number, others by 63 bits of a digest, so
 words of equal digest would share their places (below one in a hundred for some
 pair of 300 million words). A text gets the figures of its rare words by a join
-and a grouping; then each of its places meets the stored pairs. No group of any
+and a grouping. The most frequent pairs of frequent words, at most ``PAIRS``, are
+sent to the tasks too; each other place meets the stored pairs. No group of any
 join or grouping is gathered, except a text's distinct words. Null and empty texts,
 equal rows and missing training text are treated as in ``hpylm``.
 """
@@ -28,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import cached_property
 from hashlib import blake2b
 from itertools import repeat
 
@@ -41,6 +43,7 @@ from overflight.llm.common import portions, remainder, stored, text_of
 from overflight.llm.hpylm import BURN_IN, FOLDS, FREQUENT, HELD_OUT, SAMPLES, Sample, Spelling, tokens
 
 STRENGTH = 1.0  # of the restaurant of a previous word
+PAIRS = 2_500_000  # of frequent words, sent to the tasks
 LN10 = np.log(10)
 Batches = Iterator[pa.RecordBatch]
 
@@ -141,7 +144,7 @@ class Fitted:
     discount: float  # of the restaurants of previous words
     corpus: list[hpylm.Model]  # one for each kept sample
     spare: list[DataFrame]
-    pairs: DataFrame  # u, w, x: customers less discounted tables, averaged over the samples
+    pairs: DataFrame  # u, w, train, x: customers less discounted tables, averaged over the samples
 
 
 def fit(words: DataFrame, pairs: DataFrame, burn_in: int = BURN_IN, samples: int = SAMPLES) -> Fitted:
@@ -180,6 +183,7 @@ def fit(words: DataFrame, pairs: DataFrame, burn_in: int = BURN_IN, samples: int
         seats = stored(
             seats.drop("spare").join(chances, "w").join(contexts, "u").mapInArrow(
                 _reseated(discount, sweep, kept), "u BIGINT, w BIGINT, train BIGINT, spare BIGINT, kept BIGINT"), "pair-seats")
+        sent.destroy()  # or every executor keeps a copy on its disk
         spare = stored(_by_word(seats), "spare-customers")
         if kept:
             fitted.corpus.append(corpus([sample]))
@@ -188,7 +192,7 @@ def fit(words: DataFrame, pairs: DataFrame, burn_in: int = BURN_IN, samples: int
         fitted.corpus.append(corpus([Sample(0, spelling, tables)]))
         fitted.spare.append(spare)
     tables_of = F.col("train") - F.col("kept") / len(fitted.corpus)
-    fitted.pairs = seats.select("u", "w", (F.col("train") - discount * tables_of).alias("x"))
+    fitted.pairs = seats.select("u", "w", "train", (F.col("train") - discount * tables_of).alias("x"))
     return fitted
 
 
@@ -250,6 +254,46 @@ class Figures:
         return self
 
 
+@dataclass
+class Pairs:
+    """Pairs of frequent words that a task knows, in ascending order, as small as they can be sent."""
+
+    first: np.ndarray  # by previous word, the place of its first pair; then the number of pairs
+    word: np.ndarray
+    which: np.ndarray  # of ``values``: x is made of whole numbers, so few differ
+    values: np.ndarray
+    whole: bool  # there are no others of frequent words
+
+    @property
+    def words(self) -> int:
+        return len(self.first) - 1
+
+    @cached_property
+    def code(self) -> np.ndarray:
+        return np.repeat(np.arange(self.words) * self.words, np.diff(self.first)) + self.word
+
+    def met(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By place: is its pair known here, its x if so, and may it be among the stored pairs."""
+        both = (before >= 0) & (word >= 0)
+        place, known = hpylm._find(self.code, before * self.words + word)
+        known &= both
+        return known, self.values[self.which[place[known]]], ~(both if self.whole else known)
+
+
+def sent_pairs(pairs: DataFrame, words: int, most: int) -> tuple[Pairs, DataFrame]:
+    """The most frequent pairs of the ``words`` frequent words, at most ``most``, and all other pairs."""
+    both = (F.col("u") >= 0) & (F.col("w") >= 0)
+    least = hpylm._threshold(pairs.where(both).select(F.col("train").alias("seen")), most)
+    sent = both & (F.col("train") >= least)
+    listed = pairs.where(sent).select((F.col("u") * words + F.col("w")).alias("code"), "x").toArrow()  # at most ``most`` rows
+    listed = listed.sort_by("code")
+    code = listed["code"].to_numpy()
+    values, which = np.unique(listed["x"].to_numpy(), return_inverse=True)
+    first = np.searchsorted(code, np.arange(words + 1) * words).astype(np.int32)
+    return Pairs(first, (code % max(words, 1)).astype(np.int32), which.astype(np.min_scalar_type(len(values))), values, least == 1), \
+        pairs.where(~sent).select("u", "w", "x")
+
+
 def _rare_words(sent) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         number = sent.value
@@ -272,15 +316,15 @@ _PLACE_SQL = ("doc_id BIGINT, text_hash BIGINT, held_out BOOLEAN, u BIGINT, w BI
               "own STRUCT<n_tokens: BIGINT, n_known: BIGINT, base: DOUBLE, score: DOUBLE>")
 
 
-def _places(number_sent, frequent_sent, discount: float) -> Callable[[Batches], Batches]:
-    """Per text one row for each place whose pair may occur elsewhere; the first has the sums as if none did.
+def _places(number_sent, frequent_sent, pairs_sent, discount: float) -> Callable[[Batches], Batches]:
+    """Per text one row for each place whose pair may be stored; the first has the sums as if none was.
 
     With x of its pair, a place adds ln(x + exp(rest)) to the text's score and
     a sum that is known here. Without such a place a text has one row without ``rest``.
     """
 
     def run(batches: Batches) -> Batches:
-        number, frequent = number_sent.value, frequent_sent.value
+        number, frequent, pairs = number_sent.value, frequent_sent.value, pairs_sent.value
         samples = frequent.chance.shape[1]
         for batch in portions(batches, "text"):
             listed = batch.column("rare")
@@ -305,10 +349,12 @@ def _places(number_sent, frequent_sent, discount: float) -> Callable[[Batches],
                 again = a > 0
                 rest[again] = np.logaddexp(rest[again], np.log(a[again] * all_customers[again] / b[again]))
                 alone = rest if held else np.logaddexp(np.log(1 - discount), rest)
+                known, x, stored_too = pairs.met(figures.key[before], figures.key[dish])
+                alone[known] = np.log(x + np.exp(rest[known]))
                 times = np.bincount(dish)
                 own.append((len(words), int((times * (figures.train > 0)).sum()), float((times * figures.base).sum()),
                             float((np.log(b / all_customers) + alone).sum() / LN10)))
-                met = np.flatnonzero((figures.seen[before] > 1) & (figures.seen[dish] > 1))
+                met = np.flatnonzero(stored_too & (figures.seen[before] > 1) & (figures.seen[dish] > 1))
                 if len(met):
                     us.append(figures.key[before[met]])
                     ws.append(figures.key[dish[met]])
@@ -343,7 +389,7 @@ def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def scored(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def scored(docs: DataFrame, frequent: int = FREQUENT, most_pairs: int = PAIRS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     context = docs.sparkSession.sparkContext
     texts = docs.select(
@@ -358,6 +404,9 @@ def scored(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
         fitted = fit(words, stored(pair_counts(texts, number), "pairs"))
         figures = stored(word_figures(words, fitted), "word-figures")
         sent = context.broadcast(Figures.of(figures.where("key >= 0").toArrow().sort_by("key"), len(fitted.corpus)))
+        frequent_pairs, other_pairs = sent_pairs(fitted.pairs, len(listed), most_pairs)
+        pairs_sent = context.broadcast(frequent_pairs)
+        del frequent_pairs
         rare = texts.mapInArrow(_rare_words(number), "doc_id BIGINT, text_hash BIGINT, key BIGINT") \
             .join(figures.where("key < 0"), "key") \
             .groupBy("doc_id", "text_hash") \
@@ -366,11 +415,11 @@ def scored(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     rare = rare.select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "rare")
     whole_texts = texts.join(rare, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left")
     places = whole_texts.select("doc_id", "text_hash", "held_out", "text", "rare") \
-        .mapInArrow(_places(number, sent, fitted.discount), _PLACE_SQL)
+        .mapInArrow(_places(number, sent, pairs_sent, fitted.discount), _PLACE_SQL)
 
     alone = F.when(F.col("held_out"), F.col("rest") / LN10).otherwise(F.log10(1 - fitted.discount + F.exp("rest")))
     more = F.coalesce(F.log10(F.col("x") + F.exp("rest")) - alone, F.lit(0.0))
-    sums = places.join(fitted.pairs, ["u", "w"], "left").groupBy("doc_id", "text_hash", "held_out").agg(
+    sums = places.join(other_pairs, ["u", "w"], "left").groupBy("doc_id", "text_hash", "held_out").agg(
         F.count("own").alias("copies"), F.sum("own.n_tokens").alias("n_tokens"), F.sum("own.n_known").alias("n_known"),
         F.sum("own.base").alias("base"), F.sum(F.coalesce("own.score", F.lit(0.0)) + more).alias("score"))
     return hpylm.per_row(sums, fitted.total)

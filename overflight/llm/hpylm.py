@@ -271,6 +271,7 @@ def swept(known: DataFrame, model: Model, spelling: Spelling, sweep: int, tables
     sent = known.sparkSession.sparkContext.broadcast(spelling)
     ordered = known.mapInArrow(_swept(model, sent, sweep, tables), "dish BIGINT, n DOUBLE") \
         .groupBy("dish").agg(F.sum("n").alias("n")).toArrow().sort_by("dish")  # one row per byte of a restaurant at most
+    sent.destroy()
     dish, n = ordered["dish"].to_numpy(), ordered["n"].to_numpy()
     return resampled(dish[dish >= 0], n[dish >= 0], spelling, sweep), float(n[dish == -1].sum())
 

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 from types import SimpleNamespace
 
+import numpy as np
 import pytest
 
 from overflight.llm import contexts, hpylm
@@ -87,6 +88,25 @@ def test_scores_by_formula(fitted):
     assert all(g[:2] == e[:2] and math.isclose(g[2], e[2], rel_tol=1e-9) for g, e in zip(got, expected))
 
 
+def test_pairs_sent_or_joined(spark, fitted):
+    """Scores are the same however many pairs the tasks know; a place whose pair is settled in its task is not joined."""
+    rows = [(0, 1, 5, 4.5), (2, 1, 3, 2.5), (1, 0, 2, 1.5), (2, 2, 2, 1.25), (-7, 1, 9, 8.5), (0, -7, 2, 1.5)]
+    pairs = spark.createDataFrame(rows, "u BIGINT, w BIGINT, train BIGINT, x DOUBLE")
+    for most, codes in ((0, []), (1, [1]), (3, [1, 7]), (4, [1, 3, 7, 8])):
+        sent, others = contexts.sent_pairs(pairs, 3, most)
+        assert sent.code.tolist() == codes and sent.whole == (most == 4)
+        assert sorted(others.collect()) == sorted((u, w, x) for u, w, _, x in rows if u < 0 or w < 0 or u * 3 + w not in codes)
+    known, x, stored_too = sent.met(np.array([0, 0, -7, 0, 2]), np.array([1, 2, 1, -(1 << 63), 2]))
+    assert known.tolist() == [True, False, False, False, True] and x.tolist() == [4.5, 1.25]
+    assert stored_too.tolist() == [False, False, True, True, False]
+    few = contexts.sent_pairs(pairs, 3, 3)[0].met(np.array([0, 1, 0]), np.array([1, 0, 2]))
+    assert few[0].tolist() == [True, False, False] and few[2].tolist() == [False, True, True]
+    scores = sorted((str(r.doc_id), r.n_tokens, r.score) for r in fitted["rows"])
+    for most in (0, 300):
+        got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in contexts.scored(documents(spark, ROWS), 100_000, most).collect())
+        assert all(a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-9) for a, b in zip(scores, got, strict=True))
+
+
 def test_customers_of_the_corpus_are_the_tables_of_the_pairs(fitted):
     model = fitted["model"]
     for corpus, spare in zip(model.corpus, model.spare):

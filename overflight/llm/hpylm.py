@@ -41,6 +41,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from overflight.llm.common import portions, remainder, stored, text_of
@@ -50,7 +51,7 @@ FOLDS = 7
 BURN_IN, SAMPLES = 1, 2
 EXACT = 32
 FREQUENT = 200_000
-COUNTED = 400_000  # words a task counts before it passes them on
+COUNTED = 4 << 20  # bytes of texts whose words a task counts before it passes them on
 STRENGTH = 1.0
 TEXT_STRENGTH, TEXT_DISCOUNT = 100.0, 0.9  # of the restaurant each scored text has for itself
 DISCOUNTS = (0.1, 0.3, 0.4, 0.5, 0.5)  # by bytes of context
@@ -67,6 +68,17 @@ def tokens(text: str) -> list[bytes]:
     return found
 
 
+def numbered(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """``tokens`` of all texts, one after the other, as places in a list of words; that list; and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    found, text = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    real = pc.binary_length(found).to_numpy() > 0  # white space at an end of the text leaves an empty one
+    listed = found.filter(pa.array(real)).dictionary_encode()
+    size = np.bincount(text[real], minlength=len(texts))
+    word = np.insert(listed.indices.to_numpy().astype(np.int64), np.cumsum(size), len(listed.dictionary))
+    return word, pa.concat_arrays([listed.dictionary.cast(pa.binary()), pa.array([b""], pa.binary())]), size + 1
+
+
 def _uniform(keys: np.ndarray, sweep: int, step: int) -> np.ndarray:
     x = keys + np.uint64((sweep * 1_000_003 + step) * 0x9E3779B97F4A7C15 % (1 << 64))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -141,7 +153,11 @@ class Spelling:
         if not words:
             return np.empty(0)
         context, symbol, first = spelled(words)
-        return np.add.reduceat(np.log(self.probability(context, symbol)), first)
+        dish, place = np.unique(context[-1] * SYMBOLS + symbol, return_inverse=True)  # words share most of them
+        context = [dish // SYMBOLS]
+        for level in range(LEVELS - 1, 0, -1):
+            context.insert(0, _parent(context[0], level))
+        return np.add.reduceat(np.log(self.probability(context, dish % SYMBOLS))[place], first)
 
 
 def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,24 +236,11 @@ class Model:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    train, held = Counter(), Counter()
-
-    def rows() -> pa.RecordBatch:
-        words = list(train.keys() | held.keys())
-        out = pa.RecordBatch.from_pydict({
-            "word": pa.array(words, pa.binary()), "train": pa.array([train[w] for w in words], pa.int64()),
-            "held": pa.array([held[w] for w in words], pa.int64())})
-        train.clear()
-        held.clear()
-        return out
-
-    for batch in portions(batches, "text"):
-        for text, out in zip(batch.column("text").to_pylist(), batch.column("held_out").to_pylist()):
-            (held if out else train).update(tokens(text))
-        if len(train) + len(held) > COUNTED:
-            yield rows()
-    if train or held:
-        yield rows()
+    for batch in portions(batches, "text", COUNTED):
+        word, names, size = numbered(batch.column("text"))
+        held = np.repeat(batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool), size)
+        yield pa.RecordBatch.from_pydict({
+            "word": names, "train": np.bincount(word[~held], minlength=len(names)), "held": np.bincount(word[held], minlength=len(names))})
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:

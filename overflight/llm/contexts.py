@@ -17,11 +17,16 @@ the spare customers.
 
 Words go by a key: frequent ones by a number, others by 63 bits of a digest, so
 words of equal digest would share their places (below one in a hundred for some
-pair of 300 million words). A text gets the figures of its rare words by a join
+pair of 300 million words). A pair of frequent words goes by its exact place
+among all, any other by 62 bits mixed from both keys, with the same reservation.
+What is seated follows from the pairs and from figures of both words, so only
+pairs are stored, no seats. A text gets the figures of its rare words by a join
 and a grouping. The most frequent pairs of frequent words, at most ``PAIRS``, are
-sent to the tasks too; each other place meets the stored pairs. No group of any
-join or grouping is gathered, except a text's distinct words. Null and empty texts,
-equal rows and missing training text are treated as in ``hpylm``.
+sent to the tasks too; each other place meets the stored pairs. Pairs are counted
+and met in blocks: sorted, packed codes of many places in a row, grouped by a
+hash of the code into parts of about ``IN_PART`` places; a task merges a part.
+Null and empty texts, equal rows and missing training text are treated as in
+``hpylm``.
 """
 
 from __future__ import annotations

@@ -44,20 +44,30 @@ MANY_SEEDS = 1_000_000
 
 
 def _seeds(words: str, at: Column, short: list[int]) -> list[Column]:
-    """``(seed, span)`` of the seeds that start at a position; null where the text ends before."""
+    """The seeds that start at a position, those of the masks first; null where the text ends before."""
     n = F.size(words)
     word = lambda i: F.get(words, at + i)
-    seed = lambda mark, used, span: F.when(
-        at + span <= n, F.struct(F.xxhash64(F.lit(mark), *map(word, used)).alias("seed"), F.lit(span).alias("span")))
+    seed = lambda mark, used, span: F.when(at + span <= n, F.xxhash64(F.lit(mark), *map(word, used)))
     masked = [seed(number, [i for i, bit in enumerate(mask) if bit == "1"], len(mask)) for number, mask in enumerate(MASKS)]
     return masked + [
         F.when((n == size) | F.lit(size >= LEAST_RUN), seed(-size, range(size), size)) for size in short]
 
 
 def _positions(texts: DataFrame, words: str, short: list[int], keep: list[str]) -> DataFrame:
-    at = texts.select(*keep, words, F.posexplode(words).alias("at", "word"))
-    at = at.select(*keep, words, "at", F.explode(F.array(*_seeds(words, F.col("at"), short))).alias("_s"))
-    return at.where("_s IS NOT NULL").select(*keep, words, "at", "_s.seed", "_s.span")
+    """``seed, span`` of every position. There are as many of them as words, so a position makes one array of plain numbers, and
+    the outer explode keeps Spark from splitting each text a second time to see whether it has words."""
+    spans = F.array(*[F.lit(len(mask)) for mask in MASKS], *map(F.lit, short))
+    at = texts.select(*keep, words, F.posexplode_outer(words).alias("at", "word"))
+    at = at.select(*keep, words, "at", F.posexplode(F.array(*_seeds(words, F.col("at"), short))).alias("_mark", "seed"))
+    return at.where("seed IS NOT NULL").select(*keep, words, "at", "seed", F.get(spans, F.col("_mark")).alias("span"))
+
+
+def _near(found: DataFrame) -> DataFrame:
+    """In place of a text's words how many there are (``n_words``) and, from ``near_from`` on, those that a window around the hit
+    can hold (``near``), so that a row of a hit is as small in a long text as in a short one."""
+    start = F.greatest(F.lit(0), F.col("at") - WINDOW)
+    return found.withColumns({"n_words": F.size("words"), "near_from": start, "near": F.slice("words", start + 1, F.lit(2 * WINDOW))}) \
+        .drop("words")
 
 
 def benchmark_seeds(items: DataFrame, short: list[int]) -> DataFrame:
@@ -81,13 +91,14 @@ def _confirmed(found: DataFrame, identity: float) -> DataFrame:
     size = F.least(F.size("item_words"), F.lit(WINDOW))
     shift = F.col("at") - F.col("q")
     low = F.greatest(F.lit(0), -shift)
-    high = F.least(F.size("item_words"), F.size("words") - shift)
+    high = F.least(F.size("item_words"), F.col("n_words") - shift)
     length = F.least(size, high - low)
     place = lambda start: F.greatest(low, F.least(start, high - length))
     placed = found.withColumn("_size", size).withColumn("_length", length).withColumn("_shift", shift) \
         .withColumn("_from", place(F.col("q") + F.col("span") - length)).withColumn("_to", place(F.col("q")))
     reach = F.col("_to") - F.col("_from") + F.col("_length")
-    ours, theirs = F.slice("item_words", F.col("_from") + 1, reach), F.slice("words", F.col("_from") + F.col("_shift") + 1, reach)
+    ours = F.slice("item_words", F.col("_from") + 1, reach)
+    theirs = F.slice("near", F.col("_from") + F.col("_shift") - F.col("near_from") + 1, reach)
     placed = placed.withColumn("_equal", F.zip_with(ours, theirs, lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))))
     same = lambda start: F.aggregate(F.slice("_equal", start + 1, F.col("_length")), F.lit(0), lambda total, x: total + x)
     windows = F.transform(F.sequence(F.lit(0), F.col("_to") - F.col("_from")), lambda k: F.struct(
@@ -109,13 +120,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, identity: float = IDENTITY,
     at = _positions(texts, "words", short, ["doc_id", "text_hash"])
     items = items.dropDuplicates(["item"])
     if fits(seeds, many_seeds):  # then the items' words are as few
-        found = at.drop("span").join(F.broadcast(seeds), F.col("seed") == F.col("item_seed")).join(F.broadcast(items), "item")
+        hits = at.drop("span").join(F.broadcast(seeds), F.col("seed") == F.col("item_seed"))
+        found = _near(hits).join(F.broadcast(items), "item")
     else:
         key = ["doc_id", "text_hash"]
         met = at.select(*key, "at", "seed").join(seeds, F.col("seed") == F.col("item_seed")).distinct()
         one = texts.dropDuplicates(key).withColumnsRenamed({k: f"_{k}" for k in key})
-        found = met.join(one, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash"))) \
-            .join(items, "item")
+        hits = met.join(one, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("text_hash") == F.col("_text_hash")))
+        found = _near(hits).join(items, "item")
     return _confirmed(found, identity).groupBy("doc_id", "item_id").agg(
         F.max(F.size("item_words")).cast("long").alias("item_words"),
         F.min("window.first").cast("long").alias("first_word"),

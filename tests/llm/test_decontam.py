@@ -1,7 +1,10 @@
 import itertools
 import random
+import re
 
-from overflight.llm import decontam
+from pyspark.sql import functions as F
+
+from overflight.llm import decontam, queries
 from tests.llm.texts import EDGES, documents, prose
 
 
@@ -80,3 +83,30 @@ def test_empty_tables(spark):
     assert decontam.overlaps(docs, benchmark(spark, [])).collect() == []
     assert decontam.overlaps(documents(spark, []), benchmark(spark, [(1, item(1))])).collect() == []
     assert decontam.cleaned(docs, benchmark(spark, [])).count() == len(EDGES)
+
+
+def test_hits_in_a_long_text_hold_only_the_words_around_them(spark, monkeypatch):
+    seen, confirmed = [], decontam._confirmed
+    monkeypatch.setattr(decontam, "_confirmed", lambda found, identity: seen.append(found) or confirmed(found, identity))
+    passage, short, long = item(1, 20), item(2, 6), prose(3, 3000, vocabulary=5000)
+    docs = documents(spark, [(1, f"{passage} {long} {passage} {short} {long} {short} {passage}", "en", "a"), (2, f"{long} {long}", "en", "a")])
+    bench = benchmark(spark, [(1, passage), (2, short)])
+    for many_seeds in (decontam.MANY_SEEDS, 1):
+        got = {tuple(r) for r in decontam.overlaps(docs, bench, many_seeds=many_seeds).collect()}
+        assert got == {(1, 1, 20, 0, 6071, 1.0), (1, 2, 6, 3040, 6051, 1.0)}
+        words = [c for c, kind in seen[-1].dtypes if kind == "array<string>" and c != "item_words"]
+        sizes = seen[-1].agg(F.count("*"), *[F.max(F.size(c)) for c in words]).first()
+        assert sizes[0] > 100 and words and max(sizes[1:]) <= 2 * decontam.WINDOW
+
+
+def test_texts_are_split_once_and_read_in_light_batches(spark, tmp_path):
+    documents(spark, EDGES).write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark(spark, [(1, item(1))]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    default = spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    try:
+        plan = queries.op8_benchmark_decontamination(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) < int(default)
+    finally:
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", default)
+    text = re.search(r"Relation \[doc_id#\d+L?,(text#\d+)", plan).group(1)
+    assert sum("split(" in line and text in line for line in plan.splitlines()) == 1
